@@ -1,0 +1 @@
+"""cartflow.streaming"""
