@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.operators import funnel
+from cartflow.operators import funnel, sessions
 from cartflow.operators.events import fct_events
 from cartflow.session import apply_runtime_conf
 from cartflow.sources.adapters import load_commerce_events
@@ -61,3 +61,19 @@ def q_mart_funnel_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: daily funnel by date, category and brand."""
     mart = funnel.mart_funnel_daily(_fct(spark, sf_dir))
     return _rounded(mart, money=("revenue",), rates=RATES3)
+
+
+def _sessionized(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    return sessions.sessionize(load_commerce_events(spark, sf_dir), **kw)
+
+
+@register("sessionized_events")
+def q_sessionized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 (W1, W2, P4, P6, P7): every event with its session id."""
+    return _sessionized(spark, sf_dir, with_previous_time=True)
+
+
+@register("fct_sessions")
+def q_fct_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: the session fact."""
+    return _rounded(sessions.fct_sessions(_sessionized(spark, sf_dir)), money=("revenue",))
