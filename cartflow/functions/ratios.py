@@ -30,4 +30,4 @@ def safe_divide(numerator: Column | str, denominator: Column | str) -> Column:
 
 def count_if(cond: Column) -> Column:
     """Number of rows where ``cond`` is true, BIGINT."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    return F.count(F.when(cond, F.lit(1)))

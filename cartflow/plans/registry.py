@@ -14,10 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.operators import funnel, sessions
+from cartflow.operators import deciles, features, funnel, retention, segments, sessions, summary
 from cartflow.operators.events import fct_events
 from cartflow.session import apply_runtime_conf
-from cartflow.sources.adapters import load_commerce_events
+from cartflow.sources.adapters import load_commerce_events, load_order_purchases
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -77,3 +77,275 @@ def q_sessionized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_fct_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: the session fact."""
     return _rounded(sessions.fct_sessions(_sessionized(spark, sf_dir)), money=("revenue",))
+
+
+def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.fct_sessions(_sessionized(spark, sf_dir))
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnel.mart_funnel_daily(_fct(spark, sf_dir))
+
+
+def _po(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fct_events(load_order_purchases(spark, sf_dir))
+
+
+@register("fct_events")
+def q_fct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed event fact with event_date."""
+    return _fct(spark, sf_dir)
+
+
+@register("mart_product_conversion")
+def q_mart_product_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: product conversion mart."""
+    mart = funnel.mart_product_conversion(_fct(spark, sf_dir))
+    return _rounded(mart, money=("revenue",), rates=("conversion_rate",))
+
+
+@register("mart_retention")
+def q_mart_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohort retention over purchases from orders."""
+    return _rounded(retention.mart_retention(_po(spark, sf_dir)), rates=("retention_rate",))
+
+
+@register("retention_pivot")
+def q_retention_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohort x month-number pivot, months 0..11."""
+    p = retention.retention_pivot(retention.mart_retention(_po(spark, sf_dir)), range(12))
+    return _rounded(p, rates=tuple(f"month_{m}" for m in range(12)))
+
+
+@register("retention_curve")
+def q_retention_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean retention per month number."""
+    c = retention.retention_curve(retention.mart_retention(_po(spark, sf_dir)))
+    return _rounded(c, rates=("retention_rate",))
+
+
+@register("month1_retention")
+def q_month1_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A27 + P18: mean month-1 retention."""
+    m = retention.month1_retention(retention.mart_retention(_po(spark, sf_dir)))
+    return _rounded(m, rates=("avg_month_1_retention",))
+
+
+@register("monthly_user_status")
+def q_monthly_user_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New vs returning users per month (orders as activity)."""
+    return segments.monthly_user_status(_po(spark, sf_dir))
+
+
+@register("overview")
+def q_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + V5 + J5: data overview in one row."""
+    fct = _fct(spark, sf_dir)
+    return summary.overview(fct, sessions.fct_sessions(sessions.sessionize(load_commerce_events(spark, sf_dir))))
+
+
+@register("event_totals")
+def q_event_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 + A22: global funnel totals, GMV and the three rates."""
+    totals = funnel.event_totals(_fct(spark, sf_dir))
+    out = totals.crossJoin(funnel.funnel_metrics(totals))
+    return _rounded(out, money=("gmv",), rates=RATES3)
+
+
+@register("funnel_stages")
+def q_funnel_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Funnel stages in long form."""
+    return funnel.funnel_stages(funnel.event_totals(_fct(spark, sf_dir)))
+
+
+@register("kpi_table")
+def q_kpi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A23 (+A19, A20, A22): the five headline KPIs."""
+    t = summary.kpi_table(_fct(spark, sf_dir), _sessions(spark, sf_dir))
+    return _rounded(t, rates=("value",))
+
+
+@register("kpi_counters")
+def q_kpi_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of purchases and of sessions."""
+    return summary.kpi_counters(_fct(spark, sf_dir), _sessions(spark, sf_dir))
+
+
+@register("category_funnel")
+def q_category_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 + T1 + P8: top 15 categories by views."""
+    t = funnel.category_funnel(_daily(spark, sf_dir))
+    return _rounded(t, money=("revenue",), rates=("purchase_conversion_rate",))
+
+
+@register("brand_funnel")
+def q_brand_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 + T1 + P8: top 15 brands by views."""
+    t = funnel.brand_funnel(_daily(spark, sf_dir))
+    return _rounded(t, money=("revenue",), rates=("purchase_conversion_rate",))
+
+
+@register("best_category")
+def q_best_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: best conversion among the top-15 categories."""
+    t = funnel.best_by_conversion(funnel.category_funnel(_daily(spark, sf_dir)), "category_code")
+    return _rounded(t, money=("revenue",), rates=("purchase_conversion_rate",))
+
+
+@register("best_brand")
+def q_best_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: best conversion among the top-15 brands."""
+    t = funnel.best_by_conversion(funnel.brand_funnel(_daily(spark, sf_dir)), "brand")
+    return _rounded(t, money=("revenue",), rates=("purchase_conversion_rate",))
+
+
+PROBLEM_RATES = ("purchase_conversion_rate", "cart_dropoff_rate")
+
+
+@register("problem_categories")
+def q_problem_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories with at least 100 views by cart drop-off."""
+    t = funnel.problem_table(_daily(spark, sf_dir), "category_code", min_views=100)
+    return _rounded(t, rates=PROBLEM_RATES)
+
+
+@register("problem_brands")
+def q_problem_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands with at least 100 views by cart drop-off."""
+    t = funnel.problem_table(_daily(spark, sf_dir), "brand", min_views=100)
+    return _rounded(t, rates=PROBLEM_RATES)
+
+
+@register("funnel_kpis")
+def q_funnel_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted funnel rates per day re-aggregated from the mart."""
+    t = funnel.weighted_rates(_daily(spark, sf_dir), ["event_date"])
+    return _rounded(t, money=("revenue",), rates=RATES3 + ("cart_dropoff_rate",))
+
+
+@register("product_kpis")
+def q_product_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product conversion re-aggregated per brand."""
+    mart = funnel.mart_product_conversion(_fct(spark, sf_dir))
+    t = funnel.product_rates(mart, ["brand"])
+    return _rounded(t, money=("revenue",), rates=("conversion_rate",))
+
+
+@register("purchases_per_user")
+def q_purchases_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: purchases per user."""
+    return segments.purchases_per_user(_fct(spark, sf_dir))
+
+
+@register("repeat_purchase_rate")
+def q_repeat_purchase_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeat-buyer share."""
+    r = segments.repeat_purchase_rate(segments.purchases_per_user(_fct(spark, sf_dir)))
+    return _rounded(r, rates=("repeat_purchase_rate",))
+
+
+@register("abandoned_cart_share")
+def q_abandoned_cart_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session-level abandoned-cart share."""
+    return _rounded(segments.abandoned_cart_share(_sessions(spark, sf_dir)), rates=("abandoned_cart_share",))
+
+
+@register("user_summary")
+def q_user_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user views, purchases and revenue."""
+    return _rounded(segments.user_summary(_fct(spark, sf_dir)), money=("revenue",))
+
+
+@register("behavior_segments")
+def q_behavior_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A16 + A21 + P11: behaviour segment sizes."""
+    return segments.behavior_segments(segments.user_summary(_fct(spark, sf_dir)))
+
+
+@register("value_segments")
+def q_value_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A17 + A28 + A29: value terciles of buyers."""
+    v = segments.value_segments(segments.user_summary(_fct(spark, sf_dir)))
+    return _rounded(v, money=("revenue", "avg_revenue_per_user"))
+
+
+@register("sessions_summary")
+def q_sessions_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A15 + P9 + T4: sessions per date and depth segment."""
+    t = summary.sessions_summary(_sessions(spark, sf_dir))
+    return _rounded(t, money=("revenue",), rates=("avg_session_duration_minutes", "avg_events_cnt"))
+
+
+@register("depth_conversion")
+def q_depth_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth segment vs session conversion."""
+    t = summary.depth_conversion(summary.sessions_summary(_sessions(spark, sf_dir), ordered=False))
+    return _rounded(t, rates=("avg_events_cnt", "session_conversion_rate"))
+
+
+@register("session_kpis")
+def q_session_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session conversion, abandoned share and GMV per date."""
+    t = summary.session_kpis(summary.sessions_summary(_sessions(spark, sf_dir), ordered=False), ["session_date"])
+    return _rounded(t, money=("gmv",), rates=("session_conversion_rate", "abandoned_cart_share"))
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.session_features(_sessionized(spark, sf_dir))
+
+
+@register("session_features")
+def q_session_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + W3 + W4 + A7: the session feature table."""
+    return _rounded(_features(spark, sf_dir), rates=("avg_price_viewed",))
+
+
+@register("time_split_counts")
+def q_time_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and time bounds of the 80/20 time split."""
+    split = deciles.time_split(_features(spark, sf_dir), 0.8)
+    return split.groupBy(F.when(F.col("is_train"), F.lit("train")).otherwise(F.lit("test")).alias("part")).agg(
+        F.count(F.lit(1)).alias("sessions_cnt"),
+        F.min("session_start").alias("first_start"),
+        F.max("session_start").alias("last_start"),
+        F.sum("purchase_flag").cast("bigint").alias("purchases_cnt"),
+    )
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deciles.deterministic_score(_features(spark, sf_dir))
+
+
+@register("score_deciles")
+def q_score_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5-W7 + P15: session score extract with deciles."""
+    d = deciles.export_scores(deciles.score_deciles(_scored(spark, sf_dir)))
+    return _rounded(d, rates=("model_score",))
+
+
+@register("decile_summary")
+def q_decile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A18 + A37: decile table with revenue."""
+    scored = deciles.score_deciles(_scored(spark, sf_dir))
+    t = deciles.decile_summary(scored, sessions=_sessions(spark, sf_dir))
+    return _rounded(t, money=("revenue", "revenue_per_session"), rates=("purchase_rate", "avg_score"))
+
+
+@register("decile_headline")
+def q_decile_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overall vs top-decile purchase rate."""
+    t = deciles.decile_headline(deciles.score_deciles(_scored(spark, sf_dir)))
+    return _rounded(t, rates=("overall_purchase_rate", "top_decile_purchase_rate"))
+
+
+@register("top_share_metrics")
+def q_top_share_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision and capture in the top 10 % by score."""
+    t = deciles.top_share_metrics(_scored(spark, sf_dir))
+    return _rounded(t, rates=("precision_at_top_10_percent", "purchase_capture_rate_at_top_10_percent"))
+
+
+@register("auc_metrics")
+def q_auc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 + M10: ROC-AUC and average precision of the score."""
+    return _rounded(deciles.auc_metrics(_scored(spark, sf_dir)), rates=("roc_auc", "pr_auc"))
