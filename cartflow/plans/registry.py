@@ -14,9 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.operators import deciles, features, funnel, retention, segments, sessions, summary
+from cartflow.operators import deciles, features, funnel, modeling, retention, segments, sessions, summary
 from cartflow.operators.events import fct_events
-from cartflow.session import apply_runtime_conf
+from cartflow.session import apply_runtime_conf, checkpoint_dir
+from cartflow.sources import sinks
+from cartflow.sources import raw as rawsrc
 from cartflow.sources.adapters import load_commerce_events, load_order_purchases
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -349,3 +351,64 @@ def q_top_share_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_auc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9 + M10: ROC-AUC and average precision of the score."""
     return _rounded(deciles.auc_metrics(_scored(spark, sf_dir)), rates=("roc_auc", "pr_auc"))
+
+
+def _raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rawsrc.raw_text_from_events(load_commerce_events(spark, sf_dir))
+
+
+@register("etl_clean_events")
+def q_etl_clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1/P2 + U1-U3 + F1/F2: clean raw text events (faults injected)."""
+    return rawsrc.clean_events(_raw_text(spark, sf_dir))
+
+
+@register("event_quality")
+def q_event_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1-V5: data-quality profile of the raw text events."""
+    return rawsrc.event_quality(_raw_text(spark, sf_dir))
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    split = deciles.time_split(_features(spark, sf_dir), 0.8).drop("time_rank")
+    train = split.where(F.col("is_train")).drop("is_train")
+    test = split.where(~F.col("is_train")).drop("is_train")
+    return train, test
+
+
+@register("baseline_model_metrics")
+def q_baseline_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic baseline, test metrics (rows-only check)."""
+    train, test = _split(spark, sf_dir)
+    model = modeling.fit_baseline(train)
+    return modeling.evaluate(modeling.score(model, test))
+
+
+@register("tree_model_metrics")
+def q_tree_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees, test metrics (rows-only check)."""
+    train, test = _split(spark, sf_dir)
+    model = modeling.fit_trees(train)
+    return modeling.evaluate(modeling.score(model, test))
+
+
+@register("propensity_scores")
+def q_propensity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12-M14 + S17: both models fitted on the train part, every session
+    scored (rows-only check)."""
+    _metrics, scores = modeling.train_propensity(_features(spark, sf_dir))
+    return scores
+
+
+@register("export_roundtrip")
+def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily mart written as Parquet and CSV under the
+    shared checkpoint folder, read back through the fallback reader (the
+    CSV copy, typed by the mart schema)."""
+    import uuid
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    mart = funnel.mart_funnel_daily(_fct(spark, sf_dir))
+    sinks.write_csv(mart, f"{base}/mart_funnel_daily.csv")
+    back = sinks.read_mart(spark, "mart_funnel_daily", base)
+    return _rounded(back, money=("revenue",), rates=RATES3)
