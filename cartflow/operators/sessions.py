@@ -12,21 +12,19 @@ The gap is measured in minute boundaries, so cut each user's timeline into
 blocks of ``gap + 1`` consecutive minute indexes.  Two events in one block
 are at most ``gap`` boundaries apart, hence only the *first* event of a
 block can start a session, and every event of a block carries the same
-running count.  So:
+running count.  Events with a NULL time sort after all others and each is
+a block of its own, ordered by (type, product, tie-breaker): LAG then sees
+the NULL time of the event before, exactly as in SQL.  So:
 
-1. one hash aggregate per (user, block): first event key (min of a
-   NULLs-last struct), last event time, number of blank events -- partial
-   aggregation makes this safe for a user holding a third of all rows;
+1. one aggregate per (user, block): first event key (min of a NULLs-last
+   struct), last event time -- partial aggregation makes this safe for a
+   user holding a third of all rows;
 2. a window per user over the small block table: previous block's last
    time (LAG) and the running count of starts;
 3. one join of the events with their block row.
 
 A single hot user is spread over its blocks in step 3 (and AQE splits a
-skewed join partition), instead of being one window task.  Events with a
-NULL time sort after all others; each blank one after the first starts its
-own session (LAG returns the NULL time of the row before), so only those
-rows need a per-user ordering, done by a window over the NULL-time rows
-alone.
+skewed join partition), instead of being one window task.
 """
 
 from __future__ import annotations
@@ -46,10 +44,6 @@ from cartflow.functions.labels import (
 from cartflow.functions.timefn import minute_diff, minute_index
 from cartflow.operators.events import is_type, purchase_revenue, type_count
 
-_INTERNAL = ("_block", "_first", "_last_time", "_n_blank", "_prev_last", "_first_start",
-             "_starts", "_offset_incl", "_src_null", "_key")
-
-
 def source_session_id(col: str = "user_session") -> Column:
     """``NULLIF(TRIM(CAST(user_session AS STRING)), '')``."""
     return F.nullif(F.trim(F.col(col).cast("string")), F.lit(""))
@@ -86,23 +80,26 @@ def sessionize(
     order_cols = ["event_type", "product_id", *tie]
     width = F.lit(gap + 1)
     m = minute_index("event_time")
+    untimed = F.col("event_time").isNull()
+    key = _key_struct(order_cols)
     keyed = shop.withColumns(
         {
             "source_session_id": source_session_id(),
+            "_bt": untimed.cast("int"),
             "_block": ((m - F.pmod(m, width)) / width).cast("bigint"),
-            "_key": _key_struct(order_cols),
+            "_bk": F.when(untimed, key),
+            "_key": key,
         }
     ).withColumn("_src_null", F.col("source_session_id").isNull())
+    block_cols = ["user_id", "_bt", "_block", "_bk"]
 
-    blocks = keyed.groupBy("user_id", "_block").agg(
+    blocks = keyed.groupBy(*block_cols).agg(
         F.min(F.struct(F.col("_key").alias("k"), F.col("_src_null").alias("s"))).alias("_first"),
         F.max("event_time").alias("_last_time"),
-        F.sum(F.col("_src_null").cast("int")).cast("bigint").alias("_n_blank"),
     )
-    per_user = Window.partitionBy("user_id").orderBy(F.col("_block").asc_nulls_last())
-    first_src_null = F.col("_first.s")
+    per_user = Window.partitionBy("user_id").orderBy("_bt", "_block", "_bk")
     first_start = (
-        first_src_null
+        F.col("_first.s")
         & F.coalesce(
             F.col("_prev_last").isNull()
             | (minute_diff(F.col("_prev_last"), F.col("_first.k.t")) > F.lit(gap)),
@@ -113,70 +110,31 @@ def sessionize(
         blocks.withColumn("_prev_last", F.lag("_last_time").over(per_user))
         .withColumn("_first_start", first_start)
         .withColumn(
-            "_starts",
-            F.col("_first_start")
-            + F.when(
-                F.col("_block").isNull(), F.col("_n_blank") - first_src_null.cast("bigint")
-            ).otherwise(F.lit(0)),
+            "_counter",
+            F.sum("_first_start").over(per_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         )
-        .withColumn(
-            "_offset_incl",
-            F.sum("_starts").over(per_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        )
-        .select("user_id", "_block", "_first", "_prev_last", "_first_start", "_starts", "_offset_incl")
+        .select(*[F.col(c).alias(f"_b{c}") for c in block_cols], "_first", "_prev_last",
+                "_first_start", "_counter")
     )
 
-    def with_blocks(rows: DataFrame) -> DataFrame:
-        b = blocks.withColumnRenamed("user_id", "_b_user").withColumnRenamed("_block", "_b_block")
-        cond = rows["user_id"].eqNullSafe(b["_b_user"]) & rows["_block"].eqNullSafe(b["_b_block"])
-        return rows.join(b, cond, "inner").drop("_b_user", "_b_block")
-
-    # Events with a time: whole block shares one running count.
-    timed = with_blocks(keyed.where(F.col("event_time").isNotNull()))
+    cond = None
+    for c in block_cols:
+        eq = keyed[c].eqNullSafe(blocks[f"_b{c}"])
+        cond = eq if cond is None else cond & eq
+    rows = keyed.join(blocks, cond, "inner")
     is_first = F.col("_key") == F.col("_first.k")
-    timed = timed.withColumns(
-        {
-            "_counter": F.col("_offset_incl"),
-            "derived_session_start": (is_first & (F.col("_first_start") == 1)).cast("int"),
-        }
+    rows = rows.withColumn(
+        "derived_session_start", (is_first & (F.col("_first_start") == 1)).cast("int")
     )
     if with_previous_time:
-        in_block = Window.partitionBy("user_id", "_block").orderBy(
-            F.col("event_time").asc(), *_order_exprs(order_cols)
+        in_block = Window.partitionBy(*block_cols).orderBy(
+            F.col("event_time").asc_nulls_last(), *_order_exprs(order_cols)
         )
-        timed = timed.withColumn(
+        rows = rows.withColumn(
             "previous_event_time",
-            F.coalesce(F.lag("event_time").over(in_block), F.col("_prev_last")),
+            F.when(is_first, F.col("_prev_last")).otherwise(F.lag("event_time").over(in_block)),
         )
 
-    # Events without a time: ordered after all timed events of the user.
-    untimed = with_blocks(keyed.where(F.col("event_time").isNull()))
-    null_order = Window.partitionBy("user_id").orderBy(*_order_exprs(order_cols))
-    pos = F.row_number().over(null_order)
-    blank_run = F.sum(F.col("_src_null").cast("bigint")).over(
-        null_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    untimed = untimed.withColumns(
-        {
-            "_pos": pos,
-            "_counter": F.col("_offset_incl") - F.col("_starts") + F.col("_first_start")
-            + blank_run - F.col("_first.s").cast("bigint"),
-        }
-    ).withColumn(
-        "derived_session_start",
-        F.when(F.col("_pos") == 1, F.col("_first_start") == 1)
-        .otherwise(F.col("_src_null"))
-        .cast("int"),
-    )
-    if with_previous_time:
-        untimed = untimed.withColumn(
-            "previous_event_time",
-            F.when(F.col("_pos") == 1, F.col("_prev_last")).otherwise(
-                F.lit(None).cast("timestamp_ntz")
-            ),
-        )
-    untimed = untimed.drop("_pos")
-
     derived = F.concat_ws(
         "",
         F.lit(DERIVED_SESSION_PREFIX),
@@ -187,12 +145,8 @@ def sessionize(
     out_cols = list(shop.columns) + ["source_session_id", "derived_session_start", "session_id"]
     if with_previous_time:
         out_cols.append("previous_event_time")
-
-    def finish(df: DataFrame) -> DataFrame:
-        df = df.withColumn("session_id", F.coalesce(F.col("source_session_id"), derived))
-        return df.select(*out_cols)
-
-    return finish(timed).unionByName(finish(untimed))
+    rows = rows.withColumn("session_id", F.coalesce(F.col("source_session_id"), derived))
+    return rows.select(*out_cols)
 
 
 def session_measures(with_view_price: bool = False) -> list[Column]:

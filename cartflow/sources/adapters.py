@@ -18,6 +18,16 @@ TABLES = (
 ).split()
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has
+    cores (one small file with one row group gives one task).  Large inputs
+    already have many splits and are returned unchanged, with no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -37,7 +47,7 @@ def commerce_events(events: DataFrame, part: DataFrame) -> DataFrame:
         .otherwise(F.col("event_type"))
         .alias("event_type"),
         F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").try_cast("bigint").alias("product_id"),
+        F.from_json("props", "k bigint")["k"].alias("product_id"),
     )
     p = part.select("p_partkey", "p_type", "p_brand", "p_size")
     joined = ev.join(p, ev["product_id"] == p["p_partkey"], "left")
@@ -85,8 +95,9 @@ def purchases_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def load_commerce_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return commerce_events(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "part"))
+    events = spread_small_scan(read_table(spark, sf_dir, "events"))
+    return commerce_events(events, read_table(spark, sf_dir, "part"))
 
 
 def load_order_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return purchases_from_orders(read_table(spark, sf_dir, "orders"))
+    return purchases_from_orders(spread_small_scan(read_table(spark, sf_dir, "orders")))
