@@ -169,7 +169,7 @@ def auc_metrics(scored: DataFrame, label_col: str = "purchase_flag", score_col:
         F.sum(y).alias("p"), F.sum(F.lit(1) - y).alias("q")
     )
     cum = cumulative(per_score, [F.col("_s").desc_nulls_last()], ["p", "q"])
-    totals = per_score.agg(F.sum("p").alias("_pos"), F.sum("q").alias("_neg"))
+    totals = cum.agg(F.sum("p").alias("_pos"), F.sum("q").alias("_neg"))
     j = cum.crossJoin(F.broadcast(totals))
     g = j.agg(
         F.sum(F.col("p") * (F.col("_neg") - F.col("cum_q") + F.col("q") / 2.0)).alias("_auc_num"),

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,15 +45,21 @@ def frozen_ranges(df: DataFrame, order: Sequence[Column], num_ranges: int | None
     checkpoint_dir(df.sparkSession)
     n = _num_ranges(df, num_ranges)
     mid = F.monotonically_increasing_id()
-    tagged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mid", mid)
-        .withColumn("_range", F.shiftright(F.col("_mid"), _POS_BITS))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK)))
-        .drop("_mid")
-    )
-    return tagged.checkpoint(eager=True)
+    # The range sample and the shuffle both read the input: keep it for the
+    # two passes (a cache only; consistency comes from the checkpoint).
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tagged = (
+            src.repartitionByRange(n, *order)
+            .sortWithinPartitions(*order)
+            .withColumn("_mid", mid)
+            .withColumn("_range", F.shiftright(F.col("_mid"), _POS_BITS))
+            .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK)))
+            .drop("_mid")
+        )
+        return tagged.checkpoint(eager=True)
+    finally:
+        src.unpersist()
 
 
 def _range_offsets(tagged: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
