@@ -1 +1,8 @@
-"""cartflow.streaming"""
+"""Streaming: intentionally empty.
+
+The analytics this package rebuilds are batch jobs only: there is no
+watermark, event-time window, state or late-data rule anywhere in the
+source workflow (every entry point is a batch script).  Nothing is built
+here, so that no behaviour is invented.  The batch jobs in ``cartflow.plans``
+read and write whole tables; a scheduler can rerun them on new files.
+"""
