@@ -34,11 +34,6 @@ def score_order(score_col: str, ties: Sequence[str] = SCORE_TIES) -> list[Column
     return [F.col(score_col).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in ties]
 
 
-def _with_count(df: DataFrame, name: str = "_n") -> DataFrame:
-    n = df.agg(F.count(F.lit(1)).alias(name))
-    return df.crossJoin(F.broadcast(n))
-
-
 def score_deciles(
     scores: DataFrame,
     score_col: str = "model_score",
@@ -49,7 +44,7 @@ def score_deciles(
     ranks 1..n into ten right-closed bins with edges 1 + (n-1)k/10:
     decile = max(1, ceil((r-1)*10 / (n-1))) in exact integers; n = 1 -> D1.
     Labels D1 (best) .. D10."""
-    ranked = _with_count(global_rank(scores, score_order(score_col, ties), rank_col="score_rank"))
+    ranked = global_rank(scores, score_order(score_col, ties), rank_col="score_rank", total_col="_n")
     a = (F.col("score_rank") - 1) * 10
     b = F.col("_n") - 1
     dec = F.when(b <= 0, F.lit(1)).otherwise(
@@ -138,8 +133,8 @@ def top_share_metrics(
     """Precision and purchase capture in the top max(1, ceil(n*share))
     rows by score (ties by ``ties``); zeros when empty."""
     _check_share(share, upper_inclusive=True)
-    ranked = _with_count(global_rank(scored, score_order(score_col, [t for t in ties if t in scored.columns]),
-                                     rank_col="_r"))
+    order = score_order(score_col, [t for t in ties if t in scored.columns])
+    ranked = global_rank(scored, order, rank_col="_r", total_col="_n")
     top_n = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(float(share)))).cast("bigint")
     g = ranked.agg(
         F.max(top_n).alias("top_n"),
@@ -169,8 +164,7 @@ def auc_metrics(scored: DataFrame, label_col: str = "purchase_flag", score_col:
         F.sum(y).alias("p"), F.sum(F.lit(1) - y).alias("q")
     )
     cum = cumulative(per_score, [F.col("_s").desc_nulls_last()], ["p", "q"])
-    totals = cum.agg(F.sum("p").alias("_pos"), F.sum("q").alias("_neg"))
-    j = cum.crossJoin(F.broadcast(totals))
+    j = cum.withColumnsRenamed({"total_p": "_pos", "total_q": "_neg"})
     g = j.agg(
         F.sum(F.col("p") * (F.col("_neg") - F.col("cum_q") + F.col("q") / 2.0)).alias("_auc_num"),
         F.sum(F.col("p") * F.col("cum_p") / (F.col("cum_p") + F.col("cum_q"))).alias("_ap_num"),

@@ -66,13 +66,18 @@ def event_totals(shop: DataFrame) -> DataFrame:
     return shop.agg(*funnel_measures()).withColumnRenamed("revenue", "gmv")
 
 
+def funnel_rate_columns() -> dict:
+    """A22 rate expressions over views/carts/purchases (0.0 on zero)."""
+    return {
+        "view_to_cart_rate": safe_divide("carts_cnt", "views_cnt"),
+        "cart_to_purchase_rate": safe_divide("purchases_cnt", "carts_cnt"),
+        "purchase_conversion_rate": safe_divide("purchases_cnt", "views_cnt"),
+    }
+
+
 def funnel_metrics(totals: DataFrame) -> DataFrame:
     """The three funnel rates with the 0.0-on-zero rule."""
-    return totals.select(
-        safe_divide("carts_cnt", "views_cnt").alias("view_to_cart_rate"),
-        safe_divide("purchases_cnt", "carts_cnt").alias("cart_to_purchase_rate"),
-        safe_divide("purchases_cnt", "views_cnt").alias("purchase_conversion_rate"),
-    )
+    return totals.select(*[c.alias(n) for n, c in funnel_rate_columns().items()])
 
 
 def funnel_stages(totals: DataFrame) -> DataFrame:

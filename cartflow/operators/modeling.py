@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from cartflow.functions.labels import MODEL_BASELINE, MODEL_TREES
 from cartflow.operators.deciles import SCORE_TIES, auc_metrics, time_split, top_share_metrics
 from cartflow.operators.features import FEATURE_COLUMNS, TARGET_COLUMN
+from cartflow.operators.summary import side_by_side
 
 _IMPUTED = "_imp_"
 
@@ -40,15 +41,11 @@ def _as_double(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 def balanced_weights(df: DataFrame, label: str = TARGET_COLUMN, weight_col: str = "class_weight") -> DataFrame:
     """M5: w = n / (2 * n_class) per row (one-row count, broadcast)."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count(F.when(F.col(label) == 1, F.lit(1))).alias("_n1"),
-    )
-    j = df.crossJoin(F.broadcast(counts))
-    w = F.when(F.col(label) == 1, F.col("_n") / (2.0 * F.col("_n1"))).otherwise(
-        F.col("_n") / (2.0 * (F.col("_n") - F.col("_n1")))
-    )
-    return j.withColumn(weight_col, w.cast("double")).drop("_n", "_n1")
+    n, n1 = df.agg(F.count(F.lit(1)), F.count(F.when(F.col(label) == 1, F.lit(1)))).first()
+    w_pos = n / (2.0 * n1) if n1 else 0.0
+    w_neg = n / (2.0 * (n - n1)) if n - n1 else 0.0
+    w = F.when(F.col(label) == 1, F.lit(w_pos)).otherwise(F.lit(w_neg))
+    return df.withColumn(weight_col, w.cast("double"))
 
 
 def _imputer(features: Sequence[str]) -> Imputer:
@@ -147,7 +144,7 @@ def evaluate(scored: DataFrame, score_col: str = "model_score", label: str = TAR
     frozen = base.checkpoint(eager=True)
     a = auc_metrics(frozen, label_col=label, score_col=score_col)
     t = top_share_metrics(frozen, label_col=label, score_col=score_col, share=0.1)
-    return a.crossJoin(t)
+    return side_by_side(a, t)
 
 
 def train_propensity(

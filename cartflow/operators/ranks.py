@@ -20,6 +20,7 @@ offset; the running sum inside a range is a window partitioned by range.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -70,8 +71,11 @@ def _range_offsets(tagged: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s_{c}") for c in sums]
     per = tagged.groupBy("_range").agg(*aggs)
     w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    cols = [F.col("_range"), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n")]
+    everything = Window.partitionBy()
+    cols = [F.col("_range"), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
+            F.sum("_n").over(everything).alias("_total_n")]
     cols += [F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)).alias(f"_off_{c}") for c in sums]
+    cols += [F.sum(f"_s_{c}").over(everything).alias(f"_total_{c}") for c in sums]
     return per.select(*cols)
 
 
@@ -80,14 +84,17 @@ def global_rank(
     order: Sequence[Column],
     rank_col: str = "rank",
     num_ranges: int | None = None,
+    total_col: str | None = None,
 ) -> DataFrame:
-    """Add a 1-based position ``rank_col`` in the total order ``order``."""
+    """Add a 1-based position ``rank_col`` in the total order ``order`` (and
+    the row count as ``total_col`` when named)."""
     tagged = frozen_ranges(df, order, num_ranges)
     offsets = _range_offsets(tagged)
     out = tagged.join(F.broadcast(offsets), "_range")
-    return out.withColumn(rank_col, F.col("_off_n") + F.col("_pos") + F.lit(1)).drop(
-        "_range", "_pos", "_off_n"
-    )
+    out = out.withColumn(rank_col, F.col("_off_n") + F.col("_pos") + F.lit(1))
+    if total_col:
+        out = out.withColumnRenamed("_total_n", total_col)
+    return out.drop("_range", "_pos", "_off_n", "_total_n")
 
 
 def cumulative(
@@ -96,7 +103,8 @@ def cumulative(
     cols: Sequence[str],
     num_ranges: int | None = None,
 ) -> DataFrame:
-    """Add ``rank`` and inclusive running sums ``cum_<c>`` along ``order``."""
+    """Add ``rank``, inclusive running sums ``cum_<c>`` along ``order`` and
+    the grand totals ``total_<c>``."""
     tagged = frozen_ranges(df, order, num_ranges)
     offsets = _range_offsets(tagged, cols)
     out = tagged.join(F.broadcast(offsets), "_range")
@@ -106,8 +114,10 @@ def cumulative(
     adds = {"rank": F.col("_off_n") + F.col("_pos") + F.lit(1)}
     for c in cols:
         adds[f"cum_{c}"] = F.col(f"_off_{c}") + F.sum(c).over(in_range)
+        adds[f"total_{c}"] = F.col(f"_total_{c}")
     out = out.withColumns(adds)
-    return out.drop("_range", "_pos", "_off_n", *[f"_off_{c}" for c in cols])
+    return out.drop("_range", "_pos", "_off_n", "_total_n", *[f"_off_{c}" for c in cols],
+                    *[f"_total_{c}" for c in cols])
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
@@ -115,35 +125,28 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str
     ignored), ``<prefix>_0 .. <prefix>_{k-1}``; NULL when there are no values.
 
     Same definition as ``percentile`` / ``quantile_cont``: h = (n-1)p,
-    value = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).  Only the
-    rows at the needed ranks are read after ranking.
+    value = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).  After
+    ranking, n is read (one number) and only the rows at the needed ranks
+    (two per quantile) are aggregated.
     """
     values = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ranked = global_rank(values, [F.col("_v").asc()], rank_col="_r")
-    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    spark = df.sparkSession
-    probs_df = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "qi int, p double")
-    pos = probs_df.crossJoin(F.broadcast(n)).select(
-        "qi",
-        ((F.col("_n") - 1) * F.col("p")).alias("_h"),
-    ).withColumns(
-        {"_lo": F.floor("_h").cast("bigint") + 1, "_hi": F.ceil("_h").cast("bigint") + 1}
-    )
-    picked = ranked.join(
-        F.broadcast(pos), (ranked["_r"] == pos["_lo"]) | (ranked["_r"] == pos["_hi"])
-    )
-    per_q = picked.groupBy("qi", "_h", "_lo", "_hi").agg(
-        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-    )
-    frac = F.col("_h") - (F.col("_lo") - 1)
-    per_q = per_q.select(
-        "qi",
-        F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo"))
-        .otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac)
-        .alias("_q"),
-    )
-    full = probs_df.select("qi").join(per_q, "qi", "left")
-    return full.agg(
-        *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(f"{prefix}_{i}") for i in range(len(probs))]
-    )
+    n = ranked.count()
+    spec = []
+    for p in probs:
+        h = (n - 1) * float(p)
+        lo, hi = math.floor(h) + 1, math.ceil(h) + 1
+        spec.append((h - (lo - 1), lo, hi))
+    wanted = sorted({r for _, lo, hi in spec for r in (lo, hi)}) if n else []
+    picked = ranked.where(F.col("_r").isin(wanted)) if wanted else ranked.limit(0)
+    at = lambda r: F.max(F.when(F.col("_r") == F.lit(r), F.col("_v")))
+    out = []
+    for i, (frac, lo, hi) in enumerate(spec):
+        if n == 0:
+            q = F.lit(None).cast("double")
+        elif lo == hi:
+            q = at(lo)
+        else:
+            q = at(lo) + (at(hi) - at(lo)) * F.lit(frac)
+        out.append(q.alias(f"{prefix}_{i}"))
+    return picked.agg(*out)

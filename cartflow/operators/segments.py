@@ -2,8 +2,8 @@
 
 Every per-user table is a hash aggregate with map-side combine.  Thresholds
 (75th percentile of views, revenue terciles) are exact quantiles computed
-with the distributed rank in ``ranks.exact_quantiles`` and joined back as a
-one-row broadcast.
+with the distributed rank in ``ranks.exact_quantiles``; the resulting one
+or two numbers are read on the driver and used as literals.
 """
 
 from __future__ import annotations
@@ -92,17 +92,17 @@ def with_behavior_segment(users: DataFrame, share: float = 0.75) -> DataFrame:
     """P11 + A21: label users; heavy viewers without purchase take priority,
     then buyers, then everyone else.  Heavy = views >= the exact ``share``
     quantile of views over all users."""
-    thr = exact_quantiles(users, "views_cnt", [share], prefix="views_threshold")
-    labelled = users.crossJoin(F.broadcast(thr))
+    thr = exact_quantiles(users, "views_cnt", [share], prefix="views_threshold").first()[0]
+    threshold = F.lit(thr).cast("double")  # one number (NULL when there are no users)
     seg = (
         F.when(
-            (F.col("views_cnt") >= F.col("views_threshold_0")) & (F.col("purchases_cnt") == 0),
+            (F.col("views_cnt") >= threshold) & (F.col("purchases_cnt") == 0),
             F.lit(SEGMENT_HEAVY_VIEWER),
         )
         .when(F.col("purchases_cnt") > 0, F.lit(SEGMENT_BUYER))
         .otherwise(F.lit(SEGMENT_OTHER))
     )
-    return labelled.withColumn("behavior_segment", seg).drop("views_threshold_0")
+    return users.withColumn("behavior_segment", seg)
 
 
 def behavior_segments(users: DataFrame, share: float = 0.75) -> DataFrame:
@@ -122,17 +122,17 @@ def with_value_segment(users: DataFrame) -> DataFrame:
     (<= q1 low, <= q2 middle, else high); collapsed edges give no error.
     """
     buyers = users.where(F.col("revenue") > 0)
-    q = exact_quantiles(buyers, "revenue", [1.0 / 3.0, 2.0 / 3.0], prefix="rev_q")
-    nd = buyers.agg(F.count_distinct("revenue").alias("_nd"))
-    params = q.crossJoin(nd)
-    b = buyers.crossJoin(F.broadcast(params))
-    seg = (
-        F.when(F.col("_nd") < 3, F.lit(VALUE_MID))
-        .when(F.col("revenue") <= F.col("rev_q_0"), F.lit(VALUE_LOW))
-        .when(F.col("revenue") <= F.col("rev_q_1"), F.lit(VALUE_MID))
-        .otherwise(F.lit(VALUE_HIGH))
-    )
-    return b.withColumn("value_segment", seg).drop("rev_q_0", "rev_q_1", "_nd")
+    q1, q2 = exact_quantiles(buyers, "revenue", [1.0 / 3.0, 2.0 / 3.0], prefix="rev_q").first()
+    distinct = buyers.agg(F.count_distinct("revenue")).first()[0]  # one number
+    if distinct < 3:
+        seg = F.lit(VALUE_MID)
+    else:
+        seg = (
+            F.when(F.col("revenue") <= F.lit(q1), F.lit(VALUE_LOW))
+            .when(F.col("revenue") <= F.lit(q2), F.lit(VALUE_MID))
+            .otherwise(F.lit(VALUE_HIGH))
+        )
+    return buyers.withColumn("value_segment", seg)
 
 
 def value_segments(users: DataFrame) -> DataFrame:

@@ -22,6 +22,16 @@ from cartflow.operators.funnel import event_totals, funnel_metrics
 from cartflow.operators.segments import abandoned_cart_share, purchases_per_user, repeat_purchase_rate
 
 
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """Glue one-row frames with distinct columns into one row (J5):
+    union by name, then take each column's single non-NULL value."""
+    cols = [c for f in frames for c in f.columns]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in cols])
+
+
 def sessions_summary(sessions: DataFrame, ordered: bool = True) -> DataFrame:
     """A15 + P9 + T4: per (session_date, depth segment)."""
     g = sessions.groupBy(
@@ -91,14 +101,14 @@ def overview(fct: DataFrame, sessions: DataFrame) -> DataFrame:
         F.count_distinct("user_session").alias("source_sessions_cnt"),
     )
     b = sessions.agg(F.count(F.lit(1)).alias("sessions_cnt"))
-    return a.crossJoin(b)
+    return side_by_side(a, b)
 
 
 def kpi_counters(fct: DataFrame, sessions: DataFrame) -> DataFrame:
     """Number of purchases and number of sessions."""
     a = event_totals(fct).select("purchases_cnt")
     b = sessions.agg(F.count(F.lit(1)).alias("sessions_cnt"))
-    return a.crossJoin(b)
+    return side_by_side(a, b)
 
 
 def kpi_table(fct: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -108,7 +118,7 @@ def kpi_table(fct: DataFrame, sessions: DataFrame) -> DataFrame:
     gmv = totals.select(F.coalesce(F.col("gmv"), F.lit(0.0)).alias("gmv"))
     repeat = repeat_purchase_rate(purchases_per_user(fct))
     abandoned = abandoned_cart_share(sessions)
-    one = rates.crossJoin(gmv).crossJoin(repeat).crossJoin(abandoned)
+    one = side_by_side(rates, gmv, repeat, abandoned)
     items = [
         (1, KPI_VIEW_TO_PURCHASE, "purchase_conversion_rate"),
         (2, KPI_CART_TO_PURCHASE, "cart_to_purchase_rate"),

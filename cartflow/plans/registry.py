@@ -150,7 +150,7 @@ def q_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_event_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A9 + A22: global funnel totals, GMV and the three rates."""
     totals = funnel.event_totals(_fct(spark, sf_dir))
-    out = totals.crossJoin(funnel.funnel_metrics(totals))
+    out = totals.select("*", *[c.alias(n) for n, c in funnel.funnel_rate_columns().items()])
     return _rounded(out, money=("gmv",), rates=RATES3)
 
 

@@ -174,7 +174,9 @@ def event_quality(raw: DataFrame) -> DataFrame:
         F.count(F.when(typed_price < 0, F.lit(1))).alias("negative_price_cnt"),
     )
     distinct_rows = raw.distinct().agg(F.count(F.lit(1)).alias("_distinct"))
-    return prof.crossJoin(distinct_rows).withColumn(
+    from cartflow.operators.summary import side_by_side
+
+    return side_by_side(prof, distinct_rows).withColumn(
         "duplicate_rows_cnt", F.col("rows_cnt") - F.col("_distinct")
     ).drop("_distinct")
 
