@@ -68,7 +68,7 @@ def build_marts(
         out[name] = sinks.write_parquet(df, _p(marts_dir, f"{name}.parquet"))
         if csv_copies:
             back = spark.read.parquet(out[name])
-            sinks.write_csv(back, _p(marts_dir, f"{name}.csv"), single_file=True)
+            sinks.write_csv(back, _p(marts_dir, f"{name}.csv"))
         if catalog_tables:
             sinks.save_table(spark.read.parquet(out[name]), name)
     return out

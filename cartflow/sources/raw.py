@@ -2,10 +2,10 @@
 
 * Files: every ``*.csv`` directly under the input folder (not recursive),
   listed through the Hadoop FileSystem of the path, so HDFS/S3/ABFS work.
-* Headers: one Spark job reads the first line of every file (the text
-  scan's block that starts at offset 0); files are then grouped by header
-  and each group is read with an all-STRING schema in that header's column
-  order.  Groups are combined with ``unionByName(allowMissingColumns)`` so
+* Headers: only the first line of each file is read, through the Hadoop
+  FileSystem API (a few concurrent short reads, no data scan); files are
+  then grouped by header and each group is read with an all-STRING schema
+  in that header's column order.  Groups are combined with ``unionByName(allowMissingColumns)`` so
   a column is matched by name, never by position.
 * Cleaning: nine canonical columns, ``try_cast`` of time and numbers (bad
   values become NULL), ``price >= 0``, DISTINCT over the nine columns.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIV
 
 _NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*)?(\.([0-9]+(_[0-9]+)*)?)?([eE][+-]?[0-9]+)?$"
 _SPECIAL = r"(?i)^[+-]?(nan|inf|infinity)$"
+BOM = "\ufeff"
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -45,26 +47,30 @@ def find_raw_files(spark: SparkSession, raw_dir: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in statuses if s.isFile())
 
 
-def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
-    """First line of every file, parsed as CSV, in one distributed job."""
+def _first_line(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    fs, hpath = _fs_and_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
+def read_headers(spark: SparkSession, files: Sequence[str], threads: int = 16) -> dict[str, list[str]]:
+    """Header line of every file, parsed as CSV (file -> column names).
+
+    Reads one line per file, never the data; a small thread pool hides the
+    per-file latency of object stores."""
     if not files:
         return {}
-    text = spark.read.text(list(files)).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    first = (
-        text.where(F.col("block") == 0)
-        .withColumn("_i", F.monotonically_increasing_id())
-        .groupBy("file")
-        .agg(F.min_by("value", "_i").alias("header"))
-    )
-    out: dict[str, list[str]] = {}
-    for row in first.collect():  # one short line per file
-        line = (row["header"] or "").lstrip("﻿")
-        out[row["file"]] = next(csv.reader(io.StringIO(line)), [])
-    return out
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    return {
+        f: next(csv.reader(io.StringIO(line.lstrip(BOM))), [])
+        for f, line in zip(files, lines)
+    }
 
 
 def _same_file(a: str, b: str) -> bool:

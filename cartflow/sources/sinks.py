@@ -182,7 +182,7 @@ def export_bi(
         df = read_mart(spark, table, marts_dir)
         if df is None:
             continue
-        written.append(write_csv(df, f"{out}/{file_name}.csv", single_file=True))
+        written.append(write_csv(df, f"{out}/{file_name}.csv"))
     if sessions is not None:
         written.append(write_csv(sessions_summary(sessions), f"{out}/datalens_sessions_summary.csv",
                                  single_file=True))
