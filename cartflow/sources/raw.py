@@ -209,7 +209,7 @@ def raw_text_from_events(ce: DataFrame) -> DataFrame:
     """Test adapter: canonical events back to raw text with injected faults.
 
     Every row is kept; by ``event_id`` some prices become '-1', 'abc', NULL,
-    '1e3', ' x ' or 'nan' and some times 'bad' or '<time> UTC'; the whole
+    '1e3', ' x ' or 'x' + 'd' (a Java float suffix, not a number here) and some times 'bad' or '<time> UTC'; the whole
     table is then appended to itself so every row has an exact duplicate.
     """
     k10 = F.pmod(F.col("event_id"), F.lit(10))
@@ -228,7 +228,7 @@ def raw_text_from_events(ce: DataFrame) -> DataFrame:
         .when(k10 == 2, F.lit(None).cast("string"))
         .when(k10 == 3, F.lit("1e3"))
         .when(k10 == 4, F.concat(F.lit(" "), price, F.lit(" ")))
-        .when(k10 == 5, F.lit("nan"))
+        .when(k10 == 5, F.concat(price, F.lit("d")))
         .otherwise(price)
         .alias("price"),
         F.col("user_id").cast("string").alias("user_id"),
