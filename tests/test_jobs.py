@@ -68,3 +68,21 @@ def test_missing_inputs(spark):
         jobs.build_marts(spark, os.path.join(empty, "nope.parquet"), empty)
     with pytest.raises(FileNotFoundError):
         jobs.export_job(spark, empty, os.path.join(empty, "bi"))
+
+
+def test_filters_reach_the_scan(spark, workdir):
+    """Dashboard filters on the written event table prune month
+    partitions and are pushed into the Parquet scan."""
+    base, raw_dir, _ = workdir
+    marts = os.path.join(base, "marts_pruning")
+    events = os.path.join(base, "events_pruning.parquet")
+    jobs.etl_job(spark, raw_dir, events)
+    out = jobs.build_marts(spark, events, marts, csv_copies=False)
+    fct = spark.read.parquet(out["fct_events"]).where(F.col("event_month") == "2024-01")
+    filtered = funnel.filter_mart(fct, date_from="2024-01-05", categories=["STANDARD"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in plan
+    assert "GreaterThanOrEqual(event_date,2024-01-05)" in plan
+    assert "In(category_code" in plan or "EqualTo(category_code" in plan
+    assert filtered.count() == fct.where("event_date >= '2024-01-05' and category_code = 'STANDARD'").count()
