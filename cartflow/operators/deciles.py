@@ -66,8 +66,9 @@ def decile_summary(
     sessions: DataFrame | None = None,
 ) -> DataFrame:
     """A18 (+ A37): sessions, purchases, purchase rate and mean score per
-    decile; with ``sessions`` also revenue and revenue per session, joined
-    on (session_id, user_id)."""
+    decile.  Revenue and revenue per session are added when the scored rows
+    carry ``revenue`` or when ``sessions`` is given (then joined on
+    (session_id, user_id))."""
     df = scored
     aggs = [
         F.count("session_id").alias("sessions_cnt"),
@@ -75,15 +76,17 @@ def decile_summary(
         F.avg("purchase_flag").alias("purchase_rate"),
         F.avg(score_col).alias("avg_score"),
     ]
-    if sessions is not None:
+    with_revenue = sessions is not None or "revenue" in df.columns
+    if sessions is not None and "revenue" not in df.columns:
         rev = sessions.select(
             F.col("session_id").alias("_sid"), F.col("user_id").alias("_uid"), "revenue"
         )
         cond = (df["session_id"] == rev["_sid"]) & df["user_id"].eqNullSafe(rev["_uid"])
         df = df.join(rev, cond, "left")
+    if with_revenue:
         aggs.append(F.sum("revenue").alias("revenue"))
     g = df.groupBy(decile_col).agg(*aggs)
-    if sessions is not None:
+    if with_revenue:
         g = g.withColumn("revenue_per_session", ratio_or_null("revenue", "sessions_cnt"))
     return g
 

@@ -72,13 +72,19 @@ def previous_session_counts(sessions: DataFrame) -> DataFrame:
     ).drop("_bucket", "_bn", "_bp", "_pu", "_pb", "_pn", "_pp", "_cn", "_cp")
 
 
-def session_features(sessionized: DataFrame, limit: int | None = None, ordered: bool = False) -> DataFrame:
+def session_features(
+    sessionized: DataFrame,
+    limit: int | None = None,
+    ordered: bool = False,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """M2: one row per session with the 12 features and the target.
 
     Built from the session aggregate with the mean viewed price folded in
     (one aggregation instead of a second pass and a join).  With ``limit``
     the first ``limit`` sessions by (session_start, session_id) are kept
-    (a top-n, not a full sort).
+    (a top-n, not a full sort).  ``keep`` passes extra session-fact columns
+    through (e.g. ``revenue`` for the decile table).
     """
     s = fct_sessions(sessionized, with_view_price=True)
     s = previous_session_counts(s)
@@ -100,6 +106,7 @@ def session_features(sessionized: DataFrame, limit: int | None = None, ordered:
         "user_previous_sessions_cnt",
         "user_previous_purchases_cnt",
         "purchase_flag",
+        *keep,
     )
     if ordered or limit is not None:
         out = out.orderBy(F.col("session_start").asc_nulls_last(), F.col("session_id").asc_nulls_last())

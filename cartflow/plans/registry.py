@@ -328,8 +328,9 @@ def q_score_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("decile_summary")
 def q_decile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A18 + A37: decile table with revenue."""
-    scored = deciles.score_deciles(_scored(spark, sf_dir))
-    t = deciles.decile_summary(scored, sessions=_sessions(spark, sf_dir))
+    feats = features.session_features(_sessionized(spark, sf_dir), keep=("revenue",))
+    scored = deciles.score_deciles(deciles.deterministic_score(feats))
+    t = deciles.decile_summary(scored)
     return _rounded(t, money=("revenue", "revenue_per_session"), rates=("purchase_rate", "avg_score"))
 
 
