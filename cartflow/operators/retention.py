@@ -38,7 +38,7 @@ def cohort_sizes(first: DataFrame) -> DataFrame:
     return first.groupBy("cohort_month").agg(F.count_distinct("user_id").alias("cohort_size"))
 
 
-def mart_retention(fct: DataFrame) -> DataFrame:
+def mart_retention(fct: DataFrame, ordered: bool = False) -> DataFrame:
     """Active users and retention rate per (cohort_month, order_month).
 
     Users with a NULL id, and cohorts that are NULL (only NULL-time
@@ -53,7 +53,7 @@ def mart_retention(fct: DataFrame) -> DataFrame:
         F.count("user_id").alias("active_users")
     )
     out = active.join(F.broadcast(sizes), "cohort_month", "inner")
-    return out.select(
+    out = out.select(
         "cohort_month",
         "order_month",
         month_diff(F.col("cohort_month"), F.col("order_month")).alias("months_since_first_purchase"),
@@ -61,6 +61,10 @@ def mart_retention(fct: DataFrame) -> DataFrame:
         "cohort_size",
         ratio_or_null("active_users", "cohort_size").alias("retention_rate"),
     )
+    if ordered:  # T2: by cohort, then month number (NULLs last)
+        out = out.orderBy(F.col("cohort_month").asc_nulls_last(),
+                          F.col("months_since_first_purchase").asc_nulls_last())
+    return out
 
 
 def retention_pivot(mart: DataFrame, months: Iterable[int] = range(12)) -> DataFrame:

@@ -58,7 +58,7 @@ def abandoned_cart_share(
     )
 
 
-def monthly_user_status(fct: DataFrame) -> DataFrame:
+def monthly_user_status(fct: DataFrame, ordered: bool = False) -> DataFrame:
     """A13 + J4 + U5 + P10: new vs returning active users per month.
 
     DISTINCT (user, month) first, so hot users shrink to one row per month
@@ -72,11 +72,14 @@ def monthly_user_status(fct: DataFrame) -> DataFrame:
         .otherwise(F.lit(USER_RETURNING))
         .alias("user_segment")
     )
-    return (
+    out = (
         j.select("activity_month", seg, "user_id")
         .groupBy("activity_month", "user_segment")
         .agg(F.count_distinct("user_id").alias("users_cnt"))
     )
+    if ordered:  # T6: by month, then segment
+        out = out.orderBy(F.col("activity_month").asc_nulls_last(), F.col("user_segment").asc_nulls_last())
+    return out
 
 
 def user_summary(fct: DataFrame) -> DataFrame:

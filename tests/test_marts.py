@@ -116,3 +116,23 @@ def test_top_funnel_labels_null_group_after_grouping(spark):
     mart = funnel.mart_funnel_daily(fct_events(spark.createDataFrame(rows, EVENT_SCHEMA)))
     got = sorted((r["category_code"], r["views_cnt"]) for r in funnel.category_funnel(mart).collect())
     assert got == [("Без категории", 1), ("Без категории", 2)]
+
+
+def test_ordered_outputs_and_feature_limit(spark, sample):
+    from cartflow.operators import segments
+
+    ret = [(r[0], r[2]) for r in retention.mart_retention(sample, ordered=True).collect()]
+    assert ret == sorted(ret)
+    mus = [(r[0], r[1]) for r in segments.monthly_user_status(sample, ordered=True).collect()]
+    assert mus == sorted(mus)
+    top2 = session_features(sessionize(sample), limit=2).collect()
+    assert [r["session_id"] for r in top2] == ["session_100", "derived_100_1"]
+
+
+def test_metrics_frame(spark):
+    from cartflow.sources.sinks import metrics_frame
+
+    m = {"baseline_logistic_regression": {"roc_auc": 0.9, "pr_auc": 0.5},
+         "hist_gradient_boosting": {"roc_auc": 0.95, "pr_auc": 0.7}}
+    rows = {r["model"]: (r["roc_auc"], r["pr_auc"]) for r in metrics_frame(spark, m).collect()}
+    assert rows == {"baseline_logistic_regression": (0.9, 0.5), "hist_gradient_boosting": (0.95, 0.7)}
