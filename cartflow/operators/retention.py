@@ -34,8 +34,9 @@ def first_purchase_months(user_months: DataFrame) -> DataFrame:
 
 
 def cohort_sizes(first: DataFrame) -> DataFrame:
-    """A5: distinct users per cohort month (NULL users not counted)."""
-    return first.groupBy("cohort_month").agg(F.count_distinct("user_id").alias("cohort_size"))
+    """A5: distinct users per cohort month (NULL users not counted).  The
+    input has one row per user, so a plain count is the distinct count."""
+    return first.groupBy("cohort_month").agg(F.count("user_id").alias("cohort_size"))
 
 
 def mart_retention(fct: DataFrame, ordered: bool = False) -> DataFrame:

@@ -75,7 +75,7 @@ def monthly_user_status(fct: DataFrame, ordered: bool = False) -> DataFrame:
     out = (
         j.select("activity_month", seg, "user_id")
         .groupBy("activity_month", "user_segment")
-        .agg(F.count_distinct("user_id").alias("users_cnt"))
+        .agg(F.count("user_id").alias("users_cnt"))  # (month, user) rows are distinct
     )
     if ordered:  # T6: by month, then segment
         out = out.orderBy(F.col("activity_month").asc_nulls_last(), F.col("user_segment").asc_nulls_last())
@@ -113,7 +113,7 @@ def behavior_segments(users: DataFrame, share: float = 0.75) -> DataFrame:
     return (
         with_behavior_segment(users, share)
         .groupBy("behavior_segment")
-        .agg(F.count_distinct("user_id").alias("users_cnt"))
+        .agg(F.count("user_id").alias("users_cnt"))  # one row per user
     )
 
 
@@ -144,7 +144,7 @@ def value_segments(users: DataFrame) -> DataFrame:
         with_value_segment(users)
         .groupBy("value_segment")
         .agg(
-            F.count_distinct("user_id").alias("users_cnt"),
+            F.count("user_id").alias("users_cnt"),  # one row per user
             F.sum("revenue").alias("revenue"),
             F.avg("revenue").alias("avg_revenue_per_user"),
         )
