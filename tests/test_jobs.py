@@ -86,3 +86,19 @@ def test_filters_reach_the_scan(spark, workdir):
     assert "GreaterThanOrEqual(event_date,2024-01-05)" in plan
     assert "In(category_code" in plan or "EqualTo(category_code" in plan
     assert filtered.count() == fct.where("event_date >= '2024-01-05' and category_code = 'STANDARD'").count()
+
+
+def test_catalog_table_first(spark):
+    """A catalog table wins over files in the fallback reader."""
+    name = "cartflow_test_mart_product_conversion"
+    df = spark.createDataFrame([(1, "c", "b", 2, 1, 1, 5.0, 0.5)],
+                               "product_id long, category_code string, brand string, views_cnt long, "
+                               "carts_cnt long, purchases_cnt long, revenue double, conversion_rate double")
+    sinks.save_table(df, name)
+    try:
+        assert sinks.table_exists(spark, name)
+        got = sinks.read_mart(spark, name, tempfile.mkdtemp(prefix="cartflow-empty-"))
+        assert got.count() == 1 and got.first()["revenue"] == 5.0
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert not sinks.table_exists(spark, name)
