@@ -98,3 +98,15 @@ def test_auc_ap_against_brute_force(spark):
 def test_auc_one_class(spark):
     r = deciles.auc_metrics(_scores(spark, [0.1, 0.2], [0, 0])).first()
     assert (r["roc_auc"], r["pr_auc"]) == (0.0, 0.0)
+
+
+def test_global_rank_nulls_last(spark):
+    rnd = random.Random(9)
+    base = dt.datetime(2020, 1, 1)
+    rows = [(f"s{i:03d}", None if rnd.random() < 0.2 else base + dt.timedelta(minutes=rnd.randint(0, 30)))
+            for i in range(120)]
+    df = spark.createDataFrame(rows, "session_id string, session_start timestamp_ntz")
+    order = [F.col("session_start").asc_nulls_last(), F.col("session_id").asc_nulls_last()]
+    got = {r["session_id"]: r["rank"] for r in ranks.global_rank(df, order, num_ranges=5).collect()}
+    expect = sorted(rows, key=lambda r: (r[1] is None, r[1] or base, r[0]))
+    assert got == {sid: i + 1 for i, (sid, _) in enumerate(expect)}
