@@ -40,7 +40,8 @@ def _as_double(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 
 def balanced_weights(df: DataFrame, label: str = TARGET_COLUMN, weight_col: str = "class_weight") -> DataFrame:
-    """M5: w = n / (2 * n_class) per row (one-row count, broadcast)."""
+    """M5: w = n / (2 * n_class) per row; the two class counts are one
+    documented one-row read, then literals."""
     n, n1 = df.agg(F.count(F.lit(1)), F.count(F.when(F.col(label) == 1, F.lit(1)))).first()
     w_pos = n / (2.0 * n1) if n1 else 0.0
     w_neg = n / (2.0 * (n - n1)) if n - n1 else 0.0

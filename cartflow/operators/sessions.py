@@ -44,6 +44,7 @@ from cartflow.functions.labels import (
 from cartflow.functions.timefn import minute_diff, minute_index
 from cartflow.operators.events import is_type, purchase_revenue, type_count
 
+
 def source_session_id(col: str = "user_session") -> Column:
     """``NULLIF(TRIM(CAST(user_session AS STRING)), '')``."""
     return F.nullif(F.trim(F.col(col).cast("string")), F.lit(""))

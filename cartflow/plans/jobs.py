@@ -16,7 +16,6 @@ import argparse
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartflow.operators import funnel, retention
 from cartflow.operators.events import fct_events

@@ -142,8 +142,7 @@ def q_monthly_user_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("overview")
 def q_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8 + V5 + J5: data overview in one row."""
-    fct = _fct(spark, sf_dir)
-    return summary.overview(fct, sessions.fct_sessions(sessions.sessionize(load_commerce_events(spark, sf_dir))))
+    return summary.overview(_fct(spark, sf_dir), _sessions(spark, sf_dir))
 
 
 @register("event_totals")

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import types as T
 
 from cartflow.operators import funnel, retention, summary
 from cartflow.operators.events import fct_events
