@@ -2,18 +2,18 @@
 
 The user's previous sessions / previous purchase sessions are per-user
 running counts.  A plain window over ``PARTITION BY user_id`` would put a
-user with a third of all sessions into one task, so the count is split:
-per (user, hour-of-start) bucket totals -> prefix over the user's buckets
-(a small table) -> running count inside the bucket (window partitioned by
-user *and* bucket) -> prefix + in-bucket count.
+user with a third of all sessions into one task, so they are computed on
+one global (user, start, id) order over frozen range partitions
+(``ranks.cumulative``) and rebased per user.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartflow.functions.timefn import day_of_week, hour_of_day, minute_index
+from cartflow.functions.timefn import day_of_week, hour_of_day
+from cartflow.operators.ranks import cumulative
 from cartflow.operators.sessions import fct_sessions
 
 FEATURE_COLUMNS = [
@@ -35,41 +35,31 @@ TARGET_COLUMN = "purchase_flag"
 
 def previous_session_counts(sessions: DataFrame) -> DataFrame:
     """W3 + W4: sessions and purchase sessions of the same user strictly
-    before each session, ordered by (session_start NULLs last, session_id)."""
-    s = sessions.withColumn(
-        "_bucket", F.floor(minute_index("session_start") / F.lit(60)).cast("bigint")
-    )
-    per_bucket = s.groupBy("user_id", "_bucket").agg(
-        F.count(F.lit(1)).alias("_bn"), F.sum("purchase_flag").cast("bigint").alias("_bp")
-    )
-    before = Window.partitionBy("user_id").orderBy(F.col("_bucket").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    prefix = per_bucket.select(
-        F.col("user_id").alias("_pu"),
-        F.col("_bucket").alias("_pb"),
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_pn"),
-        F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_pp"),
-    )
-    in_bucket = (
-        Window.partitionBy("user_id", "_bucket")
-        .orderBy(F.col("session_start").asc_nulls_last(), F.col("session_id").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    s = s.withColumns(
-        {
-            "_cn": F.coalesce(F.count(F.lit(1)).over(in_bucket), F.lit(0)),
-            "_cp": F.coalesce(F.sum("purchase_flag").over(in_bucket), F.lit(0)),
-        }
+    before each session, ordered by (session_start NULLs last, session_id).
+
+    One global order (user, start, id) over frozen ranges gives every
+    session its position and the running sum of purchase flags; a user's
+    counts are those minus the values just before the user's first session
+    (one row per user, joined back).  No task ever holds a whole user.
+    """
+    order = [
+        F.col("user_id").asc_nulls_last(),
+        F.col("session_start").asc_nulls_last(),
+        F.col("session_id").asc_nulls_last(),
+    ]
+    flagged = sessions.withColumn("_pf", F.col("purchase_flag").cast("bigint"))
+    run = cumulative(flagged, order, ["_pf"])
+    before = F.col("cum__pf") - F.col("_pf")
+    starts = run.groupBy(F.col("user_id").alias("_u")).agg(
+        F.min("rank").alias("_r0"), F.min(before).alias("_p0")
     )
-    cond = s["user_id"].eqNullSafe(prefix["_pu"]) & s["_bucket"].eqNullSafe(prefix["_pb"])
-    j = s.join(prefix, cond, "inner")
+    j = run.join(starts, run["user_id"].eqNullSafe(starts["_u"]), "inner")
     return j.withColumns(
         {
-            "user_previous_sessions_cnt": (F.col("_pn") + F.col("_cn")).cast("bigint"),
-            "user_previous_purchases_cnt": (F.col("_pp") + F.col("_cp")).cast("bigint"),
+            "user_previous_sessions_cnt": (F.col("rank") - F.col("_r0")).cast("bigint"),
+            "user_previous_purchases_cnt": (before - F.col("_p0")).cast("bigint"),
         }
-    ).drop("_bucket", "_bn", "_bp", "_pu", "_pb", "_pn", "_pp", "_cn", "_cp")
+    ).drop("_pf", "rank", "cum__pf", "total__pf", "_u", "_r0", "_p0")
 
 
 def session_features(
