@@ -32,3 +32,15 @@ def test_validate_empty(spark):
     assert not is_non_empty(df)
     with pytest.raises(ValueError, match="empty"):
         validate_events(df)
+
+
+def test_spread_small_scan_only_for_few_splits(spark):
+    from cartflow.sources.adapters import spread_small_scan
+
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread_small_scan(many) is many  # enough splits: untouched, no shuffle
+    one = spark.range(0, 1000, numPartitions=1)
+    spread = spread_small_scan(one)
+    assert spread.rdd.getNumPartitions() == cores
+    assert spread.count() == 1000
