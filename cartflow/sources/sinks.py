@@ -58,6 +58,9 @@ MART_SCHEMAS = {
     ),
 }
 
+# ---------------------------------------------------------------------------
+# Extract file names the dashboard datasets are built from.
+# ---------------------------------------------------------------------------
 BI_EXPORTS = {
     "mart_funnel_daily": "datalens_funnel_daily",
     "mart_retention": "datalens_retention",
