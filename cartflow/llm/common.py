@@ -3,6 +3,7 @@ bounded Arrow slices, the byte-level word scanner and graph components."""
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Callable, Iterable, Iterator
 
@@ -41,6 +42,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def share(spark: SparkSession, value):
+    """Send a model to all tasks; ``received`` reads it there.  Its class travels
+    by value, like the functions of this subpackage."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared):
+    return pickle.loads(shared.value)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it is seen to have ``rows`` rows at most;
+    else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def held_out(doc_id) -> F.Column:
     """Rows that no learner may see: crc32 of the id's text divisible by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

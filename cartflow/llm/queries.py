@@ -6,9 +6,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartflow.llm.common import table
+from cartflow.llm import digest, extract, langid, mixing, toxicity, urlfilter
+from cartflow.llm.common import held_out, table
+from cartflow.llm.linededup import dedup_lines
 from cartflow.llm.minhash import near_duplicates
+from cartflow.llm.substring import drop_repeats
+
+
+def _sha256(column: str):
+    return F.sha2(F.coalesce(F.col(column), F.lit("")), 256)
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +24,67 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=4, percent=80)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return extract.extract(pages, extract.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that three or more of them share."""
+    kept = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"), min_chars=20, min_docs=3)
+    return kept.select("doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without words of 20-word windows that occur earlier."""
+    kept = drop_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=20)
+    return kept.select("doc_id", "n_words", "n_removed", _sha256("text").alias("kept_sha256"))
+
+
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartile digests of every document and of its edited text."""
+    found = digest.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id", "n_chars", _sha256("edited").alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix at target source weights takes from every document."""
+    return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or reputation verdict on every page's address."""
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_toxicity": op2_toxicity,
+    "op3_extract": op3_extract,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_fingerprint": op6_fingerprint,
+    "op7_mix_sources": op7_mix_sources,
+    "op8_language": op8_language,
+    "op10_url_filter": op10_url_filter,
 }
 
 SQL: dict[str, str] = {}
