@@ -126,11 +126,15 @@ def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
 class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of some texts laid end to end.
 
-    ``start``/``end``: byte offsets in ``buffer``; ``first[i]:first[i + 1]`` are
+    ``start``/``end``: byte offsets in ``bytes``; ``first[i]:first[i + 1]`` are
     the words of text i; ``hash``: 64-bit hash of each word's bytes.
     """
 
-    def __init__(self, texts: list[bytes | None], lower: bool = False, hashed: bool = True):
+    def __init__(
+        self, texts: list[bytes | None], lower: bool = False, separators: bytes = b"", latin: bool = False
+    ):
+        """``lower`` folds A-Z, ``latin`` also the two-byte capitals of Latin-1;
+        ``separators``: bytes that divide words besides white space."""
         data = b"\n".join([t or b"" for t in texts]) + b"\n"
         self.bytes = data
         buffer = np.frombuffer(data, np.uint8)
@@ -138,9 +142,13 @@ class Words:
             fold = np.arange(256, dtype=np.uint8)
             fold[65:91] += 32
             buffer = fold[buffer]
-        self.buffer = buffer
+        if latin:
+            second = (buffer >= 0x80) & (buffer <= 0x9E) & (buffer != 0x97)
+            second[1:] &= buffer[:-1] == 0xC3
+            second[:1] = False
+            buffer = buffer + (second * np.uint8(0x20))
         blank = np.zeros(256, bool)
-        blank[list(WHITESPACE)] = True
+        blank[list(WHITESPACE + separators)] = True
         space = blank[buffer]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if not space[0]:
@@ -149,8 +157,7 @@ class Words:
         at = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t or b"") + 1 for t in texts], out=at[1:])
         self.first = np.searchsorted(self.start, at)
-        if hashed:
-            self.hash = self._hashes(buffer)
+        self.hash = self._hashes(buffer)
 
     def _hashes(self, buffer: np.ndarray) -> np.ndarray:
         total = np.zeros(len(buffer) + 1, np.uint64)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.llm import digest, extract, langid, mixing, toxicity, urlfilter
+from cartflow.llm import decontam, digest, extract, langid, mixing, toxicity, urlfilter
 from cartflow.llm.common import held_out, table
 from cartflow.llm.linededup import dedup_lines
 from cartflow.llm.minhash import near_duplicates
@@ -70,6 +70,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents leak, with the best passage of each pair."""
+    return decontam.leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or reputation verdict on every page's address."""
     return urlfilter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), table(spark, sf_dir, "labels"))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprint": op6_fingerprint,
     "op7_mix_sources": op7_mix_sources,
     "op8_language": op8_language,
+    "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
 }
 
