@@ -2,10 +2,10 @@
 scaled by naive Bayes log-count ratios.
 
 A feature is the presence of a hashed n-gram of code points (A-Z lower-cased,
-white space as blanks).  Document counts of every feature and class cover all
+white space as blanks), or its presence more than once.  Document counts of every feature and class cover all
 labelled training rows and give each feature its ratio
 log(P(feature | toxic) / P(feature | clean)), shrunk towards zero for rare
-features.  A logistic regression on the ratios of a text's features is fitted in
+features and zero where the classes do not differ significantly.  A logistic regression on the ratios of a text's features is fitted in
 numpy on a bounded sample of labelled rows (``sample_rows`` at most, in hash
 order, half of them for each class where there are as many; weights restore the
 classes' proportions).  Scoring covers whole texts.
@@ -28,19 +28,22 @@ from pyspark.sql import functions as F
 
 from cartflow.llm.common import held_out, per_slice, received, share, small
 
-ORDERS = (3, 4, 5)
-BITS = 18
-SAMPLE_ROWS = 4000
+ORDERS = (4, 5, 6)
+#: Hashed features, half of them for repeated n-grams.
+BITS = 19
+SAMPLE_ROWS = 12000
 #: Labels up to this number are sent to all tasks; more are joined by a shuffle.
 BROADCAST_LABELS = 2_000_000
 #: Weight of the prior in the log-count ratios, in documents.
-SMOOTHING = 8.0
-EPOCHS = 12
-_FACTORS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1)
+SMOOTHING = 2.0
+#: Standard errors by which a feature's shares must differ between the classes.
+DEVIATIONS = 4.0
+EPOCHS = 30
+_FACTORS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0x7FEB352D)
 
 
-def gram_features(text: bytes | None) -> np.ndarray:
-    """Hashed feature of every n-gram position of a text (with repeats)."""
+def _positions(text: bytes | None) -> np.ndarray:
+    """Hash of the n-gram at every position of a text, for all orders."""
     codes = np.frombuffer((text or b"").lower().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     codes = np.where((codes >= 9) & (codes <= 13), np.uint32(32), codes)
     out, total = [], np.zeros(len(codes), np.uint32)
@@ -51,19 +54,34 @@ def gram_features(text: bytes | None) -> np.ndarray:
         total = total[:n] + (codes[j:] + np.uint32(j + 1)) * np.uint32(_FACTORS[j])
         total = total ^ (total >> np.uint32(15))
         if j + 1 in ORDERS:
-            out.append((total * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BITS))
+            out.append((total * np.uint32(0x2C1B3C6D)) >> np.uint32(33 - BITS))
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
+def gram_features(text: bytes | None, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Distinct features of a text; ``wanted`` (by n-gram) keeps the others out early."""
+    found = _positions(text)
+    if wanted is not None:
+        found = found[wanted[found]]
+    found = np.sort(found)
+    new = np.ones(len(found), bool)
+    new[1:] = found[1:] != found[:-1]
+    again = ~new
+    again[1:] &= new[:-1]  # each repeated n-gram once
+    return np.concatenate((found[new], found[again] + np.uint32(1 << (BITS - 1)))).astype(np.int32)
+
+
 @dataclass(frozen=True)
 class Model:
     weight: np.ndarray  # of each hashed feature: fitted weight times log-count ratio
     bias: float
 
-    def score(self, text: bytes | None) -> float:
-        found = gram_features(text)
-        # Only features of some weight need to be counted once.
-        found = np.unique(found[self.weight[found] != 0])
+    def wanted(self) -> np.ndarray:
+        """The n-grams of which some feature has a weight."""
+        return (self.weight.reshape(2, -1) != 0).any(axis=0)
+
+    def score(self, text: bytes | None, wanted: np.ndarray | None = None) -> float:
+        found = gram_features(text, wanted)
         z = self.bias + float(self.weight[found].sum(dtype=np.float64))
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
@@ -90,7 +108,7 @@ def feature_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             for text, label in zip(
                 batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True
             ):
-                counts[label, np.unique(gram_features(text))] += 1
+                counts[label, gram_features(text)] += 1
                 totals[label] += 1
         some = np.flatnonzero(counts.sum(axis=0))
         feature = np.concatenate((some, [-1])).astype(np.int32)
@@ -119,7 +137,10 @@ def log_ratios(totals: np.ndarray, counts: np.ndarray) -> np.ndarray:
     prior = totals / totals.sum()
     share = (counts + SMOOTHING * prior[:, None]) / (totals[:, None] + SMOOTHING)
     ratio = np.log(share[1] / share[0])
-    ratio[counts.sum(axis=0) < 3] = 0
+    # A ratio counts as far as the two shares differ beyond chance.
+    both = (counts.sum(axis=0) + 1) / (totals.sum() + 2)
+    error = np.sqrt(both * (1 - both) * (1 / totals).sum())
+    ratio[np.abs(share[1] - share[0]) < DEVIATIONS * error] = 0
     return ratio.astype(np.float32)
 
 
@@ -137,7 +158,7 @@ def _logistic(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarray, rat
             g = float(weight[i] * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - label[i]))
             step = g * x + np.float32(1e-4) * w[at]
             square[at] += step * step
-            w[at] -= 0.05 * step / np.sqrt(square[at])
+            w[at] -= 0.1 * step / np.sqrt(square[at])
             total += g * g
             bias -= 0.1 * (g + 1e-3 * (bias - start)) / np.sqrt(total)
     return w * ratio / np.float32(10), bias
@@ -158,8 +179,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sample = rows.join(F.broadcast(ids), "doc_id", "left_semi")  # sample_rows ids at most
 
     def step(batch, texts):
-        found = [np.unique(gram_features(t)) for t in texts]
-        found = [f[ratio[f] != 0].astype(np.int32).tobytes() for f in found]
+        found = [gram_features(t) for t in texts]
+        found = [f[ratio[f] != 0].tobytes() for f in found]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["doc_id", "label", "found"]
         )
@@ -179,11 +200,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry
     )
-    shared = share(docs.sparkSession, model)  # 1 MB, whatever the corpus
+    shared = share(docs.sparkSession, model)  # 2 MB, whatever the corpus
 
     def step(batch, texts):
         own = received(shared)
-        marks = pa.array([own.score(t) for t in texts], pa.float64())
+        wanted = own.wanted()
+        marks = pa.array([own.score(t, wanted) for t in texts], pa.float64())
         made = [*batch.columns, marks]
         return pa.RecordBatch.from_arrays(made, [*batch.schema.names, "score"])
 
