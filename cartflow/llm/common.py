@@ -25,6 +25,9 @@ SLICE_BYTES = 4 << 20
 #: ASCII white space: blank and \x09-\x0D.
 WHITESPACE = b" \t\n\x0b\x0c\r"
 
+#: Bytes of text that are hashed at a time, so that arrays stay in the cache.
+_STRETCH = 1 << 17
+
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -160,10 +163,24 @@ class Words:
         self.hash = self._hashes(buffer)
 
     def _hashes(self, buffer: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(buffer)), out=total[1:])
-        back = powers(_BASE_INVERSE, len(buffer))
-        return mix((total[self.end] - total[self.start]) * back[self.start])
+        """Polynomial hashes from prefix sums, over short stretches of whole words."""
+        out = np.zeros(len(self.start), np.uint64)
+        if not len(out):
+            return out
+        heads = np.unique(np.searchsorted(self.start, np.arange(0, len(buffer), _STRETCH)))
+        heads = np.append(heads[heads < len(out)], len(out))
+        longest = int((self.end[heads[1:] - 1] - self.start[heads[:-1]]).max())
+        up, back = powers(_BASE, longest), powers(_BASE_INVERSE, longest)
+        for i, j in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+            low = self.start[i]
+            own = buffer[low : self.end[j - 1]].astype(np.uint64)
+            own += np.uint64(1)
+            own *= up[: len(own)]
+            total = np.zeros(len(own) + 1, np.uint64)
+            np.cumsum(own, out=total[1:])
+            start, end = self.start[i:j] - low, self.end[i:j] - low
+            out[i:j] = (total[end] - total[start]) * back[start]
+        return mix(out)
 
 
 def list_array(flat: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -32,6 +32,10 @@ from cartflow.llm.common import Words, mix, per_slice, powers, slices, window_ha
 
 #: Stands for a missing doc_id: after all others.
 LAST = (1 << 63) - 1
+#: Bytes of text packed at a time; larger slices compress better.
+PACK_BYTES = 8 << 20
+#: zstd level of packed strings.
+LEVEL = 5
 _POLY = 0xD1342543DE82EF95
 _POLY_INVERSE = pow(_POLY, -1, 1 << 64)
 _SHIPPED = "bucket int, size long, body binary, doc_id long, begin int, end int"
@@ -104,6 +108,7 @@ def merge_spans(doc: np.ndarray, begin: np.ndarray, end: np.ndarray):
 
 def _packer(width: int, gram: int, buckets: int):
     def step(batch: pa.RecordBatch, texts):
+        codec = pa.Codec("zstd", compression_level=LEVEL)
         words = Words(texts)
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         count = np.diff(words.first)
@@ -147,14 +152,14 @@ def _packer(width: int, gram: int, buckets: int):
             body = b"".join(
                 (
                     np.int64(j - i).tobytes(),
-                    doc[own].tobytes(),
+                    np.diff(doc[own], prepend=0).tobytes(),
                     start[own].astype(np.int32).tobytes(),
                     (end - begin)[own].astype(np.int32).tobytes(),
                     packed,
                 )
             )
             sizes.append(len(body))
-            bodies.append(pa.compress(body, codec="zstd", asbytes=True))
+            bodies.append(codec.compress(body, asbytes=True))
         n = len(bodies)
         yield pa.RecordBatch.from_arrays(
             [
@@ -168,7 +173,7 @@ def _packer(width: int, gram: int, buckets: int):
             ["bucket", "size", "body", "doc_id", "begin", "end"],
         )
 
-    return per_slice(step)
+    return per_slice(step, limit=PACK_BYTES)
 
 
 def _spans(doc, begin, end) -> pa.RecordBatch:
@@ -184,7 +189,7 @@ def _bucket_spans(bodies: list[tuple[int, bytes]], width: int) -> pa.RecordBatch
     for size, body in bodies:
         raw = pa.decompress(body, decompressed_size=size, codec="zstd", asbytes=True)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
-        docs.append(np.frombuffer(raw, np.int64, n, 8))
+        docs.append(np.cumsum(np.frombuffer(raw, np.int64, n, 8)))
         starts.append(np.frombuffer(raw, np.int32, n, 8 + 8 * n))
         sizes.append(np.frombuffer(raw, np.int32, n, 8 + 12 * n))
         texts.append(raw[8 + 16 * n :])
@@ -222,7 +227,7 @@ def _bucket_step(width: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, width: int = 20, gram: int = 5, buckets: int | None = None) -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = 20, gram: int = 4, buckets: int | None = None) -> DataFrame:
     """Word spans (doc_id, begin, end) covered by a window that starts earlier elsewhere.
 
     ``buckets``: number of minimiser buckets; a bucket is held in one task's
@@ -241,7 +246,7 @@ def repeated_spans(docs: DataFrame, width: int = 20, gram: int = 5, buckets: int
     )
 
 
-def drop_repeats(docs: DataFrame, width: int = 20, gram: int = 5, buckets: int | None = None) -> DataFrame:
+def drop_repeats(docs: DataFrame, width: int = 20, gram: int = 4, buckets: int | None = None) -> DataFrame:
     """Every document without its repeated words: doc_id, text (kept words joined
     by one blank), n_words, n_removed."""
     keyed = docs.select(
