@@ -5,7 +5,8 @@ A feature is the presence of a hashed n-gram of code points (A-Z lower-cased,
 white space as blanks), or its presence more than once.  Document counts of every feature and class cover all
 labelled training rows and give each feature its ratio
 log(P(feature | toxic) / P(feature | clean)), shrunk towards zero for rare
-features and zero where the classes do not differ significantly.  A logistic regression on the ratios of a text's features is fitted in
+features and zero but for the ``FEATURES`` ones where the classes differ most, and
+significantly.  A logistic regression on the ratios of a text's features is fitted in
 numpy on a bounded sample of labelled rows (``sample_rows`` at most, in hash
 order, half of them for each class where there are as many; weights restore the
 classes' proportions).  Scoring covers whole texts.
@@ -26,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartflow.llm.common import held_out, per_slice, received, share, small
+from cartflow.llm.common import held_out, list_array, per_slice, received, share, small
 
 ORDERS = (4, 5, 6)
 #: Hashed features, half of them for repeated n-grams.
 BITS = 19
 SAMPLE_ROWS = 12000
+#: Features of the classifier: those whose shares differ most significantly.
+FEATURES = 6000
 #: Labels up to this number are sent to all tasks; more are joined by a shuffle.
 BROADCAST_LABELS = 2_000_000
 #: Weight of the prior in the log-count ratios, in documents.
@@ -140,7 +143,9 @@ def log_ratios(totals: np.ndarray, counts: np.ndarray) -> np.ndarray:
     # A ratio counts as far as the two shares differ beyond chance.
     both = (counts.sum(axis=0) + 1) / (totals.sum() + 2)
     error = np.sqrt(both * (1 - both) * (1 / totals).sum())
-    ratio[np.abs(share[1] - share[0]) < DEVIATIONS * error] = 0
+    apart = np.abs(share[1] - share[0]) / error
+    ratio[apart < DEVIATIONS] = 0
+    ratio[np.argsort(-apart, kind="stable")[FEATURES:]] = 0
     return ratio.astype(np.float32)
 
 
@@ -180,14 +185,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     def step(batch, texts):
         found = [gram_features(t) for t in texts]
-        found = [f[ratio[f] != 0].tobytes() for f in found]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["doc_id", "label", "found"]
-        )
+        found = [np.sort(f[ratio[f] != 0]) for f in found]
+        flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+        lists = list_array(flat, np.array([len(f) for f in found], np.int64), pa.int32())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], ["doc_id", "label", "found"])
 
-    got = sample.select("doc_id", "text", "label").mapInArrow(per_slice(step), "doc_id long, label int, found binary").orderBy("doc_id", "found").toArrow()
+    sample = sample.select("doc_id", "text", "label")
+    got = sample.mapInArrow(per_slice(step), "doc_id long, label int, found array<int>").orderBy("doc_id", "found").toArrow()
     label = got.column("label").to_numpy().astype(np.float64)
-    features = [np.frombuffer(x, np.int32) for x in got.column("found").to_pylist()]
+    found = got.column("found").combine_chunks()
+    flat, cuts = found.flatten().to_numpy(), found.value_lengths().to_numpy()
+    features = np.split(flat, np.cumsum(cuts)[:-1])
     share = np.array([(label == k).sum() for k in (0, 1)])
     weight = (totals / totals.sum() * len(label) / share)[label.astype(int)]
     return Model(*_logistic(features, label, weight, ratio))
