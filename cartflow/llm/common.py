@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,16 +73,15 @@ def slices(
     """Cut Arrow batches into row runs of at most ``limit`` bytes of text (one
     row at least); yields the run and its texts as UTF-8 (None for null)."""
     for batch in batches:
-        values = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
-        begin = size = 0
-        for i, value in enumerate(values):
-            n = len(value) if value else 0
-            if i > begin and size + n > limit:
-                yield batch.slice(begin, i - begin), values[begin:i]
-                begin, size = i, 0
-            size += n
-        if values[begin:]:
-            yield batch.slice(begin), values[begin:]
+        at = batch.schema.get_field_index(text)
+        size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        begin, end = 0, np.cumsum(size)
+        while begin < batch.num_rows:
+            before = end[begin - 1] if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(end, before + limit, "right")))
+            part = batch.slice(begin, stop - begin)
+            yield part, part.column(at).cast(pa.binary()).to_pylist()
+            begin = stop
 
 
 def per_slice(step: Callable, text: str = "text", limit: int = SLICE_BYTES) -> Callable:

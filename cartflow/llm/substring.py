@@ -32,10 +32,10 @@ from cartflow.llm.common import Words, mix, per_slice, powers, slices, window_ha
 
 #: Stands for a missing doc_id: after all others.
 LAST = (1 << 63) - 1
-#: Bytes of text packed at a time; larger slices compress better.
-PACK_BYTES = 8 << 20
+#: Bytes of text packed at a time; larger slices compress better and need more memory.
+PACK_BYTES = 4 << 20
 #: zstd level of packed strings.
-LEVEL = 5
+LEVEL = 6
 _POLY = 0xD1342543DE82EF95
 _POLY_INVERSE = pow(_POLY, -1, 1 << 64)
 _SHIPPED = "bucket int, size long, body binary, doc_id long, begin int, end int"
@@ -195,10 +195,14 @@ def _bucket_spans(bodies: list[tuple[int, bytes]], width: int) -> pa.RecordBatch
         texts.append(raw[8 + 16 * n :])
     doc, start, size = np.concatenate(docs), np.concatenate(starts).astype(np.int64), np.concatenate(sizes)
     hashes = Words([b"\n".join(texts)]).hash
-    run = np.repeat(np.arange(len(doc)), size)
-    inside = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
-    at = np.flatnonzero(inside <= size[run] - width)
-    doc, start = doc[run[at]], (start[run] + inside)[at]
+    texts.clear()
+    # The windows of all runs: first word in the bucket, document and start in it.
+    count = size.astype(np.int64) - width + 1
+    run = np.repeat(np.arange(len(doc), dtype=np.int32), count)
+    inside = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+    at = np.repeat(np.cumsum(size) - size, count) + inside
+    doc, start = doc[run], start[run] + inside
+    del run, inside
     later, _ = later_copies(doc, start, *_Runs(hashes)(at, at + width))
     doc, start = doc[later], start[later]
     return _spans(*merge_spans(doc, start, start + width))
@@ -212,15 +216,13 @@ def _bucket_step(width: int):
             plain = batch.filter(body.is_null())
             if plain.num_rows:
                 yield plain.select(["doc_id", "begin", "end"])
-            packed = batch.filter(body.is_valid())
-            for bucket, size, own in zip(
-                packed.column(0).to_pylist(), packed.column(1).to_pylist(), packed.column(2).to_pylist(), strict=True
-            ):
+            for i in np.flatnonzero(body.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                bucket = batch.column(0)[i].as_py()
                 if bucket != now and held:
                     yield _bucket_spans(held, width)
                     held = []
                 now = bucket
-                held.append((size, own))
+                held.append((batch.column(1)[i].as_py(), body[i].as_py()))
         if held:
             yield _bucket_spans(held, width)
 
