@@ -17,9 +17,11 @@ dropped element.
 There are no hand-made labels for pages.  The trees learn from elements whose role
 is plain from the markup (inside ``article``/``main``; inside ``nav``, ``footer``,
 ``aside``, ``form``, ... or under a tell-tale class token), on at most
-``sample_pages`` pages; half of the training pages are seen once more with their
-telling tags renamed to ``div`` and their tokens removed, so that density and
-sibling features have to carry the decision too.
+``sample_pages`` pages.  Each training page is seen once more with elements of
+other boilerplate kinds grafted into it, inside the article too, that hold its own
+prose (comments, notices, sidebars, ...); half of the pages also with their telling
+tags renamed to ``div`` and their tokens removed, so that density and sibling
+features have to carry the decision too.
 
 Text: character references are decoded, white space inside a block becomes one
 blank, blocks are trimmed and joined by one newline in page order.  Defined
@@ -285,6 +287,25 @@ def plain_roles(page: Page) -> np.ndarray:
     return role
 
 
+def grafted(source: str, rng: np.random.Generator) -> str:
+    """The page with some elements of a random boilerplate kind added: prose of the
+    page itself, or links, under a telling class or tag."""
+    prose = re.findall(r"<p>([^<]{20,400})", source)[:20] or ["Some words that could stand in any paragraph."]
+    pick = lambda values: values[rng.integers(len(values))]
+    for _ in range(5):
+        inside = "".join(f"<p>{pick(prose)}</p>" for _ in range(rng.integers(1, 4)))
+        if rng.random() < 0.3:
+            inside = "<ul>" + "".join(f'<li><a href="/x">{pick(prose)[:40]}</a></li>' for _ in range(rng.integers(2, 6))) + "</ul>"
+        tag, token = pick(["div", "section", "ul", "p", "aside", "form", "header"]), pick(sorted(BAD_TOKENS))
+        if tag in BOILER and rng.random() < 0.5:
+            token = "x"
+        graft = f'<{tag} class="{token}">{inside}</{tag}>' if tag != "p" else f'<p class="{token}">{pick(prose)}</p>'
+        places = [m.start() for m in re.finditer(r"<p>|</article>|</main>|<footer", source)] or [len(source)]
+        at = pick(places)
+        source = source[:at] + graft + source[at:]
+    return source
+
+
 @dataclass
 class Trees:
     prior: float
@@ -358,11 +379,13 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Trees | None:
     def step(batch, texts):
         rows, roles = [], []
         for i, text in enumerate(texts):
-            page = parse((text or b"").decode("utf-8", "replace"))
-            role = plain_roles(page)
-            for plain in (False, True)[: 1 + i % 2]:
-                rows.append(features(page, plain)[role >= 0])
-                roles.append(role[role >= 0])
+            source = (text or b"").decode("utf-8", "replace")
+            rng = np.random.default_rng(len(source))
+            for page in (parse(source), parse(grafted(source, rng))) if source else ():
+                role = plain_roles(page)
+                for plain in (False, True)[: 1 + i % 2]:
+                    rows.append(features(page, plain)[role >= 0])
+                    roles.append(role[role >= 0])
         x = np.concatenate(rows) if rows else np.zeros((0, FEATURES), np.float32)
         made = [r.tobytes() for r in x]
         return pa.RecordBatch.from_arrays(
