@@ -19,7 +19,8 @@ is plain from the markup (inside ``article``/``main``; inside ``nav``, ``footer`
 ``aside``, ``form``, ... or under a tell-tale class token), on at most
 ``sample_pages`` pages.  Each training page is seen once more with elements of
 other boilerplate kinds grafted into it, inside the article too, that hold its own
-prose (comments, notices, sidebars, ...); half of the pages also with their telling
+prose (comments, notices, sidebars, ...), and once more with its paragraphs turned
+into cells, list items or boxes; half of the pages also with their telling
 tags renamed to ``div`` and their tokens removed, so that density and sibling
 features have to carry the decision too.
 
@@ -306,6 +307,21 @@ def grafted(source: str, rng: np.random.Generator) -> str:
     return source
 
 
+def reshaped(source: str, rng: np.random.Generator) -> str:
+    """The page with its main element's paragraphs turned into cells, list items or
+    plain boxes."""
+    m = re.search(r"<(article|main)\b[^>]*>(.*)</\1>", source, re.S | re.I)
+    if not m:
+        return source
+    start, end = [("<table><tr><td>", "</td></tr></table>"), ("<ul><li>", "</li></ul>"), ("<div>", "</div>")][rng.integers(3)]
+    inner = m[2]
+    if start.startswith("<table>") and rng.random() < 0.5:
+        inner = start + inner + end
+    else:
+        inner = inner.replace("<p>", start).replace("</p>", end)
+    return source[: m.start(2)] + inner + source[m.end(2) :]
+
+
 @dataclass
 class Trees:
     prior: float
@@ -381,7 +397,8 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Trees | None:
         for i, text in enumerate(texts):
             source = (text or b"").decode("utf-8", "replace")
             rng = np.random.default_rng(len(source))
-            for page in (parse(source), parse(grafted(source, rng))) if source else ():
+            seen = [source, grafted(source, rng), reshaped(grafted(source, rng), rng)] if source else []
+            for page in map(parse, seen):
                 role = plain_roles(page)
                 for plain in (False, True)[: 1 + i % 2]:
                     rows.append(features(page, plain)[role >= 0])
