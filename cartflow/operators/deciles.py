@@ -136,13 +136,31 @@ def top_share_metrics(
     """Precision and purchase capture in the top max(1, ceil(n*share))
     rows by score (ties by ``ties``); zeros when empty."""
     _check_share(share, upper_inclusive=True)
-    order = score_order(score_col, [t for t in ties if t in scored.columns])
-    ranked = global_rank(scored, order, rank_col="_r", total_col="_n")
-    top_n = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(float(share)))).cast("bigint")
-    g = ranked.agg(
+    # Scores whose rows all lie inside the top need no order; only the rows of
+    # the score at the border are ranked.
+    label = F.col(label_col).cast("bigint")
+    per_score = scored.groupBy(F.col(score_col).alias("_s")).agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p"))
+    cum = cumulative(per_score, [F.col("_s").desc_nulls_last()], ["n", "p"])
+    top_n = F.greatest(F.lit(1), F.ceil(F.col("total_n") * F.lit(float(share)))).cast("bigint")
+    inside, before = F.col("cum_n") <= top_n, F.col("cum_n") - F.col("n")
+    border = ~inside & (before < top_n)
+    row = cum.agg(
         F.max(top_n).alias("top_n"),
-        F.sum(F.when(F.col("_r") <= top_n, F.col(label_col)).otherwise(F.lit(0))).alias("top_pos"),
-        F.sum(label_col).alias("all_pos"),
+        F.max("total_p").alias("all_pos"),
+        F.coalesce(F.sum(F.when(inside, F.col("p"))), F.lit(0)).alias("top_pos"),
+        F.max(F.when(border, top_n - before)).alias("room"),
+        F.max(F.when(border, F.col("_s"))).alias("score"),
+    ).first()  # five numbers
+    top_pos = row["top_pos"] or 0
+    if row["room"] is not None:
+        keys = [c for c in ties if c in scored.columns]
+        tied = scored.where(F.col(score_col).eqNullSafe(F.lit(row["score"]))).select(label.alias("_p"), *keys)
+        ranked = global_rank(tied, [F.col(c).asc_nulls_last() for c in keys] or [F.col("_p")], "_r")
+        top_pos += ranked.where(F.col("_r") <= row["room"]).agg(F.sum("_p")).first()[0] or 0  # one number
+    g = scored.sparkSession.range(1).select(
+        F.lit(top_pos).cast("bigint").alias("top_pos"),
+        F.lit(row["top_n"]).cast("bigint").alias("top_n"),
+        F.lit(row["all_pos"]).cast("bigint").alias("all_pos"),
     )
     return g.select(
         F.coalesce(safe_divide("top_pos", "top_n"), F.lit(0.0)).alias("precision_at_top_10_percent"),
@@ -167,7 +185,12 @@ def auc_metrics(scored: DataFrame, label_col: str = "purchase_flag", score_col:
         F.sum(y).alias("p"), F.sum(F.lit(1) - y).alias("q")
     )
     cum = cumulative(per_score, [F.col("_s").desc_nulls_last()], ["p", "q"])
-    j = cum.withColumnsRenamed({"total_p": "_pos", "total_q": "_neg"})
+    # Counts multiply as DOUBLE: a product of two of them may exceed BIGINT.
+    j = cum.select(
+        *[F.col(c).cast("double").alias(c) for c in ("p", "q", "cum_p", "cum_q")],
+        F.col("total_p").cast("double").alias("_pos"),
+        F.col("total_q").cast("double").alias("_neg"),
+    )
     g = j.agg(
         F.sum(F.col("p") * (F.col("_neg") - F.col("cum_q") + F.col("q") / 2.0)).alias("_auc_num"),
         F.sum(F.col("p") * F.col("cum_p") / (F.col("cum_p") + F.col("cum_q"))).alias("_ap_num"),

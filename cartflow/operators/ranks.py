@@ -20,10 +20,8 @@ offset; the running sum inside a range is a window partitioned by range.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,22 +43,17 @@ def frozen_ranges(df: DataFrame, order: Sequence[Column], num_ranges: int | None
     ``_pos`` (0-based position in range) and checkpoint the result."""
     checkpoint_dir(df.sparkSession)
     n = _num_ranges(df, num_ranges)
-    mid = F.monotonically_increasing_id()
-    # The range sample and the shuffle both read the input: keep it for the
-    # two passes (a cache only; consistency comes from the checkpoint).
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tagged = (
-            src.repartitionByRange(n, *order)
-            .sortWithinPartitions(*order)
-            .withColumn("_mid", mid)
-            .withColumn("_range", F.shiftright(F.col("_mid"), _POS_BITS))
-            .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK)))
-            .drop("_mid")
-        )
-        return tagged.checkpoint(eager=True)
-    finally:
-        src.unpersist()
+    # Sampling and shuffling both read the input; what lies before its last
+    # shuffle is computed once, since that shuffle's files serve both.
+    return (
+        df.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("_range", F.shiftright(F.col("_mid"), _POS_BITS))
+        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK)))
+        .drop("_mid")
+        .checkpoint(eager=True)
+    )
 
 
 def _range_offsets(tagged: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
@@ -68,12 +61,12 @@ def _range_offsets(tagged: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
 
     One row per range, so the single-task window here is bounded by the
     number of ranges."""
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s_{c}") for c in sums]
+    aggs = [F.count(F.lit(1)).alias("_rows")] + [F.sum(c).alias(f"_s_{c}") for c in sums]
     per = tagged.groupBy("_range").agg(*aggs)
     w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    cols = [F.col("_range"), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
-            F.sum("_n").over(everything).alias("_total_n")]
+    cols = [F.col("_range"), F.coalesce(F.sum("_rows").over(w), F.lit(0)).alias("_off_rows"),
+            F.sum("_rows").over(everything).alias("_total_rows")]
     cols += [F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)).alias(f"_off_{c}") for c in sums]
     cols += [F.sum(f"_s_{c}").over(everything).alias(f"_total_{c}") for c in sums]
     return per.select(*cols)
@@ -91,10 +84,10 @@ def global_rank(
     tagged = frozen_ranges(df, order, num_ranges)
     offsets = _range_offsets(tagged)
     out = tagged.join(F.broadcast(offsets), "_range")
-    out = out.withColumn(rank_col, F.col("_off_n") + F.col("_pos") + F.lit(1))
+    out = out.withColumn(rank_col, F.col("_off_rows") + F.col("_pos") + F.lit(1))
     if total_col:
-        out = out.withColumnRenamed("_total_n", total_col)
-    return out.drop("_range", "_pos", "_off_n", "_total_n")
+        out = out.withColumnRenamed("_total_rows", total_col)
+    return out.drop("_range", "_pos", "_off_rows", "_total_rows")
 
 
 def cumulative(
@@ -107,46 +100,49 @@ def cumulative(
     the grand totals ``total_<c>``."""
     tagged = frozen_ranges(df, order, num_ranges)
     offsets = _range_offsets(tagged, cols)
+    # By range, so that each task keeps one range and none meets another.
+    tagged = tagged.repartitionByRange(_num_ranges(df, num_ranges), "_range")
     out = tagged.join(F.broadcast(offsets), "_range")
     in_range = Window.partitionBy("_range").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    adds = {"rank": F.col("_off_n") + F.col("_pos") + F.lit(1)}
+    adds = {"rank": F.col("_off_rows") + F.col("_pos") + F.lit(1)}
     for c in cols:
         adds[f"cum_{c}"] = F.col(f"_off_{c}") + F.sum(c).over(in_range)
         adds[f"total_{c}"] = F.col(f"_total_{c}")
     out = out.withColumns(adds)
-    return out.drop("_range", "_pos", "_off_n", "_total_n", *[f"_off_{c}" for c in cols],
+    return out.drop("_range", "_pos", "_off_rows", "_total_rows", *[f"_off_{c}" for c in cols],
                     *[f"_total_{c}" for c in cols])
 
 
+def value_counts(df: DataFrame, col: str) -> DataFrame:
+    """(value, n, cum_n, total_n) for the distinct non-NULL values of ``col``
+    in ascending order.  Equal values are one row before any ordering, so a
+    value that many rows share is no hot range."""
+    values = df.select(F.col(col).cast("double").alias("value")).where(F.col("value").isNotNull())
+    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return cumulative(counts, [F.col("value").asc()], ["n"]).drop("rank")
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
     """One row with the linear-interpolation quantiles of ``col`` (NULLs
-    ignored), ``<prefix>_0 .. <prefix>_{k-1}``; NULL when there are no values.
+    ignored), ``<prefix>_0 .. <prefix>_{k-1}`` (NULL when there are no values),
+    and ``<prefix>_distinct``, the number of distinct values.
 
     Same definition as ``percentile`` / ``quantile_cont``: h = (n-1)p,
-    value = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).  After
-    ranking, n is read (one number) and only the rows at the needed ranks
-    (two per quantile) are aggregated.
+    value = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
     """
-    values = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = global_rank(values, [F.col("_v").asc()], rank_col="_r")
-    n = ranked.count()
-    spec = []
-    for p in probs:
-        h = (n - 1) * float(p)
-        lo, hi = math.floor(h) + 1, math.ceil(h) + 1
-        spec.append((h - (lo - 1), lo, hi))
-    wanted = sorted({r for _, lo, hi in spec for r in (lo, hi)}) if n else []
-    picked = ranked.where(F.col("_r").isin(wanted)) if wanted else ranked.limit(0)
-    at = lambda r: F.max(F.when(F.col("_r") == F.lit(r), F.col("_v")))
-    out = []
-    for i, (frac, lo, hi) in enumerate(spec):
-        if n == 0:
-            q = F.lit(None).cast("double")
-        elif lo == hi:
-            q = at(lo)
-        else:
-            q = at(lo) + (at(hi) - at(lo)) * F.lit(frac)
-        out.append(q.alias(f"{prefix}_{i}"))
-    return picked.agg(*out)
+    counts = value_counts(df, col)
+
+    def at(place: Column) -> Column:
+        holds = (F.col("cum_n") - F.col("n") <= place) & (place < F.col("cum_n"))
+        return F.max(F.when(holds, F.col("value")))
+
+    aggs, out = [], []
+    for i, p in enumerate(probs):
+        h = (F.col("total_n") - 1) * F.lit(float(p))
+        aggs += [at(F.floor(h)).alias(f"_lo{i}"), at(F.ceil(h)).alias(f"_hi{i}"), F.max(h - F.floor(h)).alias(f"_f{i}")]
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * F.col(f"_f{i}")).alias(f"{prefix}_{i}"))
+    row = counts.agg(*aggs, F.count(F.lit(1)).alias("_distinct"))
+    return row.select(*out, F.col("_distinct").alias(f"{prefix}_distinct"))

@@ -9,8 +9,6 @@ row per month, a proven small bound, so they are broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,18 +66,16 @@ def mart_retention(fct: DataFrame, ordered: bool = False) -> DataFrame:
     return out
 
 
-def retention_pivot(mart: DataFrame, months: Iterable[int] = range(12)) -> DataFrame:
-    """One row per cohort, one ``month_<n>`` column per month number.
+def retention_pivot(mart: DataFrame) -> DataFrame:
+    """One row per cohort, one ``month_<n>`` column for every month number
+    in the mart (rows without one have no column).
 
-    The month list is passed in, so the pivot needs no extra pass to find
-    distinct values and its width is bounded by the caller.
+    The month numbers are read first: at most one for each month between the
+    first and the last purchase, whatever the number of users.
     """
-    months = list(months)
-    p = (
-        mart.groupBy("cohort_month")
-        .pivot("months_since_first_purchase", months)
-        .agg(F.max("retention_rate"))
-    )
+    mart = mart.where(F.col("months_since_first_purchase").isNotNull())
+    months = sorted(r[0] for r in mart.select("months_since_first_purchase").distinct().collect())
+    p = mart.groupBy("cohort_month").pivot("months_since_first_purchase", months).agg(F.max("retention_rate"))
     return p.select("cohort_month", *[F.col(str(m)).alias(f"month_{m}") for m in months])
 
 

@@ -1,9 +1,10 @@
 """User-level metrics and segments.
 
 Every per-user table is a hash aggregate with map-side combine.  Thresholds
-(75th percentile of views, revenue terciles) are exact quantiles computed
-with the distributed rank in ``ranks.exact_quantiles``; the resulting one
-or two numbers are read on the driver and used as literals.
+(75th percentile of views, revenue terciles) are exact quantiles from value
+counts (``ranks.exact_quantiles``); the resulting one or two numbers are read
+on the driver and used as literals.  The user table is read for the thresholds
+and for the labels, so it is computed once and cut.
 """
 
 from __future__ import annotations
@@ -27,6 +28,12 @@ from cartflow.functions.ratios import count_if, safe_divide
 from cartflow.functions.timefn import month_start
 from cartflow.operators.events import purchase_revenue, type_count
 from cartflow.operators.ranks import exact_quantiles
+from cartflow.session import checkpoint_dir
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def purchases_per_user(fct: DataFrame) -> DataFrame:
@@ -95,7 +102,8 @@ def with_behavior_segment(users: DataFrame, share: float = 0.75) -> DataFrame:
     """P11 + A21: label users; heavy viewers without purchase take priority,
     then buyers, then everyone else.  Heavy = views >= the exact ``share``
     quantile of views over all users."""
-    thr = exact_quantiles(users, "views_cnt", [share], prefix="views_threshold").first()[0]
+    users = _cut(users)
+    thr = exact_quantiles(users, "views_cnt", [share], prefix="views").first()[0]
     threshold = F.lit(thr).cast("double")  # one number (NULL when there are no users)
     seg = (
         F.when(
@@ -124,9 +132,8 @@ def with_value_segment(users: DataFrame) -> DataFrame:
     Otherwise right-closed bins on the exact 1/3 and 2/3 quantiles
     (<= q1 low, <= q2 middle, else high); collapsed edges give no error.
     """
-    buyers = users.where(F.col("revenue") > 0)
-    q1, q2 = exact_quantiles(buyers, "revenue", [1.0 / 3.0, 2.0 / 3.0], prefix="rev_q").first()
-    distinct = buyers.agg(F.count_distinct("revenue")).first()[0]  # one number
+    buyers = _cut(users.where(F.col("revenue") > 0))
+    q1, q2, distinct = exact_quantiles(buyers, "revenue", [1.0 / 3.0, 2.0 / 3.0]).first()  # three numbers
     if distinct < 3:
         seg = F.lit(VALUE_MID)
     else:

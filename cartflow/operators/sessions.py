@@ -2,7 +2,7 @@
 
 Rule: an event keeps its source session id (``user_session`` trimmed, blank
 -> NULL).  A blank event starts a new derived session when the user's
-previous event of any kind (ordered by time, type, product, tie-breaker;
+previous event of any kind (ordered by time, type, product, tie-breakers;
 NULLs last) is missing or more than ``gap`` minute boundaries earlier.  The
 derived id is ``derived_<user_id>_<running count of starts>``.
 
@@ -12,24 +12,28 @@ The gap is measured in minute boundaries, so cut each user's timeline into
 blocks of ``gap + 1`` consecutive minute indexes.  Two events in one block
 are at most ``gap`` boundaries apart, hence only the *first* event of a
 block can start a session, and every event of a block carries the same
-running count.  Events with a NULL time sort after all others and each is
-a block of its own, ordered by (type, product, tie-breaker): LAG then sees
-the NULL time of the event before, exactly as in SQL.  So:
-
-1. one aggregate per (user, block): first event key (min of a NULLs-last
-   struct), last event time -- partial aggregation makes this safe for a
-   user holding a third of all rows;
-2. a window per user over the small block table: previous block's last
-   time (LAG) and the running count of starts;
-3. one join of the events with their block row.
-
-A single hot user is spread over its blocks in step 3 (and AQE splits a
-skewed join partition), instead of being one window task.
+running count.
+
+1. One hash aggregate per (user, block): first blank time, first sourced
+   time, last time (fixed-width values, partial aggregation).  The earlier of
+   the two first times says whether the block opens with a blank event; only
+   where they are equal are the tied rows themselves ordered.
+2. A window per user over the block table.  Its rows are bounded by the
+   length of the timeline over ``gap + 1`` minutes (17,000 a year), whatever
+   the number of events.
+3. One join of the events with their block row; AQE splits a skewed partition.
+
+Events without a time come after all others.  The time before them is NULL
+except for the first one, so each blank one starts a session (the first only
+for a user without timed events).  Their running counts use one global order
+over frozen ranges (``ranks.cumulative``), so no user is one task's window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +47,7 @@ from cartflow.functions.labels import (
 )
 from cartflow.functions.timefn import minute_diff, minute_index
 from cartflow.operators.events import is_type, purchase_revenue, type_count
+from cartflow.operators.ranks import cumulative
 
 
 def source_session_id(col: str = "user_session") -> Column:
@@ -50,92 +55,126 @@ def source_session_id(col: str = "user_session") -> Column:
     return F.nullif(F.trim(F.col(col).cast("string")), F.lit(""))
 
 
-def _key_struct(order_cols: Sequence[str]) -> Column:
-    """Event order key as a struct whose natural ordering is NULLs last."""
-    fields = [F.col("event_time").alias("t")]
-    for i, c in enumerate(order_cols):
-        fields.append(F.col(c).isNull().alias(f"n{i}"))
-        fields.append(F.col(c).alias(f"v{i}"))
-    return F.struct(*fields)
+#: Order of events at one time: these first, then what makes the order total.
+EVENT_ORDER = ("event_type", "product_id")
+REST_ORDER = ("category_id", "category_code", "brand", "price", "user_session")
 
 
-def _order_exprs(order_cols: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in order_cols]
+def _order_columns(shop: DataFrame, tie: Sequence[str] | None) -> list[str]:
+    if tie is None:
+        tie = ("event_id",) if "event_id" in shop.columns else REST_ORDER
+    return [*EVENT_ORDER, *[c for c in tie if c in shop.columns]]
+
+
+def _ascending(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in columns]
+
+
+def _on(columns: Sequence[str], left: str, right: str) -> Column:
+    return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+
+def _blocks(timed: DataFrame, order: Sequence[str], gap: int) -> DataFrame:
+    """Per (user, block): first and last time, the time before the block,
+    whether it starts a session, and the running count of starts."""
+    key = ["user_id", "_block"]
+    blank = F.col("source_session_id").isNull()
+    blocks = timed.groupBy(*key).agg(
+        F.min(F.when(blank, F.col("event_time"))).alias("_blank"),
+        F.min(F.when(~blank, F.col("event_time"))).alias("_sourced"),
+        F.max("event_time").alias("_last"),
+    )
+    tied = blocks.where("_blank = _sourced").select(*key, F.col("_blank").alias("_at"))
+    first = (
+        timed.select(*key, "event_time", *order, blank.alias("_opens"))
+        .alias("e")
+        .join(tied.alias("b"), _on(key, "e", "b") & (F.col("e.event_time") == F.col("b._at")))
+        .select("e.*")
+        .withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*_ascending(order))))
+        .where("_n = 1")
+        .select(*key, "_opens")
+    )
+    blocks = blocks.alias("b").join(first.alias("f"), _on(key, "b", "f"), "left").select("b.*", "f._opens")
+    opens = F.coalesce("_opens", F.col("_sourced").isNull() | (F.col("_blank") < F.col("_sourced")), F.lit(False))
+    per_user = Window.partitionBy("user_id").orderBy("_block")
+    blocks = blocks.select(
+        *key,
+        F.least("_blank", "_sourced").alias("_first"),
+        "_last",
+        F.lag("_last").over(per_user).alias("_before"),
+        opens.alias("_opens"),
+    )
+    late = F.col("_before").isNull() | (minute_diff("_before", "_first") > F.lit(gap))
+    blocks = blocks.withColumn("_start", (F.col("_opens") & late).cast("bigint"))
+    return blocks.withColumn("_counter", F.sum("_start").over(per_user.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _untimed_rows(untimed: DataFrame, blocks: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Counts, start flags and previous times of events without a time."""
+    rows = untimed.withColumn("_blank", F.col("source_session_id").isNull().cast("bigint"))
+    run = cumulative(rows, _ascending(["user_id", *order]), ["_blank"])
+    first = F.min_by("_blank", "rank").alias("_first_blank")
+    starts = run.groupBy("user_id").agg(
+        F.min("rank").alias("_r0"), F.min(F.col("cum__blank") - F.col("_blank")).alias("_b0"), first
+    )
+    users = blocks.groupBy("user_id").agg(F.max("_counter").alias("_timed"), F.max("_last").alias("_latest"))
+    starts = starts.alias("s").join(users.alias("u"), _on(["user_id"], "s", "u"), "left").select(
+        "s.*", "u._timed", "u._latest"
+    )
+    run = run.alias("r").join(starts.alias("s"), _on(["user_id"], "r", "s")).select(
+        "r.*", "s._r0", "s._b0", "s._first_blank", "s._timed", "s._latest"
+    )
+    seen, is_first = F.col("_timed").isNotNull(), F.col("rank") == F.col("_r0")
+    return run.withColumns(
+        {
+            "_counter": F.coalesce("_timed", F.lit(0)) + F.col("cum__blank") - F.col("_b0")
+            - F.when(seen, F.col("_first_blank")).otherwise(F.lit(0)),
+            "derived_session_start": ((F.col("_blank") == 1) & ~(is_first & seen)).cast("int"),
+            "previous_event_time": F.when(is_first, F.col("_latest")),
+        }
+    )
 
 
 def sessionize(
     shop: DataFrame,
     gap: int = SESSION_GAP_MINUTES,
-    tie: Sequence[str] = ("event_id",),
+    tie: Sequence[str] | None = None,
     with_previous_time: bool = False,
 ) -> DataFrame:
     """Add ``source_session_id``, ``derived_session_start`` (0/1) and
     ``session_id`` (and ``previous_event_time`` when asked) to every event.
 
-    ``tie`` names columns that make the event order total; without them,
-    ties on (time, type, product) are resolved arbitrarily, as in SQL.
+    ``tie`` names the columns that complete the order (time, type, product);
+    by default ``event_id``, or all other event columns where there is none.
+    Rows that agree in all of them are interchangeable.
     """
     if gap < 0:
         raise ValueError("gap must be >= 0 minutes")
-    tie = [c for c in tie if c in shop.columns]
-    order_cols = ["event_type", "product_id", *tie]
+    order = _order_columns(shop, tie)
+    key = ["user_id", "_block"]
     width = F.lit(gap + 1)
     m = minute_index("event_time")
-    untimed = F.col("event_time").isNull()
-    key = _key_struct(order_cols)
-    keyed = shop.withColumns(
+    keyed = shop.withColumn("source_session_id", source_session_id())
+    timed = keyed.where("event_time is not null").withColumn("_block", ((m - F.pmod(m, width)) / width).cast("bigint"))
+    blocks = _blocks(timed, order, gap)
+    rows = timed.alias("e").join(blocks.alias("b"), _on(key, "e", "b")).select(
+        "e.*", "b._first", "b._before", "b._start", "b._counter"
+    )
+    # Both windows are pruned from plans that read neither column.
+    same_time = Window.partitionBy(*key, "event_time").orderBy(*_ascending(order))
+    in_block = Window.partitionBy(*key).orderBy(*_ascending(["event_time", *order]))
+    starts = (F.col("_start") == 1) & (F.col("event_time") == F.col("_first")) & (F.row_number().over(same_time) == 1)
+    rows = rows.withColumns(
         {
-            "source_session_id": source_session_id(),
-            "_bt": untimed.cast("int"),
-            "_block": ((m - F.pmod(m, width)) / width).cast("bigint"),
-            "_bk": F.when(untimed, key),
-            "_key": key,
+            "derived_session_start": starts.cast("int"),
+            "previous_event_time": F.coalesce(F.lag("event_time").over(in_block), F.col("_before")),
         }
-    ).withColumn("_src_null", F.col("source_session_id").isNull())
-    block_cols = ["user_id", "_bt", "_block", "_bk"]
-
-    blocks = keyed.groupBy(*block_cols).agg(
-        F.min(F.struct(F.col("_key").alias("k"), F.col("_src_null").alias("s"))).alias("_first"),
-        F.max("event_time").alias("_last_time"),
-    )
-    per_user = Window.partitionBy("user_id").orderBy("_bt", "_block", "_bk")
-    first_start = (
-        F.col("_first.s")
-        & F.coalesce(
-            F.col("_prev_last").isNull()
-            | (minute_diff(F.col("_prev_last"), F.col("_first.k.t")) > F.lit(gap)),
-            F.lit(False),
-        )
-    ).cast("bigint")
-    blocks = (
-        blocks.withColumn("_prev_last", F.lag("_last_time").over(per_user))
-        .withColumn("_first_start", first_start)
-        .withColumn(
-            "_counter",
-            F.sum("_first_start").over(per_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        )
-        .select(*[F.col(c).alias(f"_b{c}") for c in block_cols], "_first", "_prev_last",
-                "_first_start", "_counter")
-    )
-
-    cond = None
-    for c in block_cols:
-        eq = keyed[c].eqNullSafe(blocks[f"_b{c}"])
-        cond = eq if cond is None else cond & eq
-    rows = keyed.join(blocks, cond, "inner")
-    is_first = F.col("_key") == F.col("_first.k")
-    rows = rows.withColumn(
-        "derived_session_start", (is_first & (F.col("_first_start") == 1)).cast("int")
     )
-    if with_previous_time:
-        in_block = Window.partitionBy(*block_cols).orderBy(
-            F.col("event_time").asc_nulls_last(), *_order_exprs(order_cols)
-        )
-        rows = rows.withColumn(
-            "previous_event_time",
-            F.when(is_first, F.col("_prev_last")).otherwise(F.lag("event_time").over(in_block)),
-        )
-
+    out = [*shop.columns, "source_session_id", "derived_session_start", "previous_event_time", "_counter"]
+    rows = rows.select(*out)
+    untimed = keyed.where("event_time is null")
+    if not untimed.isEmpty():  # else nothing to order; a filter that Parquet statistics answer
+        rows = rows.unionByName(_untimed_rows(untimed, blocks, order).select(*out))
     derived = F.concat_ws(
         "",
         F.lit(DERIVED_SESSION_PREFIX),
@@ -143,11 +182,9 @@ def sessionize(
         F.lit("_"),
         F.col("_counter").cast("string"),
     )
-    out_cols = list(shop.columns) + ["source_session_id", "derived_session_start", "session_id"]
-    if with_previous_time:
-        out_cols.append("previous_event_time")
     rows = rows.withColumn("session_id", F.coalesce(F.col("source_session_id"), derived))
-    return rows.select(*out_cols)
+    extra = ["previous_event_time"] if with_previous_time else []
+    return rows.select(*shop.columns, "source_session_id", "derived_session_start", "session_id", *extra)
 
 
 def session_measures(with_view_price: bool = False) -> list[Column]:

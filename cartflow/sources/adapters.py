@@ -18,16 +18,6 @@ TABLES = (
 ).split()
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has
-    cores (one small file with one row group gives one task).  Large inputs
-    already have many splits and are returned unchanged, with no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -94,10 +84,20 @@ def purchases_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def untied_events(ce: DataFrame) -> DataFrame:
+    """Distinct events without ``event_id``: every third time cut to the hour (so
+    that events tie) and every eleventh missing."""
+    k = F.col("event_id")
+    time = F.when(F.pmod(k, F.lit(11)) == 0, F.lit(None).cast("timestamp_ntz")).when(
+        F.pmod(k, F.lit(3)) == 0, F.date_trunc("hour", "event_time").cast("timestamp_ntz")
+    )
+    missing = F.pmod(k, F.lit(11)) == 0
+    return ce.withColumn("event_time", F.when(~missing, F.coalesce(time, F.col("event_time")))).drop("event_id").distinct()
+
+
 def load_commerce_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread_small_scan(read_table(spark, sf_dir, "events"))
-    return commerce_events(events, read_table(spark, sf_dir, "part"))
+    return commerce_events(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "part"))
 
 
 def load_order_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return purchases_from_orders(spread_small_scan(read_table(spark, sf_dir, "orders")))
+    return purchases_from_orders(read_table(spark, sf_dir, "orders"))
