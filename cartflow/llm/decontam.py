@@ -5,13 +5,16 @@
 2. A distributed randomised SVD finds the latent space: with A the TF-IDF matrix
    of all passages and a fixed random test matrix G, every task sums its part of
    A'(A G); the sums (features x ``RANK`` numbers, whatever the corpus) give the
-   leading singular vectors by the Nystrom formula.
+   leading singular vectors by the Nystrom formula.  They are divided by their
+   squared singular values, so that what a language or a common topic shares does
+   not outweigh the words that tell passages apart.
 3. Every document is cut into blocks of ``BLOCK`` words.  Windows of one to four
    blocks at every block are compared by cosine in the latent space with the
    benchmark items of about their length; items come in groups of ``ITEMS``, each
    a pass over the documents.
-4. Candidates are confirmed on words: the longest common subsequence (LCS) of the
-   item and the words around the window must cover ``share`` of the item, or
+4. Candidates are confirmed on words (those that hold too few of an item's words in
+   any order are out at once): the longest common subsequence (LCS) of the item and
+   the words around the window must cover ``share`` of the item, or
    ``paraphrase`` of it if the item's answer, its last ``ANSWER`` words, stands in
    the passage as well.
 
@@ -43,8 +46,10 @@ SCALES = (1, 2, 3, 4)
 ITEMS = 4096
 ANSWER = 3
 MIN_WORDS = 8
-COSINE = 0.45
+COSINE = 0.5
 SUM_BLOCK = 256
+#: Low bits of a word's hash by which an item's words are looked up.
+WORD_BITS = 12
 _SLICE = 1 << 20
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -54,25 +59,43 @@ def scan(texts: list[bytes | None]) -> Words:
     return Words(texts, lower=True, separators=PUNCTUATION, latin=True)
 
 
-def _passages(words: Words, width: int) -> np.ndarray:
-    """Passage number of each word; passages never cross texts."""
-    count = np.diff(words.first)
-    pieces = -(-count // width)
-    row = np.repeat(np.arange(len(count)), count)
-    inside = np.arange(len(row)) - words.first[row]
-    return (np.cumsum(pieces) - pieces)[row] + inside // width
-
-
 def _features(words: Words) -> np.ndarray:
     return (words.hash >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
 
 
-def _matrix(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The passages' term counts: (passage, feature, count), sorted."""
-    key = np.sort(_passages(words, PASSAGE) << FEATURE_BITS | _features(words))
-    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.append(head, len(key)))
-    return key[head] >> FEATURE_BITS, key[head] & ((1 << FEATURE_BITS) - 1), count
+@dataclass
+class Blocks:
+    """Runs of ``width`` words, none across texts: text and first word of each, the
+    numbers of its words (the last block of a text is filled up with the number
+    after the last word) and their features (of the filling: one more feature, whose
+    vectors are zero)."""
+
+    row: np.ndarray
+    start: np.ndarray
+    at: np.ndarray
+    features: np.ndarray
+
+    @classmethod
+    def of(cls, words: Words, width: int) -> Blocks:
+        count = np.diff(words.first)
+        pieces = -(-count // width)
+        row = np.repeat(np.arange(len(count)), pieces)
+        start = words.first[row] + width * (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        at = start[:, None] + np.arange(width)
+        feature = np.append(_features(words), 1 << FEATURE_BITS)
+        at[at >= words.first[row + 1][:, None]] = len(feature) - 1
+        return cls(row, start, at, feature[at])
+
+    def sums(self, vectors: np.ndarray) -> np.ndarray:
+        """Sum of the vectors of each block's words."""
+        out = np.zeros((len(self.row), vectors.shape[1]), vectors.dtype)
+        for column in np.ascontiguousarray(self.features.T):
+            out += np.take(vectors, column, axis=0)
+        return out
+
+
+def _padded(vectors: np.ndarray) -> np.ndarray:
+    return np.concatenate((vectors, np.zeros((1, vectors.shape[1]), vectors.dtype)))
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -86,9 +109,11 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
         seen, total = np.zeros(1 << FEATURE_BITS, np.int64), [0]
 
         def step(batch, texts):
-            passage, feature, _ = _matrix(scan(texts))
-            seen[:] += np.bincount(feature, minlength=len(seen))
-            total[0] += len(np.unique(passage))
+            held = np.sort(Blocks.of(scan(texts), PASSAGE).features, axis=1)
+            new = held < len(seen)
+            new[:, 1:] &= held[:, 1:] != held[:, :-1]
+            seen[:] += np.bincount(held[new], minlength=len(seen))
+            total[0] += len(held)
             return ()
 
         for _ in per_slice(step, limit=_SLICE)(batches):
@@ -114,37 +139,34 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 def latent_space(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """Randomised SVD of the passages' TF-IDF matrix: features x RANK, leading
-    right singular vectors scaled by the inverse root of their singular values,
-    times the IDF (rows to sum over the words of a text)."""
+    """Randomised SVD of the passages' TF-IDF matrix (rows of about unit length):
+    features x RANK, leading right singular vectors over their squared singular
+    values, times the IDF (rows to sum over the words of a text)."""
     size = 1 << FEATURE_BITS
     test = np.random.default_rng(9).standard_normal((size, RANK)).astype(np.float32)
     shared = share(docs.sparkSession, (idf, test))  # features x (RANK + 1) numbers
 
     def multiply(batches):
         idf, test = received(shared)
-        total = np.zeros((size, RANK), np.float32)
+        weighted = _padded(np.concatenate((test * idf[:, None], idf[:, None] ** 2), axis=1))
+        total = np.zeros((RANK, size))
 
         def step(batch, texts):
-            passage, feature, count = _matrix(scan(texts))
-            if not len(passage):
+            blocks = Blocks.of(scan(texts), PASSAGE)
+            if not len(blocks.row):
                 return ()
-            value = ((1 + np.log(count)) * idf[feature]).astype(np.float32)
-            new = np.concatenate(([True], passage[1:] != passage[:-1]))
-            at = np.flatnonzero(new)
-            row = np.cumsum(new) - 1
-            norm = np.sqrt(np.add.reduceat(value * value, at))
-            value /= np.maximum(norm, 1e-9)[row]
-            image = np.add.reduceat(test[feature] * value[:, None], at, axis=0)  # A G
-            order = np.argsort(feature, kind="stable")
-            feature = feature[order]
-            head = np.flatnonzero(np.concatenate(([True], feature[1:] != feature[:-1])))
-            back = image[row[order]] * value[order][:, None]
-            total[feature[head]] += np.add.reduceat(back, head, axis=0)  # A'(A G)
+            image = blocks.sums(weighted)
+            image = image[:, :RANK] / np.maximum(image[:, RANK:], 1e-9)  # A G, over the norms once more
+            real = blocks.features.ravel() < size
+            feature = blocks.features.ravel()[real]
+            passage = np.repeat(np.arange(len(image)), PASSAGE)[real]
+            for column, own in zip(total, np.ascontiguousarray(image.T), strict=True):  # A'(A G)
+                column += np.bincount(feature, own[passage], size)
             return ()
 
         for _ in per_slice(step, limit=_SLICE)(batches):
             pass
+        total = (total.T * idf[:, None]).astype(np.float32)
         parts = total.reshape(-1, SUM_BLOCK * RANK)
         some = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -190,22 +212,20 @@ def latent_space(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
     root = image @ (v[:, good] / np.sqrt(w[good]))
     u, s, _ = np.linalg.svd(root, full_matrices=False)  # s: singular values of A
     out = np.zeros((size, RANK), np.float32)
-    out[:, : u.shape[1]] = u / np.sqrt(np.maximum(s, 1e-9))
+    out[:, : u.shape[1]] = u * (s[0] / np.maximum(s, s[0] * 1e-3)) ** 2
     return out * idf[:, None]
 
 
 @dataclass
 class Items:
-    """A group of benchmark pieces: words, latent vectors by window scale."""
+    """A group of benchmark pieces: item and words of each, its window scale, its
+    latent vector, and a table of its words by their low bits."""
 
     ids: np.ndarray
     words: list[np.ndarray]
     scale: np.ndarray
     vectors: np.ndarray
-
-
-def _vectors(rows: np.ndarray) -> np.ndarray:
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    holds: np.ndarray
 
 
 def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray) -> Items:
@@ -227,8 +247,16 @@ def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray) -> Ite
     size = np.array([len(w) for w in words], np.int64)
     # The scale whose window best covers a piece at any offset to the blocks.
     scale = np.clip((size + 12 + BLOCK // 2) // BLOCK, SCALES[0], SCALES[-1])
-    vectors = _vectors(np.array(rows)) if rows else np.zeros((0, space.shape[1]))
-    return Items(np.array(found, np.int64), words, scale, vectors.astype(np.float32))
+    vectors = np.array(rows).reshape(-1, space.shape[1])
+    vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    holds = np.zeros((len(words), (1 << WORD_BITS) + 1), bool)
+    for own, table in zip(words, holds, strict=True):
+        table[_low(own)] = True
+    return Items(np.array(found, np.int64), words, scale, vectors.astype(np.float32), holds)
+
+
+def _low(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64)
 
 
 def common_lengths(item: np.ndarray, passages: np.ndarray) -> np.ndarray:
@@ -284,68 +312,78 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float, cosine: floa
     names = ["doc_id", "item_id", "at", "cosine", "covered", "answered"]
 
     def search(batches):
-        space, items = received(sent), received(group)
+        space, items = _padded(received(sent)), received(group)
         yield from per_slice(lambda batch, texts: _search(batch, texts, space, items), limit=_SLICE)(batches)
 
     def _search(batch, texts, space, items):
         words = scan(texts)
         if not len(words.hash) or not len(items.ids):
             return
-        block = _passages(words, BLOCK)
-        start = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-        sums = np.add.reduceat(space[_features(words)], start, axis=0)
-        row = np.searchsorted(words.first, start, "right") - 1  # text of each block
-        total = sums
-        ids = batch.column(0)
+        blocks = Blocks.of(words, BLOCK)
+        sums, row = blocks.sums(space), blocks.row
+        # Words by block, and a block of no words for what lies outside a text.
+        none = np.full((1, BLOCK), len(words.hash))
+        at = np.concatenate((blocks.at, none))
+        hashes = np.append(words.hash, np.uint64(0))[at]
+        low = np.append(_low(words.hash), 1 << WORD_BITS)[at]
+        total = sums.copy()
         for scale in SCALES:
             if scale > 1:
-                add = np.zeros_like(sums)
-                n = len(sums) - scale + 1
-                if n > 0:
-                    add[:n] = sums[scale - 1 :] * (row[scale - 1 :] == row[:n])[:, None]
-                total = total + add
+                n = max(len(sums) - scale + 1, 0)
+                total[:n] += sums[scale - 1 :] * (row[scale - 1 :] == row[:n])[:, None]
             own = np.flatnonzero(items.scale == scale)
             if not len(own):
                 continue
-            unit = _vectors(total)
+            norm = np.sqrt(np.einsum("ij,ij->i", total, total))
             for k in range(0, len(own), 256):
                 some = own[k : k + 256]
-                near = unit @ items.vectors[some].T
-                at, which = np.nonzero(near >= cosine)
-                if not len(at):
-                    continue
-                order = np.argsort(which, kind="stable")
-                at, which = at[order], which[order]
-                edge = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1], [True])))
+                near = items.vectors[some] @ total.T
+                which, at = np.nonzero(near >= cosine * norm + 1e-12)
+                edge = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1], [True]))) if len(at) else []
                 for i, j in zip(edge[:-1], edge[1:], strict=True):
-                    item = some[which[i]]
-                    place = at[i:j]
-                    got = _confirm(words, row, start, place, scale, items.words[item])
-                    covered, answered = got
-                    need = 1.0 if len(items.words[item]) < MIN_WORDS else share_of_item
-                    ok = (covered >= need) | ((covered >= max(paraphrase, need - share_of_item + paraphrase)) & answered)
-                    if ok.any():
-                        place, near_ = place[ok], near[at[i:j][ok], which[i]]
+                    item, place = some[which[i]], at[i:j]
+                    ok, covered, answered = _confirm(hashes, low, row, place, scale, items, item)
+                    if len(ok):
+                        place = place[ok]
                         yield pa.RecordBatch.from_arrays(
                             [
-                                ids.take(pa.array(row[place])),
+                                batch.column(0).take(pa.array(row[place])),
                                 pa.array(np.full(len(place), items.ids[item])),
-                                pa.array((start[place] - words.first[row[place]]).astype(np.int32)),
-                                pa.array(near_.astype(np.float64)),
-                                pa.array(covered[ok]),
-                                pa.array(answered[ok]),
+                                pa.array((blocks.start[place] - words.first[row[place]]).astype(np.int32)),
+                                pa.array((near[which[i], place] / norm[place]).astype(np.float64)),
+                                pa.array(covered),
+                                pa.array(answered),
                             ],
                             names,
                         )
 
-    def _confirm(words, row, start, place, scale, item):
-        # The window and half a block on either side, cut at the text's ends.
-        low = start[place] - BLOCK // 2
-        at = low[:, None] + np.arange(scale * BLOCK + BLOCK)
-        inside = (at >= words.first[row[place]][:, None]) & (at < words.first[row[place] + 1][:, None])
-        passages = np.where(inside, words.hash[np.clip(at, 0, len(words.hash) - 1)], np.uint64(0))
-        covered = common_lengths(item, passages) / len(item)
-        return covered, _runs(passages, item[-ANSWER:])
+    def _confirm(hashes, low, row, place, scale, items, item):
+        """Places (by position) that hold the item, the share covered and whether
+        its answer stands there."""
+        own = items.words[item]
+        need = share_of_item if len(own) >= MIN_WORDS else 1.0
+        least = min(paraphrase, need) if len(own) >= MIN_WORDS else 1.0
+        # The window and a block on either side, as far as they are of the same text.
+        near = place[:, None] + np.arange(-1, scale + 1)
+        inside = (near >= 0) & (near < len(row))
+        near = np.clip(near, 0, len(row) - 1)
+        inside &= row[near] == row[place][:, None]
+        near[~inside] = len(row)
+        # An LCS is no longer than the number of words that the item holds, nor than
+        # the number of item words that the passage holds.
+        found = items.holds[item][low[near]].reshape(len(place), -1)
+        some = np.flatnonzero(found.sum(axis=1) >= least * len(own))
+        if len(some):
+            held = np.zeros((len(some), (1 << WORD_BITS) + 1), bool)
+            held[np.arange(len(some))[:, None], low[near[some]].reshape(len(some), -1)] = True
+            some = some[held[:, _low(own)].sum(axis=1) >= least * len(own)]
+        if not len(some):
+            return some, None, None
+        passages = hashes[near[some]].reshape(len(some), -1)
+        covered = common_lengths(own, passages) / len(own)
+        answered = _runs(passages, own[-ANSWER:])
+        good = (covered >= need) | ((covered >= least) & answered)
+        return some[good], covered[good], answered[good]
 
     return search
 

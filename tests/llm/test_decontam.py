@@ -33,11 +33,11 @@ def test_latent_space_against_a_direct_svd(make_docs):
     space = decontam.latent_space(docs, idf)
     rows = np.zeros((len(pairs), 1 << decontam.FEATURE_BITS), np.float32)
     for n, (_, t) in enumerate(pairs):
-        _, feature, count = decontam._matrix(decontam.scan([t.encode()]))
-        rows[n, feature] = (1 + np.log(count)) * idf[feature]
-    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+        feature = decontam._features(decontam.scan([t.encode()]))
+        np.add.at(rows[n], feature, idf[feature])
+        rows[n] /= np.sqrt((idf[feature] ** 2).sum())
     _, s, v = np.linalg.svd(rows, full_matrices=False)
-    basis = np.linalg.qr((space / np.maximum(idf, 1e-9)[:, None])[:, :6])[0]
+    basis = np.linalg.qr((space / np.maximum(idf, 1e-9)[:, None])[:, :6])[0]  # the leading six
     assert np.linalg.norm(v[:6] @ basis) ** 2 > 5.9  # the same six-dimensional space
 
 
