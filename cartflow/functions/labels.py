@@ -23,6 +23,22 @@ REQUIRED_EVENT_COLUMNS = (
     "user_id",
     "user_session",
 )
+# Model features, in the order of the feature table, and the target.
+FEATURE_COLUMNS = [
+    "session_duration_minutes",
+    "events_cnt",
+    "views_cnt",
+    "carts_cnt",
+    "distinct_products_cnt",
+    "distinct_categories_cnt",
+    "avg_price_viewed",
+    "hour",
+    "day_of_week",
+    "is_weekend",
+    "user_previous_sessions_cnt",
+    "user_previous_purchases_cnt",
+]
+TARGET_COLUMN = "purchase_flag"
 EVENT_VIEW = "view"
 EVENT_CART = "cart"
 EVENT_PURCHASE = "purchase"

@@ -12,27 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartflow.functions.labels import FEATURE_COLUMNS, TARGET_COLUMN  # noqa: F401
 from cartflow.functions.timefn import day_of_week, hour_of_day
 from cartflow.operators.ranks import cumulative
 from cartflow.operators.sessions import fct_sessions
 
-FEATURE_COLUMNS = [
-    "session_duration_minutes",
-    "events_cnt",
-    "views_cnt",
-    "carts_cnt",
-    "distinct_products_cnt",
-    "distinct_categories_cnt",
-    "avg_price_viewed",
-    "hour",
-    "day_of_week",
-    "is_weekend",
-    "user_previous_sessions_cnt",
-    "user_previous_purchases_cnt",
-]
-TARGET_COLUMN = "purchase_flag"
-
-
 def previous_session_counts(sessions: DataFrame) -> DataFrame:
     """W3 + W4: sessions and purchase sessions of the same user strictly
     before each session, ordered by (session_start NULLs last, session_id).
@@ -76,8 +60,18 @@ def session_features(
     (a top-n, not a full sort).  ``keep`` passes extra session-fact columns
     through (e.g. ``revenue`` for the decile table).
     """
-    s = fct_sessions(sessionized, with_view_price=True)
-    s = previous_session_counts(s)
+    return features_of_sessions(fct_sessions(sessionized, with_view_price=True), limit, ordered, keep)
+
+
+def features_of_sessions(
+    sessions: DataFrame,
+    limit: int | None = None,
+    ordered: bool = False,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """The features of a session fact that has ``avg_price_viewed`` (as the marts
+    job writes it): no second sessionisation."""
+    s = previous_session_counts(sessions)
     dow = day_of_week("session_start")
     out = s.select(
         "session_id",

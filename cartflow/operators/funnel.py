@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartflow.functions.labels import (
@@ -192,17 +192,30 @@ def filter_mart(
     date_to=None,
     categories: Sequence[str] | None = None,
     brands: Sequence[str] | None = None,
+    deciles: Sequence[str] | None = None,
     date_col: str = "event_date",
+    month_col: str = "event_month",
 ) -> DataFrame:
-    """Dashboard filters (date range, category, brand) as pushed-down
-    predicates."""
-    out = mart
-    if date_from is not None:
-        out = out.where(F.col(date_col) >= F.lit(date_from))
-    if date_to is not None:
-        out = out.where(F.col(date_col) <= F.lit(date_to))
-    if categories is not None:
-        out = out.where(F.col("category_code").isin(list(categories)))
-    if brands is not None:
-        out = out.where(F.col("brand").isin(list(brands)))
-    return out
+    """Dashboard filters (date range, category, brand, score decile) as
+    pushed-down predicates.  Where the table is partitioned by month, the dates
+    also give a month predicate, so whole partitions are left out."""
+    tests = []
+    for bound, test in ((date_from, Column.__ge__), (date_to, Column.__le__)):
+        if bound is not None:
+            day = F.lit(bound).cast("date")
+            tests.append(test(F.col(date_col), day))
+            if month_col in mart.columns:
+                tests.append(test(F.col(month_col), F.lit(str(bound)[:7])))
+    for col, values in (("category_code", categories), ("brand", brands), ("score_decile", deciles)):
+        if values is not None:
+            tests.append(F.col(col).isin(list(values)))
+    for test in tests:
+        mart = mart.where(test)
+    return mart
+
+
+def by_conversion(top: DataFrame, key: str) -> DataFrame:
+    """The top table by conversion, highest first (ties by key), with the
+    position of each row; the table has ``n`` rows at most, so one task orders it."""
+    order = Window.orderBy(F.col("purchase_conversion_rate").desc_nulls_last(), F.col(key).asc_nulls_last())
+    return top.withColumn("position", F.row_number().over(order))

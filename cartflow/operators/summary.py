@@ -17,9 +17,10 @@ from cartflow.functions.labels import (
     KPI_VIEW_TO_PURCHASE,
     depth_segment,
 )
-from cartflow.functions.ratios import count_if, ratio_or_null
-from cartflow.operators.funnel import event_totals, funnel_metrics
-from cartflow.operators.segments import abandoned_cart_share, purchases_per_user, repeat_purchase_rate
+from cartflow.functions.ratios import count_if, ratio_or_null, safe_divide
+from cartflow.operators.funnel import funnel_rate_columns
+from cartflow.operators.segments import repeat_purchase_rate
+from cartflow.session import checkpoint_dir
 
 
 def side_by_side(*frames: DataFrame) -> DataFrame:
@@ -104,21 +105,32 @@ def overview(fct: DataFrame, sessions: DataFrame) -> DataFrame:
     return side_by_side(a, b)
 
 
-def kpi_counters(fct: DataFrame, sessions: DataFrame) -> DataFrame:
+def _sums(sessions: DataFrame) -> list:
+    """Event totals as sums over sessions: every event is in one session."""
+    return [F.sum(c).cast("bigint").alias(c) for c in ("views_cnt", "carts_cnt", "purchases_cnt")]
+
+
+def kpi_counters(sessions: DataFrame) -> DataFrame:
     """Number of purchases and number of sessions."""
-    a = event_totals(fct).select("purchases_cnt")
-    b = sessions.agg(F.count(F.lit(1)).alias("sessions_cnt"))
-    return side_by_side(a, b)
+    return sessions.agg(*_sums(sessions)[2:], F.count(F.lit(1)).alias("sessions_cnt"))
+
 
+def kpi_table(sessions: DataFrame) -> DataFrame:
+    """The five headline KPIs in long form (metric_order, metric, value).
 
-def kpi_table(fct: DataFrame, sessions: DataFrame) -> DataFrame:
-    """The five headline KPIs in long form (metric_order, metric, value)."""
-    totals = event_totals(fct)
-    rates = funnel_metrics(totals)
-    gmv = totals.select(F.coalesce(F.col("gmv"), F.lit(0.0)).alias("gmv"))
-    repeat = repeat_purchase_rate(purchases_per_user(fct))
-    abandoned = abandoned_cart_share(sessions)
-    one = side_by_side(rates, gmv, repeat, abandoned)
+    All from the session fact, cut to five columns once: one totals row gives
+    rates, GMV and the abandoned share, one row for each user the repeat rate."""
+    checkpoint_dir(sessions.sparkSession)
+    facts = sessions.select("user_id", "views_cnt", "carts_cnt", "purchases_cnt", "revenue").checkpoint()
+    with_cart = F.col("carts_cnt") > 0
+    totals = facts.agg(
+        *_sums(facts),
+        F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("gmv"),
+        safe_divide(count_if(with_cart & (F.col("purchases_cnt") == 0)), count_if(with_cart)).alias("abandoned_cart_share"),
+    )
+    rates = totals.select("gmv", "abandoned_cart_share", *[c.alias(n) for n, c in funnel_rate_columns().items()])
+    buyers = facts.groupBy("user_id").agg(F.sum("purchases_cnt").alias("purchases_cnt")).where("purchases_cnt > 0")
+    one = side_by_side(rates, repeat_purchase_rate(buyers))
     items = [
         (1, KPI_VIEW_TO_PURCHASE, "purchase_conversion_rate"),
         (2, KPI_CART_TO_PURCHASE, "cart_to_purchase_rate"),

@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartflow.operators import funnel, retention
 from cartflow.operators.events import fct_events
-from cartflow.operators.features import session_features
+from cartflow.operators.features import features_of_sessions
 from cartflow.operators.modeling import train_propensity
 from cartflow.operators.sessions import fct_sessions, sessionize
 from cartflow.session import get_session
 from cartflow.sources import raw, sinks
+from cartflow.sources.schema import check_events
 
 log = logging.getLogger(__name__)
 
@@ -53,11 +54,13 @@ def build_marts(
     """
     sinks.require_path(spark, events_path, "processed events")
     out: dict[str, str] = {}
-    fct = sinks.with_ingest_date(fct_events(spark.read.parquet(events_path)))
-    out["fct_events"] = sinks.write_parquet(fct, _p(marts_dir, "fct_events.parquet"), ["event_month"])
-    fct = spark.read.parquet(out["fct_events"]).drop("event_month")
+    events = check_events(spark.read.parquet(events_path))
+    out["fct_events"] = sinks.write_by_month(fct_events(events), _p(marts_dir, "fct_events.parquet"))
+    fct = spark.read.parquet(out["fct_events"]).drop(sinks.MONTH)
 
-    out["fct_sessions"] = sinks.write_parquet(fct_sessions(sessionize(fct)), _p(marts_dir, "fct_sessions.parquet"))
+    # With the mean viewed price, so that training reads sessions, not events.
+    facts = fct_sessions(sessionize(fct.drop("event_date")), with_view_price=True)
+    out["fct_sessions"] = sinks.write_parquet(facts, _p(marts_dir, "fct_sessions.parquet"))
     tables: dict[str, DataFrame] = {
         "mart_funnel_daily": funnel.mart_funnel_daily(fct),
         "mart_retention": retention.mart_retention(fct),
@@ -82,10 +85,9 @@ def train_job(
 ) -> dict[str, dict[str, float]]:
     """Entry 3 (M13, S17, S19): features -> split -> two models -> metrics
     JSON + session scores Parquet."""
-    events = _p(marts_dir, "fct_events.parquet")
-    sinks.require_path(spark, events, "fct_events (run the marts job first)")
-    fct = spark.read.parquet(events).drop("event_month", "event_date")
-    feats = session_features(sessionize(fct))
+    sessions = _p(marts_dir, "fct_sessions.parquet")
+    sinks.require_path(spark, sessions, "fct_sessions (run the marts job first)")
+    feats = features_of_sessions(spark.read.parquet(sessions))
     metrics, scores = train_propensity(feats, tree_iters=tree_iters)
     sinks.save_metrics(spark, metrics, metrics_path or _p(marts_dir, "propensity_metrics.json"))
     sinks.write_parquet(scores, scores_path or _p(marts_dir, "propensity_scores.parquet"))

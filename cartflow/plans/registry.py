@@ -9,9 +9,10 @@ return full-precision values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartflow.operators import deciles, features, funnel, modeling, retention, segments, sessions, summary
@@ -169,14 +170,14 @@ def q_funnel_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("kpi_table")
 def q_kpi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A23 (+A19, A20, A22): the five headline KPIs."""
-    t = summary.kpi_table(_fct(spark, sf_dir), _sessions(spark, sf_dir))
+    t = summary.kpi_table(_sessions(spark, sf_dir))
     return _rounded(t, rates=("value",))
 
 
 @register("kpi_counters")
 def q_kpi_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of purchases and of sessions."""
-    return summary.kpi_counters(_fct(spark, sf_dir), _sessions(spark, sf_dir))
+    return summary.kpi_counters(_sessions(spark, sf_dir))
 
 
 @register("category_funnel")
@@ -408,15 +409,150 @@ def q_propensity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores
 
 
+@register("model_inputs")
+def q_model_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3-M5: exact medians, means, deviations and class weights of the train part."""
+    t = modeling.model_inputs(_split(spark, sf_dir)[0])
+    return _rounded(t, rates=("median", "mean", "deviation", "weight_positive", "weight_negative"))
+
+
+#: Per training row, the largest gradient component that counts as an optimum.
+GRADIENT_TOLERANCE = 1e-3
+
+
+@register("baseline_optimality")
+def q_baseline_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: the fitted baseline is the optimum of its documented objective."""
+    train, _ = _split(spark, sf_dir)
+    found = modeling.largest_gradient(modeling.fit_baseline(train), train)
+    return found.select("rows_cnt", (F.col("gradient") < GRADIENT_TOLERANCE).alias("is_optimum"))
+
+
+@register("propensity_checks")
+def q_propensity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every session once with both scores of the two models in
+    [0, 1], and per model whether its test metrics are in range and beat chance."""
+    scored = modeling.score_sessions(_features(spark, sf_dir), tree_iters=20)
+    metrics = modeling.compare_models(scored)
+    within = lambda c: F.col(c).between(0.0, 1.0)
+    out = scored.select(
+        "session_id", "user_id", "session_start", "purchase_flag",
+        within("baseline_score").alias("baseline_in_range"), within("model_score").alias("trees_in_range"),
+    )
+    for name, label in (("baseline", modeling.MODEL_BASELINE), ("trees", modeling.MODEL_TREES)):
+        m = metrics[label]
+        out = out.withColumn(f"{name}_metrics_in_range", F.lit(all(0.0 <= v <= 1.0 for v in m.values())))
+        out = out.withColumn(f"{name}_beats_chance", F.lit(m["roc_auc"] > 0.5))
+    return out
+
+
+@register("model_comparison")
+def q_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test metrics of both models side by side (rows-only check)."""
+    scored = modeling.score_sessions(_features(spark, sf_dir), tree_iters=20)
+    return sinks.metrics_frame(spark, modeling.compare_models(scored))
+
+
+@register("dashboard_filtered")
+def q_dashboard_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart under the dashboard's date and category filters, from a
+    month-tagged event table."""
+    fct = sinks.with_ingest_date(_fct(spark, sf_dir))
+    kept = funnel.filter_mart(fct, "2024-01-05", "2024-01-20", categories=["STANDARD", "PROMO", "ECONOMY"])
+    return _rounded(funnel.mart_funnel_daily(kept), money=("revenue",), rates=RATES3)
+
+
+@register("decile_filtered")
+def q_decile_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P19 + W7: the score extract under the dashboard's decile filter."""
+    d = deciles.export_scores(deciles.score_deciles(_scored(spark, sf_dir)))
+    return _rounded(funnel.filter_mart(d, deciles=["D1", "D2"]), rates=("model_score",))
+
+
+def _positioned(df: DataFrame, *keys: str) -> DataFrame:
+    """Row positions of a table of at most one row for each pair of months."""
+    order = Window.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    return df.withColumn("position", F.row_number().over(order))
+
+
+@register("mart_retention_ordered")
+def q_mart_retention_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retention mart by cohort and month number."""
+    mart = retention.mart_retention(_po(spark, sf_dir), ordered=True)
+    return _rounded(_positioned(mart, "cohort_month", "months_since_first_purchase"), rates=("retention_rate",))
+
+
+@register("monthly_user_status_ordered")
+def q_monthly_user_status_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New and returning users by month and segment."""
+    status = segments.monthly_user_status(_po(spark, sf_dir), ordered=True)
+    return _positioned(status, "activity_month", "user_segment")
+
+
+@register("first_session_features")
+def q_first_session_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of the first 200 sessions by start."""
+    first = features.session_features(_sessionized(spark, sf_dir), limit=200)
+    order = Window.orderBy(F.col("session_start").asc_nulls_last(), F.col("session_id").asc_nulls_last())
+    return _rounded(first.withColumn("position", F.row_number().over(order)), rates=("avg_price_viewed",))
+
+
+@register("category_funnel_by_conversion")
+def q_category_funnel_by_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top categories by conversion."""
+    t = funnel.by_conversion(funnel.category_funnel(_daily(spark, sf_dir)), "category_code")
+    return _rounded(t, money=("revenue",), rates=("purchase_conversion_rate",))
+
+
+@register("brand_funnel_by_conversion")
+def q_brand_funnel_by_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top brands by conversion."""
+    t = funnel.by_conversion(funnel.brand_funnel(_daily(spark, sf_dir)), "brand")
+    return _rounded(t, money=("revenue",), rates=("purchase_conversion_rate",))
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("etl_raw_csv")
+def q_etl_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S7 + U1: raw text events written as CSV files of two headers, with quoted
+    newlines, found, checked, read by name, cleaned, stored and read back."""
+    ce = load_commerce_events(spark, sf_dir)
+    brand = F.when(F.pmod("event_id", F.lit(13)) == 0, F.concat("brand", F.lit("\nline"))).otherwise(F.col("brand"))
+    raw = rawsrc.raw_text_from_events(ce.withColumn("brand", brand))
+    base = _folder(spark, "raw")
+    options = {
+        "header": "true", "quote": '"', "escape": '"',
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    }
+    first = F.pmod(F.xxhash64("product_id", "user_id"), F.lit(2)) == 0
+    raw.where(first).write.options(**options).csv(f"{base}/a")
+    other = raw.where(~first).withColumn("extra", F.lit("x"))
+    other.select(*reversed(other.columns)).write.options(**options).csv(f"{base}/b")
+    files = rawsrc.find_raw_files(spark, f"{base}/a") + rawsrc.find_raw_files(spark, f"{base}/b")
+    stored = rawsrc.save_processed_events(rawsrc.clean_events(rawsrc.read_raw_events(spark, files)), f"{base}/clean")
+    out = spark.read.parquet(stored).checkpoint()
+    sinks.remove_path(spark, base)
+    return out
+
+
 @register("export_roundtrip")
 def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily mart written as Parquet and CSV under the
-    shared checkpoint folder, read back through the fallback reader (the
-    CSV copy, typed by the mart schema)."""
-    import uuid
-
-    base = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
-    mart = funnel.mart_funnel_daily(_fct(spark, sf_dir))
-    sinks.write_csv(mart, f"{base}/mart_funnel_daily.csv")
-    back = sinks.read_mart(spark, "mart_funnel_daily", base)
-    return _rounded(back, money=("revenue",), rates=RATES3)
+    """The daily mart as catalog table, Parquet and CSV, each
+    read back by the reader that prefers them in this order."""
+    base, name = _folder(spark, "export"), "mart_funnel_daily"
+    mart = funnel.mart_funnel_daily(_fct(spark, sf_dir)).checkpoint()
+    # The reader looks for a table first, so the files are read before there is one.
+    sinks.write_csv(mart, f"{base}/{name}.csv")
+    back = [sinks.read_mart(spark, name, base).withColumn("origin", F.lit("csv")).checkpoint()]
+    sinks.write_parquet(mart, f"{base}/{name}.parquet")
+    back.append(sinks.read_mart(spark, name, base).withColumn("origin", F.lit("parquet")).checkpoint())
+    table = f"cartflow_{uuid.uuid4().hex}"
+    sinks.save_table(mart, table)
+    back.append(sinks.read_mart(spark, table, base).withColumn("origin", F.lit("table")).checkpoint())
+    spark.sql(f"DROP TABLE {table}")
+    sinks.remove_path(spark, base)
+    out = back[0].unionByName(back[1]).unionByName(back[2])
+    return _rounded(out, money=("revenue",), rates=RATES3)

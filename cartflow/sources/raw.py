@@ -5,8 +5,9 @@
 * Headers: only the first line of each file is read, through the Hadoop
   FileSystem API (a few concurrent short reads, no data scan); files are
   then grouped by header and each group is read with an all-STRING schema
-  in that header's column order.  Groups are combined with ``unionByName(allowMissingColumns)`` so
-  a column is matched by name, never by position.
+  in that header's column order, quoted newlines included.  Groups are combined
+  with ``unionByName(allowMissingColumns)`` so a column is matched by name, never
+  by position.
 * Cleaning: nine canonical columns, ``try_cast`` of time and numbers (bad
   values become NULL), ``price >= 0``, DISTINCT over the nine columns.
 """
@@ -22,11 +23,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow.functions.labels import REQUIRED_EVENT_COLUMNS
-from cartflow.sources.schema import find_missing_columns, raw_string_schema
+from cartflow.sources.schema import EventSchemaError, absent_fields, raw_string_schema
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
 
 _NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*)?(\.([0-9]+(_[0-9]+)*)?)?([eE][+-]?[0-9]+)?$"
+_TIME = r"^[0-9]{1,6}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:.*)?)?$"
 _SPECIAL = r"(?i)^[+-]?(nan|inf|infinity)$"
 BOM = "\ufeff"
 
@@ -61,57 +63,58 @@ def _first_line(spark: SparkSession, path: str) -> str:
 def read_headers(spark: SparkSession, files: Sequence[str], threads: int = 16) -> dict[str, list[str]]:
     """Header line of every file, parsed as CSV (file -> column names).
 
-    Reads one line per file, never the data; a small thread pool hides the
-    per-file latency of object stores."""
-    if not files:
-        return {}
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        lines = list(pool.map(lambda f: _first_line(spark, f), files))
-    return {
-        f: next(csv.reader(io.StringIO(line.lstrip(BOM))), [])
-        for f, line in zip(files, lines)
-    }
-
-
-def _same_file(a: str, b: str) -> bool:
-    strip = lambda p: p.replace("file://", "").replace("file:", "")
-    return strip(a) == strip(b)
-
-
-def validate_raw_files(headers: dict[str, list[str]], files: Sequence[str]) -> None:
+    One line of each file is read, never the data: a few files by concurrent
+    short reads here, many by tasks (a one-line, unsplit text read that stops
+    after the first line of each file)."""
+    if len(files) <= 4 * threads:
+        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files) or 1))) as pool:
+            lines = dict(zip(files, pool.map(lambda f: _first_line(spark, f), files), strict=True))
+    else:
+        rows = (
+            spark.read.text(list(files))
+            .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+            .where("at = 0")
+            .withColumn("n", F.monotonically_increasing_id())
+            .groupBy("path")
+            .agg(F.min_by("value", "n").alias("line"))
+            .collect()  # one row for each file
+        )
+        plain = lambda p: p.split(":", 1)[-1].lstrip("/")
+        by_path = {plain(r["path"]): r["line"] for r in rows}
+        lines = {f: by_path.get(plain(f), "") for f in files}
+    return {f: next(csv.reader(io.StringIO(line.lstrip(BOM))), []) for f, line in lines.items()}
+
+
+def validate_raw_files(headers: dict[str, list[str]]) -> None:
     """Every file must carry the nine required columns; the error names
     the file and the missing columns in sorted order."""
-    for f in files:
-        cols = next((h for k, h in headers.items() if _same_file(k, f)), None)
-        if cols is None:
-            raise ValueError(f"File {f.rsplit('/', 1)[-1]} has no header line")
-        missing = find_missing_columns(cols, REQUIRED_EVENT_COLUMNS)
+    for path, columns in headers.items():
+        missing = absent_fields(columns)
         if missing:
-            raise ValueError(
-                f"File {f.rsplit('/', 1)[-1]} is missing required columns: {', '.join(sorted(missing))}"
-            )
+            raise EventSchemaError([f"{path.rsplit('/', 1)[-1]} lacks {', '.join(missing)}"])
 
 
-def read_raw_events(spark: SparkSession, source: str | Sequence[str], validate: bool = True) -> DataFrame:
+def read_raw_events(
+    spark: SparkSession, source: str | Sequence[str], validate: bool = True, multi_line: bool = True
+) -> DataFrame:
     """All raw CSV rows as STRING columns, union by name.
 
     ``source`` is a folder or a list of files.  Raises FileNotFoundError when
     there is no CSV file, ValueError when a file lacks required columns.
+    With ``multi_line`` a quoted field may hold newlines, and a file is one
+    split; without it files are split, for sources known to have none.
     """
     files = find_raw_files(spark, source) if isinstance(source, str) else list(source)
     if not files:
         raise FileNotFoundError(f"no CSV files found in {source}")
     headers = read_headers(spark, files)
     if validate:
-        validate_raw_files(headers, files)
+        validate_raw_files(headers)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        cols = next(h for k, h in headers.items() if _same_file(k, f))
-        groups.setdefault(tuple(cols), []).append(f)
-    frames = [
-        spark.read.options(**CSV_OPTIONS).schema(raw_string_schema(cols)).csv(paths)
-        for cols, paths in groups.items()
-    ]
+    for path, columns in headers.items():
+        groups.setdefault(tuple(columns), []).append(path)
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower())
+    frames = [reader.schema(raw_string_schema(cols)).csv(paths) for cols, paths in groups.items()]
     out = frames[0]
     for fr in frames[1:]:
         out = out.unionByName(fr, allowMissingColumns=True)
@@ -131,17 +134,31 @@ def parse_price(c: Column) -> Column:
 
 
 def parse_time(c: Column) -> Column:
-    """text -> wall-clock TIMESTAMP_NTZ, NULL when unparseable.  A zone
-    suffix such as ' UTC' or '+03' is accepted and ignored (wall clock kept)."""
-    return F.trim(c.cast("string")).try_cast("timestamp_ntz")
+    """text -> wall-clock TIMESTAMP_NTZ, NULL when unparseable.
+
+    A whole date is needed, and hours come with minutes ('2019', '2019-10' and
+    '2019-10-01 10' are NULL).  A zone suffix such as ' UTC' or '+03' is accepted
+    and ignored (wall clock kept).  'epoch' and 'infinity', which the SQL engine
+    of the oracle reads as times, are NULL here."""
+    s = F.trim(c.cast("string"))
+    return F.when(s.rlike(_TIME), s.try_cast("timestamp_ntz"))
+
+
+def parse_id(c: Column) -> Column:
+    """text -> BIGINT in the grammar of numbers: '12.7' rounds half away from
+    zero, '1e3' and '1_000' are 1000; anything else is NULL."""
+    s = F.trim(c.cast("string"))
+    plain = s.rlike(r"^[+-]?[0-9]+$")
+    number = F.when(s.rlike(_NUMBER) & s.rlike("[0-9]"), F.regexp_replace(s, "_", "").try_cast("decimal(38,6)"))
+    return F.when(plain, s.try_cast("bigint")).otherwise(F.round(number, 0).try_cast("bigint"))
 
 
 def typed_events(raw: DataFrame) -> DataFrame:
     """The nine canonical columns with types applied (no row filter)."""
-    missing = find_missing_columns(raw.columns)
+    missing = absent_fields(raw.columns)
     if missing:
-        raise ValueError(f"Missing required columns: {', '.join(sorted(missing))}")
-    as_long = lambda name: F.trim(F.col(name).cast("string")).try_cast("bigint")
+        raise EventSchemaError([f"no field {name}" for name in missing])
+    as_long = lambda name: parse_id(F.col(name))
     return raw.select(
         parse_time(F.col("event_time")).alias("event_time"),
         F.col("event_type").cast("string").alias("event_type"),
@@ -209,7 +226,8 @@ def raw_text_from_events(ce: DataFrame) -> DataFrame:
     """Test adapter: canonical events back to raw text with injected faults.
 
     Every row is kept; by ``event_id`` some prices become '-1', 'abc', NULL,
-    '1e3', ' x ' or 'x' + 'd' (a Java float suffix, not a number here) and some times 'bad' or '<time> UTC'; the whole
+    '1e3', ' x ' or 'x' + 'd' (a Java float suffix, not a number here) and some times 'bad', '<time> UTC', a month, a date and an hour, or a date, and some
+    product ids 'x.7' or 'xe1'; the whole
     table is then appended to itself so every row has an exact duplicate.
     """
     k10 = F.pmod(F.col("event_id"), F.lit(10))
@@ -217,9 +235,18 @@ def raw_text_from_events(ce: DataFrame) -> DataFrame:
     price = F.col("price").cast("string")
     ts = F.col("event_time").cast("string")
     raw = ce.select(
-        F.when(k7 == 0, F.lit("bad")).when(k7 == 1, F.concat(ts, F.lit(" UTC"))).otherwise(ts).alias("event_time"),
+        F.when(k7 == 0, F.lit("bad"))
+        .when(k7 == 1, F.concat(ts, F.lit(" UTC")))
+        .when(k7 == 2, F.substring(ts, 1, 7))  # a month
+        .when(k7 == 3, F.substring(ts, 1, 13))  # a date and an hour
+        .when(k7 == 4, F.substring(ts, 1, 10))  # a date
+        .otherwise(ts)
+        .alias("event_time"),
         "event_type",
-        F.col("product_id").cast("string").alias("product_id"),
+        F.when(k7 == 5, F.concat(F.col("product_id").cast("string"), F.lit(".7")))
+        .when(k7 == 6, F.concat(F.col("product_id").cast("string"), F.lit("e1")))
+        .otherwise(F.col("product_id").cast("string"))
+        .alias("product_id"),
         F.col("category_id").cast("string").alias("category_id"),
         "category_code",
         "brand",

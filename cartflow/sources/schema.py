@@ -35,29 +35,53 @@ def raw_string_schema(columns: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def find_missing_columns(
-    columns: Iterable[str], required: Iterable[str] = REQUIRED_EVENT_COLUMNS
-) -> set[str]:
-    """Required names absent from ``columns`` (V1)."""
-    return set(required) - set(columns)
+class EventSchemaError(ValueError):
+    """The input does not have the shape of event data; ``problems`` says why."""
 
+    def __init__(self, problems: list[str]):
+        self.problems = problems
+        super().__init__("not event data: " + "; ".join(problems))
 
-def has_required_columns(
-    columns: Iterable[str], required: Iterable[str] = REQUIRED_EVENT_COLUMNS
-) -> bool:
-    """True when nothing is missing (V2)."""
-    return not find_missing_columns(columns, required)
 
+def absent_fields(names: Iterable[str], needed: Iterable[str] = REQUIRED_EVENT_COLUMNS) -> list[str]:
+    """V1: the needed names that ``names`` lacks, in alphabetical order."""
+    have = frozenset(names)
+    return sorted(n for n in needed if n not in have)
 
-def is_non_empty(df: DataFrame) -> bool:
-    """V3: at least one row (a one-row probe, not a count)."""
+
+def covers(names: Iterable[str], needed: Iterable[str] = REQUIRED_EVENT_COLUMNS) -> bool:
+    """V2: whether all needed names are there."""
+    return frozenset(needed) <= frozenset(names)
+
+
+def has_rows(df: DataFrame) -> bool:
+    """V3: whether there is a row at all (a probe for one, not a count)."""
     return not df.isEmpty()
 
 
-def validate_events(df: DataFrame) -> None:
-    """V4: missing-column error first (sorted names), then empty error."""
-    missing = find_missing_columns(df.columns)
-    if missing:
-        raise ValueError(f"Missing required columns: {', '.join(sorted(missing))}")
-    if not is_non_empty(df):
-        raise ValueError("Event data frame is empty")
+def schema_problems(df: DataFrame) -> list[str]:
+    """What keeps ``df`` from being typed event data, from its schema alone: fields
+    that are missing, or whose type cannot be read as the canonical one."""
+    missing = absent_fields(df.columns)
+    found = [f"no field {name}" for name in missing]
+    for field in EVENT_SCHEMA:
+        if field.name in missing:
+            continue
+        kind = df.schema[field.name].dataType
+        text = isinstance(kind, T.StringType)
+        number = isinstance(kind, T.NumericType) and isinstance(field.dataType, T.NumericType)
+        time = isinstance(kind, (T.TimestampType, T.TimestampNTZType)) and field.name == "event_time"
+        if not (text or number or time or kind == field.dataType):
+            found.append(f"{field.name} is {kind.simpleString()}, not {field.dataType.simpleString()}")
+    return found
+
+
+def check_events(df: DataFrame) -> DataFrame:
+    """V4: ``df`` itself if it is event data with rows; schema faults are reported
+    before any row is read."""
+    problems = schema_problems(df)
+    if not problems and not has_rows(df):
+        problems.append("no rows")
+    if problems:
+        raise EventSchemaError(problems)
+    return df

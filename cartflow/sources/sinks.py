@@ -66,6 +66,9 @@ BI_EXPORTS = {
     "mart_retention": "datalens_retention",
     "mart_product_conversion": "datalens_product_conversion",
 }
+BI_SESSIONS_SUMMARY = "datalens_sessions_summary"
+BI_SCORES = "datalens_propensity_scores"
+BI_DECILES = "datalens_propensity_deciles"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -187,7 +190,7 @@ def export_bi(
             continue
         written.append(write_csv(df, f"{out}/{file_name}.csv"))
     if sessions is not None:
-        written.append(write_csv(sessions_summary(sessions), f"{out}/datalens_sessions_summary.csv",
+        written.append(write_csv(sessions_summary(sessions), f"{out}/{BI_SESSIONS_SUMMARY}.csv",
                                  single_file=True))
     else:
         log.warning("sessions summary needs the session fact; skipped")
@@ -195,8 +198,8 @@ def export_bi(
         scores = read_scores(spark, scores_path)
         if scores is not None:
             deciled = score_deciles(scores)
-            written.append(write_csv(export_scores(deciled), f"{out}/datalens_propensity_scores.csv"))
-            written.append(write_csv(decile_summary(deciled), f"{out}/datalens_propensity_deciles.csv",
+            written.append(write_csv(export_scores(deciled), f"{out}/{BI_SCORES}.csv"))
+            written.append(write_csv(decile_summary(deciled), f"{out}/{BI_DECILES}.csv",
                                      single_file=True))
     if not written:
         raise FileNotFoundError("no marts found to export; build the marts first")
@@ -209,6 +212,22 @@ def require_path(spark: SparkSession, path: str, what: str) -> None:
         raise FileNotFoundError(f"{what} not found: {path}")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library has written."""
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
+MONTH = "event_month"
+
+
 def with_ingest_date(df: DataFrame, col: str = "event_time") -> DataFrame:
     """Month partition column for partitioned event storage."""
-    return df.withColumn("event_month", F.date_format(F.to_date(col), "yyyy-MM"))
+    return df.withColumn(MONTH, F.date_format(F.to_date(col), "yyyy-MM"))
+
+
+def write_by_month(df: DataFrame, path: str, col: str = "event_time") -> str:
+    """Overwrite a Parquet dataset partitioned by month.  Rows are gathered by
+    month first, so a month gets files of the advisory size instead of one from
+    every task; large months are split over tasks."""
+    return write_parquet(with_ingest_date(df, col).hint("rebalance", MONTH), path, [MONTH])
