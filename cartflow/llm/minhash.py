@@ -13,8 +13,8 @@ Candidates come from table keys only and are confirmed on full sets:
 * every class in a table is compared with the table's smallest class (a star,
   linear in the table's size), and the confirmed links give first components;
 * in tables that still hold several components, the classes outside the table's
-  own component are compared with the others, so that no link is lost and no
-  table is expanded into all its pairs;
+  own component are compared with the others, each pair in the first table that it
+  shares, so that no link is lost and no table is expanded into all its pairs;
 * before sets are fetched, an exact bound on the symmetric difference (the
   Hamming distance of 1,024-bit parity bitmaps never exceeds it) drops pairs
   that cannot reach the threshold.
@@ -29,6 +29,8 @@ one component.  A row without doc_id is reported with null component and kept.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -109,7 +111,7 @@ def _table_keys(reps: DataFrame, side: int) -> DataFrame:
     return (
         reps.where("n_shingles > 0")
         .select("doc_id", "halves", slot.alias("slot"))
-        .select(F.xxhash64("slot", left, right).alias("key"), F.col("doc_id").alias("rep"))
+        .select(F.xxhash64("slot", left, right).alias("key"), "slot", F.col("doc_id").alias("rep"))
     )
 
 
@@ -127,6 +129,16 @@ def _may_link(a: str, b: str, percent: int) -> F.Column:
     )
 
 
+def _first_shared(a: str, b: str, side: int) -> F.Column:
+    """Whether the row's table is the first one that the two texts share, so that a
+    pair comes from one of its tables only."""
+    before = lambda half, place: [
+        (F.lit(i) < place) & (F.col(f"{a}.halves")[half + i] == F.col(f"{b}.halves")[half + i]) for i in range(side)
+    ]
+    left, right = F.expr(f"{a}.slot div {side}"), F.col(f"{a}.slot") % side
+    return ~reduce(or_, before(0, left) + before(side, right))
+
+
 def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold."""
 
@@ -159,14 +171,17 @@ def near_duplicates(
     similarity), kept (doc_id = component_id)."""
     signed = cut(signatures(docs, width, side))
     # Empty sets get a class each; equal sets share one, counted before the shuffle.
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("mark").agg(F.min("doc_id").alias("rep"))
+    # (Cut, so that no join inherits the partitioning by set: a set that very many
+    # texts share would lie in one task.)
+    some = signed.where("n_shingles > 0 and doc_id is not null")
+    classes = cut(some.groupBy("mark").agg(F.min("doc_id").alias("rep")))
     member = cut(
         signed.where("doc_id is not null").select("doc_id", "n_shingles", "mark").join(classes, "mark", "left").drop("mark")
     )
     reps = signed.join(
         classes.select(F.col("rep").alias("doc_id"), "mark"), ["doc_id", "mark"], "left_semi"
     ).dropDuplicates(["doc_id", "mark"])
-    sketch = cut(reps.select("doc_id", "n_shingles", "bits"))
+    sketch = cut(reps.select("doc_id", "n_shingles", "bits", "halves"))
     keys = _table_keys(reps, side)
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     tables = cut(keys.join(hubs, "key"))
@@ -202,6 +217,7 @@ def near_duplicates(
             (F.col("x.key") == F.col("y.key"))
             & (F.col("x.label") != F.col("y.label"))
             & outside
+            & _first_shared("x", "y", side)
             & _may_link("x", "y", percent),
         )
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
