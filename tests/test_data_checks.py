@@ -3,44 +3,37 @@ import pytest
 from cartflow.functions.labels import REQUIRED_EVENT_COLUMNS
 from cartflow.sources.schema import (
     EVENT_SCHEMA,
-    find_missing_columns,
-    has_required_columns,
-    is_non_empty,
-    validate_events,
+    EventSchemaError,
+    absent_fields,
+    check_events,
+    covers,
+    has_rows,
+    schema_problems,
 )
 
 
-def test_find_missing_columns():
-    assert find_missing_columns(["event_type"]) == set(REQUIRED_EVENT_COLUMNS) - {"event_type"}
-    assert find_missing_columns(REQUIRED_EVENT_COLUMNS) == set()
+def test_names():
+    assert absent_fields(REQUIRED_EVENT_COLUMNS) == [] and covers(REQUIRED_EVENT_COLUMNS)
+    some = [c for c in REQUIRED_EVENT_COLUMNS if c not in ("price", "brand")] + ["extra"]
+    assert absent_fields(some) == ["brand", "price"] and not covers(some)
 
 
-def test_has_required_columns():
-    assert has_required_columns(REQUIRED_EVENT_COLUMNS)
-    assert not has_required_columns(["event_type"])
+def test_schema_faults_come_before_rows(spark):
+    df = spark.createDataFrame([(True, 1)], "event_time boolean, user_id int")
+    problems = schema_problems(df)
+    assert "no field brand" in problems and "event_time is boolean, not timestamp_ntz" in problems
+    assert not any("user_id" in p for p in problems)
+    with pytest.raises(EventSchemaError) as error:
+        check_events(df.limit(0))
+    assert error.value.problems == problems
 
 
-def test_validate_missing_columns_first(spark):
-    df = spark.createDataFrame([("view",)], "event_type string")
-    assert is_non_empty(df)
-    with pytest.raises(ValueError, match="Missing required columns: brand, category_code"):
-        validate_events(df)
-
-
-def test_validate_empty(spark):
-    df = spark.createDataFrame([], EVENT_SCHEMA)
-    assert not is_non_empty(df)
-    with pytest.raises(ValueError, match="empty"):
-        validate_events(df)
-
-
-def test_spread_small_scan_only_for_few_splits(spark):
-    from cartflow.sources.adapters import spread_small_scan
-
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread_small_scan(many) is many  # enough splits: untouched, no shuffle
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = spread_small_scan(one)
-    assert spread.rdd.getNumPartitions() == cores
-    assert spread.count() == 1000
+def test_rows(spark):
+    empty = spark.createDataFrame([], EVENT_SCHEMA)
+    assert schema_problems(empty) == [] and not has_rows(empty)
+    with pytest.raises(EventSchemaError, match="no rows"):
+        check_events(empty)
+    one = spark.createDataFrame([tuple([None] * len(EVENT_SCHEMA))], EVENT_SCHEMA)
+    assert check_events(one) is one
+    text = one.select(*[one[c].cast("string").alias(c) for c in one.columns])
+    assert schema_problems(text) == []

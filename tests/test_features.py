@@ -1,11 +1,12 @@
-"""Feature table (running per-user counts over hour buckets) against the
-window SQL in DuckDB on random events with NULL times and NULL users."""
+"""Feature table against the paired-session SQL in DuckDB on random events with
+NULL times and NULL users."""
 
 import datetime as dt
 import random
 
 import pandas as pd
 
+from cartflow.functions.labels import FEATURE_COLUMNS, TARGET_COLUMN
 from cartflow.operators.features import session_features
 from cartflow.operators.sessions import sessionize
 from cartflow.plans import oracle
@@ -27,10 +28,7 @@ def _events(seed, n=150):
     return rows
 
 
-COLS = ["session_id", "user_id", "session_start", "session_duration_minutes", "events_cnt", "views_cnt",
-        "carts_cnt", "distinct_products_cnt", "distinct_categories_cnt", "avg_price_viewed", "hour",
-        "day_of_week", "is_weekend", "user_previous_sessions_cnt", "user_previous_purchases_cnt",
-        "purchase_flag"]
+COLS = ["session_id", "user_id", "session_start", *FEATURE_COLUMNS, TARGET_COLUMN]
 
 
 def _norm(v):

@@ -78,14 +78,16 @@ def test_filters_reach_the_scan(spark, workdir):
     events = os.path.join(base, "events_pruning.parquet")
     jobs.etl_job(spark, raw_dir, events)
     out = jobs.build_marts(spark, events, marts, csv_copies=False)
-    fct = spark.read.parquet(out["fct_events"]).where(F.col("event_month") == "2024-01")
-    filtered = funnel.filter_mart(fct, date_from="2024-01-05", categories=["STANDARD"])
+    fct = spark.read.parquet(out["fct_events"])
+    filtered = funnel.filter_mart(fct, date_from="2024-01-05", date_to="2024-01-20", categories=["STANDARD"])
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = filtered._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_month" in plan
+    assert "(event_month#" in plan and ">= 2024-01)" in plan  # derived from the dates
     assert "GreaterThanOrEqual(event_date,2024-01-05)" in plan
     assert "In(category_code" in plan or "EqualTo(category_code" in plan
-    assert filtered.count() == fct.where("event_date >= '2024-01-05' and category_code = 'STANDARD'").count()
+    days = "event_date BETWEEN '2024-01-05' AND '2024-01-20'"
+    assert filtered.count() == fct.where(f"{days} AND category_code = 'STANDARD'").count()
 
 
 def test_catalog_table_first(spark):

@@ -1,5 +1,8 @@
-"""Metric helpers with the exact values of the original unit tests."""
+"""Ratios and shares, each against the same count in Python."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from cartflow.functions.ratios import ratio_or_null, safe_divide
@@ -7,32 +10,29 @@ from cartflow.operators.funnel import funnel_metrics
 from cartflow.operators.segments import abandoned_cart_share, repeat_purchase_rate
 
 
-def test_safe_divide(spark):
-    r = spark.range(1).select(safe_divide(F.lit(10), F.lit(0)).alias("a"),
-                              safe_divide(F.lit(2), F.lit(4)).alias("b"),
-                              ratio_or_null(F.lit(2), F.lit(0)).alias("c")).first()
-    assert (r["a"], r["b"], r["c"]) == (0.0, 0.5, None)
-
-
-def test_funnel_metrics(spark):
-    totals = spark.createDataFrame([(100, 20, 5)], "views_cnt long, carts_cnt long, purchases_cnt long")
-    r = funnel_metrics(totals).first()
-    assert r["view_to_cart_rate"] == 0.2
-    assert r["cart_to_purchase_rate"] == 0.25
-    assert r["purchase_conversion_rate"] == 0.05
-
-
-def test_repeat_purchase_rate(spark):
-    df = spark.createDataFrame([(1, 1), (2, 2), (3, 0), (4, 3)], "user_id long, purchases_cnt long")
-    assert repeat_purchase_rate(df).first()[0] == 2 / 3
-
-
-def test_repeat_purchase_rate_empty(spark):
-    df = spark.createDataFrame([], "user_id long, purchases_cnt long")
-    assert repeat_purchase_rate(df).first()[0] == 0.0
-
-
-def test_abandoned_cart_share(spark):
-    df = spark.createDataFrame([("a", 1, 0), ("b", 2, 1), ("c", 0, 0), ("d", 1, 0)],
-                               "session_id string, carts_cnt long, purchases_cnt long")
-    assert abandoned_cart_share(df).first()[0] == 2 / 3
+@pytest.mark.parametrize(("num", "den", "safe", "null"), [(7, 8, 0.875, 0.875), (0, 3, 0.0, 0.0), (9, 0, 0.0, None), (0, 0, 0.0, None)])
+def test_division_rules(spark, num, den, safe, null):
+    row = spark.range(1).select(safe_divide(F.lit(num), F.lit(den)), ratio_or_null(F.lit(num), F.lit(den))).first()
+    assert tuple(row) == (safe, null)
+
+
+@pytest.mark.parametrize("counts", [(640, 160, 48), (0, 0, 0), (5, 0, 2)])
+def test_funnel_rates(spark, counts):
+    views, carts, buys = counts
+    totals = spark.createDataFrame([counts], "views_cnt long, carts_cnt long, purchases_cnt long")
+    share = lambda a, b: a / b if b else 0.0
+    row = funnel_metrics(totals).first()
+    assert (row["view_to_cart_rate"], row["cart_to_purchase_rate"], row["purchase_conversion_rate"]) == (
+        share(carts, views), share(buys, carts), share(buys, views),
+    )
+
+
+def test_repeat_buyers_and_abandoned_carts(spark):
+    rnd = random.Random(8)
+    rows = [(k, rnd.choice([0, 0, 1, 2]), rnd.choice([0, 1, 1, 4])) for k in range(90)]
+    df = spark.createDataFrame(rows, "user_id long, carts_cnt long, purchases_cnt long")
+    buyers = [b for _, _, b in rows if b]
+    assert repeat_purchase_rate(df).first()[0] == sum(b > 1 for b in buyers) / len(buyers)
+    carted = [b for _, c, b in rows if c]
+    assert abandoned_cart_share(df).first()[0] == carted.count(0) / len(carted)
+    assert repeat_purchase_rate(df.limit(0)).first()[0] == abandoned_cart_share(df.limit(0)).first()[0] == 0.0

@@ -1,49 +1,89 @@
-"""Propensity models on the 40-row frame of the original tests."""
+"""Propensity models on sessions whose outcome is known from two features."""
 
-import datetime as dt
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cartflow.functions.labels import FEATURE_COLUMNS, TARGET_COLUMN
 from cartflow.operators import deciles, modeling
-from cartflow.operators.features import FEATURE_COLUMNS
 
 
 @pytest.fixture(scope="module")
-def frame(spark):
+def visits(spark):
+    """Buyers put things into the cart and stay; some values are missing."""
+    rnd = random.Random(17)
     rows = []
-    for i in range(40):
-        rows.append((
-            f"session_{i}", i % 8, dt.datetime(2020, 1, 1) + dt.timedelta(hours=i),
-            5 + i, 2 + i % 6, 1 + i % 4, 1 if i % 4 == 0 else 0, 1 + i % 3, 1 + i % 2,
-            10.0 + i, i % 24, i % 7, 1 if i % 7 in (0, 6) else 0, i // 8, i // 20,
-            1 if i % 5 == 0 else 0,
-        ))
-    cols = ["session_id", "user_id", "session_start", *FEATURE_COLUMNS, "purchase_flag"]
-    return spark.createDataFrame(rows, cols).withColumn("session_start", F.col("session_start").cast("timestamp_ntz"))
-
-
-def test_time_split_order_and_sizes(frame):
-    split = deciles.time_split(frame.orderBy(F.rand(42)), 0.75)
-    train = split.where("is_train")
-    test = split.where("not is_train")
-    assert (train.count(), test.count()) == (30, 10)
-    assert train.agg(F.max("session_start")).first()[0] <= test.agg(F.min("session_start")).first()[0]
-
-
-def test_time_split_errors(spark, frame):
-    with pytest.raises(ValueError):
-        deciles.time_split(frame, 1.0)
+    for k in range(260):
+        carts, minutes = rnd.choice([0, 0, 0, 1, 2, 5]), rnd.expovariate(1 / 20)
+        bought = int(rnd.random() < 1 / (1 + np.exp(3 - 1.5 * carts - minutes / 30)))
+        noise = [rnd.choice([None, float(rnd.randint(0, 9))]) for _ in FEATURE_COLUMNS]
+        own = dict(zip(FEATURE_COLUMNS, noise, strict=True)) | {"carts_cnt": float(carts), "session_duration_minutes": minutes}
+        rows.append((f"v{k:04d}", rnd.randint(1, 40), k * 7919 % 260, *[own[c] for c in FEATURE_COLUMNS], bought))
+    schema = "session_id string, user_id long, at long, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    df = spark.createDataFrame(rows, f"{schema}, {TARGET_COLUMN} int")
+    start = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("at") * 600).cast("timestamp_ntz")
+    return df.withColumn("session_start", start).drop("at")
+
+
+def _parts(visits, share=0.7):
+    split = deciles.time_split(visits, share)
+    return split.where("is_train"), split.where("not is_train")
+
+
+def test_split_is_by_time(visits):
+    train, test = _parts(visits)
+    assert (train.count(), test.count()) == (182, 78)
+    assert train.agg(F.max("session_start")).first()[0] < test.agg(F.min("session_start")).first()[0]
+
+
+@pytest.mark.parametrize("share", [0.0, 1.0, -0.5, 1.5])
+def test_split_needs_a_proper_share(visits, share):
     with pytest.raises(ValueError):
-        deciles.time_split(frame.limit(0), 0.8)
-
-
-def test_models_train_and_report_metrics(frame):
-    split = deciles.time_split(frame, 0.8)
-    train = split.where("is_train").drop("is_train", "time_rank")
-    test = split.where("not is_train").drop("is_train", "time_rank")
-    for model in (modeling.fit_baseline(train), modeling.fit_trees(train, max_iter=5)):
-        m = modeling.evaluate(modeling.score(model, test)).first().asDict()
-        assert set(m) == {"roc_auc", "pr_auc", "precision_at_top_10_percent",
-                          "purchase_capture_rate_at_top_10_percent"}
-        assert all(0.0 <= v <= 1.0 for v in m.values())
+        deciles.time_split(visits, share)
+
+
+def test_split_needs_two_rows(visits):
+    for n in (0, 1):
+        with pytest.raises(ValueError):
+            deciles.time_split(visits.limit(n))
+
+
+def test_inputs_against_numpy(visits):
+    train, _ = _parts(visits)
+    pdf = train.toPandas()
+    got = {r.feature: r for r in modeling.model_inputs(train).collect()}
+    for c in FEATURE_COLUMNS:
+        median = pdf[c].median()
+        filled = pdf[c].fillna(median)
+        assert np.allclose([got[c].median, got[c]["mean"], got[c].deviation], [median, filled.mean(), filled.std()])
+    y = pdf[TARGET_COLUMN]
+    assert np.isclose(got["hour"].weight_positive, len(y) / (2 * y.sum()))
+    assert np.isclose(got["hour"].weight_negative, len(y) / (2 * (1 - y).sum()))
+
+
+def test_baseline_is_at_its_optimum(visits):
+    train, _ = _parts(visits)
+    row = modeling.largest_gradient(modeling.fit_baseline(train, tol=1e-8), train).first()
+    assert row.rows_cnt == 182 and row.gradient < 1e-4
+
+
+def test_both_models_beat_chance_on_later_visits(visits):
+    scored = modeling.score_sessions(visits, share=0.7, tree_iters=8)
+    assert scored.count() == 260 and scored.select("session_id").distinct().count() == 260
+    for col in ("baseline_score", "model_score"):
+        assert scored.where(F.col(col).between(0, 1)).count() == 260
+    metrics = modeling.compare_models(scored)
+    assert sorted(metrics) == sorted([modeling.MODEL_BASELINE, modeling.MODEL_TREES])
+    for values in metrics.values():
+        assert len(values) == 4 and all(0 <= v <= 1 for v in values.values()) and values["roc_auc"] > 0.6
+
+
+def test_trees_stop_early_on_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(modeling, "EARLY_STOP_ROWS", 100)
+    rnd = random.Random(3)
+    rows = [tuple(float(rnd.randint(0, 3)) for _ in FEATURE_COLUMNS) + (rnd.randint(0, 1),) for _ in range(400)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + f", {TARGET_COLUMN} int")
+    model = modeling.fit_trees(df, max_iter=30)  # labels are noise: the held-back error soon rises
+    assert model.stages[-1].getNumTrees < 30

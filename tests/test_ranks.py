@@ -2,6 +2,7 @@
 brute force on small frames."""
 
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -51,20 +52,36 @@ def test_exact_quantiles(spark):
     assert ranks.exact_quantiles(df, "x", [0.75]).first()[0] == 4.75
     df7 = spark.createDataFrame([(float(v),) for v in range(1, 8)], "x double")
     q = ranks.exact_quantiles(df7, "x", [1 / 3, 2 / 3]).first()
-    assert (q[0], q[1]) == (3.0, 5.0)
+    assert (q[0], q[1], q["q_distinct"]) == (3.0, 5.0, 7)
+    many = spark.range(100_000).selectExpr("IF(id % 10 = 0, id, 4) AS x")  # one value in nine rows of ten
+    assert tuple(ranks.exact_quantiles(many, "x", [0.5, 0.95]).first()) == (4.0, float(np.quantile(
+        [i if i % 10 == 0 else 4 for i in range(100_000)], 0.95)), 10_001)
+    assert ranks.value_counts(many, "x").agg(F.max("n")).first()[0] == 90_000
+    none = ranks.exact_quantiles(many.limit(0), "x", [0.5]).first()
+    assert tuple(none) == (None, 0)
     rnd = np.random.default_rng(1)
     xs = rnd.normal(size=301)
     dfr = spark.createDataFrame([(float(v),) for v in xs], "x double")
     got = ranks.exact_quantiles(dfr, "x", [0.1, 0.5, 0.9]).first()
-    assert np.allclose(list(got), np.quantile(xs, [0.1, 0.5, 0.9]), rtol=0, atol=1e-12)
+    assert np.allclose(list(got)[:3], np.quantile(xs, [0.1, 0.5, 0.9]), rtol=0, atol=1e-12)
 
 
-def test_top_share_metrics_reference_example(spark):
-    y = [1, 0, 0, 1, 0, 1, 0, 0, 0, 0]
-    s = [0.99, 0.2, 0.1, 0.8, 0.3, 0.7, 0.4, 0.5, 0.6, 0.05]
-    r = deciles.top_share_metrics(_scores(spark, s, y)).first()
-    assert r["precision_at_top_10_percent"] == 1.0
-    assert r["purchase_capture_rate_at_top_10_percent"] == 1 / 3
+def test_top_share_against_a_full_sort(spark):
+    """Heavy ties at the border: its rows are taken by the tie-breakers."""
+    rnd = random.Random(21)
+    for n, share in ((57, 0.1), (40, 0.25), (9, 1.0), (30, 0.01)):
+        scores = [rnd.choice([0.2, 0.4, 0.4, 0.8]) for _ in range(n)]
+        labels = [rnd.randint(0, 1) for _ in range(n)]
+        df = _scores(spark, scores, labels)
+        rows = sorted(df.collect(), key=lambda r: (-r["model_score"], r["session_start"], r["session_id"], r["user_id"]))
+        top = [r["purchase_flag"] for r in rows[: max(1, math.ceil(n * share))]]
+        got = deciles.top_share_metrics(df, share=share).first()
+        assert got["precision_at_top_10_percent"] == sum(top) / len(top)
+        assert got["purchase_capture_rate_at_top_10_percent"] == (sum(top) / sum(labels) if sum(labels) else 0.0)
+
+
+def test_top_share_of_nothing(spark):
+    assert tuple(deciles.top_share_metrics(_scores(spark, [])).first()) == (0.0, 0.0)
 
 
 def test_top_share_bad_share(spark):
@@ -110,3 +127,19 @@ def test_global_rank_nulls_last(spark):
     got = {r["session_id"]: r["rank"] for r in ranks.global_rank(df, order, num_ranges=5).collect()}
     expect = sorted(rows, key=lambda r: (r[1] is None, r[1] or base, r[0]))
     assert got == {sid: i + 1 for i, (sid, _) in enumerate(expect)}
+
+
+def test_exact_medians(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.choice([None, float(rnd.randint(0, 5))]), rnd.random(), None) for _ in range(101)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    want = [float(np.median([r[i] for r in rows if r[i] is not None])) for i in (0, 1)]
+    assert ranks.exact_medians(df, ["a", "b", "c"]) == {"a": want[0], "b": want[1], "c": None}
+
+
+def test_auc_of_huge_counts(spark):
+    """Counts whose product exceeds BIGINT."""
+    per = spark.createDataFrame([(0.9, 4_000_000_000, 0), (0.1, 0, 4_000_000_000)], "s double, p long, q long")
+    rows = ranks.cumulative(per, [F.col("s").desc()], ["p", "q"])
+    got = rows.agg(F.sum(F.col("p").cast("double") * F.col("total_q").cast("double"))).first()[0]
+    assert got == 1.6e19

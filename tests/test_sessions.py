@@ -117,3 +117,41 @@ def test_gap_parameter(spark):
                      .orderBy("event_id").select("session_id").collect()]
     assert ids(30) == ["derived_1_1", "derived_1_2", "derived_1_3"]
     assert ids(180) == ["derived_1_1", "derived_1_1", "derived_1_2"]
+
+
+def _untied(seed: int, n: int):
+    """Distinct nine-column events with many tied and missing times."""
+    rnd = random.Random(seed)
+    base = dt.datetime(2020, 1, 1)
+    rows = set()
+    for _ in range(n):
+        tm = None if rnd.random() < 0.25 else base + dt.timedelta(minutes=rnd.choice([0, 0, 20, 31, 62, 93, 124]))
+        rows.add((tm, rnd.choice(["view", "cart", None]), rnd.choice([1, None]), rnd.choice([1, 2, None]), rnd.choice(["c", None]),
+                  rnd.choice(["x", "y"]), rnd.choice([1.0, 2.0, None]), rnd.choice([1, 2, None]), rnd.choice([None, "", "a"])))
+    return sorted(rows, key=str)
+
+
+def test_total_order_without_event_id(spark):
+    from cartflow.sources.schema import EVENT_SCHEMA
+
+    order = ", ".join(f"{c} NULLS LAST" for c in ("event_type", "product_id", "category_id", "category_code", "brand", "price", "user_session"))
+    names = EVENT_SCHEMA.fieldNames()
+    columns = [*names, "source_session_id", "derived_session_start", "session_id", "previous_event_time"]
+    for seed in range(5):
+        data = _untied(seed, 80)
+        got = sessionize(spark.createDataFrame(data, EVENT_SCHEMA), with_previous_time=True).select(*columns)
+        pdf = pd.DataFrame(data, columns=names)
+        pdf["event_time"] = pd.to_datetime(pdf["event_time"])
+        for c in ("product_id", "category_id", "user_id"):
+            pdf[c] = pdf[c].astype("Int64")
+        want = run(f"WITH {oracle.sessionized(order)} SELECT {', '.join(columns)} FROM sessionized", ce=pdf)
+        plain = lambda v: None if pd.isna(v) else v.to_pydatetime() if hasattr(v, "to_pydatetime") else v
+        key = lambda r: tuple((v is None, str(v)) for v in r)
+        w = sorted((tuple(plain(v) for v in r) for r in want.itertuples(index=False)), key=key)
+        assert sorted(map(tuple, got.collect()), key=key) == w, f"seed {seed}"
+
+
+def test_no_sort_based_minimum_in_the_plan(spark):
+    fact = fct_sessions(sessionize(frame(spark, FIXTURE)))
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(struct" not in plan and "min(named_struct" not in plan
