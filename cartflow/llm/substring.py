@@ -7,6 +7,11 @@ minimiser.  Equal windows have equal minimisers, so a bucket sees every copy of
 its windows: it sorts their 128-bit hashes with (doc_id, start) and every window
 but the first of its group is a repeat.
 
+A gram that very many windows have in common (a phrase of a licence, say) would
+send them all to one bucket.  So the windows of all documents are first counted by
+the cell of their minimiser; grams of a cell that alone would fill an average
+bucket are passed over, and their windows go by the smallest of their other grams.
+
 Packing works on slices of a few megabytes.  A super-k-mer that a slice holds
 more than once is shipped once, in its earliest place; the later places are
 repeats already, so a passage of very many copies costs each bucket one string
@@ -32,6 +37,8 @@ from cartflow.llm.common import Words, mix, per_slice, powers, slices, window_ha
 
 #: Stands for a missing doc_id: after all others.
 LAST = (1 << 63) - 1
+#: Cells by which minimisers are counted.
+CELLS = 1 << 16
 #: Bytes of text packed at a time; larger slices compress better and need more memory.
 PACK_BYTES = 4 << 20
 #: zstd level of packed strings.
@@ -106,24 +113,68 @@ def merge_spans(doc: np.ndarray, begin: np.ndarray, end: np.ndarray):
     return doc[at], begin[at], np.maximum.reduceat(end + lift, at) - lift[at]
 
 
-def _packer(width: int, gram: int, buckets: int):
+class _Windows:
+    """The windows of some texts: row, first word and minimiser of each."""
+
+    def __init__(self, words: Words, width: int, gram: int, crowded: np.ndarray | None = None):
+        windows = np.maximum(np.diff(words.first) - width + 1, 0)
+        self.row = np.repeat(np.arange(len(windows)), windows)
+        before = np.repeat(np.cumsum(windows) - windows, windows)
+        self.at = np.arange(len(self.row)) - before + words.first[self.row]
+        if not len(self.at):
+            self.key = np.zeros(0, np.uint64)
+            return
+        grams = window_hashes(words.hash, gram)
+        span = width - gram + 1
+        if crowded is None:
+            self.key = sliding_min(grams, span)[self.at]
+            return
+        none = np.uint64((1 << 64) - 1)
+        self.key = sliding_min(np.where(crowded[_cell(grams)], none, grams), span)[self.at]
+        if (lost := self.key == none).any():  # nothing but crowded grams
+            self.key[lost] = sliding_min(grams, span)[self.at][lost]
+
+    def heads(self) -> np.ndarray:
+        """First windows of the super-k-mers."""
+        row, key = self.row, self.key
+        return np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (key[1:] != key[:-1]))))
+
+
+def _cell(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def crowded_cells(keyed: DataFrame, width: int, gram: int, buckets: int) -> np.ndarray:
+    """Which cells of minimisers hold more super-k-mers than an average bucket
+    (``buckets`` cells at most); ``CELLS`` counts reach the driver, over all rows."""
+
+    def run(batches):
+        total = np.zeros(CELLS, np.int64)
+        for _, texts in slices(batches, "text"):
+            own = _Windows(Words(texts), width, gram)
+            if len(own.at):
+                total += np.bincount(_cell(own.key[own.heads()]), minlength=CELLS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["cell", "n"])
+
+    got = keyed.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    return counts > counts.sum() / buckets
+
+
+def _packer(width: int, gram: int, buckets: int, crowded: np.ndarray):
     def step(batch: pa.RecordBatch, texts):
         codec = pa.Codec("zstd", compression_level=LEVEL)
         words = Words(texts)
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        count = np.diff(words.first)
-        windows = np.maximum(count - width + 1, 0)
-        if not windows.sum():
+        windows = _Windows(words, width, gram, crowded)
+        if not len(windows.at):
             return
-        low = sliding_min(window_hashes(words.hash, gram), width - gram + 1)
-        row = np.repeat(np.arange(len(ids)), windows)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows) + words.first[row]
-        key = low[at]
-        new = np.concatenate(([True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])))
-        head = np.flatnonzero(new)
+        head, at = windows.heads(), windows.at
         begin = at[head]
         end = at[np.concatenate((head[1:], [len(at)])) - 1] + width
-        row, key = row[head], key[head]
+        row, key = windows.row[head], windows.key[head]
         doc, start = ids[row], begin - words.first[row]
         later, first = later_copies(doc, start, *_Runs(words.hash)(begin, end))
         if len(later):
@@ -241,7 +292,7 @@ def repeated_spans(docs: DataFrame, width: int = 20, gram: int = 4, buckets: int
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     return (
-        keyed.mapInArrow(_packer(width, gram, buckets), _SHIPPED)
+        keyed.mapInArrow(_packer(width, gram, buckets, crowded_cells(keyed, width, gram, buckets)), _SHIPPED)
         .repartition(tasks, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_bucket_step(width), _SPANS)

@@ -1,7 +1,7 @@
 import random
 
-from cartflow.llm.common import table
-from cartflow.llm.substring import drop_repeats, sliding_min
+from cartflow.llm.common import Words, table, window_hashes
+from cartflow.llm.substring import _Windows, crowded_cells, drop_repeats, sliding_min
 from llm_help import SF_SMALL, make_docs, odd_pairs, words  # noqa: F401
 
 import numpy as np
@@ -46,6 +46,23 @@ def test_shared_passages(make_docs):
     assert rows(drop_repeats(make_docs(pairs), width=20, gram=3, buckets=3)) == got
 
 
+def test_crowded_grams_are_passed_over(make_docs, spark):
+    """A phrase that all texts hold, among other words each time."""
+    rnd = random.Random(6)
+    phrases = [f"released under the terms of licence {k} here" for k in range(500)]
+    phrase = min(phrases, key=lambda t: window_hashes(Words([t.encode()]).hash, 4).min())  # a minimiser wherever it is
+    pairs = [(i, f"{' '.join(f'a{rnd.randrange(10**6)}' for _ in range(30))} {phrase} {' '.join(f'b{rnd.randrange(10**6)}' for _ in range(30))}") for i in range(200)]
+    pairs += [(300 + i, t) for i, t in pairs[::20]]
+    docs = make_docs(pairs)
+    crowded = crowded_cells(docs, 20, 4, 64)
+    assert 0 < crowded.sum() <= 64
+    plain = _Windows(Words([t.encode() for _, t in pairs]), 20, 4)
+    spread = _Windows(Words([t.encode() for _, t in pairs]), 20, 4, crowded)
+    top = lambda w: np.unique(w.key[w.heads()], return_counts=True)[1].max()
+    assert top(plain) > 150 and top(spread) < 40
+    assert rows(drop_repeats(docs, width=20)) == brute(pairs, 20)
+
+
 def test_periodic_text_and_hot_copies(make_docs):
     same = " ".join(f"a{i % 7}" for i in range(200))
     pairs = [(i, same) for i in range(40)] + [(50, "x " * 100)]
