@@ -12,6 +12,7 @@ from cartflow.llm import decontam, digest, extract, langid, mixing, toxicity, ur
 from cartflow.llm.common import held_out, table
 from cartflow.llm.linededup import dedup_lines
 from cartflow.llm.minhash import near_duplicates
+from cartflow.llm.oracle import SQL  # noqa: F401
 from cartflow.llm.substring import drop_repeats
 
 
@@ -77,7 +78,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or reputation verdict on every page's address."""
-    return urlfilter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), table(spark, sf_dir, "labels"))
+    judged = urlfilter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -92,5 +94,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
 }
-
-SQL: dict[str, str] = {}
