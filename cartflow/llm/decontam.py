@@ -39,14 +39,17 @@ from pyspark.sql import functions as F
 from cartflow.llm.common import Words, mix, per_slice, received, share
 
 FEATURE_BITS = 14
-RANK = 48
+RANK = 64
 PASSAGE = 64
 BLOCK = 16
 SCALES = (1, 2, 3, 4)
 ITEMS = 4096
-ANSWER = 3
+ANSWER = 5
 MIN_WORDS = 8
-COSINE = 0.5
+#: Cosine from which a window is a candidate, for pieces of ``FULL_WORDS`` words or
+#: more; for a shorter piece other words weigh more in its window, and the cosine
+#: falls by ``PER_WORD`` a word down to ``LEAST_COSINE``.
+COSINE, FULL_WORDS, PER_WORD, LEAST_COSINE = 0.45, 37, 0.01, 0.28
 SUM_BLOCK = 256
 #: Low bits of a word's hash by which an item's words are looked up.
 WORD_BITS = 12
@@ -218,17 +221,19 @@ def latent_space(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Items:
-    """A group of benchmark pieces: item and words of each, its window scale, its
-    latent vector, and a table of its words by their low bits."""
+    """A group of benchmark pieces: item and words of each, its window scale, the
+    cosine of its candidates, its latent vector, and a table of its words by their
+    low bits."""
 
     ids: np.ndarray
     words: list[np.ndarray]
     scale: np.ndarray
+    cosine: np.ndarray
     vectors: np.ndarray
     holds: np.ndarray
 
 
-def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray) -> Items:
+def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray, cosine: float = COSINE) -> Items:
     longest = SCALES[-1] * BLOCK - BLOCK // 2
     found, words, rows = [], [], []
     every = scan(texts)
@@ -252,7 +257,8 @@ def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray) -> Ite
     holds = np.zeros((len(words), (1 << WORD_BITS) + 1), bool)
     for own, table in zip(words, holds, strict=True):
         table[_low(own)] = True
-    return Items(np.array(found, np.int64), words, scale, vectors.astype(np.float32), holds)
+    least = np.maximum(min(LEAST_COSINE, cosine), cosine - PER_WORD * np.maximum(FULL_WORDS - size, 0))
+    return Items(np.array(found, np.int64), words, scale, least.astype(np.float32), vectors.astype(np.float32), holds)
 
 
 def _low(hashes: np.ndarray) -> np.ndarray:
@@ -298,9 +304,9 @@ def leaks(
     found = None
     for g in range(max(groups, 1)):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(max(groups, 1))) == g).orderBy("item_id", "text").collect()
-        pieces = _pieces([r["item_id"] for r in own], [r["text"].encode() for r in own], space)
+        pieces = _pieces([r["item_id"] for r in own], [r["text"].encode() for r in own], space, cosine)
         part = docs.mapInArrow(
-            _searcher(sent, share(spark, pieces), share_of_item, paraphrase, cosine),
+            _searcher(sent, share(spark, pieces), share_of_item, paraphrase),
             "doc_id long, item_id long, at int, cosine double, covered double, answered boolean",
         )
         found = part if found is None else found.unionByName(part)
@@ -308,7 +314,7 @@ def leaks(
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
 
-def _searcher(sent, group, share_of_item: float, paraphrase: float, cosine: float):
+def _searcher(sent, group, share_of_item: float, paraphrase: float):
     names = ["doc_id", "item_id", "at", "cosine", "covered", "answered"]
 
     def search(batches):
@@ -338,7 +344,7 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float, cosine: floa
             for k in range(0, len(own), 256):
                 some = own[k : k + 256]
                 near = items.vectors[some] @ total.T
-                which, at = np.nonzero(near >= cosine * norm + 1e-12)
+                which, at = np.nonzero(near >= items.cosine[some, None] * norm + 1e-12)
                 edge = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1], [True]))) if len(at) else []
                 for i, j in zip(edge[:-1], edge[1:], strict=True):
                     item, place = some[which[i]], at[i:j]
