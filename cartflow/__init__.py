@@ -7,7 +7,7 @@ Layout
 - ``operators``  sessionisation, marts, segments, features, ranks, models
 - ``plans``      jobs that compose operators, the query registry and the
                  oracle SQL used by the correctness gate
-- ``streaming``  incremental (file-stream) refresh of the event marts
+- ``llm``        operators of a training-data pipeline
 
 Every operator is ``DataFrame -> DataFrame`` and lazy; the only driver reads
 are documented one-row results (counts, thresholds, metrics).
