@@ -409,7 +409,8 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Trees | None:
             [pa.array(np.concatenate(roles) if roles else [], pa.int64()), pa.array(made, pa.binary())], ["role", "row"]
         )
 
-    picked = pages.join(F.broadcast(ids), "page_id", "left_semi").select(F.col("html").cast("string").alias("html"))
+    picked = pages.join(F.broadcast(ids), "page_id", "left_semi")
+    picked = picked.groupBy("page_id").agg(F.min(F.col("html").cast("string")).alias("html")).select("html")  # one row of each
     got = picked.mapInArrow(per_slice(step, "html"), "role long, row binary").orderBy("row", "role").toArrow()
     y = got.column("role").to_numpy()
     if not len(y):

@@ -167,8 +167,10 @@ def train(docs: DataFrame, sample_windows: int = SAMPLE_WINDOWS) -> Network | No
     rows = rows.where(F.col("lang").isin([r["lang"] for r in counts]))
     stretch = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], float(r["count"]))))[F.col("lang")]
     key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) * stretch
-    ids = rows.select("doc_id", key.alias("key")).orderBy("key", "doc_id").limit(sample_windows // 4).select("doc_id")
-    picked = rows.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "lang", "text")
+    ids = rows.select("doc_id", key.alias("key")).groupBy("doc_id").agg(F.min("key").alias("key"))
+    ids = ids.orderBy("key", "doc_id").limit(sample_windows // 4).select("doc_id")
+    picked = rows.join(F.broadcast(ids), "doc_id", "left_semi")
+    picked = picked.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.*")  # one row of each
 
     def step(batch, texts):
         lang, found = [], []

@@ -179,9 +179,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     room = [max(sample_rows // 2, sample_rows - int(totals[1 - k])) for k in (0, 1)]
     ids = None
     for label in (0, 1):
-        part = rows.where(F.col("label") == label).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(room[label])
+        part = rows.where(F.col("label") == label).select("doc_id").distinct()
+        part = part.orderBy(F.xxhash64("doc_id"), "doc_id").limit(room[label])
         ids = part if ids is None else ids.unionByName(part)
     sample = rows.join(F.broadcast(ids), "doc_id", "left_semi")  # sample_rows ids at most
+    sample = sample.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # one row of each
 
     def step(batch, texts):
         found = [gram_features(t) for t in texts]
