@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cartflow.functions.labels import decile_label
 from cartflow.functions.ratios import ratio_or_null, safe_divide
 from cartflow.operators.ranks import cumulative, global_rank
+from cartflow.session import checkpoint_dir
 
 SCORE_TIES = ("session_start", "session_id", "user_id")
 SCORE_EXPORT_COLUMNS = (
@@ -138,8 +139,10 @@ def top_share_metrics(
     _check_share(share, upper_inclusive=True)
     # Scores whose rows all lie inside the top need no order; only the rows of
     # the score at the border are ranked.
-    label = F.col(label_col).cast("bigint")
-    per_score = scored.groupBy(F.col(score_col).alias("_s")).agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p"))
+    keys = [c for c in ties if c in scored.columns]
+    checkpoint_dir(scored.sparkSession)
+    rows = scored.select(F.col(score_col).alias("_s"), F.col(label_col).cast("bigint").alias("_p"), *keys).checkpoint()
+    per_score = rows.groupBy("_s").agg(F.count(F.lit(1)).alias("n"), F.sum("_p").alias("p"))
     cum = cumulative(per_score, [F.col("_s").desc_nulls_last()], ["n", "p"])
     top_n = F.greatest(F.lit(1), F.ceil(F.col("total_n") * F.lit(float(share)))).cast("bigint")
     inside, before = F.col("cum_n") <= top_n, F.col("cum_n") - F.col("n")
@@ -153,8 +156,7 @@ def top_share_metrics(
     ).first()  # five numbers
     top_pos = row["top_pos"] or 0
     if row["room"] is not None:
-        keys = [c for c in ties if c in scored.columns]
-        tied = scored.where(F.col(score_col).eqNullSafe(F.lit(row["score"]))).select(label.alias("_p"), *keys)
+        tied = rows.where(F.col("_s").eqNullSafe(F.lit(row["score"]))).drop("_s")
         ranked = global_rank(tied, [F.col(c).asc_nulls_last() for c in keys] or [F.col("_p")], "_r")
         top_pos += ranked.where(F.col("_r") <= row["room"]).agg(F.sum("_p")).first()[0] or 0  # one number
     g = scored.sparkSession.range(1).select(
