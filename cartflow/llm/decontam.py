@@ -29,6 +29,7 @@ are searched and reported with null; repeated rows are reported once.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,6 +55,8 @@ SUM_BLOCK = 256
 #: Low bits of a word's hash by which an item's words are looked up.
 WORD_BITS = 12
 _SLICE = 1 << 20
+#: Windows that are compared with items at a time.
+_SPAN = 1 << 14
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -261,6 +264,10 @@ def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray, cosine
     return Items(np.array(found, np.int64), words, scale, least.astype(np.float32), vectors.astype(np.float32), holds)
 
 
+def _chunks(values: np.ndarray, size: int) -> list[np.ndarray]:
+    return [values[k : k + size] for k in range(0, len(values), size)]
+
+
 def _low(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64)
 
@@ -341,22 +348,23 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
             if not len(own):
                 continue
             norm = np.sqrt(np.einsum("ij,ij->i", total, total))
-            for k in range(0, len(own), 256):
-                some = own[k : k + 256]
-                near = items.vectors[some] @ total.T
-                which, at = np.nonzero(near >= items.cosine[some, None] * norm + 1e-12)
+            for some, first in itertools.product(_chunks(own, 256), range(0, len(total), _SPAN)):
+                part = slice(first, first + _SPAN)
+                near = items.vectors[some] @ total[part].T
+                which, at = np.nonzero(near >= items.cosine[some, None] * norm[part] + 1e-12)
                 edge = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1], [True]))) if len(at) else []
                 for i, j in zip(edge[:-1], edge[1:], strict=True):
-                    item, place = some[which[i]], at[i:j]
+                    item, place = some[which[i]], at[i:j] + first
                     ok, covered, answered = _confirm(hashes, low, row, place, scale, items, item)
                     if len(ok):
+                        cosines = near[which[i], at[i:j][ok]] / norm[place[ok]]
                         place = place[ok]
                         yield pa.RecordBatch.from_arrays(
                             [
                                 batch.column(0).take(pa.array(row[place])),
                                 pa.array(np.full(len(place), items.ids[item])),
                                 pa.array((blocks.start[place] - words.first[row[place]]).astype(np.int32)),
-                                pa.array((near[which[i], place] / norm[place]).astype(np.float64)),
+                                pa.array(cosines.astype(np.float64)),
                                 pa.array(covered),
                                 pa.array(answered),
                             ],
