@@ -1,8 +1,7 @@
 """Batch jobs: raw CSV -> events -> marts -> propensity models -> BI extracts.
 
 Each job reads its inputs from storage and writes its outputs, so the four
-stages can run as separate ``spark-submit`` steps (as the original scripts
-did) and every stage boundary is a written table, not a long lineage.
+stages can run as separate ``spark-submit`` steps and every stage boundary is a written table, not a long lineage.
 
     python -m cartflow.plans.jobs etl      --raw DIR   --events PATH
     python -m cartflow.plans.jobs marts    --events PATH --marts DIR
