@@ -12,7 +12,11 @@
    blocks at every block are compared by cosine in the latent space with the
    benchmark items of about their length; items come in groups of ``ITEMS``, each
    a pass over the documents.
-4. Candidates are confirmed on words (those that hold too few of an item's words in
+4. The cosine misses passages (short, reworded, or off the blocks), so two exact
+   bounds add every window that step 5 could accept: the windows with an item's
+   answer in them, and those that hold as many of the item's rarest words as any
+   passage that covers ``share`` of the item must.
+5. Candidates are confirmed on words (those that hold too few of an item's words in
    any order are out at once): the longest common subsequence (LCS) of the item and
    the words around the window must cover ``share`` of the item, or
    ``paraphrase`` of it if the item's answer, its last ``ANSWER`` words, stands in
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartflow.llm.common import Words, mix, per_slice, received, share
+from cartflow.llm.common import Words, mix, per_slice, received, share, window_hashes
 
 FEATURE_BITS = 14
 RANK = 64
@@ -54,6 +58,8 @@ COSINE, FULL_WORDS, PER_WORD, LEAST_COSINE = 0.45, 37, 0.01, 0.28
 SUM_BLOCK = 256
 #: Low bits of a word's hash by which an item's words are looked up.
 WORD_BITS = 12
+#: Low bits of an answer's hash by which most other runs of words are passed over.
+RUN_BITS = 16
 _SLICE = 1 << 20
 #: Windows that are compared with items at a time.
 _SPAN = 1 << 14
@@ -225,8 +231,9 @@ def latent_space(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
 @dataclass
 class Items:
     """A group of benchmark pieces: item and words of each, its window scale, the
-    cosine of its candidates, its latent vector, and a table of its words by their
-    low bits."""
+    cosine of its candidates, its latent vector, a table of its words by their
+    low bits, the features of its rarest words and how many of them a window must
+    hold, and the sorted hashes of the answers with their pieces."""
 
     ids: np.ndarray
     words: list[np.ndarray]
@@ -234,11 +241,54 @@ class Items:
     cosine: np.ndarray
     vectors: np.ndarray
     holds: np.ndarray
+    rare: list[np.ndarray]
+    least: np.ndarray
+    answers: np.ndarray
+    answer_of: np.ndarray
+
+    def tables(self) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+        """By scale: some pieces, and for each feature which of them have it among
+        their rarest words (the last row is that of the filling)."""
+        out = {}
+        for scale in SCALES:
+            for some in _chunks(np.flatnonzero(self.scale == scale), 256):
+                table = np.zeros(((1 << FEATURE_BITS) + 1, len(some)), np.uint8)
+                for k, piece in enumerate(some):
+                    table[self.rare[piece], k] = 1
+                out.setdefault(scale, []).append((some, table))
+        return out
+
+
+def _fewest(size: int, covered: float) -> int:
+    """The fewest words that are ``covered`` of ``size`` words."""
+    return next(k for k in itertools.count(max(int(size * covered) - 1, 0)) if k / size >= covered)
+
 
+def _rarest(features: np.ndarray, idf: np.ndarray, scale: int, need: int) -> tuple[np.ndarray, int]:
+    """Features of the rarest words of a piece and how many of them every window with
+    ``need`` of its words holds: of r words at most ``len(features) - need`` are
+    missing.  r is taken where chance windows are least likely to hold as many."""
+    features = features[np.argsort(-idf[features], kind="stable")]
+    new = np.zeros(len(features))
+    new[np.unique(features, return_index=True)[1]] = 1
+    chance = np.cumsum(new * np.exp(-idf[features].astype(np.float64))) * (scale + 2) * BLOCK / PASSAGE
+    least = np.arange(1, len(features) + 1) - (len(features) - need)
+    t = np.maximum(least, 1)
+    gain = np.where(t > chance, t * np.log(t / chance) - t + chance, 0.0)  # Chernoff bound of a Poisson count
+    r = int(np.argmax(np.where(least >= 1, gain, -1.0)))
+    return np.unique(features[: r + 1]), int(least[r])
 
-def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray, cosine: float = COSINE) -> Items:
+
+def _pieces(
+    ids: list[int],
+    texts: list[bytes | None],
+    space: np.ndarray,
+    idf: np.ndarray,
+    cosine: float = COSINE,
+    share_of_item: float = 0.7,
+) -> Items:
     longest = SCALES[-1] * BLOCK - BLOCK // 2
-    found, words, rows = [], [], []
+    found, words, rows, own_features = [], [], [], []
     every = scan(texts)
     features = _features(every)
     for i, item in enumerate(ids):
@@ -252,6 +302,7 @@ def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray, cosine
             found.append(item)
             words.append(every.hash[a:b])
             rows.append(space[features[a:b]].sum(axis=0))
+            own_features.append(features[a:b])
     size = np.array([len(w) for w in words], np.int64)
     # The scale whose window best covers a piece at any offset to the blocks.
     scale = np.clip((size + 12 + BLOCK // 2) // BLOCK, SCALES[0], SCALES[-1])
@@ -261,7 +312,17 @@ def _pieces(ids: list[int], texts: list[bytes | None], space: np.ndarray, cosine
     for own, table in zip(words, holds, strict=True):
         table[_low(own)] = True
     least = np.maximum(min(LEAST_COSINE, cosine), cosine - PER_WORD * np.maximum(FULL_WORDS - size, 0))
-    return Items(np.array(found, np.int64), words, scale, least.astype(np.float32), vectors.astype(np.float32), holds)
+    rare = [
+        _rarest(f, idf, k, _fewest(len(f), share_of_item if len(f) >= MIN_WORDS else 1.0))
+        for f, k in zip(own_features, scale.tolist(), strict=True)
+    ]
+    long = np.flatnonzero(size >= MIN_WORDS)
+    answers = np.array([window_hashes(words[k][-ANSWER:], ANSWER)[0] for k in long], np.uint64)
+    order = np.argsort(answers)
+    return Items(
+        np.array(found, np.int64), words, scale, least.astype(np.float32), vectors.astype(np.float32), holds,
+        [r for r, _ in rare], np.array([n for _, n in rare], np.int64), answers[order], long[order],
+    )
 
 
 def _chunks(values: np.ndarray, size: int) -> list[np.ndarray]:
@@ -311,7 +372,8 @@ def leaks(
     found = None
     for g in range(max(groups, 1)):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(max(groups, 1))) == g).orderBy("item_id", "text").collect()
-        pieces = _pieces([r["item_id"] for r in own], [r["text"].encode() for r in own], space, cosine)
+        texts = [r["text"].encode() for r in own]
+        pieces = _pieces([r["item_id"] for r in own], texts, space, idf, cosine, share_of_item)
         part = docs.mapInArrow(
             _searcher(sent, share(spark, pieces), share_of_item, paraphrase),
             "doc_id long, item_id long, at int, cosine double, covered double, answered boolean",
@@ -321,14 +383,48 @@ def leaks(
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
 
+def _answered(words: Words, items: Items, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces whose answers stand in the texts, and the blocks of the first and the
+    last word of each such place."""
+    runs = window_hashes(words.hash, ANSWER)
+    low = np.uint64((1 << RUN_BITS) - 1)
+    known = np.zeros(1 << RUN_BITS, bool)
+    known[(items.answers & low).astype(np.int64)] = True
+    at = np.flatnonzero(known[(runs & low).astype(np.int64)])
+    text = np.searchsorted(words.first, at, "right") - 1
+    inside = at + ANSWER <= words.first[text + 1]
+    at, text = at[inside], text[inside]
+    begin = np.searchsorted(items.answers, runs[at], "left")
+    count = np.searchsorted(items.answers, runs[at], "right") - begin
+    piece = items.answer_of[np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+    head, word = np.searchsorted(row, text), at - words.first[text]
+    return piece, np.repeat(head + word // BLOCK, count), np.repeat(head + (word + ANSWER - 1) // BLOCK, count)
+
+
+def _held(table: np.ndarray, features: np.ndarray, row: np.ndarray, part: slice, scale: int) -> np.ndarray:
+    """How many words of each piece's rarest ones the windows of ``part`` hold, with a
+    block on either side."""
+    place = np.arange(len(row))[part]
+    begin, end = max(place[0] - 1, 0), min(place[-1] + scale + 1, len(row))
+    one = np.zeros((end - begin, table.shape[1]), np.uint8)
+    for column in np.ascontiguousarray(features[begin:end].T):
+        one += np.take(table, column, axis=0)
+    total = np.zeros((len(place), table.shape[1]), np.uint8)
+    for step in range(-1, scale + 1):
+        near = np.clip(place + step, begin, end - 1)
+        total += one[near - begin] * ((near == place + step) & (row[near] == row[place]))[:, None]
+    return total
+
+
 def _searcher(sent, group, share_of_item: float, paraphrase: float):
     names = ["doc_id", "item_id", "at", "cosine", "covered", "answered"]
 
     def search(batches):
         space, items = _padded(received(sent)), received(group)
-        yield from per_slice(lambda batch, texts: _search(batch, texts, space, items), limit=_SLICE)(batches)
+        tables = items.tables()
+        yield from per_slice(lambda batch, texts: _search(batch, texts, space, items, tables), limit=_SLICE)(batches)
 
-    def _search(batch, texts, space, items):
+    def _search(batch, texts, space, items, tables):
         words = scan(texts)
         if not len(words.hash) or not len(items.ids):
             return
@@ -340,30 +436,41 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
         hashes = np.append(words.hash, np.uint64(0))[at]
         low = np.append(_low(words.hash), 1 << WORD_BITS)[at]
         total = sums.copy()
+        with_answer = _answered(words, items, row)
         for scale in SCALES:
             if scale > 1:
                 n = max(len(sums) - scale + 1, 0)
                 total[:n] += sums[scale - 1 :] * (row[scale - 1 :] == row[:n])[:, None]
-            own = np.flatnonzero(items.scale == scale)
-            if not len(own):
+            if scale not in tables:
                 continue
             norm = np.sqrt(np.einsum("ij,ij->i", total, total))
-            for some, first in itertools.product(_chunks(own, 256), range(0, len(total), _SPAN)):
+            # The windows that hold an answer, a block on either side included.
+            mine = items.scale[with_answer[0]] == scale
+            piece, begin, end = (x[mine] for x in with_answer)
+            place = end[:, None] - scale + np.arange(scale + 2)
+            fits = (place <= begin[:, None] + 1) & (place >= 0) & (place < len(row))
+            fits &= row[np.clip(place, 0, len(row) - 1)] == row[begin][:, None]
+            piece, place = np.repeat(piece, fits.sum(axis=1)), place[fits]
+            for (some, table), first in itertools.product(tables[scale], range(0, len(total), _SPAN)):
                 part = slice(first, first + _SPAN)
                 near = items.vectors[some] @ total[part].T
-                which, at = np.nonzero(near >= items.cosine[some, None] * norm[part] + 1e-12)
+                candidate = near >= items.cosine[some, None] * norm[part] + 1e-12
+                candidate |= (_held(table, blocks.features, row, part, scale) >= items.least[some]).T
+                sure = (piece >= some[0]) & (piece <= some[-1]) & (place >= first) & (place < first + _SPAN)
+                candidate[np.searchsorted(some, piece[sure]), place[sure] - first] = True
+                which, at = np.nonzero(candidate)
                 edge = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1], [True]))) if len(at) else []
                 for i, j in zip(edge[:-1], edge[1:], strict=True):
-                    item, place = some[which[i]], at[i:j] + first
-                    ok, covered, answered = _confirm(hashes, low, row, place, scale, items, item)
+                    item, here = some[which[i]], at[i:j] + first
+                    ok, covered, answered = _confirm(hashes, low, row, here, scale, items, item)
                     if len(ok):
-                        cosines = near[which[i], at[i:j][ok]] / norm[place[ok]]
-                        place = place[ok]
+                        cosines = near[which[i], at[i:j][ok]] / np.maximum(norm[here[ok]], 1e-9)
+                        here = here[ok]
                         yield pa.RecordBatch.from_arrays(
                             [
-                                batch.column(0).take(pa.array(row[place])),
-                                pa.array(np.full(len(place), items.ids[item])),
-                                pa.array((blocks.start[place] - words.first[row[place]]).astype(np.int32)),
+                                batch.column(0).take(pa.array(row[here])),
+                                pa.array(np.full(len(here), items.ids[item])),
+                                pa.array((blocks.start[here] - words.first[row[here]]).astype(np.int32)),
                                 pa.array(cosines.astype(np.float64)),
                                 pa.array(covered),
                                 pa.array(answered),
@@ -376,7 +483,8 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
         its answer stands there."""
         own = items.words[item]
         need = share_of_item if len(own) >= MIN_WORDS else 1.0
-        least = min(paraphrase, need) if len(own) >= MIN_WORDS else 1.0
+        fewest = _fewest(len(own), need)
+        least = min(_fewest(len(own), paraphrase), fewest) if len(own) >= MIN_WORDS else fewest
         # The window and a block on either side, as far as they are of the same text.
         near = place[:, None] + np.arange(-1, scale + 1)
         inside = (near >= 0) & (near < len(row))
@@ -385,19 +493,21 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
         near[~inside] = len(row)
         # An LCS is no longer than the number of words that the item holds, nor than
         # the number of item words that the passage holds.
-        found = items.holds[item][low[near]].reshape(len(place), -1)
-        some = np.flatnonzero(found.sum(axis=1) >= least * len(own))
+        found = items.holds[item][low[near]].reshape(len(place), -1).sum(axis=1)
+        some = np.flatnonzero(found >= least)
         if len(some):
             held = np.zeros((len(some), (1 << WORD_BITS) + 1), bool)
             held[np.arange(len(some))[:, None], low[near[some]].reshape(len(some), -1)] = True
-            some = some[held[:, _low(own)].sum(axis=1) >= least * len(own)]
+            found = np.minimum(found[some], held[:, _low(own)].sum(axis=1))
+            answered = _runs(hashes[near[some]].reshape(len(some), -1), own[-ANSWER:])
+            fewest = np.where(answered, least, fewest)
+            keep = found >= fewest
+            some, answered, fewest = some[keep], answered[keep], fewest[keep]
         if not len(some):
             return some, None, None
-        passages = hashes[near[some]].reshape(len(some), -1)
-        covered = common_lengths(own, passages) / len(own)
-        answered = _runs(passages, own[-ANSWER:])
-        good = (covered >= need) | ((covered >= least) & answered)
-        return some[good], covered[good], answered[good]
+        covered = common_lengths(own, hashes[near[some]].reshape(len(some), -1))
+        good = covered >= fewest
+        return some[good], covered[good] / len(own), answered[good]
 
     return search
 

@@ -67,6 +67,45 @@ def test_planted_items_and_paraphrases(make_docs, spark):
     assert kept.columns == make_docs(pairs).columns
 
 
+def _accepted(item, text):
+    """Whether a window of whole blocks and a block on either side passes the confirm
+    step, by comparing all windows."""
+    found, words = decontam.scan([item.encode()]).hash, decontam.scan([text.encode()]).hash
+    count = -(-len(found) // (decontam.SCALES[-1] * decontam.BLOCK - decontam.BLOCK // 2))
+    for j in range(count):
+        own = found[j * len(found) // count : (j + 1) * len(found) // count]
+        scale = min(max((len(own) + 12 + decontam.BLOCK // 2) // decontam.BLOCK, 1), decontam.SCALES[-1])
+        for first in range(0, len(words), decontam.BLOCK):
+            near = words[max(first - decontam.BLOCK, 0) : first + (scale + 1) * decontam.BLOCK]
+            covered = decontam.common_lengths(own, near[None])[0] / len(own)
+            if covered >= 0.7 or (covered >= 0.5 and len(near) >= 5 and decontam._runs(near[None], own[-5:])[0]):
+                return True
+    return False
+
+
+def test_every_passage_that_the_confirm_step_accepts_is_a_candidate(spark, make_docs):
+    sf, rnd = "/root/testdata/sf0.01", random.Random(7)
+    bench = table(spark, sf, "benchmark").orderBy("item_id").limit(25)
+    texts = [r.text.split() for r in table(spark, sf, "documents").where("text is not null").orderBy("doc_id").limit(300).collect()]
+    pairs, planted = [(1000 + i, " ".join(t)) for i, t in enumerate(texts)], {}
+    for hosts in ([t for t in texts if len(t) > 200], [t for t in texts if 30 < len(t) <= 200]):
+        for part in (0.0, 0.3, 0.48):  # reworded with words of the host, but not the answer
+            for r in bench.collect():
+                host, leak = rnd.choice(hosts), r.text.split()
+                for k in rnd.sample(range(len(leak) - 5), min(int(part * len(leak)), len(leak) - 5)):
+                    leak[k] = rnd.choice(host)
+                at = rnd.randrange(len(host) + 1)
+                planted[len(planted)] = (r.item_id, r.text)
+                pairs.append((len(planted) - 1, " ".join(host[:at] + leak + host[at:])))
+    text_of = dict(pairs)
+    want = {(d, i) for d, (i, t) in planted.items() if _accepted(t, text_of[d])}
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(make_docs(pairs), bench).collect()}
+    assert len(want) > 0.9 * len(planted)
+    assert want <= got
+    items = {r.item_id: r.text for r in bench.collect()}
+    assert all(_accepted(items[i], text_of[d]) for d, i in got)
+
+
 def test_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs, bench = table(spark, sf, "documents"), table(spark, sf, "benchmark")
