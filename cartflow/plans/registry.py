@@ -432,7 +432,7 @@ def q_baseline_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_propensity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every session once with both scores of the two models in
     [0, 1], and per model whether its test metrics are in range and beat chance."""
-    scored = modeling.score_sessions(_features(spark, sf_dir), tree_iters=20)
+    scored = modeling.score_sessions(_features(spark, sf_dir))
     metrics = modeling.compare_models(scored)
     within = lambda c: F.col(c).between(0.0, 1.0)
     out = scored.select(
@@ -449,7 +449,7 @@ def q_propensity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("model_comparison")
 def q_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test metrics of both models side by side (rows-only check)."""
-    scored = modeling.score_sessions(_features(spark, sf_dir), tree_iters=20)
+    scored = modeling.score_sessions(_features(spark, sf_dir))
     return sinks.metrics_frame(spark, modeling.compare_models(scored))
 
 

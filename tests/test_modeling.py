@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cartflow.functions.labels import FEATURE_COLUMNS, TARGET_COLUMN
 from cartflow.operators import deciles, modeling
+from cartflow.plans import registry
 
 
 @pytest.fixture(scope="module")
@@ -87,3 +88,16 @@ def test_trees_stop_early_on_many_rows(spark, monkeypatch):
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + f", {TARGET_COLUMN} int")
     model = modeling.fit_trees(df, max_iter=30)  # labels are noise: the held-back error soon rises
     assert model.stages[-1].getNumTrees < 30
+
+
+@pytest.mark.parametrize("name", ["propensity_checks", "model_comparison"])
+def test_queries_fit_the_production_rounds(spark, monkeypatch, name):
+    seen, fit = [], modeling.fit_trees
+
+    def short(train, **how):
+        seen.append(how.get("max_iter", 100))
+        return fit(train, **(how | {"max_iter": 2}))
+
+    monkeypatch.setattr(modeling, "fit_trees", short)
+    registry.QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert seen == [100]
