@@ -101,3 +101,25 @@ def test_queries_fit_the_production_rounds(spark, monkeypatch, name):
     monkeypatch.setattr(modeling, "fit_trees", short)
     registry.QUERIES[name](spark, "/root/testdata/sf0.001").count()
     assert seen == [100]
+
+
+def test_stopping_waits_for_rounds_without_a_fall():
+    falling = [1.0 - k / 1000 for k in range(40)]  # under 0.1 % a round, but steady
+    assert modeling.rounds_kept(falling) == 40
+    assert modeling.rounds_kept(falling[:20] + [falling[19] + 0.1] * 9 + falling[20:30]) == 39
+    assert modeling.rounds_kept(falling[:20] + [falling[19]] * 30) == 30
+
+
+def test_trees_cut_back_score_as_trees_fitted_short(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(f"s{k}", 1, *[float(rnd.randint(0, 3)) for _ in FEATURE_COLUMNS], rnd.randint(0, 1)) for k in range(400)]
+    fields = ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    df = spark.createDataFrame(rows, f"session_id string, user_id long, {fields}, {TARGET_COLUMN} int")
+    held = F.pmod(F.xxhash64("session_id", "user_id"), F.lit(10)) == 0
+    whole = modeling.fit_trees(df.where(~held), max_iter=5)
+    monkeypatch.setattr(modeling, "EARLY_STOP_ROWS", 100)
+    monkeypatch.setattr(modeling, "rounds_kept", lambda losses: 5)
+    cut = modeling.fit_trees(df, max_iter=12)
+    assert cut.stages[-1].getNumTrees == 5
+    a, b = ([r.model_score for r in modeling.score(m, df).orderBy("session_id").collect()] for m in (whole, cut))
+    assert np.allclose(a, b, atol=1e-6)
