@@ -513,6 +513,12 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` whose document leaks no benchmark item."""
-    dirty = leaks(docs, benchmark, **how).select(F.col("doc_id").alias("leaky")).distinct()
-    return docs.join(dirty, F.col("doc_id").cast("long") == F.col("leaky"), "left_anti")
+    """The rows of ``docs`` whose document leaks no benchmark item; a row without
+    doc_id is judged by its own text."""
+    dirty = lambda d: leaks(d, benchmark, **how).select(F.col("doc_id").alias("leaky")).distinct()
+    number, text_key = F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
+    named, nameless = docs.where(number.isNotNull()), docs.where(number.isNull())
+    # The outcome does not depend on the latent space, so the texts have their own.
+    by_text = dirty(nameless.select(text_key.alias("doc_id"), "text").distinct())
+    kept = named.join(dirty(docs), number == F.col("leaky"), "left_anti")
+    return kept.unionByName(nameless.join(by_text, text_key == F.col("leaky"), "left_anti"))

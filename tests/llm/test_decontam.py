@@ -125,3 +125,14 @@ def test_odd_rows(spark, make_docs, odd_pairs):
     assert decontam.leaks(make_docs([]), bench).count() == 0
     assert decontam.leaks(make_docs(odd_pairs), bench.limit(0)).count() == 0
     assert decontam.clean(make_docs(odd_pairs), bench.limit(0)).count() == len(odd_pairs)
+
+
+def test_rows_without_doc_id_are_judged_by_their_own_text(spark, make_docs):
+    rnd = random.Random(9)
+    text = lambda n: " ".join(f"w{rnd.randrange(900)}" for _ in range(n))
+    item, plain = text(30), text(80)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    pairs = [(1, text(60)), (2, text(20) + " " + item), (None, text(40) + " " + item + " " + text(9)), (None, plain), (None, None)]
+    kept = decontam.clean(make_docs(pairs), bench)
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {pairs[0], (None, plain), (None, None)}
+    assert kept.columns == make_docs(pairs).columns
