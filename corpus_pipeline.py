@@ -57,9 +57,10 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles)."""
+    """One document of each near-duplicate group (five-word shingles); of its rows,
+    those of different texts."""
     kept = minhash.near_duplicates(docs, width=5, percent=80).where("kept and doc_id is not null").select("doc_id")
-    named = docs.where("doc_id is not null").join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.where("doc_id is not null").join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(docs.where("doc_id is null"))
 
 

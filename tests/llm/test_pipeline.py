@@ -93,3 +93,10 @@ def test_decontamination_uses_the_operator(spark, make_docs):
     docs = make_docs([(1, "a b c d e f g h i j k l m n o p"), (2, "q r s t")])
     bench = spark.createDataFrame([(7, "a b c d e f g h i j k l m n o p")], "item_id long, text string")
     assert [r.doc_id for r in decontam.clean(docs, bench).collect()] == [2]
+
+
+def test_near_dedup_keeps_unlike_texts_of_one_doc_id(spark, make_docs):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    docs = make_docs([(1, a), (1, b), (1, a), (2, a + " z"), (None, a)])
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, a), (1, a), (1, b)]
