@@ -216,10 +216,58 @@ SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '
 FROM folded
 """
 
+def _assigned(n: int) -> str:
+    """Nearest entry of every part among the entries of round n, with its squared distance."""
+    return f"""
+near{n} AS MATERIALIZED (
+    SELECT vec_id, p, min(d * 16 + e) % 16 AS e, min(d) AS d
+    FROM (SELECT x.vec_id, x.p, b.e, CAST(sum((x.x - b.c) * (x.x - b.c)) AS BIGINT) AS d
+          FROM parts AS x JOIN book{n} AS b ON b.p = x.p AND b.i = x.i GROUP BY ALL)
+    GROUP BY vec_id, p
+)"""
+
+
+def _moved(n: int) -> str:
+    """The entries after one more round: floors of means, unused ones unchanged."""
+    return f"""
+book{n + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, b.i, coalesce((s - ((s % n) + n) % n) // n, c) AS c
+    FROM book{n} AS b LEFT JOIN (
+        SELECT x.p, a.e, x.i, CAST(sum(x.x) AS BIGINT) AS s, count(*) AS n
+        FROM parts AS x JOIN near{n} AS a ON a.vec_id = x.vec_id AND a.p = x.p GROUP BY ALL
+    ) AS m ON m.p = b.p AND m.e = b.e AND m.i = b.i
+)"""
+
+
+_ROUNDS = 6
+
+VECTOR_CODES = f"""
+WITH kept AS (
+    SELECT vec_id, label, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS MATERIALIZED (
+    SELECT vec_id, i // (n // 8) AS p, i % (n // 8) AS i, CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS i, len(embedding) AS n FROM kept)
+),
+book0 AS MATERIALIZED (
+    SELECT p, e, i, x AS c FROM parts
+    JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 16) USING (vec_id)
+),{",".join(_assigned(n) + "," + _moved(n) for n in range(_ROUNDS))},{_assigned(_ROUNDS)},
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM near{_ROUNDS} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, i)) FROM book{_ROUNDS}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
 SQL: dict[str, str] = {
     "op1_minhash_dedup": MINHASH,
     "op4_line_dedup": LINES,
     "op5_substring_dedup": SUBSTRINGS,
     "op10_url_filter": URLS,
+    "op12_vector_codes": VECTOR_CODES,
     "op13_merkle_manifest": MERKLE,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.llm import decontam, digest, extract, langid, merkle, mixing, toxicity, urlfilter
+from cartflow.llm import decontam, digest, extract, langid, merkle, mixing, toxicity, urlfilter, vectorcodes
 from cartflow.llm.common import held_out, table
 from cartflow.llm.linededup import dedup_lines
 from cartflow.llm.minhash import near_duplicates
@@ -82,6 +82,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every usable vector and the digest of the codebooks."""
+    rows, books = vectorcodes.compress(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
+    digest_ = F.lit(vectorcodes.books_digest(books)).alias("codebooks_sha256")
+    return rows.select("vec_id", "code", "error", "label_error", digest_)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, tree digests and checked proof of every document."""
     rows = merkle.verified(merkle.manifest(table(spark, sf_dir, "documents", *merkle.FIELDS)))
@@ -99,5 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op12_vector_codes": op12_vector_codes,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
