@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def located(address: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of an address; Hadoop writes local ones with one slash."""
+    if address.startswith("file:/") and not address.startswith("file://"):
+        address = "file://" + address[5:]
+    return fs.FileSystem.from_uri(address) if "://" in address else (fs.LocalFileSystem(), address)
+
+
+def remove(folder: str) -> None:
+    """Delete a folder of the shared store."""
+    store, path = located(folder)
+    store.delete_dir(path)
+
+
 def share(spark: SparkSession, value):
     """Send a model to all tasks; ``received`` reads it there.  Its class travels
     by value, like the functions of this subpackage."""

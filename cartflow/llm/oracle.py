@@ -263,11 +263,29 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM coded JOIN kept USING (vec_id)
 """
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+WARC = f"""
+WITH told AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digits FROM pages
+),
+coded AS (
+    SELECT page_id, payload, list_transform(range(8), lambda j: CAST('0x' || substr(digits, 5 * j + 1, 5) AS BIGINT)) AS chunks FROM told
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(chunks, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+           lambda s: substr('{_BASE32}', CAST((v >> s) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = least_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = least_id THEN NULL ELSE least_id END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY payload) AS least_id FROM coded)
+"""
+
 SQL: dict[str, str] = {
     "op1_minhash_dedup": MINHASH,
     "op4_line_dedup": LINES,
     "op5_substring_dedup": SUBSTRINGS,
     "op10_url_filter": URLS,
+    "op11_warc_packages": WARC,
     "op12_vector_codes": VECTOR_CODES,
     "op13_merkle_manifest": MERKLE,
 }

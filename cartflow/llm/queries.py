@@ -3,17 +3,19 @@ operator, with its production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.llm import decontam, digest, extract, langid, merkle, mixing, toxicity, urlfilter, vectorcodes
+from cartflow.llm import decontam, digest, extract, langid, merkle, mixing, toxicity, urlfilter, vectorcodes, warc
 from cartflow.llm.common import held_out, table
 from cartflow.llm.linededup import dedup_lines
 from cartflow.llm.minhash import near_duplicates
 from cartflow.llm.oracle import SQL  # noqa: F401
 from cartflow.llm.substring import drop_repeats
+from cartflow.session import checkpoint_dir
 
 
 def _sha256(column: str):
@@ -82,6 +84,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of a ZIP-packaged archive, read back by range."""
+    folder = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    rows = warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"), folder, min_bytes=0)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product codes of every usable vector and the digest of the codebooks."""
     rows, books = vectorcodes.compress(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
@@ -106,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op11_warc_packages": op11_warc_packages,
     "op12_vector_codes": op12_vector_codes,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -28,7 +28,6 @@ repeated rows are coded alike; an empty table gives no row.  Other columns are i
 from __future__ import annotations
 
 import hashlib
-import os
 import pickle
 import uuid
 from collections.abc import Iterator
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartflow.llm.common import cut, small
+from cartflow.llm.common import cut, remove, small
 from cartflow.session import checkpoint_dir
 
 #: Rows of a slice, and parts of an end node of a tree.
@@ -207,9 +206,9 @@ def _flat(column: pa.Array, length: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), length)
 
 
-def _written_trees(rows: DataFrame, length: int, parts: int, scale: int, slice_rows: int) -> DataFrame:
+def _written_trees(rows: DataFrame, path: str, length: int, parts: int, scale: int, slice_rows: int) -> DataFrame:
     """One row for each slice: its ids, labels and pickled (tree, place of each row's part
-    in the tree's order) of every part position, in the shared folder."""
+    in the tree's order) of every part position, written to ``path``."""
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     out = T.StructType(
         [
@@ -251,10 +250,8 @@ def _written_trees(rows: DataFrame, length: int, parts: int, scale: int, slice_r
         if n:
             yield grown(pa.Table.from_batches(held))
 
-    spark = rows.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"covertrees-{uuid.uuid4().hex}")
     rows.mapInArrow(slices, out).write.parquet(path)
-    return spark.read.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def _trees(batches) -> Iterator[tuple[pa.Array, pa.Array, list[tuple[CoverTree, np.ndarray]]]]:
@@ -347,12 +344,14 @@ def compress(
     rows = usable(vectors, vector).select("vec_id", "label", F.col(vector).alias("vector"))
     length, books = first_entries(rows, parts, entries, scale)
     alike = rows.where((F.size("vector") == length) & (F.size("vector") > 0))
-    trees = _written_trees(alike, length, parts, scale, slice_rows)
+    path = f"{checkpoint_dir(vectors.sparkSession)}/covertrees-{uuid.uuid4().hex}"
+    trees = _written_trees(alike, path, length, parts, scale, slice_rows)
     books = lloyd(trees, books, rounds) if books.size else books
     others = rows.where((F.size("vector") != length) | (F.size("vector") == 0)).select(
         "vec_id", "label", F.lit(None).cast("string").alias("code"), F.lit(None).cast("long").alias("error")
     )
     coded = cut(encode(trees, books).union(others))
+    remove(path)
     by_label = coded.groupBy(F.col("label").alias("_of")).agg(F.sum("error").alias("label_error"))
     same = F.col("label").eqNullSafe(F.col("_of"))
     return coded.join(small(by_label, BROADCAST_LABELS), same).drop("_of"), books
