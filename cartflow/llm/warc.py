@@ -39,7 +39,7 @@ from dataclasses import dataclass
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartflow.llm.common import cut, located, remove, small
@@ -410,7 +410,7 @@ def resolved(records: DataFrame) -> DataFrame:
     return kept.unionByName(again.withColumn("payload", F.col("_payload")).select(*kept.columns))
 
 
-def round_trip(spark: SparkSession, pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
+def round_trip(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` as packages under ``folder``, read them back (computed once) and
     delete them; ids have the type of the pages' ids."""
     kind = pages.schema["page_id"].dataType

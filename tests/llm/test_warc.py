@@ -40,7 +40,7 @@ def brute(rows, min_bytes=0):
 
 
 def found(spark, rows, folder, min_bytes=0):
-    got = warc.round_trip(spark, frame(spark, rows), str(folder), min_bytes).collect()
+    got = warc.round_trip(frame(spark, rows), str(folder), min_bytes).collect()
     assert all(r.intact for r in got)
     return sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in got)
 
