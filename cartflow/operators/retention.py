@@ -9,7 +9,7 @@ row per month, a proven small bound, so they are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartflow.functions.labels import EVENT_PURCHASE
@@ -67,16 +67,20 @@ def mart_retention(fct: DataFrame, ordered: bool = False) -> DataFrame:
 
 
 def retention_pivot(mart: DataFrame) -> DataFrame:
-    """One row per cohort, one ``month_<n>`` column for every month number
-    in the mart (rows without one have no column).
-
-    The month numbers are read first: at most one for each month between the
-    first and the last purchase, whatever the number of users.
-    """
-    mart = mart.where(F.col("months_since_first_purchase").isNotNull())
-    months = sorted(r[0] for r in mart.select("months_since_first_purchase").distinct().collect())
-    p = mart.groupBy("cohort_month").pivot("months_since_first_purchase", months).agg(F.max("retention_rate"))
-    return p.select("cohort_month", *[F.col(str(m)).alias(f"month_{m}") for m in months])
+    """The cohort x month grid as rows (cohort_month, month_number, rate), the
+    empty cells included: every cohort has all month numbers from 0 to the largest one
+    in the mart, rate NULL where the mart has no row.
+
+    Rates are gathered by cohort (one entry a month at most), so the mart is read once;
+    the window that finds the largest month number holds one row a cohort."""
+    known = mart.where(F.col("months_since_first_purchase").isNotNull())
+    cells = F.collect_list(F.struct(F.col("months_since_first_purchase").cast("int"), "retention_rate"))
+    rows = known.groupBy("cohort_month").agg(
+        F.map_from_entries(cells).alias("_rates"), F.max("months_since_first_purchase").cast("int").alias("_last")
+    )
+    rows = rows.withColumn("_last", F.max("_last").over(Window.partitionBy()))
+    grid = rows.select("cohort_month", "_rates", F.explode(F.sequence(F.lit(0), "_last")).alias("month_number"))
+    return grid.select("cohort_month", "month_number", F.try_element_at("_rates", F.col("month_number")).alias("rate"))
 
 
 def retention_curve(mart: DataFrame) -> DataFrame:

@@ -122,9 +122,8 @@ def q_mart_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("retention_pivot")
 def q_retention_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cohort x month-number pivot, every month number present."""
-    p = retention.retention_pivot(retention.mart_retention(_po(spark, sf_dir)))
-    return _rounded(p, rates=tuple(c for c in p.columns if c.startswith("month_")))
+    """Cohort x month-number grid, empty cells included."""
+    return _rounded(retention.retention_pivot(retention.mart_retention(_po(spark, sf_dir))), rates=("rate",))
 
 
 @register("retention_curve")

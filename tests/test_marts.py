@@ -60,8 +60,19 @@ def test_retention(sample):
     january, march = dt.date(2021, 1, 1), dt.date(2021, 3, 1)
     got = sorted(tuple(r) for r in retention.mart_retention(sample).collect())
     assert got == [(january, january, 0, 1, 1, 1.0), (january, march, 2, 1, 1, 1.0)]
-    pivot = retention.retention_pivot(retention.mart_retention(sample))
-    assert pivot.columns == ["cohort_month", "month_0", "month_2"] and tuple(pivot.first()) == (january, 1.0, 1.0)
+    grid = sorted(map(tuple, retention.retention_pivot(retention.mart_retention(sample)).collect()))
+    assert grid == [(january, 0, 1.0), (january, 1, None), (january, 2, 1.0)]
+
+
+def test_retention_grid_is_dense(spark):
+    """Every cohort has every month number up to the largest; rows without a time have none."""
+    day = lambda *d: dt.date(*d)
+    rows = [(day(2021, 1, 1), 0, 1.0), (day(2021, 1, 1), 3, 0.25), (day(2021, 2, 1), 0, 1.0), (day(2021, 2, 1), None, 0.5)]
+    mart = spark.createDataFrame(rows, "cohort_month date, months_since_first_purchase int, retention_rate double")
+    got = sorted(map(tuple, retention.retention_pivot(mart).collect()))
+    want = [(day(2021, m, 1), k, {(1, 0): 1.0, (1, 3): 0.25, (2, 0): 1.0}.get((m, k))) for m in (1, 2) for k in range(4)]
+    assert got == want
+    assert retention.retention_pivot(mart.limit(0)).count() == 0
 
 
 def test_product_conversion(sample):
