@@ -1,81 +1,107 @@
-"""Purchase-propensity models with Spark ML.
-
-* baseline: exact median imputation -> standardisation -> logistic regression
-  with balanced class weights.  The penalty is set so that the objective
-  matches ``C * sum(w_i * loss_i) + ||beta||^2 / 2`` with C = 1:
-  Spark minimises mean weighted loss + regParam/2 * ||beta||^2, hence
-  ``regParam = 1 / sum(w)`` on already standardised features.
-* trees: exact median imputation -> gradient-boosted trees (at most 100
-  rounds, cut back on a held-back tenth; step 0.08, seed 42).  Spark's GBT
-  is depth-limited and has no L2 term, so parity with a histogram GBM is by
-  metric, not by value.
-
-Models train with Spark ML (distributed); scores are the positive-class
-probability.  Evaluation uses the exact distributed AUC / AP / top-share
+"""Purchase-propensity models.
+
+* baseline: exact median imputation -> standardisation -> logistic regression with
+  balanced class weights, the optimum of ``C * sum(w_i * loss_i) + ||beta||^2 / 2`` with
+  C = 1 (intercept not penalised), by Newton steps: each step is one aggregate of the
+  gradient and the Hessian (a Gram matrix of features), solved on the driver.
+* trees: exact median imputation -> histogram gradient boosting (``boosting``).
+
+Both are deterministic up to rounding, whatever the partitioning.  Scores are the
+positive-class probability.  Evaluation uses the exact distributed AUC / AP / top-share
 metrics from ``deciles``.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartflow.functions.labels import MODEL_BASELINE, MODEL_TREES
+from cartflow.operators import boosting
+from cartflow.operators.boosting import BoostedTrees, filled
 from cartflow.operators.deciles import SCORE_TIES, auc_metrics, time_split, top_share_metrics
 from cartflow.operators.features import FEATURE_COLUMNS, TARGET_COLUMN
 from cartflow.operators.ranks import exact_medians
 from cartflow.operators.summary import side_by_side
 from cartflow.session import checkpoint_dir
 
-_IMPUTED = "_imp_"
-_HELD = "_held_back"
-#: Above this many training rows the trees hold some back and stop early.
-EARLY_STOP_ROWS = 10_000
-#: Rounds without a fall of the held-back log loss by more than the tolerance after
-#: which boosting ends, as in the histogram GBM's defaults.
-PATIENCE, TOLERANCE = 10, 1e-7
-
-
-def _as_double(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in features}).withColumn(
-        label, F.col(label).cast("double")
-    )
+# Tasks get this module's functions by value, so executors need not have it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def narrow(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = TARGET_COLUMN) -> DataFrame:
-    """The training columns as DOUBLE, computed once: medians, scaler, optimiser and
-    class counts all read them."""
+    """The training columns as DOUBLE, NaN as missing, computed once: medians, moments,
+    Newton steps and class counts all read them."""
     checkpoint_dir(train.sparkSession)
-    return _as_double(train.select(*features, label), features, label).checkpoint()
-
-
-def balanced_weights(
-    df: DataFrame,
-    label: str = TARGET_COLUMN,
-    weight_col: str = "class_weight",
-    counts: tuple[int, float] | None = None,
-) -> DataFrame:
-    """M5: w = n / (2 * n_class) per row; the two class counts are one
-    documented one-row read, then literals."""
-    n, n1 = counts or df.agg(F.count(F.lit(1)), F.count(F.when(F.col(label) == 1, F.lit(1)))).first()
-    w_pos = n / (2.0 * n1) if n1 else 0.0
-    w_neg = n / (2.0 * (n - n1)) if n - n1 else 0.0
-    w = F.when(F.col(label) == 1, F.lit(w_pos)).otherwise(F.lit(w_neg))
-    return df.withColumn(weight_col, w.cast("double"))
-
-
-def _imputer(data: DataFrame, features: Sequence[str]) -> SQLTransformer:
-    """M3: missing values become the exact median of the training rows (0 for a
-    column without any value)."""
-    medians = exact_medians(data, features)
-    filled = ", ".join(f"coalesce(`{c}`, CAST({medians[c] or 0.0!r} AS DOUBLE)) AS `{_IMPUTED}{c}`" for c in features)
-    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+    value = {c: F.col(c).cast("double") for c in features}
+    known = [F.when(~F.isnan(v), v).alias(c) for c, v in value.items()]
+    return train.select(*known, F.col(label).cast("double").alias(label)).checkpoint()
+
+
+def medians_of(data: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """M3: the exact median of every column of ``narrow`` rows (0 for one without values)."""
+    return {c: m or 0.0 for c, m in exact_medians(data, features).items()}
+
+
+def class_weights(n: int, positives: float) -> tuple[float, float]:
+    """M5: weights n / (2 * n_class) of negative and positive rows."""
+    return n / (2.0 * (n - positives)) if n - positives else 0.0, n / (2.0 * positives) if positives else 0.0
+
+
+@dataclass
+class Baseline:
+    """A fitted logistic regression on imputed, standardised features."""
+
+    features: tuple[str, ...]
+    medians: dict[str, float]
+    means: np.ndarray
+    scales: np.ndarray
+    weights: tuple[float, float]
+    #: Intercept, then one coefficient a feature.
+    beta: np.ndarray
+    steps: int = 0
+
+    def inputs(self) -> list[Column]:
+        told = zip(self.features, self.means, self.scales, strict=True)
+        return [((filled(c, self.medians[c]) - F.lit(float(m))) / F.lit(float(s))).alias(c) for c, m, s in told]
+
+    def score_column(self) -> Column:
+        margin = F.lit(float(self.beta[0]))
+        for x, b in zip(self.inputs(), self.beta[1:], strict=True):
+            margin = margin + x * F.lit(float(b))
+        return 1 / (1 + F.exp(-margin))
+
+
+def _newton_sums(data: DataFrame, model: Baseline, label: str) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of sum(w * loss) at the model: one row a task and entry, one
+    row an entry on the driver."""
+    wide = len(model.features) + 1
+    beta, weights = model.beta, model.weights
+
+    def added(batches):
+        total = np.zeros((wide, wide + 1))
+        for batch in batches:
+            told = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            x = np.column_stack([np.ones(batch.num_rows), *told[:-1]])
+            y, w = told[-1], np.where(told[-1] == 1, weights[1], weights[0])
+            p = 1 / (1 + np.exp(-(x @ beta)))
+            total[:, :wide] += x.T @ (x * (w * p * (1 - p))[:, None])
+            total[:, wide] += x.T @ (w * (p - y))
+        i, j = (k.reshape(-1) for k in np.indices(total.shape))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total.reshape(-1))], ["i", "j", "total"])
+
+    rows = data.select(*model.inputs(), F.col(label)).mapInArrow(added, "i long, j long, total double")
+    out = np.zeros((wide, wide + 1))
+    for r in rows.groupBy("i", "j").agg(F.sum("total").alias("total")).collect():
+        out[r["i"], r["j"]] = r["total"]
+    return out[:, wide], out[:, :wide]
 
 
 def fit_baseline(
@@ -83,32 +109,46 @@ def fit_baseline(
     features: Sequence[str] = FEATURE_COLUMNS,
     label: str = TARGET_COLUMN,
     max_iter: int = 1000,
-    tol: float = 1e-4,
-) -> PipelineModel:
-    """M6: logistic regression baseline (M3 + M4 + M5); ``tol`` 1e-4 as in
-    the scikit-learn default the baseline was tuned with."""
+    tol: float = 1e-9,
+) -> Baseline:
+    """M6: logistic regression baseline (M3 + M4 + M5).  Newton steps until none of the
+    coefficients moves by more than ``tol``; a step that does not bring the gradient
+    down is halved."""
     data = narrow(train, features, label)
+    medians = medians_of(data, features)
     n, positives = data.agg(F.count(F.lit(1)), F.sum(label)).first()
-    data = balanced_weights(data, label, counts=(n, positives or 0))
-    stages = [
-        _imputer(data, features),
-        VectorAssembler(inputCols=[_IMPUTED + c for c in features], outputCol="_raw_features"),
-        StandardScaler(inputCol="_raw_features", outputCol="_features", withMean=True, withStd=True),
-        LogisticRegression(
-            featuresCol="_features",
-            labelCol=label,
-            weightCol="class_weight",
-            maxIter=max_iter,
-            tol=tol,
-            regParam=1.0 / max(n, 1),
-            elasticNetParam=0.0,
-            standardization=False,
-            probabilityCol="_probability",
-            rawPredictionCol="_raw_prediction",
-            predictionCol="_prediction",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(data)
+    moments = data.agg(*[f(filled(c, medians[c])) for c in features for f in (F.avg, F.stddev_pop)]).first()
+    means = np.array([m or 0.0 for m in moments[0::2]])
+    scales = np.array([s or 1.0 for s in moments[1::2]])  # a constant column is left as it is
+    model = Baseline(
+        tuple(features), medians, means, scales, class_weights(n, positives or 0), np.zeros(len(features) + 1)
+    )
+    if not n:
+        return model
+    penalty = np.array([0.0] + [1.0] * len(features))
+    gradient, hessian = _newton_sums(data, model, label)
+    gradient = gradient + penalty * model.beta
+    while model.steps < max_iter:
+        # Least squares also serves a sample of one class, whose intercept has no optimum.
+        step = np.linalg.lstsq(hessian + np.diag(penalty), gradient, rcond=1e-14)[0]
+        model.steps += 1
+        before, norm = model.beta, np.abs(gradient).max()
+        while True:
+            model.beta = before - step
+            gradient, hessian = _newton_sums(data, model, label)
+            gradient = gradient + penalty * model.beta
+            if np.abs(gradient).max() <= max(norm, 1e-9) or np.abs(step).max() <= tol:
+                break
+            step = step / 2
+        if np.abs(step).max() <= tol:
+            break
+    return model
+
+
+def held_back(train: DataFrame, features: Sequence[str]) -> Column:
+    """A tenth of the rows, by a hash of the session's key (of the features without one)."""
+    key = [c for c in ("session_id", "user_id") if c in train.columns] or list(features)
+    return F.pmod(F.xxhash64(*key), F.lit(boosting.HELD_SHARE)) == 0
 
 
 def fit_trees(
@@ -116,83 +156,20 @@ def fit_trees(
     features: Sequence[str] = FEATURE_COLUMNS,
     label: str = TARGET_COLUMN,
     max_iter: int = 100,
-    step_size: float = 0.08,
-    max_depth: int = 5,
-    seed: int = 42,
-) -> PipelineModel:
-    """M7: gradient-boosted trees (M3), stopped early on more than 10,000 rows: a
-    tenth of them (by a hash of the session's key; of the features if it has none) is
-    held back, and the rounds after ``rounds_kept`` of its losses are left out."""
-    key = [c for c in ("session_id", "user_id") if c in train.columns] or list(features)
-    train = train.withColumn(_HELD, (F.pmod(F.xxhash64(*key), F.lit(10)) == 0).cast("double"))
-    data = narrow(train, [*features, _HELD], label)
-    held = None
-    if data.count() > EARLY_STOP_ROWS:
-        held, data = data.where(F.col(_HELD) == 1), data.where(F.col(_HELD) == 0)
-    stages = [
-        _imputer(data, features),
-        VectorAssembler(inputCols=[_IMPUTED + c for c in features], outputCol="_features"),
-        GBTClassifier(
-            featuresCol="_features",
-            labelCol=label,
-            maxIter=max_iter,
-            stepSize=step_size,
-            maxDepth=max_depth,
-            maxBins=255,
-            seed=seed,
-            predictionCol="_prediction",
-        )
-        .setProbabilityCol("_probability")
-        .setRawPredictionCol("_raw_prediction"),
-    ]
-    model = Pipeline(stages=stages).fit(data)
-    if held is None or held.isEmpty():
-        return model
-    *before, trees = model.stages
-    # Spark's loss is twice the log loss.
-    losses = [x / 2 for x in trees.evaluateEachIteration(PipelineModel(before).transform(held))]
-    return PipelineModel([*before, _first_trees(trees, rounds_kept(losses))])
-
-
-def rounds_kept(losses: Sequence[float], patience: int = PATIENCE, tolerance: float = TOLERANCE) -> int:
-    """Rounds until the last ``patience`` losses are all no more than ``tolerance``
-    below the one before them."""
-    for n in range(patience + 1, len(losses) + 1):
-        if min(losses[n - patience : n]) >= losses[n - patience - 1] - tolerance:
-            return n
-    return len(losses)
-
-
-def _first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
-    """The model after its first ``n`` rounds."""
-    if n >= model.getNumTrees:
-        return model
-    own, spark = model._java_obj, SparkSession.getActiveSession()
-    jvm, new_array = spark._jvm, spark.sparkContext._gateway.new_array
-    trees = new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    weights = new_array(jvm.double, n)
-    for k, (tree, weight) in enumerate(zip(own.trees()[:n], own.treeWeights()[:n], strict=True)):
-        trees[k], weights[k] = tree, weight
-    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        own.uid(), trees, weights, own.numFeatures(), own.numClasses()
-    )
-    return GBTClassificationModel(own.copyValues(cut, own.extractParamMap()))
+    rate: float = 0.08,
+    l2: float = 0.1,
+) -> BoostedTrees:
+    """M7: histogram gradient boosting (M3; medians of all training rows), stopped early
+    on more than 10,000 rows by a held-back tenth."""
+    data = narrow(train, features, label)
+    medians = medians_of(data, features)
+    held = held_back(train, features) if data.count() > boosting.EARLY_STOP_ROWS else None
+    return boosting.fit(train, features, medians, label, held, max_iter, rate, l2)
 
 
-def score(
-    model: PipelineModel,
-    df: DataFrame,
-    score_col: str = "model_score",
-    features: Sequence[str] = FEATURE_COLUMNS,
-    label: str = TARGET_COLUMN,
-) -> DataFrame:
+def score(model: Baseline | BoostedTrees, df: DataFrame, score_col: str = "model_score") -> DataFrame:
     """M8: positive-class probability as ``score_col``; input columns kept."""
-    original = df.columns
-    data = df.withColumns({_IMPUTED + "in_" + c: F.col(c) for c in features})
-    data = data.withColumns({c: F.col(c).cast("double") for c in features})
-    out = model.transform(data).withColumn(score_col, vector_to_array("_probability")[1])
-    keep = [F.col(_IMPUTED + "in_" + c).alias(c) if c in features else F.col(c) for c in original]
-    return out.select(*keep, score_col)
+    return df.withColumn(score_col, model.score_column())
 
 
 def evaluate(scored: DataFrame, score_col: str = "model_score", label: str = TARGET_COLUMN) -> DataFrame:
@@ -213,11 +190,11 @@ def model_inputs(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, la
     two class weights beside them."""
     data = narrow(train, features, label)
     medians = exact_medians(data, features)
-    filled = {c: F.coalesce(F.col(c), F.lit(float(medians[c] or 0.0))) for c in features}
+    values = {c: filled(c, medians[c] or 0.0) for c in features}
     n, n1 = F.count(F.lit(1)), F.sum(label)
     row = data.agg(
-        *[F.avg(v).alias(f"a_{c}") for c, v in filled.items()],
-        *[F.stddev_samp(v).alias(f"d_{c}") for c, v in filled.items()],
+        *[F.avg(v).alias(f"a_{c}") for c, v in values.items()],
+        *[F.stddev_pop(v).alias(f"d_{c}") for c, v in values.items()],
         (n / (2.0 * n1)).alias("weight_positive"),
         (n / (2.0 * (n - n1))).alias("weight_negative"),
     )
@@ -240,17 +217,25 @@ def model_inputs(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, la
     )
 
 
-def largest_gradient(model: PipelineModel, train: DataFrame, label: str = TARGET_COLUMN) -> DataFrame:
-    """M6: rows, and the largest component of the gradient, per row, of the objective
-    sum(w * loss) + |beta|^2 / 2 at the fitted logistic model (0 at its optimum)."""
-    data = narrow(train, FEATURE_COLUMNS, label)
-    scored = model.transform(balanced_weights(data, label))
-    beta = model.stages[-1].coefficients.toArray()
-    error = (vector_to_array("_probability")[1] - F.col(label)) * F.col("class_weight")
-    x = vector_to_array("_features")
-    parts = [F.abs(F.sum(error * x[i]) + F.lit(float(b))) for i, b in enumerate(beta)]
-    n = F.count(F.lit(1))
-    return scored.agg(n.alias("rows_cnt"), (F.greatest(F.abs(F.sum(error)), *parts) / n).alias("gradient"))
+def coefficients(model: Baseline, train: DataFrame, label: str = TARGET_COLUMN) -> DataFrame:
+    """M6: the fitted coefficients (intercept first) with, for each, the component of the
+    objective's gradient there, per row (0 at the optimum), and the training rows."""
+    data = narrow(train, model.features, label)
+    n = data.count()
+    gradient, _ = _newton_sums(data, model, label)
+    gradient = gradient + np.array([0.0, *model.beta[1:]])
+    names = ("intercept", *model.features)
+    rows = [(c, float(b), float(g / max(n, 1)), n) for c, b, g in zip(names, model.beta, gradient, strict=True)]
+    return train.sparkSession.createDataFrame(rows, "feature string, coefficient double, gradient double, rows_cnt long")
+
+
+def first_splits(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = TARGET_COLUMN) -> DataFrame:
+    """M7: per feature its number of bins and the best first split of the first tree:
+    threshold, gain, and rows, gradient and Hessian sums of the left child."""
+    medians = medians_of(narrow(train, features, label), features)
+    found = boosting.first_splits(train, features, medians, label)
+    kinds = "feature string, bins long, threshold double, gain double, left_rows long, left_gradient double, left_hessian double"
+    return train.sparkSession.createDataFrame(found, kinds)
 
 
 def train_propensity(
@@ -264,8 +249,12 @@ def train_propensity(
     model_score for every session, train and test alike)."""
     scored = score_sessions(features_df, share, tree_iters)
     metrics = compare_models(scored)
-    scores = scored.select("session_id", "user_id", "session_start", TARGET_COLUMN, "baseline_score", "model_score")
-    return metrics, scores
+    return metrics, score_table(scored)
+
+
+def score_table(scored: DataFrame) -> DataFrame:
+    """The columns of the score dataset from ``score_sessions`` rows."""
+    return scored.select("session_id", "user_id", "session_start", TARGET_COLUMN, "baseline_score", "model_score")
 
 
 def score_sessions(features_df: DataFrame, share: float = 0.8, tree_iters: int = 100) -> DataFrame:
