@@ -6,22 +6,22 @@ previous event of any kind (ordered by time, type, product, tie-breakers;
 NULLs last) is missing or more than ``gap`` minute boundaries earlier.  The
 derived id is ``derived_<user_id>_<running count of starts>``.
 
-Plan (no per-user sort of the events)
--------------------------------------
+Plan (one scan and one exchange of the events, no per-user sort)
+-----------------------------------------------------------------
 The gap is measured in minute boundaries, so cut each user's timeline into
 blocks of ``gap + 1`` consecutive minute indexes.  Two events in one block
 are at most ``gap`` boundaries apart, hence only the *first* event of a
 block can start a session, and every event of a block carries the same
 running count.
 
-1. One hash aggregate per (user, block): first blank time, first sourced
-   time, last time (fixed-width values, partial aggregation).  The earlier of
-   the two first times says whether the block opens with a blank event; only
-   where they are equal are the tied rows themselves ordered.
-2. A window per user over the block table.  Its rows are bounded by the
-   length of the timeline over ``gap + 1`` minutes (17,000 a year), whatever
-   the number of events.
-3. One join of the events with their block row; AQE splits a skewed partition.
+1. The events are dealt by (user, block), ordered within blocks (windows of at
+   most ``gap + 1`` minutes of one user), and stored in the shared checkpoint
+   folder; their partitioning is kept, so nothing below deals them again.
+2. Their first rows are the block table: first and last time, and whether the
+   block opens with a blank event.  A window per user runs over it; its rows are
+   bounded by the length of the timeline over ``gap + 1`` minutes (17,000 a year),
+   whatever the number of events.
+3. The block table is dealt by (user, block) and joined to the stored events.
 
 Events without a time come after all others.  The time before them is NULL
 except for the first one, so each blank one starts a session (the first only
@@ -48,6 +48,7 @@ from cartflow.functions.labels import (
 from cartflow.functions.timefn import minute_diff, minute_index
 from cartflow.operators.events import is_type, purchase_revenue, type_count
 from cartflow.operators.ranks import cumulative
+from cartflow.session import partitioned_checkpoint
 
 
 def source_session_id(col: str = "user_session") -> Column:
@@ -74,39 +75,52 @@ def _on(columns: Sequence[str], left: str, right: str) -> Column:
     return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
-def _blocks(timed: DataFrame, order: Sequence[str], gap: int) -> DataFrame:
-    """Per (user, block): first and last time, the time before the block,
-    whether it starts a session, and the running count of starts."""
-    key = ["user_id", "_block"]
-    blank = F.col("source_session_id").isNull()
-    blocks = timed.groupBy(*key).agg(
-        F.min(F.when(blank, F.col("event_time"))).alias("_blank"),
-        F.min(F.when(~blank, F.col("event_time"))).alias("_sourced"),
-        F.max("event_time").alias("_last"),
+#: User and block without nulls, so that plain equality joins keep the partitioning.
+KEY = ("_user", "_nobody", "_block")
+
+
+def _dealt(timed: DataFrame, order: Sequence[str], gap: int) -> DataFrame:
+    """``timed`` events dealt by (user, block) and stored, with their place in the block,
+    the time before them there, and the block's last time."""
+    spark = timed.sparkSession
+    m, width = minute_index("event_time"), F.lit(gap + 1)
+    keyed = timed.withColumns(
+        {
+            "_user": F.coalesce("user_id", F.lit(0)),
+            "_nobody": F.col("user_id").isNull(),
+            "_block": ((m - F.pmod(m, width)) / width).cast("bigint"),
+        }
     )
-    tied = blocks.where("_blank = _sourced").select(*key, F.col("_blank").alias("_at"))
-    first = (
-        timed.select(*key, "event_time", *order, blank.alias("_opens"))
-        .alias("e")
-        .join(tied.alias("b"), _on(key, "e", "b") & (F.col("e.event_time") == F.col("b._at")))
-        .select("e.*")
-        .withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*_ascending(order))))
-        .where("_n = 1")
-        .select(*key, "_opens")
+    in_block = Window.partitionBy(*KEY).orderBy(*_ascending(["event_time", *order]))
+    dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *KEY)
+    placed = dealt.withColumns(
+        {
+            "_place": F.row_number().over(in_block),
+            "_prior": F.lag("event_time").over(in_block),
+            "_last": F.max("event_time").over(Window.partitionBy(*KEY)),
+            "_blanks": F.max(F.col("source_session_id").isNull()).over(Window.partitionBy(*KEY)),
+        }
     )
-    blocks = blocks.alias("b").join(first.alias("f"), _on(key, "b", "f"), "left").select("b.*", "f._opens")
-    opens = F.coalesce("_opens", F.col("_sourced").isNull() | (F.col("_blank") < F.col("_sourced")), F.lit(False))
-    per_user = Window.partitionBy("user_id").orderBy("_block")
-    blocks = blocks.select(
-        *key,
-        F.least("_blank", "_sourced").alias("_first"),
+    return partitioned_checkpoint(placed)
+
+
+def _blocks(dealt: DataFrame, gap: int) -> DataFrame:
+    """Per (user, block): last time, the time before the block, whether it starts a
+    session, and the running count of starts."""
+    per_user = Window.partitionBy("_user", "_nobody").orderBy("_block")
+    blocks = dealt.where("_place = 1").select(
+        "user_id",
+        *KEY,
+        F.col("event_time").alias("_first"),
         "_last",
         F.lag("_last").over(per_user).alias("_before"),
-        opens.alias("_opens"),
+        "_blanks",
+        F.col("source_session_id").isNull().alias("_opens"),
     )
     late = F.col("_before").isNull() | (minute_diff("_before", "_first") > F.lit(gap))
-    blocks = blocks.withColumn("_start", (F.col("_opens") & late).cast("bigint"))
-    return blocks.withColumn("_counter", F.sum("_start").over(per_user.rowsBetween(Window.unboundedPreceding, 0)))
+    blocks = blocks.withColumn("_start", (F.col("_opens") & late).cast("int"))
+    run = F.sum("_start").over(per_user.rowsBetween(Window.unboundedPreceding, 0))
+    return blocks.select("user_id", *KEY, "_last", "_blanks", "_before", "_start", run.alias("_counter"))
 
 
 def _untimed_rows(untimed: DataFrame, blocks: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -135,6 +149,27 @@ def _untimed_rows(untimed: DataFrame, blocks: DataFrame, order: Sequence[str]) -
     )
 
 
+def _derived_id() -> Column:
+    """The running count's session id; CONCAT skips a NULL user."""
+    user = F.col("user_id").cast("string")
+    return F.concat_ws("", F.lit(DERIVED_SESSION_PREFIX), user, F.lit("_"), F.col("_counter").cast("string"))
+
+
+def session_keys(shop: DataFrame, gap: int = SESSION_GAP_MINUTES, tie: Sequence[str] | None = None) -> DataFrame:
+    """The distinct (session_id, user_id) of ``sessionize``'s events: source ids, and the
+    running counts of blocks that hold a blank event, without a join back to the events."""
+    order = _order_columns(shop, tie)
+    keyed = shop.select("event_time", "user_id", *order, source_session_id().alias("source_session_id"))
+    blocks = _blocks(_dealt(keyed.where("event_time is not null"), order, gap), gap)
+    found = keyed.where("source_session_id is not null").select(F.col("source_session_id").alias("session_id"), "user_id")
+    found = found.union(blocks.where("_blanks").select(_derived_id().alias("session_id"), "user_id"))
+    untimed = keyed.where("event_time is null")
+    if not untimed.isEmpty():
+        rows = _untimed_rows(untimed, blocks, order).where("source_session_id is null")
+        found = found.union(rows.select(_derived_id().alias("session_id"), "user_id"))
+    return found.distinct()
+
+
 def sessionize(
     shop: DataFrame,
     gap: int = SESSION_GAP_MINUTES,
@@ -151,23 +186,14 @@ def sessionize(
     if gap < 0:
         raise ValueError("gap must be >= 0 minutes")
     order = _order_columns(shop, tie)
-    key = ["user_id", "_block"]
-    width = F.lit(gap + 1)
-    m = minute_index("event_time")
     keyed = shop.withColumn("source_session_id", source_session_id())
-    timed = keyed.where("event_time is not null").withColumn("_block", ((m - F.pmod(m, width)) / width).cast("bigint"))
-    blocks = _blocks(timed, order, gap)
-    rows = timed.alias("e").join(blocks.alias("b"), _on(key, "e", "b")).select(
-        "e.*", "b._first", "b._before", "b._start", "b._counter"
-    )
-    # Both windows are pruned from plans that read neither column.
-    same_time = Window.partitionBy(*key, "event_time").orderBy(*_ascending(order))
-    in_block = Window.partitionBy(*key).orderBy(*_ascending(["event_time", *order]))
-    starts = (F.col("_start") == 1) & (F.col("event_time") == F.col("_first")) & (F.row_number().over(same_time) == 1)
+    dealt = _dealt(keyed.where("event_time is not null"), order, gap)
+    blocks = _blocks(dealt, gap)
+    rows = dealt.drop("_last", "_blanks").join(blocks.drop("user_id", "_last", "_blanks"), list(KEY))
     rows = rows.withColumns(
         {
-            "derived_session_start": starts.cast("int"),
-            "previous_event_time": F.coalesce(F.lag("event_time").over(in_block), F.col("_before")),
+            "derived_session_start": F.when(F.col("_place") == 1, F.col("_start")).otherwise(F.lit(0)),
+            "previous_event_time": F.coalesce("_prior", "_before"),
         }
     )
     out = [*shop.columns, "source_session_id", "derived_session_start", "previous_event_time", "_counter"]
@@ -175,14 +201,7 @@ def sessionize(
     untimed = keyed.where("event_time is null")
     if not untimed.isEmpty():  # else nothing to order; a filter that Parquet statistics answer
         rows = rows.unionByName(_untimed_rows(untimed, blocks, order).select(*out))
-    derived = F.concat_ws(
-        "",
-        F.lit(DERIVED_SESSION_PREFIX),
-        F.col("user_id").cast("string"),
-        F.lit("_"),
-        F.col("_counter").cast("string"),
-    )
-    rows = rows.withColumn("session_id", F.coalesce(F.col("source_session_id"), derived))
+    rows = rows.withColumn("session_id", F.coalesce(F.col("source_session_id"), _derived_id()))
     extra = ["previous_event_time"] if with_previous_time else []
     return rows.select(*shop.columns, "source_session_id", "derived_session_start", "session_id", *extra)
 

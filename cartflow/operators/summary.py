@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartflow.functions.labels import (
+    EVENT_PURCHASE,
     KPI_ABANDONED,
     KPI_CART_TO_PURCHASE,
     KPI_GMV,
@@ -18,8 +19,10 @@ from cartflow.functions.labels import (
     depth_segment,
 )
 from cartflow.functions.ratios import count_if, ratio_or_null, safe_divide
+from cartflow.operators.events import type_count
 from cartflow.operators.funnel import funnel_rate_columns
 from cartflow.operators.segments import repeat_purchase_rate
+from cartflow.operators.sessions import session_keys
 from cartflow.session import checkpoint_dir
 
 
@@ -94,14 +97,19 @@ def overview(fct: DataFrame, sessions: DataFrame) -> DataFrame:
 
     ``source_sessions_cnt`` counts raw ``user_session`` values, blanks
     included, unlike sessionisation."""
-    a = fct.agg(
-        F.min("event_date").alias("period_start"),
-        F.max("event_date").alias("period_end"),
-        F.count(F.lit(1)).alias("events_cnt"),
-        F.count_distinct("user_id").alias("users_cnt"),
-        F.count_distinct("user_session").alias("source_sessions_cnt"),
+    # One row for each distinct value first, so that no row is expanded for two distinct
+    # counts; every event's user is that of its session.
+    per_source = fct.groupBy("user_session").agg(
+        F.min("event_date").alias("first"), F.max("event_date").alias("last"), F.count(F.lit(1)).alias("n")
     )
-    b = sessions.agg(F.count(F.lit(1)).alias("sessions_cnt"))
+    a = per_source.agg(
+        F.min("first").alias("period_start"),
+        F.max("last").alias("period_end"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("events_cnt"),
+        F.count("user_session").alias("source_sessions_cnt"),
+    )
+    per_user = sessions.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    b = per_user.agg(F.count("user_id").alias("users_cnt"), F.coalesce(F.sum("n"), F.lit(0)).alias("sessions_cnt"))
     return side_by_side(a, b)
 
 
@@ -110,9 +118,11 @@ def _sums(sessions: DataFrame) -> list:
     return [F.sum(c).cast("bigint").alias(c) for c in ("views_cnt", "carts_cnt", "purchases_cnt")]
 
 
-def kpi_counters(sessions: DataFrame) -> DataFrame:
-    """Number of purchases and number of sessions."""
-    return sessions.agg(*_sums(sessions)[2:], F.count(F.lit(1)).alias("sessions_cnt"))
+def kpi_counters(shop: DataFrame) -> DataFrame:
+    """Number of purchases and number of sessions, without a session fact: purchases
+    need no session, and the distinct session keys need no join back to the events."""
+    purchases = shop.agg(type_count(EVENT_PURCHASE, "purchases_cnt"))
+    return side_by_side(purchases, session_keys(shop).agg(F.count(F.lit(1)).alias("sessions_cnt")))
 
 
 def kpi_table(sessions: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job relies on.  UTC only matters for LTZ
 # timestamps; canonical event times are TIMESTAMP_NTZ (wall clock).
@@ -86,3 +86,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="cartflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def partitioned_checkpoint(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` that keeps the partitioning and order of ``df``, so that joins and
+    groups on the same keys need no new exchange.  Adaptive plans do not tell theirs, so
+    this one plan is made without."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return df.checkpoint()
+    finally:
+        spark.conf.set(name, before)

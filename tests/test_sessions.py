@@ -4,8 +4,9 @@ import random
 import pandas as pd
 from pyspark.sql import types as T
 
-from cartflow.operators.sessions import fct_sessions, sessionize
+from cartflow.operators.sessions import fct_sessions, session_keys, sessionize
 from cartflow.plans import oracle
+from cartflow.sources.adapters import load_commerce_events, untied_events
 from duck import rows, run
 
 SCHEMA = T.StructType(
@@ -155,3 +156,31 @@ def test_no_sort_based_minimum_in_the_plan(spark):
     fact = fct_sessions(sessionize(frame(spark, FIXTURE)))
     plan = fact._jdf.queryExecution().optimizedPlan().toString()
     assert "min(struct" not in plan and "min(named_struct" not in plan
+
+
+def test_events_are_dealt_once(spark):
+    """Plan: the stored events meet their block rows and the session groups without another
+    exchange or sort of the events; only the block table moves."""
+    shop = load_commerce_events(spark, "/root/testdata/sf0.001")
+    rows = sessionize(shop)
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(n) for n in names]
+    assert before[0] == "true"  # the checkpoint has put it back
+    try:
+        spark.conf.set(names[0], "false")
+        spark.conf.set(names[1], "-1")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.set(n, v)
+    # By user for the window over the block table, by block for the join: none is left
+    # for the events.
+    assert plan.count("Exchange") == 2 and plan.count("Join") == 1 and "FileScan" not in plan
+    assert plan.count("Exchange hashpartitioning(_user") == 2
+
+
+def test_session_keys_are_those_of_the_events(spark):
+    shop = untied_events(load_commerce_events(spark, "/root/testdata/sf0.001"))
+    want = sessionize(shop).select("session_id", "user_id").distinct()
+    got = session_keys(shop)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
