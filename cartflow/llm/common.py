@@ -98,13 +98,15 @@ def slices(
             begin = stop
 
 
-def per_slice(step: Callable, text: str = "text", limit: int = SLICE_BYTES) -> Callable:
+def per_slice(step: Callable, text: str = "text", limit: int = SLICE_BYTES, once: Callable | None = None) -> Callable:
     """A ``mapInArrow`` function that applies ``step(batch, texts)`` to each
-    slice; ``step`` returns a record batch, or yields several."""
+    slice; ``step`` returns a record batch, or yields several.  What ``once()`` returns,
+    once a task, is its third argument."""
 
     def run(batches):
+        state = (once(),) if once else ()
         for batch, texts in slices(batches, text, limit):
-            made = step(batch, texts)
+            made = step(batch, texts, *state)
             if isinstance(made, pa.RecordBatch):
                 yield made
             else:
@@ -116,8 +118,9 @@ def per_slice(step: Callable, text: str = "text", limit: int = SLICE_BYTES) -> C
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser: every input bit reaches every output bit."""
     x = np.asarray(x, np.uint64)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    with np.errstate(over="ignore"):  # products are modulo 2**64; numpy warns of scalars
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
 
 

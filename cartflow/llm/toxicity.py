@@ -5,11 +5,11 @@ A feature is the presence of a hashed n-gram of code points (A-Z lower-cased,
 white space as blanks), or its presence more than once.  Document counts of every feature and class cover all
 labelled training rows and give each feature its ratio
 log(P(feature | toxic) / P(feature | clean)), shrunk towards zero for rare
-features and zero but for the ``FEATURES`` ones where the classes differ most, and
-significantly.  A logistic regression on the ratios of a text's features is fitted in
-numpy on a bounded sample of labelled rows (``sample_rows`` at most, in hash
-order, half of them for each class where there are as many; weights restore the
-classes' proportions).  Scoring covers whole texts.
+features and zero where the classes do not differ significantly.  A logistic
+regression on the ratios of a text's features is fitted in numpy on a bounded sample
+of labelled rows (``sample_rows`` at most, and as many as have ``SAMPLE_FEATURES``
+features together by the mean; in hash order, half of them for each class where there
+are as many; weights restore the classes' proportions).  Scoring covers whole texts.
 
 Only the text enters a score.  Defined results: null and empty texts have no
 features and get the model's bias; rows with a null label or doc_id train
@@ -33,8 +33,8 @@ ORDERS = (4, 5, 6)
 #: Hashed features, half of them for repeated n-grams.
 BITS = 19
 SAMPLE_ROWS = 12000
-#: Features of the classifier: those whose shares differ most significantly.
-FEATURES = 6000
+#: Features of all sampled rows together, about: what the driver holds (4 bytes each).
+SAMPLE_FEATURES = 12_000_000
 #: Labels up to this number are sent to all tasks; more are joined by a shuffle.
 BROADCAST_LABELS = 2_000_000
 #: Weight of the prior in the log-count ratios, in documents.
@@ -145,7 +145,6 @@ def log_ratios(totals: np.ndarray, counts: np.ndarray) -> np.ndarray:
     error = np.sqrt(both * (1 - both) * (1 / totals).sum())
     apart = np.abs(share[1] - share[0]) / error
     ratio[apart < DEVIATIONS] = 0
-    ratio[np.argsort(-apart, kind="stable")[FEATURES:]] = 0
     return ratio.astype(np.float32)
 
 
@@ -176,6 +175,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         rate = totals[1] / totals.sum() if totals.sum() else 0.0
         return Model(np.zeros(1 << BITS, np.float32), float(50 * (2 * rate - 1)))
     ratio = log_ratios(totals, counts)
+    # Significant features of a labelled row, on average over all of them.
+    mean = counts[:, ratio != 0].sum() / totals.sum()
+    sample_rows = min(sample_rows, max(2, int(SAMPLE_FEATURES / max(mean, 1))))
     room = [max(sample_rows // 2, sample_rows - int(totals[1 - k])) for k in (0, 1)]
     ids = None
     for label in (0, 1):
@@ -212,13 +214,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     )
     shared = share(docs.sparkSession, model)  # 2 MB, whatever the corpus
 
-    def step(batch, texts):
+    def model_of_task() -> tuple[Model, np.ndarray]:
         own = received(shared)
-        wanted = own.wanted()
+        return own, own.wanted()
+
+    def step(batch, texts, ready):
+        own, wanted = ready
         marks = pa.array([own.score(t, wanted) for t in texts], pa.float64())
         made = [*batch.columns, marks]
         return pa.RecordBatch.from_arrays(made, [*batch.schema.names, "score"])
 
     schema = "doc_id long, text string" + (f", rest {plain.schema['rest'].dataType.simpleString()}" if carry else "")
-    scored = plain.mapInArrow(per_slice(step), schema + ", score double")
+    scored = plain.mapInArrow(per_slice(step, once=model_of_task), schema + ", score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
