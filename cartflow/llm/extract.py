@@ -17,7 +17,7 @@ dropped element.
 There are no hand-made labels for pages.  The trees learn from elements whose role
 is plain from the markup (inside ``article``/``main``; inside ``nav``, ``footer``,
 ``aside``, ``form``, ... or under a tell-tale class token), on at most
-``sample_pages`` pages.  Each training page is seen once more with elements of
+``sample_pages`` pages, and ``sample_nodes`` of their nodes.  Each training page is seen once more with elements of
 other boilerplate kinds grafted into it, inside the article too, that hold its own
 prose (comments, notices, sidebars, ...), and once more with its paragraphs turned
 into cells, list items or boxes; half of the pages also with their telling
@@ -28,14 +28,15 @@ Text: character references are decoded, white space inside a block becomes one
 blank, blocks are trimmed and joined by one newline in page order.  Defined
 results: null or empty html, or html without text, gives the empty text; plain
 text without elements is one block; unclosed elements end with their parent;
-repeated rows are extracted alike.  Without any training page a fixed prior
-decides (telling tags and tokens are dropped).
+repeated rows are extracted alike.  Without training pages that tell of main text and
+of other elements a fixed prior decides (telling tags and tokens are dropped).
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -46,6 +47,8 @@ from pyspark.sql import functions as F
 from cartflow.llm.common import per_slice, received, share
 
 SAMPLE_PAGES = 400
+#: Nodes of the sampled pages that the trees are fitted on, at most, in hash order.
+SAMPLE_NODES = 300_000
 TREES = 24
 DEPTH = 4
 BINS = 32
@@ -82,13 +85,8 @@ BAD_TOKENS = frozenset(
 )
 GOOD_TOKENS = frozenset("article content main post entry story text body articlebody prose maincontent".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+MARK = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACES = re.compile(r"\s+")
 WORD = re.compile(r"[a-z]+")
@@ -126,11 +124,116 @@ def _tokens(attributes: str) -> frozenset:
     return frozenset(found)
 
 
+class Scanner:
+    """Markup of a page from left to right, every character looked at a fixed number of
+    times: ``token`` finds the next tag, comment or declaration."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")  # no tag ends beyond
+        self.dead: set[int] = set()  # places outside quotes from which no tag end is reached
+
+    def _end_of_tag(self, at: int) -> int:
+        """Place of the first > outside quotes, from outside quotes; -1 if there is none."""
+        passed = []
+        while at not in self.dead:
+            passed.append(at)
+            m = MARK.search(self.source, at)
+            if not m:
+                break
+            if m[0] == ">":
+                return m.start()
+            shut = self.source.find(m[0], m.end())
+            if shut < 0:
+                break
+            at = shut + 1
+        self.dead.update(passed)
+        return -1
+
+    def token(self, at: int) -> tuple[int, int, str, str, str]:
+        """From ``at``: where the next token begins and ends, its kind (open, shut, other,
+        or empty at the end of the page), its name and its attributes."""
+        source, size = self.source, len(self.source)
+        while True:
+            at = source.find("<", at)
+            if at < 0:
+                return size, size, "", "", ""
+            for begin, end in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                if source.startswith(begin, at):
+                    shut = source.find(end, at + len(begin))
+                    return at, size if shut < 0 else shut + len(end), "other", "", ""
+            if at < self.last:
+                follows = source[at + 1]
+                if follows in "!?":
+                    return at, source.index(">", at) + 1, "other", "", ""
+                shut = follows == "/"
+                m = NAME.match(source, at + 1 + shut)
+                if m and shut:
+                    return at, source.index(">", m.end()) + 1, "shut", m[0].lower(), ""
+                if m and m.end() <= self.last:
+                    end = self._end_of_tag(m.end())
+                    if end < 0:  # its quotes do not close: it ends at the first > of all
+                        end = source.index(">", m.end())
+                    return at, end + 1, "open", m[0].lower(), source[m.end() : end]
+            at += 1
+
+    def after_raw(self, tag: str, at: int) -> int:
+        """Where the content of an element without markup, and its end tag, end."""
+        m = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(self.source, at, self.last + 1)
+        return m.end() if m else len(self.source)
+
+
+class Open:
+    """The open elements, with the places of each kind, so that no search walks them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = []  # tag and block node
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.cells: list[int] = []
+
+    def push(self, tag: str, node: int) -> None:
+        at = len(self.stack)
+        self.stack.append((tag, node))
+        self.places.setdefault(tag, []).append(at)
+        if tag in SCOPE:
+            self.scopes.append(at)
+        if tag in ("td", "th"):
+            self.cells.append(at)
+
+    def pop(self) -> tuple[str, int]:
+        tag, node = self.stack.pop()
+        self.places[tag].pop()
+        if tag in SCOPE:
+            self.scopes.pop()
+        if tag in ("td", "th"):
+            self.cells.pop()
+        return tag, node
+
+    @staticmethod
+    def _top(places: list[int] | None) -> int:
+        return places[-1] if places else 0
+
+    def ended_by(self, tag: str) -> int:
+        """Place of the element that an end tag closes: 0 if none is open, -1 if a table
+        cell keeps the tag from reaching it."""
+        at = self._top(self.places.get(tag))
+        free = tag in ("tr", "table", "tbody", "thead", "tfoot")
+        return -1 if not free and self._top(self.cells) > at else at
+
+    def in_scope(self, kind: str) -> int:
+        """Place of the innermost element of a kind, 0 if a scope lies before it."""
+        at = self._top(self.places.get(kind))
+        return at if at >= self._top(self.scopes) else 0
+
+
 def parse(source: str) -> Page:
     """Block tree and text blocks of a page; node 0 is the root."""
     nodes = [Node("html", -1, 0, frozenset())]
     blocks: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = [("html", 0)]  # open elements and their block node
+    opened = Open()
+    opened.push("html", 0)
+    stack, scanner = opened.stack, Scanner(source)
     pieces: list[str] = []
     unread = links = linked = 0
     at = 0
@@ -152,47 +255,35 @@ def parse(source: str) -> Page:
     def close(depth: int):
         nonlocal unread, links
         while len(stack) > depth:
-            tag, node = stack.pop()
-            if tag in BLOCK and tag not in ROOTS:
-                stack.append((tag, node))
+            if stack[-1][0] in BLOCK and stack[-1][0] not in ROOTS:
                 flush()
-                stack.pop()
+            tag, _ = opened.pop()
             unread -= tag in UNREAD
             links -= tag == "a"
 
     while at < end:
-        m = TOKEN.search(source, at)
-        text = source[at : m.start() if m else end]
+        begin, beyond, kind, tag, attributes = scanner.token(at)
+        text = source[at:begin]
         if text and not unread:
             text = html.unescape(text) if "&" in text else text
             pieces.append(text)
             if links:
                 linked += len(text.strip())
-        if not m:
-            break
-        at = m.end()
-        if m[1]:
-            tag = m[1].lower()
+        at = beyond
+        if kind == "shut":
             if tag in ROOTS:
                 continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if stack[i][0] in ("td", "th") and tag not in ("tr", "table", "tbody", "thead", "tfoot"):
-                    break
-            else:
-                if tag in BLOCK:
-                    flush()
+            place = opened.ended_by(tag)
+            if place > 0:
+                close(place)
+            elif place == 0 and tag in BLOCK:
+                flush()
             continue
-        tag = (m[2] or m[4] or "").lower()
-        if not tag:
+        if kind != "open":
             continue
-        attributes = m[3] if m[2] else m[5]
         if tag in RAW:
-            shut = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
             if not attributes.rstrip().endswith("/") or tag not in ("svg", "math"):
-                at = shut.end() if shut else end
+                at = scanner.after_raw(tag, at)
             continue
         if tag in VOID:
             if tag in BLOCK:
@@ -205,22 +296,19 @@ def parse(source: str) -> Page:
                 close(1)
             continue
         if tag in BLOCK:
-            for kind in ENDS.get(tag, ()):
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == kind:
-                        close(i)
-                        break
-                    if stack[i][0] in SCOPE:
-                        break
+            for ends in ENDS.get(tag, ()):
+                place = opened.in_scope(ends)
+                if place:
+                    close(place)
             flush()
             above = stack[-1][1]
             parent = nodes[above]
             parent.children.append(len(nodes))
             nodes.append(Node(tag, above, parent.depth + 1, _tokens(attributes), len(parent.children) - 1))
-            stack.append((tag, len(nodes) - 1))
+            opened.push(tag, len(nodes) - 1)
         else:
             nodes[stack[-1][1]].tags += 1
-            stack.append((tag, stack[-1][1]))
+            opened.push(tag, stack[-1][1])
         unread += tag in UNREAD
         links += tag == "a"
     close(1)
@@ -247,6 +335,7 @@ def features(page: Page, plain: bool = False) -> np.ndarray:
     out = np.zeros((len(nodes), FEATURES), np.float32)
     bad_above, good_above, seen = [0] * len(nodes), [0] * len(nodes), 0
     starts = [0] * len(nodes)
+    alike = Counter((n.parent, n.tag) for n in nodes)  # children of a parent by tag
     for i, n in enumerate(nodes):
         tag = "div" if plain and (n.tag in BOILER or n.tag in MAIN) else n.tag
         tokens = frozenset() if plain else n.tokens
@@ -261,7 +350,7 @@ def features(page: Page, plain: bool = False) -> np.ndarray:
         seen += n.own
         parent = nodes[n.parent] if n.parent >= 0 else n
         siblings = max(len(parent.children), 1)
-        same = sum(nodes[c].tag == n.tag for c in parent.children[:64]) if n.parent >= 0 else 1
+        same = alike[n.parent, n.tag]
         before = nodes[parent.children[n.index - 1]] if n.parent >= 0 and n.index else None
         after = nodes[parent.children[n.index + 1]] if n.parent >= 0 and n.index + 1 < siblings else None
         size = max(n.text, 1)
@@ -269,7 +358,7 @@ def features(page: Page, plain: bool = False) -> np.ndarray:
             bad, good, bad_above[i], good_above[i],
             tag in HEADING, tag in PROSE, tag in LISTS, tag in ("div", "section"),
             n.depth, np.log1p(n.text), n.text / whole, n.linked / size, n.tags / size * 100, n.stops / size * 100,
-            np.log1p(n.own), siblings, n.index / siblings, same / min(siblings, 64), n.text / max(parent.text, 1),
+            np.log1p(n.own), siblings, n.index / siblings, same / siblings, n.text / max(parent.text, 1),
             np.log1p(before.text) if before else -1, np.log1p(after.text) if after else -1, starts[i] / whole,
         )
     return out
@@ -291,7 +380,7 @@ def plain_roles(page: Page) -> np.ndarray:
 def grafted(source: str, rng: np.random.Generator) -> str:
     """The page with some elements of a random boilerplate kind added: prose of the
     page itself, or links, under a telling class or tag."""
-    prose = re.findall(r"<p>([^<]{20,400})", source)[:20] or ["Some words that could stand in any paragraph."]
+    prose = re.findall(r"<p>([^<]{20,400})", source) or ["Some words that could stand in any paragraph."]
     pick = lambda values: values[rng.integers(len(values))]
     for _ in range(5):
         inside = "".join(f"<p>{pick(prose)}</p>" for _ in range(rng.integers(1, 4)))
@@ -381,9 +470,10 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees:
     return Trees(prior, edges, feature, cut, leaf)
 
 
-def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Trees | None:
-    """Fit on pages in the order of a hash of their address; None if the markup of
-    none of them says anything."""
+def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_nodes: int = SAMPLE_NODES) -> Trees | None:
+    """Fit on pages in the order of a hash of their id, and of their nodes on those
+    first in the order of a hash; None unless their markup tells of both main text and
+    other elements (else the trees would drop, or keep, all)."""
     ids = (
         pages.where("page_id is not null")
         .select("page_id")
@@ -411,9 +501,10 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Trees | None:
 
     picked = pages.join(F.broadcast(ids), "page_id", "left_semi")
     picked = picked.groupBy("page_id").agg(F.min(F.col("html").cast("string")).alias("html")).select("html")  # one row of each
-    got = picked.mapInArrow(per_slice(step, "html"), "role long, row binary").orderBy("row", "role").toArrow()
+    made = picked.mapInArrow(per_slice(step, "html"), "role long, row binary")
+    got = made.orderBy(F.xxhash64("row"), "row", "role").limit(sample_nodes).orderBy("row", "role").toArrow()
     y = got.column("role").to_numpy()
-    if not len(y):
+    if not len(y) or y.min() == y.max():
         return None
     x = np.frombuffer(b"".join(got.column("row").to_pylist()), np.float32).reshape(len(y), FEATURES)
     return boost(x, y.astype(np.float64))
@@ -449,11 +540,10 @@ def extract(pages: DataFrame, trees: Trees | None) -> DataFrame:
     """page_id, url and the main text of every page."""
     shared = share(pages.sparkSession, trees)  # some thousand numbers
 
-    def step(batch, texts):
-        trees = received(shared)
+    def step(batch, texts, trees):
         found = [extract_text((t or b"").decode("utf-8", "replace"), trees) for t in texts]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], ["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
     plain = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return plain.mapInArrow(per_slice(step, "html"), f"page_id {kind}, url string, text string")
+    return plain.mapInArrow(per_slice(step, "html", once=lambda: received(shared)), f"page_id {kind}, url string, text string")
