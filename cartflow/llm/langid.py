@@ -2,9 +2,9 @@
 
 Windows of ``WINDOW`` bytes pass an embedding, filters of several widths, max
 pooling over positions and a softmax.  The network is trained in numpy (Adam,
-cross-entropy) on at most ``sample_windows`` windows, four at most of one labelled
-text, the texts taken in hash order and evenly from the languages (the most
-frequent ``sample_windows // 8`` languages).  Applied to whole texts: every window
+cross-entropy) on at most ``sample_windows`` windows (eight a language where there are
+more than an eighth as many languages), four at most of one labelled text, the texts
+taken in hash order and evenly from the languages.  All languages are learned.  Applied to whole texts: every window
 is scored (the last one padded), in batches, and a text's score is the mean of
 its windows' probabilities.  For speed a filter of width w is a sum of table
 rows, one for each pair of neighbouring bytes.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartflow.llm.common import held_out, per_slice, received, share
+from cartflow.llm.common import cut, held_out, per_slice, received, share, small
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -32,14 +32,15 @@ EMBED = 8
 SAMPLE_WINDOWS = 8000
 EPOCHS = 6
 BATCH = 64
-#: Byte classes of the network: padding, then the most frequent bytes, then others.
-ALPHABET = 96
+#: Byte classes of the network: padding, then the bytes.
+ALPHABET = 257
+#: Languages whose counts are sent to all tasks; more are joined by a shuffle.
+BROADCAST_LANGUAGES = 100_000
 
 
 @dataclass
 class Network:
     languages: list[str]
-    classes: np.ndarray  # byte -> class
     embed: np.ndarray  # ALPHABET x EMBED
     banks: list[np.ndarray]  # width * EMBED x FILTERS
     bias: list[np.ndarray]
@@ -81,11 +82,11 @@ class Network:
         return z / z.sum(axis=1, keepdims=True)
 
 
-def window_rows(data: bytes, classes: np.ndarray) -> np.ndarray:
+def window_rows(data: bytes) -> np.ndarray:
     """All windows of a text as byte classes; class 0 pads the last one."""
     n = -(-max(len(data), 1) // WINDOW)
-    out = np.zeros(n * WINDOW, np.uint8)
-    out[: len(data)] = classes[np.frombuffer(data, np.uint8)]
+    out = np.zeros(n * WINDOW, np.uint16)
+    np.add(np.frombuffer(data, np.uint8), np.uint16(1), out=out[: len(data)])
     return out.reshape(n, WINDOW)
 
 
@@ -94,11 +95,7 @@ def fit(windows: list[bytes], langs: list[str], epochs: int = EPOCHS) -> Network
     rng = np.random.default_rng(3)
     names = sorted(set(langs))
     label = np.array([names.index(x) for x in langs])
-    seen = np.bincount(np.frombuffer(b"".join(windows), np.uint8), minlength=256)
-    classes = np.full(256, ALPHABET - 1, np.uint8)
-    top = np.argsort(-seen, kind="stable")[: ALPHABET - 2]
-    classes[top] = np.arange(1, len(top) + 1)
-    x = np.concatenate([window_rows(w, classes) for w in windows])
+    x = np.concatenate([window_rows(w) for w in windows])
     deep = FILTERS * len(WIDTHS)
     p = [rng.normal(0, 0.3, (ALPHABET, EMBED))]
     p += [rng.normal(0, 1 / np.sqrt(w * EMBED), (w * EMBED, FILTERS)) for w in WIDTHS]
@@ -149,7 +146,7 @@ def fit(windows: list[bytes], langs: list[str], epochs: int = EPOCHS) -> Network
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 q -= (rate * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
-    return Network(names, classes, p[0], p[1 : 1 + k], p[1 + k : 1 + 2 * k], p[-2], p[-1])
+    return Network(names, p[0], p[1 : 1 + k], p[1 + k : 1 + 2 * k], p[-2], p[-1])
 
 
 def train(docs: DataFrame, sample_windows: int = SAMPLE_WINDOWS) -> Network | None:
@@ -159,17 +156,22 @@ def train(docs: DataFrame, sample_windows: int = SAMPLE_WINDOWS) -> Network | No
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     ).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_windows // 8).collect()
-    if not counts:
+    counts = cut(rows.groupBy("lang").agg(F.count(F.lit(1)).cast("double").alias("stretch")))
+    languages = counts.count()
+    if not languages:
         return None
+    sample_windows = max(sample_windows, 8 * languages)
     # Uniform keys stretched by the language's rows: the smallest ones fall evenly
     # on the languages.
-    rows = rows.where(F.col("lang").isin([r["lang"] for r in counts]))
-    stretch = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], float(r["count"]))))[F.col("lang")]
-    key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) * stretch
-    ids = rows.select("doc_id", key.alias("key")).groupBy("doc_id").agg(F.min("key").alias("key"))
+    stretched = rows.select("doc_id", "lang").join(small(counts, BROADCAST_LANGUAGES), "lang")
+    key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) * F.col("stretch")
+    stretched = stretched.select("doc_id", "lang", key.alias("key"))
+    ids = stretched.groupBy("doc_id").agg(F.min("key").alias("key"))
     ids = ids.orderBy("key", "doc_id").limit(sample_windows // 4).select("doc_id")
-    picked = rows.join(F.broadcast(ids), "doc_id", "left_semi")
+    # The first text of each language besides: one row a language.
+    firsts = stretched.groupBy("lang").agg(F.min(F.struct("key", "doc_id"))["doc_id"].alias("doc_id")).select("doc_id")
+    ids = ids.union(firsts).distinct()
+    picked = rows.join(small(ids, sample_windows), "doc_id", "left_semi")
     picked = picked.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.*")  # one row of each
 
     def step(batch, texts):
@@ -191,15 +193,18 @@ def train(docs: DataFrame, sample_windows: int = SAMPLE_WINDOWS) -> Network | No
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, lang_pred and score of each whole text."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = share(docs.sparkSession, network)  # some 30,000 numbers
+    shared = share(docs.sparkSession, network)  # some thousand numbers
 
-    def step(batch, texts):
+    def ready():
         net = received(shared)
-        tables = net.tables() if net else None
+        return net, net.tables() if net else None
+
+    def step(batch, texts, state):
+        net, tables = state
         lang, score = ["und"] * len(texts), [0.0] * len(texts)
         live = [i for i, t in enumerate(texts) if t and net and any(map(str.isalpha, t.decode("utf-8", "replace")))]
         if live:
-            rows = [window_rows(texts[i], net.classes) for i in live]
+            rows = [window_rows(texts[i]) for i in live]
             size = np.array([len(r) for r in rows])
             every = np.concatenate(rows)
             p = np.concatenate([net.probabilities(every[k : k + 256], tables) for k in range(0, len(every), 256)])
@@ -211,4 +216,4 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
             [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"]
         )
 
-    return plain.mapInArrow(per_slice(step), "doc_id long, lang_pred string, score double")
+    return plain.mapInArrow(per_slice(step, once=ready), "doc_id long, lang_pred string, score double")

@@ -34,7 +34,7 @@ def test_held_out_accuracy(spark):
 def test_tables_equal_the_convolution():
     rows = _texts(2, 60)
     net = langid.fit([t.encode()[: langid.WINDOW] for _, t, _ in rows], [x for _, _, x in rows], epochs=1)
-    windows = np.concatenate([langid.window_rows(t.encode(), net.classes) for _, t, _ in rows])
+    windows = np.concatenate([langid.window_rows(t.encode()) for _, t, _ in rows])
     e = net.embed[windows]
     pooled = []
     for w, bank, bias in zip(langid.WIDTHS, net.banks, net.bias, strict=True):
@@ -79,3 +79,39 @@ def test_query_on_held_out_documents(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in got if r.held_out]) > 0.97
     assert op8_language(spark, SF_SMALL).count() == 200
+
+
+def _scripts(seed, each=40):
+    """Made-up languages in several scripts, two of them in each."""
+    rnd = random.Random(seed)
+    starts = {"latin": 0x61, "greek": 0x3B1, "cyrillic": 0x430, "hebrew": 0x5D0, "devanagari": 0x915, "hangul": 0xAC00}
+    rows, names = [], []
+    for script, start in starts.items():
+        for k in range(2):
+            letters = [chr(start + c) for c in rnd.sample(range(22), 12)]
+            stems = ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 4))) for _ in range(25)]
+            names.append(f"{script}{k}")
+            for _ in range(each):
+                rows.append((len(rows), " ".join(rnd.choice(stems) + rnd.choice(stems) for _ in range(rnd.randint(5, 60))), names[-1]))
+    return rows, names
+
+
+def test_scripts_and_more_languages_than_the_sample(spark):
+    rows, names = _scripts(8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = {i: lang for i, _, lang in rows}
+
+    def accuracy(net):
+        got = langid.identify(docs, net).withColumn("held", held_out(F.col("doc_id"))).collect()
+        return np.mean([r.lang_pred == truth[r.doc_id] for r in got if r.held])
+
+    net = langid.train(docs)
+    assert net.languages == sorted(names) and accuracy(net) > 0.9
+    few = langid.train(docs, sample_windows=12)  # one window a language: the sample grows with the languages
+    assert few.languages == sorted(names)
+
+
+def test_every_byte_is_told_apart():
+    rows = langid.window_rows(bytes(range(256)))
+    assert rows.shape == (1, 256) and rows[0].tolist() == list(range(1, 257))
+    assert langid.window_rows(b"")[0].tolist() == [0] * 256
