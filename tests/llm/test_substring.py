@@ -1,5 +1,8 @@
 import random
 
+from pyspark.sql import functions as F
+
+from cartflow.llm import substring
 from cartflow.llm.common import Words, table, window_hashes
 from cartflow.llm.substring import _Windows, crowded_cells, drop_repeats, sliding_min
 from llm_help import SF_SMALL, make_docs, odd_pairs, words  # noqa: F401
@@ -54,8 +57,8 @@ def test_crowded_grams_are_passed_over(make_docs, spark):
     pairs = [(i, f"{' '.join(f'a{rnd.randrange(10**6)}' for _ in range(30))} {phrase} {' '.join(f'b{rnd.randrange(10**6)}' for _ in range(30))}") for i in range(200)]
     pairs += [(300 + i, t) for i, t in pairs[::20]]
     docs = make_docs(pairs)
-    crowded = crowded_cells(docs, 20, 4, 64)
-    assert 0 < crowded.sum() <= 64
+    crowded, buckets = crowded_cells(docs, 20, 4, 64)
+    assert 0 < crowded.sum() <= 64 and buckets == 64
     plain = _Windows(Words([t.encode() for _, t in pairs]), 20, 4)
     spread = _Windows(Words([t.encode() for _, t in pairs]), 20, 4, crowded)
     top = lambda w: np.unique(w.key[w.heads()], return_counts=True)[1].max()
@@ -69,6 +72,44 @@ def test_periodic_text_and_hot_copies(make_docs):
     assert rows(drop_repeats(make_docs(pairs), width=20)) == brute(pairs, 20)
 
 
+def test_windows_of_crowded_grams_only(make_docs, monkeypatch):
+    """Where all grams are crowded, windows go alone, each by the hash of its words; more
+    buckets are taken where they would be large."""
+    rnd = random.Random(9)
+    passage = " ".join(f"p{k}" for k in range(60))
+    pairs = [(i, f"a{i} {passage} " + " ".join(f"b{rnd.randrange(10**6)}" for _ in range(8))) for i in range(120)]
+    docs = make_docs(pairs)
+    every = np.ones(substring.CELLS, bool)
+    lone = _Windows(Words([passage.encode()] * 2), 20, 4, every)
+    assert len(lone.heads()) == 82 and len(np.unique(lone.key)) == 41
+    with monkeypatch.context() as patch:
+        patch.setattr(substring, "crowded_cells", lambda *_, **__: (every, 16))
+        assert rows(drop_repeats(docs, width=20)) == brute(pairs, 20)
+    monkeypatch.setattr(substring, "BUCKET_RUNS", 2)
+    assert crowded_cells(docs, 20, 4, 4)[1] > 100 and crowded_cells(docs, 20, 4, 4, fixed=True)[1] == 4
+    assert rows(drop_repeats(docs, width=20)) == brute(pairs, 20)
+
+
+def test_rows_without_id_and_of_one_id_are_documents(spark, make_docs):
+    """Unlike texts under no id, or under one id, keep what occurs there only; equal ones
+    are one document.  They come in the order of the hash of their text."""
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    lead, own = " ".join(word() for _ in range(30)), lambda n: " ".join(word() for _ in range(n))
+    pairs = [(1, f"{lead} {own(9)}"), (None, f"{lead} {own(40)}"), (None, own(70)), (None, None), (5, f"{own(25)} {lead}"), (5, own(80))]
+    pairs += [(None, pairs[2][1]), (5, pairs[5][1]), (6, f"{pairs[5][1]} end"), (None, f"{own(3)} {pairs[2][1]}")]
+    docs = make_docs(pairs)
+    number = {r.text: r.h for r in docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    # As documents with an id of their own, in the order that is defined.
+    order = sorted({(i is None, i or 0, number[t], t) for i, t in pairs}, key=lambda x: x[:3])
+    as_one = brute([(k, t) for k, (*_, t) in enumerate(order)], 20)
+    want = {(None if none else i, t or ""): as_one[k] for k, (none, i, _, t) in enumerate(order)}
+    got = drop_repeats(docs, width=20).collect()
+    told = sorted((str(r.doc_id), r.n_words, r.n_removed, r.text) for r in got)
+    assert told == sorted((str(i), *want[i, t or ""]) for i, t in pairs)
+    assert sum(r.n_removed for r in got if r.doc_id is None) in (100, 170)  # lead, and one copy of the long text
+
+
 def test_documents(spark):
     docs = table(spark, SF_SMALL, "documents")
     assert rows(drop_repeats(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()], 20)
