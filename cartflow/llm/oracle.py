@@ -3,6 +3,8 @@ each, by plain relational means (all pairs over shingles, all windows, all lines
 
 from __future__ import annotations
 
+from cartflow.llm.urlfilter import SUFFIXES
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANK = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -101,6 +103,8 @@ def _rates(name: str, level: str, source: str) -> str:
 )"""
 
 
+_TWO_LABELS = ", ".join(f"'{s}'" for s in SUFFIXES)
+
 URLS = rf"""
 WITH addressed AS (
     SELECT page_id,
@@ -119,10 +123,16 @@ outcomes AS (
 counted AS (SELECT host, count(*) AS n, sum(bad) AS bad FROM outcomes GROUP BY host),
 hosts AS (
     SELECT host, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad,
-           array_to_string(parts[-2:], '.') AS domain, coalesce(parts[-1], '') AS suffix
+           CASE WHEN regexp_full_match(plain, '[0-9.]+|\[.*') THEN plain
+                WHEN array_to_string(parts[-2:], '.') IN ({_TWO_LABELS}) THEN array_to_string(parts[-3:], '.')
+                ELSE array_to_string(parts[-2:], '.') END AS domain,
+           CASE WHEN regexp_full_match(plain, '[0-9.]+|\[.*') THEN ''
+                WHEN array_to_string(parts[-2:], '.') IN ({_TWO_LABELS}) THEN array_to_string(parts[-2:], '.')
+                ELSE coalesce(parts[-1], '') END AS suffix
     FROM (
-        SELECT host, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS parts
-        FROM (SELECT DISTINCT host FROM addressed)
+        SELECT host, plain, string_split(plain, '.') AS parts
+        FROM (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS plain
+              FROM (SELECT DISTINCT host FROM addressed))
     ) LEFT JOIN counted USING (host)
 ),{_rates('s', 'suffix', 'hosts')},{_rates('d', 'suffix, domain', 'hosts')},{_rates('h', 'host', 'hosts')},
 by_suffix AS (
@@ -134,7 +144,7 @@ by_domain AS (
     FROM hosts JOIN by_suffix USING (suffix) GROUP BY suffix, domain, above
 ),
 posterior AS (
-    SELECT host, n + (SELECT strength FROM h) AS weight,
+    SELECT host, n, bad, n + (SELECT strength FROM h) AS weight,
            (bad + (SELECT strength FROM h) * prior) / (n + (SELECT strength FROM h)) AS rate
     FROM hosts JOIN by_domain USING (suffix, domain)
 ),
@@ -148,9 +158,9 @@ ruled AS (
         ON (host = rule_host OR suffix(host, '.' || rule_host)) AND prefix(path, rule_path)
     GROUP BY page_id, host, path
 )
-SELECT page_id, host, path, rule,
-       coalesce(says, CASE WHEN rate - 1.645 * sqrt(rate * (1 - rate) / (weight + 1)) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-FROM ruled JOIN posterior USING (host)
+SELECT page_id, host, path, rule, coalesce(says, CASE WHEN bound > (SELECT mean FROM s) THEN 'block' ELSE 'allow' END) AS verdict,
+       n, CAST(bad AS BIGINT) AS bad, round(rate, 6) AS rate, round(bound, 6) AS bound
+FROM ruled JOIN (SELECT *, rate - 1.645 * sqrt(rate * (1 - rate) / (weight + 1)) AS bound FROM posterior) USING (host)
 """
 
 def _told(count: str) -> str:

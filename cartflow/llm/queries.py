@@ -81,7 +81,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or reputation verdict on every page's address."""
     judged = urlfilter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), table(spark, sf_dir, "labels"))
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    rounded = [F.round(c, 6).alias(c) for c in ("rate", "bound")]
+    return judged.select("page_id", "host", "path", "rule", "verdict", "n", "bad", *rounded)
 
 
 def op11_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:

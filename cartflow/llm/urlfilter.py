@@ -6,13 +6,18 @@ quality.  Bad rates are shrunk level by level through beta-binomial priors: a
 suffix towards all pages, a registered domain towards its suffix, a host towards
 its domain.  The strength of each prior is estimated from the spread of the rates
 below it (method of moments).  A host is blocked when the lower posterior bound
-of its bad rate exceeds ``tolerated``; hosts without labels get their domain's
-prior.  DataFrame functions only; counts are partially aggregated, so a host with
-a third of all pages costs one row for each task.
+of its bad rate exceeds ``times`` the rate of all labelled pages, so when it is
+credibly worse than the average; hosts without labels get their domain's prior.
+DataFrame functions only; counts are partially aggregated, so a host with a third of
+all pages costs one row for each task.
+
+The registered domain is one label more than the suffix, which is the last label or
+one of ``SUFFIXES``; an IP address is its own domain under an empty suffix.
 
 Defined results: a null address, or one without ``://``, has an empty host and
 path; an empty host is judged like any other; pages without a label, or with a
-null one, say nothing; repeated rows are judged alike.
+null in one of its two columns, say nothing; without any label every rate is 0 and
+nothing is blocked but by a rule; repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -27,6 +32,16 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
+# Suffixes of several labels under which domains are registered.
+SUFFIXES = tuple(
+    "ac.at ac.cn ac.id ac.il ac.in ac.jp ac.kr ac.nz ac.th ac.uk ac.za asn.au co.at co.id co.il co.in co.jp co.ke co.kr co.nz co.th "
+    "co.uk co.ve co.za com.ar com.au com.bd com.br com.cn com.co com.ec com.eg com.es com.gr com.hk com.mx com.my com.ng com.pe com.ph "
+    "com.pk com.pl com.pt com.ro com.ru com.sa com.sg com.tr com.tw com.ua com.uy com.ve com.vn ed.jp edu.ar edu.au edu.br edu.cn "
+    "edu.hk edu.mx edu.pl edu.sg edu.tr edu.tw firm.in gen.in gob.ar gob.mx go.id go.jp go.kr go.th gov.au gov.br gov.cn gov.hk gov.il "
+    "gov.in gov.sg gov.tr gov.tw gov.uk gov.za govt.nz id.au ind.in iwi.nz ltd.uk me.uk mil.br ne.jp ne.kr net.ar net.au net.br net.cn "
+    "net.hk net.il net.in net.nz net.pl net.tr net.tw net.uk net.za nhs.uk nom.br or.at or.id or.jp or.kr org.ar org.au org.br org.cn "
+    "org.hk org.il org.in org.mx org.nz org.pl org.sg org.tr org.tw org.uk org.za plc.uk police.uk res.in sch.id sch.uk school.nz".split()
+)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,17 +69,26 @@ def page_outcomes(addressed: DataFrame, labels: DataFrame) -> DataFrame:
     """host and bad (0 or 1) of every page whose document is labelled."""
     document = F.regexp_extract("path", r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1)
     named = addressed.select("host", F.when(document != "", document.cast("long")).alias("doc_id")).where("doc_id is not null")
-    marked = labels.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.greatest(F.col("toxic").cast("int"), 1 - F.col("quality").cast("int")).alias("bad"),
-    ).where("doc_id is not null and bad is not null")
+    toxic, quality = F.col("toxic").cast("int"), F.col("quality").cast("int")
+    # greatest skips nulls, and half a label says nothing.
+    bad = F.when(toxic.isNotNull() & quality.isNotNull(), F.greatest(toxic, 1 - quality))
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), bad.alias("bad"))
+    marked = marked.where("doc_id is not null and bad is not null")
     marked = marked.groupBy("doc_id").agg(F.max("bad").alias("bad"))
     return named.join(marked, "doc_id").select("host", "bad")
 
 
-def _levels(host: Column) -> list[Column]:
+def levels(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> list[Column]:
+    """Suffix and registered domain of a host; of several suffixes the longest."""
     plain = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
-    return [F.substring_index(plain, ".", -1).alias("suffix"), F.substring_index(plain, ".", -2).alias("domain")]
+    suffix, domain = F.substring_index(plain, ".", -1), F.substring_index(plain, ".", -2)
+    for labels in sorted({s.count(".") + 1 for s in suffixes}):
+        told = F.substring_index(plain, ".", -labels)
+        found = told.isin([s for s in suffixes if s.count(".") + 1 == labels])
+        suffix = F.when(found, told).otherwise(suffix)
+        domain = F.when(found, F.substring_index(plain, ".", -labels - 1)).otherwise(domain)
+    address = plain.rlike(r"^([0-9.]+|\[.*)$")
+    return [F.when(address, "").otherwise(suffix).alias("suffix"), F.when(address, plain).otherwise(domain).alias("domain")]
 
 
 def _strength(counts: DataFrame) -> tuple[float, float]:
@@ -84,10 +108,11 @@ def _strength(counts: DataFrame) -> tuple[float, float]:
 
 
 def host_reputation(addressed: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """Per host: n, bad, rate (posterior mean) and bound (lower posterior bound)."""
+    """Per host: n, bad, rate (posterior mean), bound (lower posterior bound) and average
+    (the rate of all labelled pages)."""
     counts = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     hosts = addressed.select("host").distinct().join(counts, "host", "left").na.fill(0, ["n", "bad"])
-    hosts = hosts.select("host", "n", "bad", *_levels(F.col("host")))
+    hosts = hosts.select("host", "n", "bad", *levels(F.col("host")))
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     mean, by_suffix = _strength(suffixes)
@@ -104,18 +129,20 @@ def host_reputation(addressed: DataFrame, outcomes: DataFrame, z: float = 1.645)
     rate = shrunk(F.col("prior"), by_host)
     deviation = F.sqrt(rate * (1 - rate) / (F.col("n") + F.lit(by_host) + 1))
     return hosts.join(domains, ["suffix", "domain"]).select(
-        "host", "n", "bad", rate.alias("rate"), (rate - z * deviation).alias("bound")
+        "host", "n", "bad", rate.alias("rate"), (rate - z * deviation).alias("bound"), F.lit(float(mean)).alias("average")
     )
 
 
 def judge_urls(
-    pages: DataFrame, labels: DataFrame, rules=RULES, tolerated: float = 0.5, z: float = 1.645
+    pages: DataFrame, labels: DataFrame, rules=RULES, times: float = 1.0, z: float = 1.645
 ) -> DataFrame:
-    """page_id, host, path, rule, verdict, rate, bound of every page."""
+    """page_id, host, path, rule and verdict of every page, with its host's labelled
+    pages (n), bad ones, rate and bound."""
     addressed = with_address(pages)
-    reputation = host_reputation(addressed, page_outcomes(addressed, labels), z).select("host", "rate", "bound")
+    reputation = host_reputation(addressed, page_outcomes(addressed, labels), z)
     rule, verdict = rule_columns(rules)
-    method = F.when(F.col("bound") > tolerated, "block").otherwise("allow")
+    method = F.when(F.col("bound") > times * F.col("average"), "block").otherwise("allow")
     return addressed.join(reputation, "host", "left").select(
-        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "rate", "bound"
-    )
+        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"),
+        "n", "bad", "rate", "bound",
+    )
