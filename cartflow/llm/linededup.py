@@ -5,30 +5,34 @@ keys of ``min_chars`` code points or more count.  The index has three tables:
 
 * ``postings``  (shard, key, doc_id): which documents hold a key, each pair once;
 * ``refs``      (shard, key, n_docs, last_doc): exact reference counts;
-* ``filters``   (shard, body): per shard, a cuckoo filter of the active keys,
-  those that ``min_docs`` documents or more hold.
+* ``filters``   (shard, body, room): per shard, a cuckoo filter of the active keys,
+  those that ``min_docs`` documents or more hold, and how many it has room for.
 
 Inserting documents raises counts and adds the fingerprints of keys that become
 active; deleting documents lowers them and takes fingerprints out again, so a
-line comes back once too few documents hold it.  A filter has no false
-negatives: what its table cannot place goes to a stash beside it.
+line comes back once too few documents hold it.  A shard whose active keys pass
+``FULL`` of its room gets a filter of twice that size, filled anew from the exact
+counts.  A filter has no false negatives: what its table cannot place goes to a
+stash beside it.
 
 Rewriting sends each line's key past its shard's filter; what passes is decided
 by the exact table.  An active line is dropped from every document but the
 largest doc_id that holds it.
 
-Keys are 128-bit BLAKE2 digests.  A key that very many documents hold spreads
-over ``SALTS`` tasks when probed, is partially aggregated when counted, and is
-split by the adaptive skew join when decided.
+Keys are 128-bit BLAKE2 digests.  When probed, a shard is spread over one task for
+each ``PROBED`` of its postings, so a key that very many documents hold is too; it is
+partially aggregated when counted, and split by the adaptive skew join when decided.
 
 Defined results: a null or empty text is one empty line; rows without doc_id are
 neither counted nor changed; rows that share a doc_id count as one document and
-lose the same lines.
+lose the same lines; inserting a known doc_id with another text adds that text's
+lines to the document (delete it first to replace it).
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,11 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartflow.llm.common import WHITESPACE, cut, mix, per_slice, slices
+from cartflow.llm.common import WHITESPACE, cut, mix, per_slice, slices, small
 
-SALTS = 16
+#: Postings of a shard that one task probes, about.
+PROBED = 2_000_000
+#: Share of a filter's room from which it is built anew.
+FULL = 0.9
+#: Shards whose number of parts is sent to all tasks; more are joined by a shuffle.
+BROADCAST_SHARDS = 1_000_000
 SLOTS = 4
 KICKS = 200
+_FILTERS = "shard int, body binary, room long"
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -58,9 +68,9 @@ class CuckooFilter:
     that entries can move and be deleted without their keys.
     """
 
-    def __init__(self, table: np.ndarray, stash: list[tuple[int, int]] | None = None):
+    def __init__(self, table: np.ndarray, stash: Counter | None = None):
         self.table = table
-        self.stash = list(stash or [])
+        self.stash = Counter(stash)  # (lower bucket, fingerprint) and how often
 
     @classmethod
     def sized(cls, keys: int) -> CuckooFilter:
@@ -70,13 +80,18 @@ class CuckooFilter:
     @classmethod
     def from_bytes(cls, body: bytes) -> CuckooFilter:
         stashed, buckets = np.frombuffer(body, np.int64, 2).tolist()
-        stash = np.frombuffer(body, np.int64, 2 * stashed, 16).reshape(-1, 2).tolist()
-        table = np.frombuffer(body, np.uint16, buckets * SLOTS, 16 + 16 * stashed).reshape(-1, SLOTS)
-        return cls(table.copy(), [tuple(x) for x in stash])
+        stash = np.frombuffer(body, np.int64, 3 * stashed, 16).reshape(-1, 3).tolist()
+        table = np.frombuffer(body, np.uint16, buckets * SLOTS, 16 + 24 * stashed).reshape(-1, SLOTS)
+        return cls(table.copy(), Counter({(a, b): n for a, b, n in stash}))
 
     def to_bytes(self) -> bytes:
         head = np.array([len(self.stash), len(self.table)], np.int64)
-        return head.tobytes() + np.array(self.stash, np.int64).tobytes() + self.table.tobytes()
+        stash = [(a, b, n) for (a, b), n in sorted(self.stash.items())]
+        return head.tobytes() + np.array(stash, np.int64).tobytes() + self.table.tobytes()
+
+    def row(self, shard: pa.Array) -> pa.Table:
+        """The filter as a row of the filters' table."""
+        return pa.table({"shard": shard, "body": pa.array([self.to_bytes()], pa.binary()), "room": pa.array([self.table.size])})
 
     def _other(self, bucket, mark):
         return (bucket ^ mix(np.asarray(mark, np.uint64)).astype(np.int64)) & (len(self.table) - 1)
@@ -107,7 +122,7 @@ class CuckooFilter:
                         table[bucket, free[0]] = mark
                         break
                 else:
-                    self.stash.append((min(bucket, int(self._other(bucket, mark))), mark))
+                    self.stash[min(bucket, int(self._other(bucket, mark))), mark] += 1
 
     def remove(self, keys: list[bytes]) -> None:
         for mark, one, two in zip(*(x.tolist() for x in self.places(keys)), strict=True):
@@ -117,16 +132,18 @@ class CuckooFilter:
                     self.table[bucket, at[0]] = 0
                     break
             else:
-                if (min(one, two), mark) in self.stash:
-                    self.stash.remove((min(one, two), mark))
+                at = (min(one, two), mark)
+                if at in self.stash:
+                    self.stash[at] -= 1
+                    if not self.stash[at]:
+                        del self.stash[at]
 
     def maybe(self, keys: list[bytes]) -> np.ndarray:
         mark, one, two = self.places(keys)
         found = ((self.table[one] == mark[:, None]) | (self.table[two] == mark[:, None])).any(axis=1)
         if self.stash:
-            stash = set(self.stash)
             low = np.minimum(one, two)
-            found |= np.array([(a, b) in stash for a, b in zip(low.tolist(), mark.tolist(), strict=True)], bool)
+            found |= np.array([(a, b) in self.stash for a, b in zip(low.tolist(), mark.tolist(), strict=True)], bool)
         return found
 
 
@@ -173,19 +190,7 @@ class LineIndex:
         shards = shards or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         held = cut(postings(docs, min_chars, shards))
         refs = cut(_count(held))
-
-        def fill(table: pa.Table) -> pa.Table:
-            keys = table.column("key").to_pylist()
-            own = CuckooFilter.sized(len(keys))
-            own.add(keys)
-            return pa.table({"shard": table.column("shard").slice(0, 1), "body": pa.array([own.to_bytes()], pa.binary())})
-
-        filters = cut(
-            refs.where(F.col("n_docs") >= min_docs)
-            .select("shard", "key")
-            .groupBy("shard")
-            .applyInArrow(fill, "shard int, body binary")
-        )
+        filters = cut(_filled(refs.where(F.col("n_docs") >= min_docs), 1))
         return cls(held, refs, filters, min_chars, min_docs, shards)
 
     def insert(self, docs: DataFrame) -> LineIndex:
@@ -209,41 +214,48 @@ class LineIndex:
 
     def _changed(self, held: DataFrame, refs: DataFrame) -> LineIndex:
         """Bring the filters in line with the counts: only keys that crossed the
-        threshold are added or taken out."""
+        threshold are added or taken out, but for shards that became too full."""
         active = F.col("n_docs") >= self.min_docs
         now, was = refs.where(active).select("shard", "key"), self.refs.where(active).select("shard", "key")
+        load = now.groupBy("shard").agg(F.count(F.lit(1)).alias("keys"))
+        full = load.join(self.filters.select("shard", "room"), "shard", "left")
+        full = cut(full.where("room is null").union(full.where(F.col("keys") > FULL * F.col("room"))).select("shard"))
+        full = small(full, BROADCAST_SHARDS)
         moves = (
             now.join(was, ["shard", "key"], "left_anti")
             .withColumn("up", F.lit(True))
             .unionByName(was.join(now, ["shard", "key"], "left_anti").withColumn("up", F.lit(False)))
+            .join(full, "shard", "left_anti")
         )
 
         def move(key, old: pa.Table, new: pa.Table) -> pa.Table:
             up = new.column("up").to_pylist()
             keys = new.column("key").to_pylist()
             gain = [k for k, u in zip(keys, up, strict=True) if u]
-            own = CuckooFilter.from_bytes(old.column("body")[0].as_py()) if old.num_rows else CuckooFilter.sized(len(gain))
+            own = CuckooFilter.from_bytes(old.column("body")[0].as_py())
             own.remove([k for k, u in zip(keys, up, strict=True) if not u])
             own.add(gain)
-            return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "body": pa.array([own.to_bytes()], pa.binary())})
+            return own.row(pa.array([key[0].as_py()], pa.int32()))
 
-        filters = cut(
-            self.filters.groupBy("shard").cogroup(moves.groupBy("shard")).applyInArrow(move, "shard int, body binary")
-        )
+        others = self.filters.join(full, "shard", "left_anti").groupBy("shard").cogroup(moves.groupBy("shard"))
+        grown = _filled(now.join(full, "shard", "left_semi"), 2)
+        filters = cut(others.applyInArrow(move, _FILTERS).unionByName(grown))
         return LineIndex(held, refs, filters, self.min_chars, self.min_docs, self.shards)
 
     def _passing(self) -> DataFrame:
         """Postings that their shard's filter lets through."""
-        lines = self.postings.select(
+        parts = self.refs.groupBy("shard").agg(F.ceil(F.sum("n_docs") / PROBED).cast("int").alias("parts"))
+        parts = small(cut(parts), BROADCAST_SHARDS)  # a row a shard
+        lines = self.postings.join(parts, "shard").select(
             "shard",
-            F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
+            F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("salt"),
             F.lit(1).alias("kind"),
             "key",
             "doc_id",
         )
-        filters = self.filters.select(
+        filters = self.filters.join(parts, "shard").select(
             "shard",
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"),
             F.lit(0).alias("kind"),
             F.col("body").alias("key"),
             F.lit(None).cast("long").alias("doc_id"),
@@ -319,6 +331,18 @@ class LineIndex:
         return plain.join(lost, "doc_id", "left").mapInArrow(run, schema)
 
 
+def _filled(active: DataFrame, spare: int) -> DataFrame:
+    """A filter for each shard of active keys, with room for ``spare`` times as many."""
+
+    def fill(table: pa.Table) -> pa.Table:
+        keys = table.column("key").to_pylist()
+        own = CuckooFilter.sized(spare * len(keys))
+        own.add(keys)
+        return own.row(table.column("shard").slice(0, 1).combine_chunks())
+
+    return active.select("shard", "key").groupBy("shard").applyInArrow(fill, _FILTERS)
+
+
 def _count(held: DataFrame) -> DataFrame:
     return held.groupBy("shard", "key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
 
