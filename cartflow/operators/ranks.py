@@ -16,11 +16,16 @@ Instead:
 
 Cumulative sums use the same frozen layout: per-range totals give the
 offset; the running sum inside a range is a window partitioned by range.
+
+Quantiles need no order of all values: a sketch brackets them and exact counts
+place the brackets (``quantile_values``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,45 +129,135 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return cumulative(counts, [F.col("value").asc()], ["n"]).drop("rank")
 
 
+#: Relative accuracy of the sketch is one in this; values that the driver reads a place.
+SKETCH, FEW = 10_000, 5_000
+
+
+@dataclass
+class _Place:
+    """A 0-based place in the order of a column's values, and what is known of the value
+    there: it lies strictly between ``low`` and ``high`` (None: no bound), with ``before``
+    values up to ``low`` and ``upto`` values before ``high``."""
+
+    column: str
+    place: int
+    before: int
+    upto: int
+    low: float | None = None
+    high: float | None = None
+    value: float | None = None
+
+    def inside(self) -> Column:
+        v = F.col(self.column)
+        fits = v.isNotNull()
+        if self.low is not None:
+            fits = fits & (v > F.lit(self.low))
+        return fits & (v < F.lit(self.high)) if self.high is not None else fits
+
+    @property
+    def open(self) -> bool:
+        return self.value is None
+
+
+def _numbers(rows: DataFrame, aggregates: list[Column]) -> list:
+    """One row of numbers (none for no aggregates)."""
+    return list(rows.agg(*[c.alias(f"_{i}") for i, c in enumerate(aggregates)]).first()) if aggregates else []
+
+
+def _settle(rows: DataFrame, places: list[_Place]) -> None:
+    """Find the values at the places.  A sketch brackets each, one exact count places the
+    bracket's two ends; a place that is neither end's goes on strictly between them, until
+    a few thousand values are left, whose counts the driver reads."""
+    while wide := [p for p in places if p.open and p.upto - p.before > FEW]:
+        ends = []
+        for p in wide:
+            share, margin = (p.place - p.before) / (p.upto - p.before), 2 / SKETCH
+            ends.append(F.percentile_approx(F.when(p.inside(), F.col(p.column)), [max(0.0, share - margin), min(1.0, share + margin)], SKETCH))
+        brackets = _numbers(rows, ends)
+        counts = []
+        for p, (low, high) in zip(wide, brackets, strict=True):
+            v = F.col(p.column)
+            counts += [F.count(F.when(fits, 1)) for fits in (v < F.lit(low), v <= F.lit(low), v < F.lit(high), v <= F.lit(high))]
+        told = _numbers(rows, counts)
+        for k, (p, (low, high)) in enumerate(zip(wide, brackets, strict=True)):
+            below_low, to_low, below_high, to_high = told[4 * k : 4 * k + 4]
+            if below_low <= p.place < to_low:
+                p.value = low
+            elif below_high <= p.place < to_high:
+                p.value = high
+            elif p.place < below_low:  # the sketch missed it: between the old end and the new
+                p.high, p.upto = low, below_low
+            elif p.place >= to_high:
+                p.low, p.before = high, to_high
+            else:
+                p.low, p.before, p.high, p.upto = low, to_low, high, below_high
+    left = [p for p in places if p.open]
+    if not left:
+        return
+    per = [F.when(p.inside(), F.struct(F.lit(i).alias("i"), F.col(p.column).alias("value"))) for i, p in enumerate(left)]
+    long = rows.select(F.inline(F.filter(F.array(*per), lambda x: x.isNotNull())))
+    values: dict[int, list[tuple[float, int]]] = {}
+    for r in long.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n")).collect():  # FEW rows a place at most
+        values.setdefault(r["i"], []).append((r["value"], r["n"]))
+    for i, p in enumerate(left):
+        at = p.before
+        for value, n in sorted(values[i]):
+            at += n
+            if p.place < at:
+                p.value = value
+                break
+
+
+def quantile_values(df: DataFrame, probs: dict[str, Sequence[float]]) -> dict[str, tuple[list[float | None], int]]:
+    """For each column its linear-interpolation quantiles (NULLs ignored, NaN last; None
+    without values) and its number of distinct values, 3 standing for three or more.
+
+    Exact, without ordering or shuffling the values: a few aggregates in one pass each."""
+    rows = df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(c) for c in probs])  # -0.0 is 0.0
+    firsts = []
+    for c in probs:
+        number = F.when(~F.isnan(c), F.col(c))
+        firsts += [F.count(number), F.count(c), F.min(number), F.max(number)]
+    told = _numbers(rows, firsts)
+    size = {c: told[4 * k : 4 * k + 4] for k, c in enumerate(probs)}
+    plain = rows.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in probs])
+    between = _numbers(plain, [F.count(F.when((F.col(c) > F.lit(size[c][2])) & (F.col(c) < F.lit(size[c][3])), 1)) for c in probs])
+    places: dict[tuple[str, int], _Place] = {}
+    for c, wanted in probs.items():
+        n, every = size[c][:2]
+        for p in wanted:
+            h = (every - 1) * float(p)
+            for at in {math.floor(h), math.ceil(h)}:
+                if 0 <= at < n:
+                    places[c, at] = _Place(c, at, 0, n)
+    _settle(plain, list(places.values()))
+
+    out = {}
+    for k, (c, wanted) in enumerate(probs.items()):
+        n, every, low, high = size[c]
+        got: list[float | None] = []
+        for p in wanted:
+            h = (every - 1) * float(p)
+            a, b = (places[c, at].value if (c, at) in places else math.nan for at in (math.floor(h), math.ceil(h)))
+            got.append(None if not every else a if a == b else a + (b - a) * (h - math.floor(h)))
+        distinct = (n > 0) + (n > 0 and low != high) + (between[k] > 0)
+        out[c] = (got, min(3, distinct + (every > n)))
+    return out
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
     """One row with the linear-interpolation quantiles of ``col`` (NULLs
     ignored), ``<prefix>_0 .. <prefix>_{k-1}`` (NULL when there are no values),
-    and ``<prefix>_distinct``, the number of distinct values.
+    and ``<prefix>_kinds``, the number of distinct values (3: three or more).
 
     Same definition as ``percentile`` / ``quantile_cont``: h = (n-1)p,
     value = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
     """
-    counts = value_counts(df, col)
-
-    def at(place: Column) -> Column:
-        holds = (F.col("cum_n") - F.col("n") <= place) & (place < F.col("cum_n"))
-        return F.max(F.when(holds, F.col("value")))
-
-    aggs, out = [], []
-    for i, p in enumerate(probs):
-        h = (F.col("total_n") - 1) * F.lit(float(p))
-        aggs += [at(F.floor(h)).alias(f"_lo{i}"), at(F.ceil(h)).alias(f"_hi{i}"), F.max(h - F.floor(h)).alias(f"_f{i}")]
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * F.col(f"_f{i}")).alias(f"{prefix}_{i}"))
-    row = counts.agg(*aggs, F.count(F.lit(1)).alias("_distinct"))
-    return row.select(*out, F.col("_distinct").alias(f"{prefix}_distinct"))
+    values, distinct = quantile_values(df, {col: probs})[col]
+    names = ", ".join(f"{prefix}_{i} double" for i in range(len(probs)))
+    return df.sparkSession.createDataFrame([(*values, distinct)], f"{names}, {prefix}_kinds long")
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    """Median of each column (NULLs ignored) from the counts of its distinct values:
-    all columns in one pass, one number for each on the driver."""
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("value")) for i, c in enumerate(cols)]))
-    ).where("value is not null")
-    counts = long.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
-    run = cumulative(counts, [F.col("i").asc(), F.col("value").asc()], ["n"])
-    per = run.groupBy("i").agg(F.sum("n").alias("total"), F.min(F.col("cum_n") - F.col("n")).alias("ahead"))
-    run = run.join(F.broadcast(per), "i").withColumn("before", F.col("cum_n") - F.col("n") - F.col("ahead"))
-
-    def at(place: Column) -> Column:
-        return F.max(F.when((F.col("before") <= place) & (place < F.col("before") + F.col("n")), F.col("value")))
-
-    half = (F.col("total") - 1) / 2
-    rows = run.groupBy("i").agg(((at(F.floor(half)) + at(F.ceil(half))) / 2).alias("m")).collect()  # one row a column
-    found = {cols[r["i"]]: r["m"] for r in rows}
-    return {c: found.get(c) for c in cols}
+    """Median of each column (NULLs ignored): all columns in the same passes."""
+    return {c: values[0] for c, (values, _) in quantile_values(df, {c: [0.5] for c in cols}).items()}

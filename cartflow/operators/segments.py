@@ -133,8 +133,8 @@ def with_value_segment(users: DataFrame) -> DataFrame:
     (<= q1 low, <= q2 middle, else high); collapsed edges give no error.
     """
     buyers = _cut(users.where(F.col("revenue") > 0))
-    q1, q2, distinct = exact_quantiles(buyers, "revenue", [1.0 / 3.0, 2.0 / 3.0]).first()  # three numbers
-    if distinct < 3:
+    q1, q2, kinds = exact_quantiles(buyers, "revenue", [1.0 / 3.0, 2.0 / 3.0]).first()  # three numbers
+    if kinds < 3:
         seg = F.lit(VALUE_MID)
     else:
         seg = (

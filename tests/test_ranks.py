@@ -52,10 +52,10 @@ def test_exact_quantiles(spark):
     assert ranks.exact_quantiles(df, "x", [0.75]).first()[0] == 4.75
     df7 = spark.createDataFrame([(float(v),) for v in range(1, 8)], "x double")
     q = ranks.exact_quantiles(df7, "x", [1 / 3, 2 / 3]).first()
-    assert (q[0], q[1], q["q_distinct"]) == (3.0, 5.0, 7)
+    assert (q[0], q[1], q["q_kinds"]) == (3.0, 5.0, 3)
     many = spark.range(100_000).selectExpr("IF(id % 10 = 0, id, 4) AS x")  # one value in nine rows of ten
     assert tuple(ranks.exact_quantiles(many, "x", [0.5, 0.95]).first()) == (4.0, float(np.quantile(
-        [i if i % 10 == 0 else 4 for i in range(100_000)], 0.95)), 10_001)
+        [i if i % 10 == 0 else 4 for i in range(100_000)], 0.95)), 3)
     assert ranks.value_counts(many, "x").agg(F.max("n")).first()[0] == 90_000
     none = ranks.exact_quantiles(many.limit(0), "x", [0.5]).first()
     assert tuple(none) == (None, 0)
@@ -66,6 +66,35 @@ def test_exact_quantiles(spark):
     assert np.allclose(list(got)[:3], np.quantile(xs, [0.1, 0.5, 0.9]), rtol=0, atol=1e-12)
 
 
+@pytest.mark.parametrize(("few", "sketch"), [(5_000, 10_000), (7, 25), (1, 10_000)])
+def test_quantiles_by_narrowing(spark, monkeypatch, few, sketch):
+    """Few values read and a coarse sketch take more passes, and give the same values."""
+    monkeypatch.setattr(ranks, "FEW", few)
+    monkeypatch.setattr(ranks, "SKETCH", sketch)
+    rnd = np.random.default_rng(7)
+    columns = {
+        "wide": rnd.normal(size=4000) * 1e6,
+        "tied": np.where(rnd.random(4000) < 0.6, 1.5, np.where(rnd.random(4000) < 0.9, 2.5, rnd.random(4000))),
+        "zeros": np.where(rnd.random(4000) < 0.5, -0.0, 0.0),
+        "two": rnd.integers(0, 2, 4000).astype(float),
+    }
+    df = spark.createDataFrame(list(zip(*[c.tolist() for c in columns.values()], strict=True)), ", ".join(f"{c} double" for c in columns))
+    probs = [0.0, 0.013, 1 / 3, 0.5, 0.75, 0.999, 1.0]
+    got = ranks.quantile_values(df, dict.fromkeys(columns, probs))
+    for c, values in columns.items():
+        assert np.allclose(got[c][0], np.quantile(values, probs), rtol=0, atol=1e-9)
+        assert got[c][1] == min(3, len(np.unique(values)))
+
+
+def test_quantiles_without_a_shuffle_of_the_values(spark):
+    """Missing and unlimited values, and what kinds of values there are."""
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1.0, None, nan), (None, None, 2.0), (inf, None, nan), (-inf, None, 3.0)], "a double, b double, c double")
+    got = ranks.quantile_values(df, {"a": [0.0, 0.5, 1.0], "b": [0.5], "c": [0.0, 0.25, 1.0]})
+    assert got["a"] == ([-inf, 1.0, inf], 3) and got["b"] == ([None], 0)
+    assert got["c"][0][:2] == [2.0, 2.75] and np.isnan(got["c"][0][2]) and got["c"][1] == 3
+
+
 def test_top_share_against_a_full_sort(spark):
     """Heavy ties at the border: its rows are taken by the tie-breakers."""
     rnd = random.Random(21)
