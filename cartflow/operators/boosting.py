@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from cartflow.operators.ranks import cumulative
 from cartflow.session import checkpoint_dir
-from cartflow.sources.sinks import remove_path
+from cartflow.sources.files import remove_path
 
 # Tasks get this module's functions by value, so executors need not have it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -34,8 +34,9 @@ def _p(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def etl_job(spark: SparkSession, raw_dir: str, events_path: str, finite_only: bool = False) -> str:
-    """Entry 1 (S1-S7): raw CSV folder -> cleaned events Parquet."""
+def etl_job(spark: SparkSession, raw_dir: str, events_path: str, finite_only: bool = False) -> dict[str, int]:
+    """Entry 1 (S1-S7): raw CSV folder -> cleaned events Parquet; returns the counts
+    observed on the way."""
     return raw.run_etl(spark, raw_dir, events_path, finite_only=finite_only)
 
 
@@ -122,7 +123,7 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     spark = get_session(app=f"cartflow-{args.cmd}")
     if args.cmd == "etl":
-        log.info("events written: %s", etl_job(spark, args.raw, args.events, args.finite_only))
+        log.info("events: %s", etl_job(spark, args.raw, args.events, args.finite_only))
     elif args.cmd == "marts":
         log.info("tables: %s", build_marts(spark, args.events, args.marts, catalog_tables=args.tables))
     elif args.cmd == "train":

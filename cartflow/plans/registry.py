@@ -476,7 +476,7 @@ def q_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dashboard_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily mart under the dashboard's date and category filters, from a
     month-tagged event table."""
-    fct = sinks.with_ingest_date(_fct(spark, sf_dir))
+    fct = sinks.with_event_month(_fct(spark, sf_dir))
     kept = funnel.filter_mart(fct, "2024-01-05", "2024-01-20", categories=["STANDARD", "PROMO", "ECONOMY"])
     return _rounded(funnel.mart_funnel_daily(kept), money=("revenue",), rates=RATES3)
 

@@ -5,9 +5,11 @@
 * Headers: only the first line of each file is read, through the Hadoop
   FileSystem API (a few concurrent short reads, no data scan); files are
   then grouped by header and each group is read with an all-STRING schema
-  in that header's column order, quoted newlines included.  Groups are combined
-  with ``unionByName(allowMissingColumns)`` so a column is matched by name, never
-  by position.
+  in that header's column order, quoted newlines included; files larger than a block
+  are read in many splits (``csv_splits``).  Groups are combined with
+  ``unionByName(allowMissingColumns)`` so a column is matched by name, never by
+  position.  Rows with too few or too many fields are kept as far as they go, and can be
+  told by a column of their text (``malformed_by_file`` counts them).
 * Cleaning: nine canonical columns, ``try_cast`` of time and numbers (bad
   values become NULL), ``price >= 0``, DISTINCT over the nine columns.
 """
@@ -19,10 +21,12 @@ import io
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow.functions.labels import REQUIRED_EVENT_COLUMNS
+from cartflow.sources import csv_splits
+from cartflow.sources.files import hadoop_path, replace_path
 from cartflow.sources.schema import EventSchemaError, absent_fields, raw_string_schema
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
@@ -31,18 +35,13 @@ _NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*)?(\.([0-9]+(_[0-9]+)*)?)?([eE][+-]?[0-9]+)?$
 _TIME = r"^[0-9]{1,6}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:.*)?)?$"
 _SPECIAL = r"(?i)^[+-]?(nan|inf|infinity)$"
 BOM = "\ufeff"
-
-
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, hpath
+#: Text of a row with too few or too many fields; name of the file a row is from.
+MALFORMED, SOURCE = "_malformed", "_source_file"
 
 
 def find_raw_files(spark: SparkSession, raw_dir: str) -> list[str]:
     """``*.csv`` files directly in ``raw_dir``, sorted by name."""
-    fs, hpath = _fs_and_path(spark, raw_dir)
+    fs, hpath = hadoop_path(spark, raw_dir)
     if not fs.exists(hpath):
         return []
     statuses = fs.globStatus(hpath.suffix("/*.csv")) or []
@@ -51,7 +50,7 @@ def find_raw_files(spark: SparkSession, raw_dir: str) -> list[str]:
 
 def _first_line(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
-    fs, hpath = _fs_and_path(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     stream = fs.open(hpath)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
@@ -95,14 +94,22 @@ def validate_raw_files(headers: dict[str, list[str]]) -> None:
 
 
 def read_raw_events(
-    spark: SparkSession, source: str | Sequence[str], validate: bool = True, multi_line: bool = True
+    spark: SparkSession,
+    source: str | Sequence[str],
+    validate: bool = True,
+    multi_line: bool = True,
+    with_source: bool = False,
+    block_bytes: int = csv_splits.BLOCK_BYTES,
 ) -> DataFrame:
     """All raw CSV rows as STRING columns, union by name.
 
     ``source`` is a folder or a list of files.  Raises FileNotFoundError when
     there is no CSV file, ValueError when a file lacks required columns.
-    With ``multi_line`` a quoted field may hold newlines, and a file is one
-    split; without it files are split, for sources known to have none.
+    With ``multi_line`` a quoted field may hold newlines; files larger than
+    ``block_bytes`` are then cut at record ends (two passes over them), and smaller ones
+    are one split each.  Without it Spark splits files itself, for sources known to have
+    none.  ``with_source`` adds MALFORMED (the text of a row with too few or too many
+    fields, else NULL) and SOURCE.
     """
     files = find_raw_files(spark, source) if isinstance(source, str) else list(source)
     if not files:
@@ -113,12 +120,46 @@ def read_raw_events(
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, columns in headers.items():
         groups.setdefault(tuple(columns), []).append(path)
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower())
-    frames = [reader.schema(raw_string_schema(cols)).csv(paths) for cols, paths in groups.items()]
+    listed = {}
+    if multi_line:
+        plain = lambda p: p.split(":", 1)[-1].lstrip("/")
+        told = {plain(r["path"]): r["length"] for r in csv_splits.sizes(spark, files).collect()}  # one row a file
+        listed = {f: told.get(plain(f), 0) for f in files}
+    frames = []
+    for cols, paths in groups.items():
+        large = [p for p in paths if listed.get(p, 0) > block_bytes]
+        small = [p for p in paths if p not in set(large)]
+        if small:
+            frames.append(_read_whole(spark, cols, small, multi_line))
+        if large:
+            frames.append(_read_split(spark, cols, [(p, listed[p]) for p in large], block_bytes))
     out = frames[0]
     for fr in frames[1:]:
         out = out.unionByName(fr, allowMissingColumns=True)
-    return out
+    return out if with_source else out.drop(MALFORMED, SOURCE)
+
+
+def _read_whole(spark: SparkSession, columns: Sequence[str], paths: list[str], multi_line: bool) -> DataFrame:
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower(), columnNameOfCorruptRecord=MALFORMED)
+    rows = reader.schema(raw_string_schema([*columns, MALFORMED])).csv(paths)
+    return rows.withColumn(SOURCE, F.col("_metadata.file_path"))
+
+
+def _read_split(spark: SparkSession, columns: Sequence[str], files: list[tuple[str, int]], block: int) -> DataFrame:
+    told = csv_splits.records(spark, spark.createDataFrame(files, "path string, length long"), block)
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"} | {"columnNameOfCorruptRecord": MALFORMED}
+    fields = ", ".join(f"`{c}` string" for c in [*columns, MALFORMED])
+    parsed = told.select(F.from_csv("record", F.lit(fields), options).alias("r"), F.col("path").alias(SOURCE))
+    return parsed.select("r.*", SOURCE)
+
+
+def malformed_by_file(raw: DataFrame) -> DataFrame:
+    """Rows and malformed rows of every file, from ``read_raw_events(with_source=True)``."""
+    return raw.groupBy(SOURCE).agg(
+        F.count(F.lit(1)).alias("rows_cnt"),
+        F.count(F.when(F.col(MALFORMED).isNotNull(), F.lit(1))).alias("malformed_cnt"),
+        F.count("event_time").alias("timed_cnt"),
+    )
 
 
 def parse_price(c: Column) -> Column:
@@ -205,21 +246,46 @@ def event_quality(raw: DataFrame) -> DataFrame:
 
 
 def save_processed_events(events: DataFrame, output_path: str, partition_by: Sequence[str] | None = None) -> str:
-    """Overwrite the processed Parquet dataset.
+    """Replace the processed Parquet dataset once the new one is whole.
 
     ``partition_by`` (e.g. a month column) enables partition pruning for
     later date-filtered jobs."""
-    w = events.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(output_path)
-    return output_path
+
+    def write(folder: str) -> None:
+        w = events.write
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(folder)
+
+    return replace_path(events.sparkSession, output_path, write)
+
+
+def observed_etl(raw: DataFrame, finite_only: bool = False) -> tuple[DataFrame, Observation, Observation]:
+    """``clean_events`` with observations of what goes in (rows, malformed rows, bad
+    times, bad and negative prices, rows kept) and of what comes out (rows)."""
+    time, price = parse_time(F.col("event_time")), parse_price(F.col("price"))
+    count = lambda fits, name: F.count(F.when(fits, F.lit(1))).alias(name)
+    keep = price >= 0
+    if finite_only:
+        keep = keep & ~F.isnan(price) & (price != F.lit(float("inf")))
+    before, after = Observation("etl_in"), Observation("etl_out")
+    seen = raw.observe(
+        before,
+        F.count(F.lit(1)).alias("rows_in"),
+        count(F.col(MALFORMED).isNotNull() if MALFORMED in raw.columns else F.lit(False), "malformed_rows"),
+        count(F.col("event_time").isNotNull() & time.isNull(), "bad_times"),
+        count(F.col("price").isNotNull() & price.isNull(), "bad_prices"),
+        count(price < 0, "negative_prices"),
+        count(keep, "rows_kept"),
+    )
+    return clean_events(seen, finite_only).observe(after, F.count(F.lit(1)).alias("rows_out")), before, after
 
 
-def run_etl(spark: SparkSession, raw_dir: str, output_path: str, finite_only: bool = False) -> str:
-    """Entry 1: discover, validate, clean and write."""
-    raw = read_raw_events(spark, raw_dir)
-    return save_processed_events(clean_events(raw, finite_only), output_path)
+def run_etl(spark: SparkSession, raw_dir: str, output_path: str, finite_only: bool = False) -> dict[str, int]:
+    """Entry 1: discover, validate, clean and write; returns the counts that were observed
+    while writing, without a second look at the data."""
+    raw = read_raw_events(spark, raw_dir, with_source=True)
+    events, before, after = observed_etl(raw, finite_only)
+    save_processed_events(events, output_path)
+    return {**before.get, **after.get}
 
 
 def raw_text_from_events(ce: DataFrame) -> DataFrame:

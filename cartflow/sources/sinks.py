@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartflow.sources.files import path_exists, remove_path, replace_path  # noqa: F401
 from cartflow.sources.raw import CSV_OPTIONS
 
 log = logging.getLogger(__name__)
@@ -71,39 +73,47 @@ BI_SCORES = "datalens_propensity_scores"
 BI_DECILES = "datalens_propensity_deciles"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+def write_parquet(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, options: Mapping[str, str] | None = None
+) -> str:
+    """Replace a Parquet dataset once the new one is whole."""
 
+    def write(folder: str) -> None:
+        w = df.write.options(**(options or {}))
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(folder)
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path)
-    return bool(fs.exists(hpath))
-
-
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Overwrite a Parquet dataset."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    return replace_path(df.sparkSession, path, write)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """UTF-8 CSV with header and ',' delimiter.
 
     ``single_file`` collapses to one part: use it for aggregates only."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(header="true", sep=",", encoding="UTF-8", quote='"',
-                                        escape='"').csv(path)
-    return path
+    writer = (df.coalesce(1) if single_file else df).write
+    writer = writer.options(header="true", sep=",", encoding="UTF-8", quote='"', escape='"')
+    return replace_path(df.sparkSession, path, writer.csv)
 
 
 def save_table(df: DataFrame, name: str) -> str:
-    """Create-or-replace a catalog table."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Create-or-replace a catalog table.  The new table is written beside the old one
+    and takes its name when it is whole, so a job that fails leaves the old table."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    fresh, old = f"{name}_new_{mark}", f"{name}_old_{mark}"
+    try:
+        df.write.saveAsTable(fresh)
+        held = table_exists(spark, name)
+        if held:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        except Exception:
+            if held:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        if held:
+            spark.sql(f"DROP TABLE {old}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     return name
 
 
@@ -134,8 +144,7 @@ def read_mart(spark: SparkSession, name: str, marts_dir: str | None = None) -> D
 def save_metrics(spark: SparkSession, metrics: Mapping[str, Mapping[str, float]], path: str) -> str:
     """Metrics {model: {metric: value}} as one JSON document."""
     doc = json.dumps(metrics, ensure_ascii=False, indent=2)
-    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-    return path
+    return replace_path(spark, path, spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text)
 
 
 def load_metrics(spark: SparkSession, path: str) -> dict:
@@ -212,22 +221,24 @@ def require_path(spark: SparkSession, path: str, what: str) -> None:
         raise FileNotFoundError(f"{what} not found: {path}")
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder this library has written."""
-    fs, hpath = _fs(spark, path)
-    fs.delete(hpath, True)
-
-
 MONTH = "event_month"
+#: Columns by which the dashboard filters, besides the date.
+FILTERED = ("category_code", "brand")
 
 
-def with_ingest_date(df: DataFrame, col: str = "event_time") -> DataFrame:
+def with_event_month(df: DataFrame, col: str = "event_time") -> DataFrame:
     """Month partition column for partitioned event storage."""
     return df.withColumn(MONTH, F.date_format(F.to_date(col), "yyyy-MM"))
 
 
-def write_by_month(df: DataFrame, path: str, col: str = "event_time") -> str:
-    """Overwrite a Parquet dataset partitioned by month.  Rows are gathered by
+def write_by_month(df: DataFrame, path: str, col: str = "event_time", options: Mapping[str, str] | None = None) -> str:
+    """S6 + P19: replace a Parquet dataset partitioned by month.  Rows are gathered by
     month first, so a month gets files of the advisory size instead of one from
-    every task; large months are split over tasks."""
-    return write_parquet(with_ingest_date(df, col).hint("rebalance", MONTH), path, [MONTH])
+    every task; large months are split over tasks.  Within a file they are ordered by
+    category and brand, and both have bloom filters, so that a dashboard's filter leaves
+    out row groups inside the months it reads."""
+    rows = with_event_month(df, col).hint("rebalance", MONTH)
+    keys = [c for c in FILTERED if c in df.columns]
+    rows = rows.sortWithinPartitions(MONTH, *keys)
+    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in keys}
+    return write_parquet(rows, path, [MONTH], blooms | dict(options or {}))

@@ -142,9 +142,9 @@ def test_ordered_outputs_and_feature_limit(sample):
 
 
 def test_filters(sample):
-    from cartflow.sources.sinks import with_ingest_date
+    from cartflow.sources.sinks import with_event_month
 
-    tagged = with_ingest_date(sample)
+    tagged = with_event_month(sample)
     kept = funnel.filter_mart(tagged, "2021-01-10", "2021-01-11", categories=[LAMP, RUG], brands=["wool"])
     assert kept.count() == 2
     assert funnel.filter_mart(sample, date_to="2021-01-31").count() == 7
