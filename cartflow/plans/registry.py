@@ -12,13 +12,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartflow.operators import deciles, features, funnel, modeling, retention, segments, sessions, summary
 from cartflow.operators.events import fct_events
+from cartflow.plans import jobs, sql_steps
 from cartflow.session import apply_runtime_conf, checkpoint_dir
-from cartflow.sources import sinks
+from cartflow.sources import csv_splits, schema, sinks
 from cartflow.sources import raw as rawsrc
 from cartflow.sources.adapters import load_commerce_events, load_order_purchases, untied_events
 
@@ -575,3 +577,120 @@ def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.remove_path(spark, base)
     out = back[0].unionByName(back[1]).unionByName(back[2])
     return _rounded(out, money=("revenue",), rates=RATES3)
+
+
+def _measured(name: str, df: DataFrame, measure) -> DataFrame:
+    """Rows of an extract, and one sum over them."""
+    return df.agg(F.count(F.lit(1)).alias("rows_cnt"), F.round(F.sum(measure), 2).alias("total")).select(
+        F.lit(name).alias("extract"), "rows_cnt", F.col("total").cast("double").alias("total")
+    )
+
+
+@register("jobs_roundtrip")
+def q_jobs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S20 end to end: raw CSV -> ETL job -> marts job -> stored scores and metrics ->
+    export job; each dashboard extract read back, its rows and one sum of them, beside
+    what the ETL observed and what the metrics file holds."""
+    base = _folder(spark, "jobs")
+    ce = load_commerce_events(spark, sf_dir).drop("event_id")
+    raw = ce.select(*[F.col(c).cast("string").alias(c) for c in ce.columns])
+    raw.write.options(header="true", escape='"').csv(f"{base}/raw")
+    counts = jobs.etl_job(spark, f"{base}/raw", f"{base}/events.parquet")
+    out = jobs.build_marts(spark, f"{base}/events.parquet", f"{base}/marts")
+    scored = deciles.deterministic_score(spark.read.parquet(out["fct_sessions"]))
+    scores = scored.select("session_id", "user_id", "session_start", "purchase_flag", "revenue", "model_score")
+    sinks.write_parquet(scores, f"{base}/marts/propensity_scores.parquet")
+    stored = sinks.read_scores(spark, f"{base}/marts/propensity_scores.parquet")
+    metrics = {"formula": {k: float(v) for k, v in deciles.top_share_metrics(stored).first().asDict().items()}}
+    sinks.save_metrics(spark, metrics, f"{base}/marts/propensity_metrics.json")
+    written = jobs.export_job(spark, f"{base}/marts", f"{base}/bi")
+
+    sums = {"funnel_daily": "views_cnt", "retention": "active_users", "product_conversion": "revenue", "sessions_summary": "sessions_cnt",
+            "propensity_scores": "model_score", "propensity_deciles": "revenue"}
+    parts = []
+    for path in written:
+        name = path.rsplit("/", 1)[-1].removeprefix("datalens_").removesuffix(".csv")
+        extract = spark.read.options(**rawsrc.CSV_OPTIONS).csv(path)
+        parts.append(_measured(name, extract, F.col(sums[name]).cast("double")))
+    back = sinks.load_metrics(spark, f"{base}/marts/propensity_metrics.json")["formula"]
+    told = [("etl_rows_in", counts["rows_in"], None), ("etl_rows_out", counts["rows_out"], None)]
+    told += [(f"metric_{k}", None, round(v, 6)) for k, v in back.items()]
+    parts.append(spark.createDataFrame(told, "extract string, rows_cnt long, total double"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    result = result.checkpoint()
+    sinks.remove_path(spark, base)
+    return result
+
+
+@register("etl_malformed_rows")
+def q_etl_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with too few and too many fields and quoted newlines, counted by
+    file; large files are read in many splits."""
+    k = F.col("event_id")
+    ce = load_commerce_events(spark, sf_dir)
+    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.col(c), '"', '""'), F.lit('\n"'))
+    fields = [
+        F.coalesce(quoted(c) if c == "brand" else F.col(c).cast("string"), F.lit("")) for c in ce.columns if c != "event_id"
+    ]
+    line = F.when(F.pmod(k, F.lit(17)) == 0, F.concat_ws(",", *fields[:-1])).when(
+        F.pmod(k, F.lit(19)) == 0, F.concat_ws(",", *fields, F.lit("more"))
+    )
+    lines = ce.select(F.pmod(k, F.lit(2)).alias("part"), F.coalesce(line, F.concat_ws(",", *fields)).alias("value"))
+    base, header = _folder(spark, "malformed"), ",".join(c for c in ce.columns if c != "event_id")
+
+    def headed(batches):  # every task writes a file with a header
+        yield pa.RecordBatch.from_arrays([pa.array([header])], ["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, ["value"])
+
+    for part in (0, 1):
+        own = lines.where(F.col("part") == part).select("value")
+        own.mapInArrow(headed, "value string").write.text(f"{base}/{part}")
+    files = [r["path"] for part in (0, 1) for r in csv_splits.sizes(spark, [f"{base}/{part}"]).collect()]
+    raw = rawsrc.read_raw_events(spark, files, with_source=True, block_bytes=256 << 10)
+    folder = F.element_at(F.split(rawsrc.SOURCE, "/"), -2).cast("int")
+    out = rawsrc.malformed_by_file(raw).select(folder.alias("part"), "rows_cnt", "malformed_cnt").checkpoint()
+    sinks.remove_path(spark, base)
+    return out
+
+
+@register("event_checks")
+def q_event_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1-V4: what the checks say of the events, and of copies with a field missing, a field
+    of another type, and no rows."""
+    ce = load_commerce_events(spark, sf_dir).drop("event_id")
+    tables = {
+        "whole": ce,
+        "no_brand_no_price": ce.drop("brand", "price"),
+        "user_as_date": ce.withColumn("user_id", F.to_date("event_time")),
+        "no_rows": ce.where("event_time IS NULL AND price < 0"),
+    }
+    rows = []
+    for name, df in tables.items():
+        try:
+            schema.check_events(df)
+            told = ""
+        except schema.EventSchemaError as error:
+            told = "; ".join(error.problems)
+        missing = ", ".join(schema.absent_fields(df.columns))
+        rows.append((name, missing, schema.covers(df.columns), schema.has_rows(df), told))
+    kinds = "table_name string, missing string, covers boolean, has_rows boolean, problems string"
+    return spark.createDataFrame(rows, kinds)
+
+
+@register("marts_as_sql")
+def q_marts_as_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five mart steps as SQL; per mart its rows and one sum of them."""
+    shop = load_commerce_events(spark, sf_dir)
+    made = sql_steps.run_steps(
+        spark, sql_steps.MART_STEPS, {"shop": shop, "shop_sessions": _fact_rows(spark, sf_dir)}, {"since": None}
+    )
+    sums = {"fct_events": F.col("price"), "fct_sessions": F.col("session_duration_minutes"), "mart_funnel_daily": F.col("view_to_cart_rate"),
+            "mart_retention": F.col("retention_rate"), "mart_product_conversion": F.col("conversion_rate")}
+    parts = [_measured(name, df, sums[name]).withColumnRenamed("extract", "mart") for name, df in made.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -155,10 +155,11 @@ def _read_split(spark: SparkSession, columns: Sequence[str], files: list[tuple[s
 
 def malformed_by_file(raw: DataFrame) -> DataFrame:
     """Rows and malformed rows of every file, from ``read_raw_events(with_source=True)``."""
+    # Spark reads the text of malformed rows only beside another column.
+    read = F.length(F.concat_ws("", "event_time")) >= 0
     return raw.groupBy(SOURCE).agg(
         F.count(F.lit(1)).alias("rows_cnt"),
-        F.count(F.when(F.col(MALFORMED).isNotNull(), F.lit(1))).alias("malformed_cnt"),
-        F.count("event_time").alias("timed_cnt"),
+        F.count(F.when(F.col(MALFORMED).isNotNull() & read, F.lit(1))).alias("malformed_cnt"),
     )
 
 
