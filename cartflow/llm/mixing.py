@@ -28,7 +28,7 @@ from cartflow.llm.common import cut
 WORD = r"[^\x20\x09-\x0D]+"
 #: frac(golden ratio) as a decimal; products with slot numbers stay exact.
 GOLDEN = "0.618033988749894848"
-CHUNK_BITS = 10
+ORDER_BITS, CHUNK_BITS = 60, 10
 SLOT_CHUNK = 4096
 
 
@@ -55,7 +55,7 @@ def _streams(sized: DataFrame, sources: DataFrame) -> DataFrame:
     rows = sized.join(
         sources.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))
     ).drop("name")
-    rows = rows.withColumn("chunk", F.shiftrightunsigned("order", 64 - CHUNK_BITS))
+    rows = rows.withColumn("chunk", F.shiftrightunsigned("order", ORDER_BITS - CHUNK_BITS))
     totals = rows.groupBy("sid", "chunk").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("sid", "chunk", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("base"))
@@ -109,12 +109,14 @@ def mix_documents(
     """(documents, pieces).  Documents: doc_id, source, size, source_size, target
     and sid, at (place in the stream).  Pieces, the mix itself: slot t, sid, rank,
     doc_id, size, at, first (word of the document), words."""
+    # Sixty bits of a digest that other engines have too.
+    told = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit("")))
     sized = cut(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(F.lit(seed), "doc_id", F.col("text").cast("string")).alias("order"),
+            F.conv(F.substring(F.md5(told), 1, 15), 16, 10).cast("long").alias("order"),
         )
     )
     sources = cut(source_targets(sized, weights, share, most))

@@ -290,10 +290,64 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
 FROM (SELECT *, min(page_id) OVER (PARTITION BY payload) AS least_id FROM coded)
 """
 
+MIXING = f"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size,
+           CAST('0x' || substr(md5('7|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')), 1, 15) AS BIGINT) AS ord
+    FROM documents
+),
+per AS (
+    SELECT source, source_size, sid, CAST([3, 1, 2][(sid - 1) % 3 + 1] AS DOUBLE) AS weight, CAST(2 * source_size AS DOUBLE) AS most
+    FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM sized GROUP BY source)
+),
+rates AS (
+    SELECT *, (1.5 * CAST(sum(source_size) OVER () AS DOUBLE)
+               - coalesce(sum(most) OVER (ORDER BY most / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (ORDER BY most / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+    FROM per
+),
+targets AS (SELECT source, source_size, sid, least(most, max(rate) OVER () * weight) AS target FROM rates),
+placed AS (
+    SELECT s.*, t.sid, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS most_words,
+           CAST(sum(size) OVER (PARTITION BY t.sid ORDER BY ord, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS place
+    FROM sized AS s JOIN targets AS t ON s.source IS NOT DISTINCT FROM t.source
+),
+points AS (
+    SELECT t, CAST((CAST(t + 1 AS DECIMAL(18, 0)) * CAST(0.618033988749894848 AS DECIMAL(18, 18))) % 1 AS DOUBLE) AS point
+    FROM range(CAST((SELECT ceil(sum(target) / 1024) FROM targets) AS BIGINT)) AS r(t)
+),
+spans AS (
+    SELECT sid, coalesce(lag(high) OVER (ORDER BY sid), 0) AS low, CASE WHEN lead(sid) OVER (ORDER BY sid) IS NULL THEN 1.5 ELSE high END AS high
+    FROM (SELECT sid, sum(target) OVER (ORDER BY sid) / (SELECT sum(target) FROM targets) AS high FROM targets WHERE target > 0)
+),
+hits AS (SELECT t, sid FROM points JOIN spans ON point >= low AND point < high),
+slots AS (
+    SELECT t, sid, row_number() OVER (PARTITION BY sid ORDER BY t) - 1 AS rank, count(*) OVER (PARTITION BY sid) AS blocks
+    FROM (SELECT * FROM hits UNION ALL SELECT (SELECT count(*) FROM points), sid FROM targets WHERE target > 0 AND sid NOT IN (SELECT sid FROM hits))
+),
+runs AS (
+    SELECT doc_id, sid, place, size, most_words, p * source_size + place AS low, least(p * source_size + place + size, most_words) AS high
+    FROM placed, range(2) AS r(p) WHERE size > 0
+),
+used AS (
+    SELECT r.sid, r.place, r.doc_id, r.size, min(s.t) AS first_slot
+    FROM runs AS r JOIN slots AS s ON s.sid = r.sid
+        AND floor(s.rank * (CAST(most_words AS DOUBLE) / blocks)) < high
+        AND (s.rank + 1 = blocks OR floor((s.rank + 1) * (CAST(most_words AS DOUBLE) / blocks)) > low)
+    WHERE low < high GROUP BY ALL
+),
+words AS (SELECT sid, place, doc_id, size, CAST(sum(greatest(0, high - low)) AS BIGINT) AS taken FROM runs GROUP BY ALL)
+SELECT p.doc_id, p.size, p.source_size, round(p.target, 6) AS target, coalesce(w.taken, 0) AS taken, u.first_slot
+FROM placed AS p
+LEFT JOIN words AS w ON w.sid = p.sid AND w.place = p.place AND w.doc_id = p.doc_id AND w.size = p.size
+LEFT JOIN used AS u ON u.sid = p.sid AND u.place = p.place AND u.doc_id = p.doc_id AND u.size = p.size
+"""
+
 SQL: dict[str, str] = {
     "op1_minhash_dedup": MINHASH,
     "op4_line_dedup": LINES,
     "op5_substring_dedup": SUBSTRINGS,
+    "op7_mix_sources": MIXING,
     "op10_url_filter": URLS,
     "op11_warc_packages": WARC,
     "op12_vector_codes": VECTOR_CODES,

@@ -63,7 +63,8 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix at target source weights takes from every document."""
-    return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    mixed = mixing.taken(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return mixed.withColumn("target", F.round("target", 6))
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
