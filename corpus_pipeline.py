@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow.llm import decontam, linededup, minhash, mixing, toxicity
-from cartflow.llm.common import table
+from cartflow.llm.common import remove, table
 from cartflow.session import checkpoint_dir
 
 ORACLE_SQL = None
@@ -85,11 +85,15 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what passes between them lies in the shared
-    checkpoint folder."""
+    checkpoint folder, a stage's rows until the next one's are written.  The rows
+    returned are read from there."""
     folder = os.path.join(checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(before)
+        before = path
     return docs
