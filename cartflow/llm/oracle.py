@@ -3,6 +3,7 @@ each, by plain relational means (all pairs over shingles, all windows, all lines
 
 from __future__ import annotations
 
+from cartflow.llm import digest
 from cartflow.llm.urlfilter import SUFFIXES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -290,6 +291,74 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
 FROM (SELECT *, min(page_id) OVER (PARTITION BY payload) AS least_id FROM coded)
 """
 
+def _triplets() -> str:
+    """Every hashed byte triplet of every text, by bucket."""
+    names = ("b", "b1", "b2", "b3", "b4")
+    hop = lambda x: f"hop[1 + {x}]"
+    return " UNION ALL ".join(
+        f"SELECT doc_id, kind, {hop(f'xor({hop(f"xor({hop(f'xor({names[a]}, {salt})')}, {names[b]})")}, {names[c]})')} % 128 AS bucket "
+        f"FROM neighbours, hops WHERE {names[c]} IS NOT NULL"
+        for salt, (a, b, c) in zip(digest._SALTS, digest._PICKS, strict=True)
+    )
+
+
+def _likeness(one: str, two: str) -> str:
+    """1 minus the bounded difference of two digests (code, length, r1, r2 with a prefix)."""
+    ring = lambda r: f"least(({one}.{r} - {two}.{r} + 16) % 16, ({two}.{r} - {one}.{r} + 16) % 16)"
+    codes = f"list_sum(list_transform(range(1, 129), lambda k: [0, 1, 2, 6][1 + abs({one}.code[k] - {two}.code[k])]))"
+    return (
+        f"1 - CAST({codes} + least(32, abs({one}.size - {two}.size)) + least(24, 2 * ({ring('r1')} + {ring('r2')})) AS DOUBLE) / {digest.WORST}"
+    )
+
+
+FINGERPRINTS = f"""
+WITH ordered AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id), first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS after,
+           coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next_id
+    FROM documents
+),
+edits AS (
+    SELECT *, length(text) AS n_chars, left(text, CAST(length(text) - length(text) // 2 AS BIGINT)) || left(after, CAST(length(text) // 2 AS BIGINT)) AS edited
+    FROM ordered
+),
+texts AS (SELECT doc_id, 0 AS kind, text FROM edits UNION ALL SELECT doc_id, 1, edited FROM edits),
+raws AS (
+    SELECT doc_id, kind, strlen(text) AS n, hex(encode(text)) || CASE strlen(text) WHEN 1 THEN '0000' WHEN 2 THEN '00' ELSE '' END AS digits FROM texts
+),
+bytes AS (
+    SELECT doc_id, kind, i, CAST('0x' || substr(digits, 2 * i + 1, 2) AS INTEGER) AS b
+    FROM (SELECT *, unnest(range(CAST(len(digits) // 2 AS BIGINT))) AS i FROM raws)
+),
+neighbours AS (
+    SELECT doc_id, kind, b, lead(b, 1) OVER w AS b1, lead(b, 2) OVER w AS b2, lead(b, 3) OVER w AS b3, lead(b, 4) OVER w AS b4
+    FROM bytes WINDOW w AS (PARTITION BY doc_id, kind ORDER BY i)
+),
+hops AS (SELECT {digest._permutation().tolist()} AS hop),
+counts AS (SELECT doc_id, kind, bucket, count(*) AS n FROM ({_triplets()}) GROUP BY ALL),
+lists AS (
+    SELECT r.doc_id, r.kind, r.n, list(coalesce(c.n, 0) ORDER BY k) AS counts, list_sort(list(coalesce(c.n, 0))) AS sorted
+    FROM raws AS r CROSS JOIN range(128) AS b(k) LEFT JOIN counts AS c ON c.doc_id = r.doc_id AND c.kind = r.kind AND c.bucket = k
+    GROUP BY r.doc_id, r.kind, r.n
+),
+digests AS (
+    SELECT doc_id, kind, CAST(least(255, floor(ln(greatest(n, 1)) / ln(1.1))) AS INTEGER) AS size,
+           CAST((16 * sorted[32] // greatest(sorted[96], 1)) % 16 AS INTEGER) AS r1,
+           CAST((16 * sorted[64] // greatest(sorted[96], 1)) % 16 AS INTEGER) AS r2,
+           list_transform(counts, lambda c: CAST(c > sorted[32] AS INTEGER) + CAST(c > sorted[64] AS INTEGER) + CAST(c > sorted[96] AS INTEGER)) AS code
+    FROM lists
+),
+marks AS (
+    SELECT *, printf('%02x%02x', size, r1 * 16 + r2) || array_to_string(list_transform(range(32),
+               lambda k: printf('%02x', code[4 * k + 1] * 64 + code[4 * k + 2] * 16 + code[4 * k + 3] * 4 + code[4 * k + 4])), '') AS mark
+    FROM digests
+)
+SELECT e.doc_id, CAST(e.n_chars AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256, a.mark AS fingerprint, b.mark AS edited_fingerprint,
+       round({_likeness('a', 'b')}, 9) AS near_edited, round({_likeness('a', 'c')}, 9) AS near_next
+FROM edits AS e JOIN marks AS a ON a.doc_id = e.doc_id AND a.kind = 0 JOIN marks AS b ON b.doc_id = e.doc_id AND b.kind = 1
+JOIN marks AS c ON c.doc_id = e.next_id AND c.kind = 0
+"""
+
 MIXING = f"""
 WITH sized AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size,
@@ -347,6 +416,7 @@ SQL: dict[str, str] = {
     "op1_minhash_dedup": MINHASH,
     "op4_line_dedup": LINES,
     "op5_substring_dedup": SUBSTRINGS,
+    "op6_fingerprint": FINGERPRINTS,
     "op7_mix_sources": MIXING,
     "op10_url_filter": URLS,
     "op11_warc_packages": WARC,

@@ -57,7 +57,7 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = digest.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(
         "doc_id", "n_chars", _sha256("edited").alias("edited_sha256"),
-        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        "fingerprint", "edited_fingerprint", *[F.round(c, 9).alias(c) for c in ("near_edited", "near_next")],
     )
 
 
