@@ -13,7 +13,7 @@ def test_every_oracle_has_its_query():
     # Rows only: the tree ensemble's numbers (held against a plain version in tests), and what
     # SQL cannot say.  No other query may go without an oracle.
     trees = {"tree_model_metrics", "propensity_scores", "model_comparison"}
-    training = {"op2_toxicity", "op3_extract", "op6_fingerprint", "op8_language", "op9_decontamination", "pipeline"}
+    training = {"op2_toxicity", "op3_extract", "op8_language", "op9_decontamination", "pipeline"}
     assert set(q) - set(o) <= trees | training
 
 
