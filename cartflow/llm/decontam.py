@@ -137,7 +137,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
     # One row for each feature at most.
     got = (
-        _plain(docs)
+        docs.select("doc_id", "text")
         .mapInArrow(count, "feature long, n long")
         .groupBy("feature")
         .agg(F.sum("n").alias("n"))
@@ -202,7 +202,7 @@ def latent_space(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
 
     parts = size // SUM_BLOCK
     got = (
-        _plain(docs)
+        docs.select("doc_id", "text")
         .mapInArrow(multiply, "part int, sums binary")
         .repartition(min(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "part")
         .sortWithinPartitions("part")
@@ -361,8 +361,14 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, item_id, at, cosine, covered, answered): the best passage, from word
     ``at`` on, of every document and benchmark item that it leaks."""
-    spark = docs.sparkSession
-    docs = _plain(docs)
+    return _leaks(_plain(docs), benchmark, share_of_item, paraphrase, cosine)
+
+
+def _leaks(
+    docs: DataFrame, benchmark: DataFrame, share_of_item: float = 0.7, paraphrase: float = 0.5, cosine: float = COSINE
+) -> DataFrame:
+    """``leaks`` of rows (doc_id of any type, text)."""
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     idf = inverse_frequencies(docs)
     space = latent_space(docs, idf)
     sent = share(spark, space)  # features x RANK numbers
@@ -376,7 +382,7 @@ def leaks(
         pieces = _pieces([r["item_id"] for r in own], texts, space, idf, cosine, share_of_item)
         part = docs.mapInArrow(
             _searcher(sent, share(spark, pieces), share_of_item, paraphrase),
-            "doc_id long, item_id long, at int, cosine double, covered double, answered boolean",
+            f"doc_id {kind}, item_id long, at int, cosine double, covered double, answered boolean",
         )
         found = part if found is None else found.unionByName(part)
     best = F.max_by(F.struct("at", "cosine", "covered", "answered"), F.struct("covered", "cosine", -F.col("at")))
@@ -515,10 +521,8 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` whose document leaks no benchmark item; a row without
     doc_id is judged by its own text."""
-    dirty = lambda d: leaks(d, benchmark, **how).select(F.col("doc_id").alias("leaky")).distinct()
-    number, text_key = F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
-    named, nameless = docs.where(number.isNotNull()), docs.where(number.isNull())
-    # The outcome does not depend on the latent space, so the texts have their own.
-    by_text = dirty(nameless.select(text_key.alias("doc_id"), "text").distinct())
-    kept = named.join(dirty(docs), number == F.col("leaky"), "left_anti")
-    return kept.unionByName(nameless.join(by_text, text_key == F.col("leaky"), "left_anti"))
+    # One search for all rows: a document's key is its id, or else a digest of its text.
+    text, number = F.col("text").cast("string"), F.col("doc_id").cast("long").cast("string")
+    key = F.coalesce(F.concat(F.lit("d"), number), F.concat(F.lit("t"), F.sha2(F.coalesce(text, F.lit("")), 256)))
+    found = _leaks(docs.select(key.alias("doc_id"), text.alias("text")), benchmark, **how)
+    return docs.join(found.select(F.col("doc_id").alias("_leaky")).distinct(), key == F.col("_leaky"), "left_anti")
