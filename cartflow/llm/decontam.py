@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from cartflow.llm.common import Words, mix, per_slice, received, share, window_hashes
 
 FEATURE_BITS = 14
-RANK = 64
+RANK = 128
 PASSAGE = 64
 BLOCK = 16
 SCALES = (1, 2, 3, 4)
@@ -54,7 +54,7 @@ MIN_WORDS = 8
 #: Cosine from which a window is a candidate, for pieces of ``FULL_WORDS`` words or
 #: more; for a shorter piece other words weigh more in its window, and the cosine
 #: falls by ``PER_WORD`` a word down to ``LEAST_COSINE``.
-COSINE, FULL_WORDS, PER_WORD, LEAST_COSINE = 0.45, 37, 0.01, 0.28
+COSINE, FULL_WORDS, PER_WORD, LEAST_COSINE = 0.33, 37, 0.01, 0.16
 SUM_BLOCK = 256
 #: Low bits of a word's hash by which an item's words are looked up.
 WORD_BITS = 12
