@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from cartflow.llm.common import Words, mix, per_slice, received, share, window_hashes
 
 FEATURE_BITS = 14
-RANK = 128
+RANK = 96
 PASSAGE = 64
 BLOCK = 16
 SCALES = (1, 2, 3, 4)
@@ -54,7 +54,7 @@ MIN_WORDS = 8
 #: Cosine from which a window is a candidate, for pieces of ``FULL_WORDS`` words or
 #: more; for a shorter piece other words weigh more in its window, and the cosine
 #: falls by ``PER_WORD`` a word down to ``LEAST_COSINE``.
-COSINE, FULL_WORDS, PER_WORD, LEAST_COSINE = 0.33, 37, 0.01, 0.16
+COSINE, FULL_WORDS, PER_WORD, LEAST_COSINE = 0.34, 37, 0.01, 0.17
 SUM_BLOCK = 256
 #: Low bits of a word's hash by which an item's words are looked up.
 WORD_BITS = 12
@@ -161,7 +161,7 @@ def latent_space(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
     def multiply(batches):
         idf, test = received(shared)
         weighted = _padded(np.concatenate((test * idf[:, None], idf[:, None] ** 2), axis=1))
-        total = np.zeros((RANK, size))
+        total = np.zeros((RANK, size + 1))  # the last column is the filling's
 
         def step(batch, texts):
             blocks = Blocks.of(scan(texts), PASSAGE)
@@ -169,16 +169,15 @@ def latent_space(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
                 return ()
             image = blocks.sums(weighted)
             image = image[:, :RANK] / np.maximum(image[:, RANK:], 1e-9)  # A G, over the norms once more
-            real = blocks.features.ravel() < size
-            feature = blocks.features.ravel()[real]
-            passage = np.repeat(np.arange(len(image)), PASSAGE)[real]
-            for column, own in zip(total, np.ascontiguousarray(image.T), strict=True):  # A'(A G)
-                column += np.bincount(feature, own[passage], size)
+            feature, held = blocks.features.ravel(), np.empty(blocks.features.shape)
+            for column, own in zip(total, np.ascontiguousarray(image.T, np.float64), strict=True):  # A'(A G)
+                held[:] = own[:, None]
+                column += np.bincount(feature, held.ravel(), size + 1)
             return ()
 
         for _ in per_slice(step, limit=_SLICE)(batches):
             pass
-        total = (total.T * idf[:, None]).astype(np.float32)
+        total = (total[:, :size].T * idf[:, None]).astype(np.float32)
         parts = total.reshape(-1, SUM_BLOCK * RANK)
         some = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays(
