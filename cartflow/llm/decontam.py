@@ -245,16 +245,17 @@ class Items:
     answers: np.ndarray
     answer_of: np.ndarray
 
-    def tables(self) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
-        """By scale: some pieces, and for each feature which of them have it among
-        their rarest words (the last row is that of the filling)."""
+    def tables(self) -> dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """By scale: some pieces, for each feature which of them have it among their
+        rarest words, and for each word (by its low bits) which have it at all (the last
+        rows are those of the filling)."""
         out = {}
         for scale in SCALES:
             for some in _chunks(np.flatnonzero(self.scale == scale), 256):
                 table = np.zeros(((1 << FEATURE_BITS) + 1, len(some)), np.uint8)
                 for k, piece in enumerate(some):
                     table[self.rare[piece], k] = 1
-                out.setdefault(scale, []).append((some, table))
+                out.setdefault(scale, []).append((some, table, np.ascontiguousarray(self.holds[some].T, np.uint8)))
         return out
 
 
@@ -407,7 +408,7 @@ def _answered(words: Words, items: Items, row: np.ndarray) -> tuple[np.ndarray,
 
 
 def _held(table: np.ndarray, features: np.ndarray, row: np.ndarray, part: slice, scale: int) -> np.ndarray:
-    """How many words of each piece's rarest ones the windows of ``part`` hold, with a
+    """How many words of each piece's in ``table`` the windows of ``part`` hold, with a
     block on either side."""
     place = np.arange(len(row))[part]
     begin, end = max(place[0] - 1, 0), min(place[-1] + scale + 1, len(row))
@@ -427,9 +428,15 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
     def search(batches):
         space, items = _padded(received(sent)), received(group)
         tables = items.tables()
-        yield from per_slice(lambda batch, texts: _search(batch, texts, space, items, tables), limit=_SLICE)(batches)
+        least = np.array([_least(len(w)) for w in items.words], np.int64)
+        yield from per_slice(lambda batch, texts: _search(batch, texts, space, items, tables, least), limit=_SLICE)(batches)
 
-    def _search(batch, texts, space, items, tables):
+    def _least(size: int) -> int:
+        """Words of a piece of ``size`` words that every window which step 5 accepts holds."""
+        fewest = _fewest(size, share_of_item if size >= MIN_WORDS else 1.0)
+        return min(_fewest(size, paraphrase), fewest) if size >= MIN_WORDS else fewest
+
+    def _search(batch, texts, space, items, tables, least):
         words = scan(texts)
         if not len(words.hash) or not len(items.ids):
             return
@@ -456,13 +463,15 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
             fits = (place <= begin[:, None] + 1) & (place >= 0) & (place < len(row))
             fits &= row[np.clip(place, 0, len(row) - 1)] == row[begin][:, None]
             piece, place = np.repeat(piece, fits.sum(axis=1)), place[fits]
-            for (some, table), first in itertools.product(tables[scale], range(0, len(total), _SPAN)):
+            for (some, table, every), first in itertools.product(tables[scale], range(0, len(total), _SPAN)):
                 part = slice(first, first + _SPAN)
                 near = items.vectors[some] @ total[part].T
                 candidate = near >= items.cosine[some, None] * norm[part] + 1e-12
                 candidate |= (_held(table, blocks.features, row, part, scale) >= items.least[some]).T
                 sure = (piece >= some[0]) & (piece <= some[-1]) & (place >= first) & (place < first + _SPAN)
                 candidate[np.searchsorted(some, piece[sure]), place[sure] - first] = True
+                # What holds too few of the item's words in any order is out at once.
+                candidate &= (_held(every, low[:-1], row, part, scale) >= least[some]).T
                 which, at = np.nonzero(candidate)
                 edge = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1], [True]))) if len(at) else []
                 for i, j in zip(edge[:-1], edge[1:], strict=True):
@@ -489,7 +498,7 @@ def _searcher(sent, group, share_of_item: float, paraphrase: float):
         own = items.words[item]
         need = share_of_item if len(own) >= MIN_WORDS else 1.0
         fewest = _fewest(len(own), need)
-        least = min(_fewest(len(own), paraphrase), fewest) if len(own) >= MIN_WORDS else fewest
+        least = _least(len(own))
         # The window and a block on either side, as far as they are of the same text.
         near = place[:, None] + np.arange(-1, scale + 1)
         inside = (near >= 0) & (near < len(row))
