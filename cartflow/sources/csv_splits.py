@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cartflow.sources.files import located
 
-# Tasks get this module's functions by value, so executors need not have it.
+# Tasks get this module's functions (and those of files) by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of a block, and of a piece that a task holds at a time.

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 
 from pyarrow import fs as arrow_fs
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+# Tasks get these functions by value, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def hadoop_path(spark: SparkSession, path: str):
     """Hadoop file system and path object of an address."""
