@@ -5,12 +5,14 @@
 * The rows become blocks of bin numbers (one byte a value), written to the shared folder
   and kept in executors' storage.
 * A pass over the blocks sums counts, gradients and Hessians by (node, feature, bin) in
-  each task, shuffles the sums by (node, feature), and finds the best split of each there;
-  the driver reads one row for each node and feature.
+  each task and adds them up; the driver reads one histogram a node and finds the best
+  splits.  Of two leaves of one split only the one with fewer rows is summed; the other's
+  histogram is their parent's without it.
 * A tree grows best first to ``max_leaves`` leaves: the open leaf with the largest gain is
   split next.  A pass serves all leaves that may be needed: the growth is played through
   with the gains known so far, and what it reaches without a gain is asked for at once.
-* Scores after a tree are added to the blocks every few trees.
+* Scores after a tree are added to the blocks in storage by the next tree's first pass, and
+  go to the shared folder every few trees.
 
 Gradients and Hessians are summed as fixed-point integers, so that the sums, and with
 them the trees, do not depend on how rows are dealt to tasks.
@@ -31,7 +33,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,10 +56,11 @@ HELD_SHARE = 10
 #: Rounds without a fall of the held-back log loss by more than the tolerance after
 #: which boosting ends.
 PATIENCE, TOLERANCE = 10, 1e-7
-#: Trees after which the blocks get new scores; until then a pass adds them up itself.
+#: Trees after which the blocks' scores are written to the shared folder; until then what
+#: storage loses is made anew from the last ones there.
 REFRESH = 5
-#: Partial sums (of one node and feature in one task) that one reducing task gets, about.
-REDUCE_ROWS = 2_000
+#: Rows of a task at least, and tasks from which histograms are added up in Spark first.
+TASK_ROWS, MANY_TASKS = 1 << 13, 32
 
 #: A split as (node, feature, last bin of the left child, left child, right child).
 Split = tuple[int, int, int, int, int]
@@ -70,23 +73,28 @@ class Tree:
     splits: list[Split]
     values: dict[int, float]
 
-    def leaves(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf of each row of ``bins`` (features, rows)."""
-        rows = {0: np.arange(bins.shape[1])}
+    def rows(self, bins: np.ndarray, nodes: Sequence[int]) -> dict[int, np.ndarray]:
+        """The rows of ``bins`` (features, rows) in each of ``nodes`` (leaves)."""
+        above = {child: at for at, _, _, left, right in self.splits for child in (left, right)}
+        way = set()
+        for node in nodes:
+            while node not in way:
+                way.add(node)
+                node = above.get(node, node)
+        found = {0: np.arange(bins.shape[1])}
         for at, feature, last, left, right in self.splits:
-            own = rows.pop(at)
-            beyond = bins[feature][own] > last
-            rows[left], rows[right] = own[~beyond], own[beyond]
-        node = np.zeros(bins.shape[1], np.int64)
-        for leaf, own in rows.items():
-            node[own] = leaf
-        return node
+            if left in way or right in way:
+                own = found.pop(at)
+                beyond = bins[feature][own] > last
+                if left in way:
+                    found[left] = own[~beyond]
+                if right in way:
+                    found[right] = own[beyond]
+        return found
 
     def add_to(self, raw: np.ndarray, bins: np.ndarray) -> None:
-        value = np.zeros(2 * len(self.splits) + 1)
-        for leaf, v in self.values.items():
-            value[leaf] = v
-        raw += value[self.leaves(bins)]
+        for leaf, own in self.rows(bins, list(self.values)).items():
+            raw[own] += self.values[leaf]
 
 
 @dataclass
@@ -210,20 +218,18 @@ def _block_batch(bins, label, held, raw) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(told, ["bins", "label", "held", "raw"])
 
 
-def _read(batches, wide: int) -> Iterator[tuple[np.ndarray, ...]]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            bins, label, held, raw = (batch.column(k)[i].as_py() for k in range(4))
-            label = np.frombuffer(label, np.uint8)
-            raw = np.frombuffer(raw, np.float64).copy()
-            yield np.frombuffer(bins, np.uint8).reshape(wide, len(label)), label, np.frombuffer(held, np.uint8), raw
+Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _stored(blocks: DataFrame, path: str) -> DataFrame:
-    """Blocks written to the shared folder, read again and kept in storage; what storage
-    loses is read from there."""
-    blocks.write.parquet(path)
-    return blocks.sparkSession.read.parquet(path).persist()
+def _read(blocks: DataFrame, wide: int) -> RDD:
+    """Stored blocks as arrays: bins (features, rows), label, held and raw."""
+
+    def unpacked(row) -> Block:
+        bins, label, held, raw = row
+        label = np.frombuffer(label, np.uint8)
+        return np.frombuffer(bins, np.uint8).reshape(wide, len(label)), label, np.frombuffer(held, np.uint8), np.frombuffer(raw)
+
+    return blocks.rdd.map(unpacked)
 
 
 @dataclass
@@ -239,23 +245,21 @@ class Node:
     best: tuple[float, int, int, int, int, int] | None = None
 
 
-def best_split(sums: np.ndarray, unit: float, l2: float) -> tuple[float, int, int, int, int] | None:
-    """Best split of a node by one feature from ``sums`` (3, bins) of integers: rows,
-    gradients and Hessians.  Returns gain, last bin of the left child and its sums; the
-    first of equal gains."""
-    left = np.cumsum(sums, axis=1)[:, :-1]
-    total = sums.sum(axis=1)
-    right = total[:, None] - left
-    score = lambda s: (s[1] / unit) ** 2 / (s[2] / unit + l2)
-    fits = (left[0] >= MIN_LEAF_ROWS) & (right[0] >= MIN_LEAF_ROWS)
-    fits &= (left[2] / unit >= MIN_LEAF_HESSIAN) & (right[2] / unit >= MIN_LEAF_HESSIAN)
-    if not fits.any():
-        return None
+def best_splits(sums: np.ndarray, sizes: Sequence[int], unit: float, l2: float) -> list[tuple[float, int, int, int, int] | None]:
+    """Best split of a node by each feature from its histogram ``sums`` (features, 3, bins) of
+    integers: rows, gradients and Hessians; ``sizes``: bins that a feature has.  Gain, last
+    bin of the left child and its sums; the first of equal gains."""
+    left = np.cumsum(sums, axis=2)
+    total = left[:, :, -1:]
+    right = total - left
+    score = lambda s: (s[:, 1] / unit) ** 2 / (s[:, 2] / unit + l2)
+    fits = np.arange(sums.shape[2]) < np.array(sizes)[:, None] - 1
+    fits &= (left[:, 0] >= MIN_LEAF_ROWS) & (right[:, 0] >= MIN_LEAF_ROWS)
+    fits &= (left[:, 2] / unit >= MIN_LEAF_HESSIAN) & (right[:, 2] / unit >= MIN_LEAF_HESSIAN)
     gain = np.where(fits, score(left) + score(right) - score(total), -np.inf)
-    at = int(gain.argmax())
-    if gain[at] <= 0:
-        return None
-    return float(gain[at]), at, *(int(x) for x in left[:, at])
+    at = gain.argmax(axis=1)
+    best = gain[np.arange(len(gain)), at]
+    return [(float(g), int(k), *(int(x) for x in left[f, :, k])) if g > 0 else None for f, (g, k) in enumerate(zip(best, at, strict=True))]
 
 
 def _played(known: dict[tuple, Node], max_leaves: int, unit: float) -> tuple[list[tuple], list[tuple], bool]:
@@ -302,98 +306,66 @@ def _numbered(order: list[tuple], known: dict[tuple, Node]) -> tuple[list[Split]
     return splits, ids
 
 
-def _look(blocks: DataFrame, recent: list[Tree], splits: list[Split], nodes: list[int], start: _Start, l2: float) -> list[tuple]:
-    """One pass: for each of ``nodes`` (of the tree so far) and feature, its best split;
-    the root's totals and the held-back loss beside them (feature -1 and -2)."""
-    sizes, unit, wide = start.sizes, start.unit, len(start.sizes)
+def _look(blocks: RDD, splits: list[Split], nodes: list[int], start: _Start) -> tuple[np.ndarray, int, int]:
+    """One pass: the histograms (nodes, features, 3, bins) of ``nodes`` (leaves of the tree so
+    far), and without splits the held-back rows and their loss."""
+    unit, wide = start.unit, len(start.sizes)
     growing = Tree(splits, {})
 
-    def summed(batches):
+    def summed(blocks):
         total = np.zeros((len(nodes), wide, 3, MAX_BINS + 1), np.int64)
         held_rows, held_loss = 0, 0
-        slot_of = np.full(2 * len(splits) + 2, -1, np.int64)
-        slot_of[nodes] = np.arange(len(nodes))
-        for bins, label, held, raw in _read(batches, wide):
-            for tree in recent:
-                tree.add_to(raw, bins)
-            p = 1 / (1 + np.exp(-raw))
-            slot = slot_of[growing.leaves(bins)]
-            slot[held == 1] = -1
+        for bins, label, held, raw in blocks:
             if not splits:  # the first pass of a tree also judges the trees before it
                 out = held == 1
                 loss = np.logaddexp(0, raw[out]) - label[out] * raw[out]
                 held_rows += int(out.sum())
                 held_loss += int(np.rint(loss * unit).sum())
-            use = slot >= 0
-            slot, label, p = slot[use], label[use], p[use]
-            gradient, hessian = np.rint((p - label) * unit), np.rint(p * (1 - p) * unit)
-            for f in range(wide):
-                cell = slot * (MAX_BINS + 1) + bins[f][use]
-                for k, weight in enumerate((None, gradient, hessian)):
-                    part = np.bincount(cell, weight, minlength=len(nodes) * (MAX_BINS + 1))
-                    total[:, f, k] += part.astype(np.int64).reshape(len(nodes), -1)
-        slots, features = (x.reshape(-1) for x in np.indices((len(nodes), wide)))
-        told = [total[s, f].tobytes() for s, f in zip(slots, features, strict=True)] + [np.array([held_rows, held_loss]).tobytes()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*slots, 0], pa.int64()), pa.array([*features, -2], pa.int64()), pa.array(told, pa.binary())],
-            ["slot", "feature", "sums"],
-        )
-
-    def reduced(batches):
-        together: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for slot, f, raw in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                sums = np.frombuffer(raw, np.int64)
-                together[slot, f] = together[slot, f] + sums if (slot, f) in together else sums
-        out = []
-        for (slot, f), sums in together.items():
-            if f == -2:
-                out.append((slot, f, None, None, int(sums[0]), int(sums[1]), None))
-                continue
-            sums = sums.reshape(3, -1)
-            if f == 0:
-                out.append((slot, -1, None, None, *(int(x) for x in sums.sum(axis=1))))
-            found = best_split(sums[:, : sizes[f]], unit, l2)
-            if found:
-                out.append((slot, f, *found))
-        columns = list(zip(*out, strict=True)) or [[]] * 7
-        kinds = [pa.int64(), pa.int64(), pa.float64(), *[pa.int64()] * 4]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _FOUND)
-
-    parts = max(1, min(len(nodes) * wide, start.tasks * len(nodes) * wide // REDUCE_ROWS))
-    sums = blocks.mapInArrow(summed, "slot long, feature long, sums binary")
-    kinds = ", ".join(f"{c} {'double' if c == 'gain' else 'long'}" for c in _FOUND)
-    found = sums.repartition(parts, "slot", "feature").mapInArrow(reduced, kinds).toArrow()
-    return list(zip(*(c.to_pylist() for c in found.columns), strict=True))
-
-
-_FOUND = ["slot", "feature", "gain", "last", "left_rows", "left_gradient", "left_hessian"]
-
-
-def _grown(look, max_leaves: int, unit: float, l2: float, rate: float) -> tuple[Tree, tuple[int, int]]:
+            own = growing.rows(bins, nodes)
+            for slot, node in enumerate(nodes):
+                use = own[node][held[own[node]] == 0]
+                p = 1 / (1 + np.exp(-raw[use]))
+                gradient, hessian = np.rint((p - label[use]) * unit), np.rint(p * (1 - p) * unit)
+                for f in range(wide):
+                    cell = bins[f][use].astype(np.intp)
+                    for k, weight in enumerate((None, gradient, hessian)):
+                        total[slot, f, k] += np.bincount(cell, weight, MAX_BINS + 1).astype(np.int64)
+        yield total, held_rows, held_loss
+
+    def added(one, other):
+        return tuple(a + b for a, b in zip(one, other, strict=True))
+
+    return blocks.mapPartitions(summed).treeReduce(added, 1 if start.tasks <= MANY_TASKS else 2)
+
+
+def _grown(look, max_leaves: int, start: _Start, l2: float, rate: float) -> tuple[Tree, tuple[int, int]]:
     """One tree, by as many passes as its growth needs, and the held-back rows and loss
     before it.  ``look`` takes splits and node numbers."""
+    unit = start.unit
     known = {(): Node(0, 0, 0)}
+    sums: dict[tuple, np.ndarray] = {}
     held = (0, 0)
     while True:
         order, unknown, sure = _played(known, max_leaves, unit)
         splits, ids = _numbered(order, known)
         if sure and known[()].asked:
             break
-        best: dict[int, tuple] = {}
-        for told in look(splits, [ids[p] for p in unknown]):
-            if told[1] == -2:
-                held = held if splits else (told[4], told[5])
-            elif told[1] == -1:
-                if unknown[told[0]] == ():
-                    known[()] = Node(*told[4:])
-            elif told[0] not in best or (told[2], -told[1]) > (best[told[0]][2], -best[told[0]][1]):
-                best[told[0]] = told
-        for slot, path in enumerate(unknown):
-            known[path].asked = True
-            if slot in best:
-                _, feature, gain, last, *left = best[slot]
-                known[path].best = (gain, feature, last, *left)
+        other = lambda path: (*path[:-1], 1 - path[-1])
+        few = {p if not p or known[p].rows <= known[other(p)].rows else other(p): None for p in unknown}
+        found, *loss = look(splits, [ids[p] for p in few])
+        held = held if splits else tuple(loss)
+        sums.update(zip(few, found, strict=True))
+        for path in unknown:
+            if path not in sums:
+                sums[path] = sums[path[:-1]] - sums[other(path)]
+            if not path:
+                known[path] = Node(*(int(x) for x in sums[path][0].sum(axis=1)))
+            node = known[path]
+            node.asked = True
+            splitting = [(s[0], -f, s) for f, s in enumerate(best_splits(sums[path], start.sizes, unit, l2)) if s]
+            if splitting:
+                _, feature, (gain, last, *left) = max(splitting)
+                node.best = (gain, -feature, last, *left)
     leaves = set(ids) - set(order)
     value = lambda n: -rate * (n.gradient / unit) / (n.hessian / unit + l2) if n.rows else 0.0
     return Tree(splits, {ids[p]: value(known[p]) for p in leaves}), held
@@ -409,9 +381,9 @@ def is_over(losses: Sequence[float], patience: int = PATIENCE, tolerance: float
 @dataclass
 class _Start:
     """What all rounds share: blocks (in ``folder``), bins of each feature, the unit of the
-    fixed-point sums and the number of blocks."""
+    fixed-point sums and the number of tasks."""
 
-    blocks: DataFrame
+    blocks: RDD
     folder: str
     sizes: list[int]
     unit: float
@@ -429,15 +401,18 @@ def _begun(
         *[filled(c, medians[c]).alias(c) for c in features], F.col(label).cast("double").alias("_label"), flag.cast("double").alias("_held")
     ).checkpoint()
     fitted = data.where("_held = 0")
-    n, positives = fitted.agg(F.count(F.lit(1)), F.sum("_label")).first()
+    fits = F.col("_held") == 0
+    every, n, positives = data.agg(F.count(F.lit(1)), F.count(F.when(fits, 1)), F.sum(F.when(fits, F.col("_label")))).first()
     share = min(max((positives or 0) / max(n, 1), 1e-12), 1 - 1e-12)
     model = BoostedTrees(tuple(features), dict(medians), bin_edges(fitted, features), float(np.log(share / (1 - share))))
     if not n:
         return model, None
     # Sums of one unit a row at most stay below 2**62 for any number of rows.
     unit = float(1 << min(UNIT_BITS, 62 - (n - 1).bit_length()))
-    blocks = _stored(_blocks(data, model), f"{folder}/0")
-    return model, _Start(blocks, folder, [len(e) + 1 for e in model.edges], unit, blocks.count())
+    tasks = min(spark.sparkContext.defaultParallelism, -(-every // TASK_ROWS))
+    _blocks(data.coalesce(tasks), model).write.parquet(folder)
+    blocks = _read(spark.read.parquet(folder), len(features)).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    return model, _Start(blocks, folder, [len(e) + 1 for e in model.edges], unit, blocks.getNumPartitions())
 
 
 def fit(
@@ -456,20 +431,27 @@ def fit(
     model, start = _begun(rows, features, medians, label, held)
     if start is None:
         return model
-    blocks, recent = start.blocks, []
+    blocks, before, saved = start.blocks, None, start.folder
     while len(model.trees) < max_iter:
-        look = lambda splits, nodes: _look(blocks, recent, splits, nodes, start, l2)  # noqa: B023, E731
-        tree, (held_rows, held_loss) = _grown(look, max_leaves, start.unit, l2, rate)
+        look = lambda splits, nodes: _look(blocks, splits, nodes, start)  # noqa: B023, E731
+        tree, (held_rows, held_loss) = _grown(look, max_leaves, start, l2, rate)
+        if before is not None:
+            before.unpersist()
+        if blocks.isCheckpointed():  # what it was made from is no longer needed
+            remove_path(rows.sparkSession, saved)
+            saved = blocks.getCheckpointFile()
         if held_rows:
             model.losses.append(held_loss / start.unit / held_rows)
             if is_over(model.losses):
                 break
         model.trees.append(tree)
-        recent.append(tree)
-        if len(recent) == REFRESH:
-            blocks, recent = _refreshed(blocks, recent, len(features), start.folder, len(model.trees)), []
-    blocks.unpersist()
-    remove_path(rows.sparkSession, start.folder)
+        before, blocks = blocks, _scored(blocks, tree)
+        if len(model.trees) % REFRESH == 0:
+            blocks.checkpoint()
+    for stored in (before, blocks):
+        if stored is not None:
+            stored.unpersist()
+    remove_path(rows.sparkSession, saved)
     return model
 
 
@@ -481,7 +463,8 @@ def first_splits(
     model, start = _begun(rows, features, medians, label, None)
     best: dict[int, tuple] = {}
     if start is not None:
-        best = {r[1]: r[2:] for r in _look(start.blocks, [], [], [0], start, l2) if r[1] >= 0}
+        (sums,), *_ = _look(start.blocks, [], [0], start)
+        best = {f: s for f, s in enumerate(best_splits(sums, start.sizes, start.unit, l2)) if s}
         start.blocks.unpersist()
         remove_path(rows.sparkSession, start.folder)
     out = []
@@ -495,15 +478,13 @@ def first_splits(
     return out
 
 
-def _refreshed(blocks: DataFrame, trees: list[Tree], wide: int, folder: str, k: int) -> DataFrame:
-    """Blocks whose scores have the trees added."""
+def _scored(blocks: RDD, tree: Tree) -> RDD:
+    """Blocks whose scores have the tree added, kept in storage."""
 
-    def added(batches):
-        for bins, label, held, raw in _read(batches, wide):
-            for tree in trees:
-                tree.add_to(raw, bins)
-            yield _block_batch(bins, label, held, raw)
+    def added(block: Block) -> Block:
+        bins, label, held, raw = block
+        raw = raw.copy()
+        tree.add_to(raw, bins)
+        return bins, label, held, raw
 
-    new = _stored(blocks.mapInArrow(added, blocks.schema), f"{folder}/{k}")
-    blocks.unpersist()
-    return new
+    return blocks.map(added).persist(StorageLevel.MEMORY_AND_DISK)

@@ -217,6 +217,33 @@ def test_growth_asks_for_what_it_needs_only():
     assert unknown == [(0, 0), (0, 1)] and not sure
 
 
+@pytest.mark.parametrize("many", [32, 1])
+def test_passes_sum_the_smaller_of_two_leaves_only(visits, monkeypatch, many):
+    """The other's histogram is the parent's without it; scores go on through the shared
+    folder, and the trees are those of one task."""
+    train, _ = _parts(visits)
+    medians = modeling.medians_of(modeling.narrow(train), FEATURE_COLUMNS)
+    passes, look = [], boosting._look
+
+    def watched(blocks, splits, nodes, start):
+        passes.append((splits, nodes, start.tasks))
+        found = look(blocks, splits, nodes, start)
+        rows = found[0][:, 0, 0].sum(axis=1)
+        beside = {a: b for *_, left, right in splits for a, b in ((left, right), (right, left))}
+        assert not splits or all(beside[n] not in nodes for n in nodes) and max(rows) * 2 <= 182
+        return found
+
+    monkeypatch.setattr(boosting, "_look", watched)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 50)
+    monkeypatch.setattr(boosting, "MANY_TASKS", many)
+    monkeypatch.setattr(boosting, "REFRESH", 2)
+    model = boosting.fit(train.repartition(7), FEATURE_COLUMNS, medians, TARGET_COLUMN, max_iter=5)
+    assert {n for *_, n in passes} == {min(4, train.sparkSession.sparkContext.defaultParallelism)}
+    assert sum(not splits for splits, *_ in passes) == 5
+    monkeypatch.setattr(boosting, "TASK_ROWS", 1 << 13)
+    assert boosting.fit(train, FEATURE_COLUMNS, medians, TARGET_COLUMN, max_iter=5).trees == model.trees
+
+
 def test_queries_share_one_production_fit(spark, monkeypatch):
     seen, fit = [], modeling.fit_trees
 
