@@ -158,12 +158,12 @@ def fit_trees(
     max_iter: int = 100,
     rate: float = 0.08,
     l2: float = 0.1,
+    medians: dict[str, float] | None = None,
 ) -> BoostedTrees:
-    """M7: histogram gradient boosting (M3; medians of all training rows), stopped early
-    on more than 10,000 rows by a held-back tenth."""
-    data = narrow(train, features, label)
-    medians = medians_of(data, features)
-    held = held_back(train, features) if data.count() > boosting.EARLY_STOP_ROWS else None
+    """M7: histogram gradient boosting (M3; medians of all training rows, unless they are
+    given), stopped early on more than 10,000 rows by a held-back tenth."""
+    medians = medians or medians_of(narrow(train, features, label), features)
+    held = held_back(train, features) if train.count() > boosting.EARLY_STOP_ROWS else None
     return boosting.fit(train, features, medians, label, held, max_iter, rate, l2)
 
 
@@ -263,7 +263,7 @@ def score_sessions(features_df: DataFrame, share: float = 0.8, tree_iters: int =
     split = time_split(features_df, share).drop("time_rank")
     train = split.where(F.col("is_train"))
     base = fit_baseline(train)
-    trees = fit_trees(train, max_iter=tree_iters)
+    trees = fit_trees(train, max_iter=tree_iters, medians=base.medians)
     scored = score(trees, score(base, split, "baseline_score"), "model_score")
     keep = ("session_id", "user_id", "session_start", TARGET_COLUMN, "is_train", "baseline_score", "model_score")
     return scored.select(*keep).checkpoint()

@@ -164,23 +164,37 @@ def _numbers(rows: DataFrame, aggregates: list[Column]) -> list:
     return list(rows.agg(*[c.alias(f"_{i}") for i, c in enumerate(aggregates)]).first()) if aggregates else []
 
 
+def _neighbours(places: Sequence[_Place]) -> list[list[_Place]]:
+    """Runs of neighbouring places of a column with the same bounds: one bracket serves all."""
+    runs: list[list[_Place]] = []
+    for p in sorted(places, key=lambda p: (p.column, p.place)):
+        last = runs[-1][-1] if runs else None
+        if last and (last.column, last.place + 1, last.low, last.high) == (p.column, p.place, p.low, p.high):
+            runs[-1].append(p)
+        else:
+            runs.append([p])
+    return runs
+
+
 def _settle(rows: DataFrame, places: list[_Place]) -> None:
     """Find the values at the places.  A sketch brackets each, one exact count places the
     bracket's two ends; a place that is neither end's goes on strictly between them, until
     a few thousand values are left, whose counts the driver reads."""
     while wide := [p for p in places if p.open and p.upto - p.before > FEW]:
-        ends = []
-        for p in wide:
-            share, margin = (p.place - p.before) / (p.upto - p.before), 2 / SKETCH
-            ends.append(F.percentile_approx(F.when(p.inside(), F.col(p.column)), [max(0.0, share - margin), min(1.0, share + margin)], SKETCH))
+        ends, near = [], _neighbours(wide)
+        for run in near:
+            p, margin = run[0], 2 / SKETCH
+            first, last = ((x.place - p.before) / (p.upto - p.before) for x in (p, run[-1]))
+            ends.append(F.percentile_approx(F.when(p.inside(), F.col(p.column)), [max(0.0, first - margin), min(1.0, last + margin)], SKETCH))
         brackets = _numbers(rows, ends)
         counts = []
-        for p, (low, high) in zip(wide, brackets, strict=True):
-            v = F.col(p.column)
+        for run, (low, high) in zip(near, brackets, strict=True):
+            v = F.col(run[0].column)
             counts += [F.count(F.when(fits, 1)) for fits in (v < F.lit(low), v <= F.lit(low), v < F.lit(high), v <= F.lit(high))]
         told = _numbers(rows, counts)
-        for k, (p, (low, high)) in enumerate(zip(wide, brackets, strict=True)):
-            below_low, to_low, below_high, to_high = told[4 * k : 4 * k + 4]
+        of = [(p, k) for k, run in enumerate(near) for p in run]
+        for p, k in of:
+            (low, high), (below_low, to_low, below_high, to_high) = brackets[k], told[4 * k : 4 * k + 4]
             if below_low <= p.place < to_low:
                 p.value = low
             elif below_high <= p.place < to_high:

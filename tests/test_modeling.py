@@ -169,6 +169,12 @@ def test_both_models_beat_chance_on_later_visits(visits):
         assert len(values) == 4 and all(0 <= v <= 1 for v in values.values()) and values["roc_auc"] > 0.6
 
 
+def test_both_fits_take_the_medians_once(visits, monkeypatch):
+    seen, medians_of = [], modeling.medians_of
+    monkeypatch.setattr(modeling, "medians_of", lambda *a: seen.append(1) or medians_of(*a))
+    assert modeling.score_sessions(visits, share=0.7, tree_iters=1).count() == 260 and len(seen) == 1
+
+
 def _noise(spark, n=400, seed=3):
     rnd = random.Random(seed)
     rows = [(f"s{k}", 1, *[float(rnd.randint(0, 3)) for _ in FEATURE_COLUMNS], rnd.randint(0, 1)) for k in range(n)]

@@ -166,6 +166,24 @@ def test_exact_medians(spark):
     assert ranks.exact_medians(df, ["a", "b", "c"]) == {"a": want[0], "b": want[1], "c": None}
 
 
+def test_neighbouring_places_share_a_sketch(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "FEW", 20)
+    rnd = np.random.default_rng(4)
+    a, b = rnd.normal(size=3000), rnd.integers(0, 7, 3000).astype(float)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b, strict=True)], "a double, b double")
+    asked, numbers = [], ranks._numbers
+
+    def counted(rows, aggregates):
+        asked.append(sum("percentile_approx" in str(c) for c in aggregates))
+        return numbers(rows, aggregates)
+
+    monkeypatch.setattr(ranks, "_numbers", counted)
+    assert ranks.exact_medians(df, ["a", "b"]) == {"a": float(np.median(a)), "b": float(np.median(b))}
+    assert max(asked) == 2
+    got = ranks.quantile_values(df, {"a": [0.1, 0.5, 0.9]})["a"][0]
+    assert np.allclose(got, np.quantile(a, [0.1, 0.5, 0.9]), atol=1e-12) and max(asked) == 3
+
+
 def test_auc_of_huge_counts(spark):
     """Counts whose product exceeds BIGINT."""
     per = spark.createDataFrame([(0.9, 4_000_000_000, 0), (0.1, 0, 4_000_000_000)], "s double, p long, q long")
